@@ -97,7 +97,7 @@ def collapse_repeats(df: DataFrame, doc: str, body: str) -> DataFrame:
     Works inside the row (a line array and its own shifted copy), so nothing is shuffled.
     """
     raw = F.filter(
-        F.split(body, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"),
+        F.split(body, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"),
         lambda x: ~(x.rlike(r"^(?:WEBVTT|Kind:|Language:)") | x.contains("-->")),
     )
     clean = F.filter(
