@@ -122,7 +122,7 @@ def starts_with_any(text: Column, prefixes: list[str]) -> Column:
 def safe_filename(url: Column, suffix: str = ".pdf") -> Column:
     """Last URL segment with a required suffix and only safe characters."""
     name = F.element_at(F.split(url, "/"), -1)
-    named = F.when(F.lower(name).endswith(suffix), name).otherwise(F.concat(name, F.lit(suffix)))
+    named = F.when(name.endswith(suffix), name).otherwise(F.concat(name, F.lit(suffix)))
     return F.regexp_replace(named, r"[^A-Za-z0-9._-]", "_")
 
 

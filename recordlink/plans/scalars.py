@@ -358,7 +358,7 @@ def q_session_number(spark, sf):
 
 @query(
     "safe_filename",
-    """SELECT page_id, regexp_replace(CASE WHEN ends_with(lower(n), '.pdf') THEN n ELSE n || '.pdf' END, '[^A-Za-z0-9._-]', '_', 'g') AS file_name
+    """SELECT page_id, regexp_replace(CASE WHEN ends_with(n, '.pdf') THEN n ELSE n || '.pdf' END, '[^A-Za-z0-9._-]', '_', 'g') AS file_name
     FROM (SELECT page_id, list_extract(string_split(url, '/'), -1) AS n FROM pages)""",
 )
 def q_safe_filename(spark, sf):
