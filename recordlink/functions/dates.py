@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +19,10 @@ def as_date(value: str) -> Column:
 
 def month_number(name: Column) -> Column:
     """Month number of an English month name or abbreviation, else NULL."""
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(fv.MONTHS.items())])
-    return F.try_element_at(table, F.lower(name))
+    low = F.lower(name)
+    order = "".join(n[:3] for n in dict.fromkeys(k[:3] for k in fv.MONTHS))
+    place = F.instr(F.lit(order), F.left(low, F.lit(3)))
+    return F.when(low.rlike(f"^(?:{'|'.join(fv.MONTHS)})$"), ((place + 2) / 3).cast("int"))
 
 
 def _assemble(year: Column, month: Column, day: Column) -> Column:
@@ -40,13 +40,13 @@ def _numeric(text: Column, pattern: str) -> Column:
 def parse_date(text: Column) -> Column:
     """ISO, M/D/Y, M.D.Y or `Month D, Y`. The first pattern found decides; an impossible date is NULL."""
     iso = F.try_to_date(F.regexp_extract(text, ISO, 0), "yyyy-MM-dd")
-    month = month_number(F.regexp_extract(text, MONTH, 1))
-    named = _assemble(F.regexp_extract(text, MONTH, 3), month.cast("string"), F.regexp_extract(text, MONTH, 2))
+    month = month_number(F.regexp_extract(text, MONTH, 1)).cast("string")
+    named = _assemble(F.regexp_extract(text, MONTH, 3), month, F.regexp_extract(text, MONTH, 2))
     return (
         F.when(text.rlike(ISO), iso)
         .when(text.rlike(SLASH), _numeric(text, SLASH))
         .when(text.rlike(DOT), _numeric(text, DOT))
-        .when(text.rlike(MONTH) & month.isNotNull(), named)
+        .otherwise(named)
     )
 
 

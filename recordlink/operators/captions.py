@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
 from recordlink.functions import text
+from recordlink.functions.bind import let
 from recordlink.operators.ordered import gap_paragraphs, ordered_scan
 
 
@@ -54,8 +55,10 @@ def overlap_length(previous: Column, current: Column) -> Column:
         return F.when(a == b, 0).when(a.startswith(b) | b.startswith(a), 1).otherwise(2)
 
     def fits(k: Column) -> Column:
+        # With at most one word different, one of the two end words agrees; most lengths fail this test.
+        apart = (F.get(previous, n - k) != F.get(current, F.lit(0))) & (F.get(previous, n - 1) != F.get(current, k - 1))
         pairs = F.zip_with(F.slice(previous, n - k + 1, k), F.slice(current, F.lit(1), k), differs)
-        return F.aggregate(pairs, F.lit(0), lambda s, x: s + x) <= 1
+        return F.when((k > 1) & apart, F.lit(False)).otherwise(F.aggregate(pairs, F.lit(0), lambda s, x: s + x) <= 1)
 
     lengths = F.when(m > 0, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
     return F.coalesce(F.array_max(F.filter(lengths, fits)), F.lit(0))
@@ -75,11 +78,17 @@ def rolling_diff(cues: DataFrame, doc: str, width_s: float = 600.0) -> DataFrame
     base = cues.select(doc, *order, "text")
     screens = ordered_scan(base, [doc], order, _cue_segment(width_s), lags={"__prev": F.col("text")})
     changed = screens.filter(~F.col("text").eqNullSafe(F.col("__prev")))
-    staged = changed.withColumn("__a", text.words(F.coalesce("__prev", F.lit("")))).withColumn("__b", text.words(F.col("text")))
-    k = overlap_length(F.col("__a"), F.col("__b"))
-    fresh = F.array_join(F.slice(F.col("__b"), k + 1, F.greatest(F.size("__b") - k, F.lit(0))), " ")
-    new = staged.withColumn("new_text", F.when(F.col("__prev").isNull(), F.trim("text")).otherwise(fresh))
-    new = new.filter("new_text <> ''").select(doc, *order, "new_text")
+    words = changed.select(
+        doc, *order, F.struct(text.words(F.coalesce("__prev", F.lit(""))).alias("a"), text.words(F.col("text")).alias("b"), F.trim("text").alias("all"), F.col("__prev").isNull().alias("first")).alias("__w")
+    )
+
+    def fresh(w: Column) -> Column:
+        rest = let(overlap_length(w["a"], w["b"]), lambda k: F.slice(w["b"], k + 1, F.greatest(F.size(w["b"]) - k, F.lit(0))))
+        return F.when(w["first"], w["all"]).otherwise(F.array_join(rest, " "))
+
+    # Exploding the filtered one-element array computes each fragment once; a filter on it would compute it twice.
+    fragments = F.filter(F.transform(F.array("__w"), fresh), lambda t: t != "")
+    new = words.select(doc, *order, F.explode(fragments).alias("new_text"))
     again = ordered_scan(new, [doc], order, _cue_segment(width_s), lags={"__last": F.col("new_text")})
     return again.filter(~F.col("new_text").eqNullSafe(F.col("__last"))).drop("__last")
 

@@ -181,10 +181,13 @@ def connected_clusters(nodes: DataFrame, edges: DataFrame, node: str, a: str = "
     Alternating large-star and small-star steps; each is a min-aggregate and a join, and the number of
     rounds grows with the logarithm of the component size.
     """
-    current = materialize(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    )
-    while True:
+
+    def fingerprint(df: DataFrame):
+        return df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+
+    current = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
+    seen = fingerprint(current)
+    while seen[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -193,10 +196,9 @@ def connected_clusters(nodes: DataFrame, edges: DataFrame, node: str, a: str = "
         small = large.join(parent, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             parent.select("u", F.col("m").alias("v"))
         )
-        following = materialize(small.filter("u <> v").distinct())
-        changed = not following.exceptAll(current).isEmpty() or not current.exceptAll(following).isEmpty()
-        current = following
-        if not changed:
+        current = materialize(small.filter("u <> v").distinct())
+        before, seen = seen, fingerprint(current)
+        if before == seen:
             break
     labels = current.groupBy(F.col("u").alias(node)).agg(F.min("v").alias("__m"))
     return nodes.select(node).distinct().join(labels, node, "left").select(node, F.coalesce("__m", node).alias("cluster"))

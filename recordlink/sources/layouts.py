@@ -6,7 +6,7 @@ new layout is a new row. A page is read inside its row, without a shuffle.
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,13 +91,21 @@ GENERIC = "generic_links"
 layout_registry = {spec.layout: spec for spec in LAYOUTS}
 
 
-def layout_table(spark: SparkSession, specs: list[LayoutSpec] | None = None) -> DataFrame:
-    """The layout registry as rows (a handful, sized by the registry)."""
-    rows = [tuple(asdict(s).values()) for s in (specs or list(layout_registry.values()))]
-    schema = ", ".join(
-        f"{f.name} {'boolean' if f.type == 'bool' else 'int' if f.type == 'int' else 'string'}" for f in LayoutSpec.__dataclass_fields__.values()
-    )
-    return spark.createDataFrame(rows, schema)
+def layout_table(spark: SparkSession, fallback: bool = True) -> DataFrame:
+    """The layout registry as rows: each layout with the specs to try in turn (sized by the registry)."""
+    fields = LayoutSpec.__dataclass_fields__.values()
+    types = {"bool": "boolean", "int": "int"}
+    schema = ", ".join(f"{f.name}: {types.get(f.type, 'string')}" for f in fields)
+
+    def tries(spec: LayoutSpec) -> list[tuple]:
+        chain = [layout_registry["evo_framework"]] if spec.time_first else []
+        chain.append(spec)
+        if fallback and spec.layout != GENERIC:
+            chain.append(layout_registry[GENERIC])
+        return [astuple(x) for x in chain]
+
+    rows = [(spec.layout, tries(spec)) for spec in layout_registry.values()]
+    return spark.createDataFrame(rows, f"layout string, tries array<struct<{schema}>>")
 
 
 def unknown_layouts(pages: DataFrame, layout: str) -> DataFrame:
@@ -111,11 +119,11 @@ def _extract(c: Column, pattern: Column, group: int) -> Column:
     return F.call_function("regexp_extract", c, pattern, F.lit(group))
 
 
-def _url_date(href: Column, spec) -> Column:
-    g = [_extract(href, spec("url_date"), i) for i in (1, 2, 3)]
+def _url_date(href: Column, spec: Column) -> Column:
+    g = [_extract(href, spec["url_date"], i) for i in (1, 2, 3)]
     mdy = F.concat_ws("-", g[2], g[0], g[1])
     ymd = F.concat_ws("-", *g)
-    return F.when(F.regexp_like(href, spec("url_date")), F.try_to_date(F.when(spec("url_order") == "mdy", mdy).otherwise(ymd), "yyyy-MM-dd"))
+    return F.when(F.regexp_like(href, spec["url_date"]), F.try_to_date(F.when(spec["url_order"] == "mdy", mdy).otherwise(ymd), "yyyy-MM-dd"))
 
 
 def _time_date(html: Column) -> Column:
@@ -141,17 +149,17 @@ def _month_of_url(href: Column) -> Column:
     return F.when(F.year(first) >= 2020, first)
 
 
-def _dated(href: Column, context: Column, spec) -> Column:
+def _dated(href: Column, context: Column, spec: Column) -> Column:
     """Date of a record by the chain of its layout."""
-    text_date = F.when(spec("text_date"), let(plain(context), dates.parse_date))
-    time_date = F.when(spec("time_tag"), _time_date(context))
+    text_date = F.when(spec["text_date"], let(plain(context), dates.parse_date))
+    time_date = F.when(spec["time_tag"], _time_date(context))
     return F.coalesce(
         _url_date(href, spec),
-        F.when(spec("slot_date"), _slot_date(context)),
-        F.when(spec("text_before_time"), text_date),
+        F.when(spec["slot_date"], _slot_date(context)),
+        F.when(spec["text_before_time"], text_date),
         time_date,
         text_date,
-        F.when(spec("month_of_url"), _month_of_url(href)),
+        F.when(spec["month_of_url"], _month_of_url(href)),
     )
 
 
@@ -159,50 +167,50 @@ def _item(title: Column, href: Column, date: Column) -> Column:
     return F.struct(title.alias("title"), href.alias("href"), date.alias("event_date"))
 
 
-def block_items(html: Column, spec) -> Column:
+def block_items(html: Column, spec: Column) -> Column:
     """Records of a block layout: one per block, from its first link."""
-    needs_outer = spec("outer") != NONE
+    needs_outer = spec["outer"] != NONE
     inside = F.transform(
-        F.slice(F.split(html, spec("outer")), 2, 1 << 30), lambda p: F.get(F.split(p, spec("outer_end")), F.lit(0))
+        F.slice(F.split(html, spec["outer"]), 2, 1 << 30), lambda p: F.get(F.split(p, spec["outer_end"]), F.lit(0))
     )
     areas = F.when(needs_outer, inside).otherwise(F.array(html))
-    raw = F.flatten(F.transform(areas, lambda a: F.slice(F.split(a, spec("block")), 2, 1 << 30)))
+    raw = F.flatten(F.transform(areas, lambda a: F.slice(F.split(a, spec["block"]), 2, 1 << 30)))
     blocks = F.filter(
-        F.transform(raw, lambda b: F.get(F.split(b, spec("block_end")), F.lit(0))), lambda b: F.regexp_like(b, spec("block_needs"))
+        F.transform(raw, lambda b: F.get(F.split(b, spec["block_end"]), F.lit(0))), lambda b: F.regexp_like(b, spec["block_needs"])
     )
 
     def read(b: Column) -> Column:
-        scope = F.when(spec("title_scope") == "", b).otherwise(_extract(b, spec("title_scope"), 1))
+        scope = F.when(spec["title_scope"] == "", b).otherwise(_extract(b, spec["title_scope"], 1))
         return let(scope, lambda sc: read_scope(b, sc))
 
     def read_scope(b: Column, scope: Column) -> Column:
         tag = F.regexp_extract(scope, r"(?is)<a\b([^>]*\bhref\b[^>]*>.*?)</a", 1)
         linked = plain(F.regexp_replace(tag, r"(?s)^[^>]*>", ""))
-        title = F.when((tag == "") & spec("slot_date"), F.left(plain(scope), F.lit(120))).otherwise(linked)
+        title = F.when((tag == "") & spec["slot_date"], F.left(plain(scope), F.lit(120))).otherwise(linked)
         href = F.coalesce(attribute(tag, "href"), F.lit(""))
-        has_link = (tag != "") | (spec("slot_date") & (scope != ""))
+        has_link = (tag != "") | (spec["slot_date"] & (scope != ""))
         return F.when(has_link, let(href, lambda h: _item(title, h, _dated(h, b, spec))))
 
-    return F.filter(F.transform(blocks, read), lambda r: r.isNotNull() & (F.length(r["title"]) >= spec("min_title")))
+    return F.filter(F.transform(blocks, read), lambda r: r.isNotNull() & (F.length(r["title"]) >= spec["min_title"]))
 
 
-def context_items(html: Column, spec) -> Column:
+def context_items(html: Column, spec: Column) -> Column:
     """Records of a context layout: every fitting link with the date nearest to it in its item."""
 
     def read(a: Column) -> Column:
         href = F.coalesce(attribute(a["tag"], "href"), F.lit(""))
-        marked = _extract(a["inner"], spec("title_tag"), 1)
-        title = plain(F.when((spec("title_tag") != "") & (marked != ""), marked).otherwise(a["inner"]))
+        marked = _extract(a["inner"], spec["title_tag"], 1)
+        title = plain(F.when((spec["title_tag"] != "") & (marked != ""), marked).otherwise(a["inner"]))
         around = F.concat_ws(" ", a["before"], a["inner"], a["after"])
         return let(href, lambda h: let(around, lambda c: _item(title, h, _dated(h, c, spec))))
 
     def fits(r: Column) -> Column:
         return (
             (r["href"] != "")
-            & (F.length(r["title"]) >= spec("min_title"))
-            & F.regexp_like(r["href"], spec("href_like"))
-            & ~F.regexp_like(r["href"], spec("href_not"))
-            & ~F.regexp_like(F.lower(r["title"]), spec("stop_words"))
+            & (F.length(r["title"]) >= spec["min_title"])
+            & F.regexp_like(r["href"], spec["href_like"])
+            & ~F.regexp_like(r["href"], spec["href_not"])
+            & ~F.regexp_like(F.lower(r["title"]), spec["stop_words"])
         )
 
     return F.filter(F.transform(anchors(html), read), fits)
@@ -216,18 +224,9 @@ def page_listing(
     Only plausible dates not before the cutoff count. A page whose layout yields nothing is read again
     with the generic link layout.
     """
-    spark = pages.sparkSession
-    specs = layout_table(spark)
-    names = specs.columns
-    joined = pages.select(page, F.col(html).alias("__h"), F.col(url).alias("__u"), F.col(layout).alias("layout")).join(
-        specs.select("layout", F.struct(*names).alias("__s")), "layout"
-    )
-
-    def spec(name: str) -> Column:
-        return F.col("__s")[name]
-
-    def fixed(s: LayoutSpec):
-        return lambda name: F.lit(getattr(s, name))
+    specs = layout_table(pages.sparkSession, fallback)
+    joined = pages.select(page, F.col(html).alias("__h"), F.col(url).alias("__u"), F.col(layout).alias("layout")).join(specs, "layout")
+    item = "array<struct<title: string, event_date: date, url: string, program: string>>"
 
     def recent(items: Column) -> Column:
         done = F.transform(
@@ -243,18 +242,11 @@ def page_listing(
         ids = F.transform(items, lambda r: F.when(by_program, r["program"]).otherwise(r["url"]))
         return let(ids, lambda ns: F.filter(items, lambda r, i: F.get(ns, i).isNotNull() & (F.array_position(ns, F.get(ns, i)) == i + 1)))
 
-    evo, generic = layout_registry["evo_framework"], layout_registry[GENERIC]
-    empty = F.filter(F.array(F.struct(F.lit("").alias("title"), F.lit(None).cast("date").alias("event_date"), F.lit("").alias("url"), F.lit("").alias("program"))), lambda r: F.lit(False))
-    own = F.when(spec("kind") == "block", recent(block_items(F.col("__h"), spec))).otherwise(
-        unique(recent(context_items(F.col("__h"), spec)), spec("dedup") == "program")
-    )
-    timed = F.when(spec("time_first"), unique(recent(context_items(F.col("__h"), fixed(evo))), F.lit(False))).otherwise(empty)
-    staged = joined.withColumn("__timed", timed).withColumn("__own", own)
-    found = F.when(F.size("__timed") > 0, F.col("__timed")).otherwise(F.col("__own"))
-    staged = staged.withColumn("__found", found)
-    if fallback:
-        again = unique(recent(context_items(F.col("__h"), fixed(generic))), F.lit(False))
-        found = F.when((F.size("__found") > 0) | (F.col("layout") == GENERIC), F.col("__found")).otherwise(again)
-    else:
-        found = F.col("__found")
-    return staged.select(page, F.explode(found).alias("__r")).select(page, "__r.title", "__r.event_date", "__r.url")
+    def attempt(found: Column, s: Column) -> Column:
+        """Items of one spec, unless an earlier one found some."""
+        blocks = recent(block_items(F.col("__h"), s))
+        links = let(recent(context_items(F.col("__h"), s)), lambda x: unique(x, s["dedup"] == "program"))
+        return F.when(F.size(found) > 0, found).when(s["kind"] == "block", blocks).otherwise(links).cast(item)
+
+    found = F.aggregate("tries", F.array().cast(item), attempt)
+    return joined.select(page, F.explode(found).alias("__r")).select(page, "__r.title", "__r.event_date", "__r.url")
