@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recordlink.functions import text
 from recordlink.operators import attach, resolve
+from recordlink.plans import resolvesql
 from recordlink.plans import sqltext as s
 from recordlink.plans.bindings import base_records, record_list
 from recordlink.plans.registry import query, table
@@ -99,12 +100,12 @@ def q_cross_key_pairs(spark, sf):
     return resolve.cross_key_pairs(record_list(spark, sf)).withColumn("sim", F.round("sim", 4))
 
 
-@query("dedup_fuzzy")
+@query("dedup_fuzzy", resolvesql.DEDUP)
 def q_dedup_fuzzy(spark, sf):
     return sources_text(resolve.dedup_fuzzy(record_list(spark, sf)))
 
 
-@query("resolve_all")
+@query("resolve_all", resolvesql.RESOLVE)
 def q_resolve_all(spark, sf):
     """Flagship: three overlapping sources and their clips to one row per event."""
     rec = record_list(spark, sf)
