@@ -73,23 +73,23 @@ def search_keywords(title: Column, stop: list[str] = fv.TITLE_STOPWORDS, max_wor
     return F.array_join(F.slice(significant_words(title, stop), 1, max_words), " ")
 
 
-def search_query(title: Column, group_name: Column, date: Column, site: str, site_path: str) -> Column:
+def search_query(keywords: Column, group_name: Column, date: Column, site: str, site_path: str) -> Column:
     """Search string of site, group name, keywords and year; the group name stands in for missing keywords."""
     name = F.nullif(group_name, F.lit(""))
-    terms = F.coalesce(F.nullif(search_keywords(title), F.lit("")), name)
+    terms = F.coalesce(F.nullif(keywords, F.lit("")), name)
     head = F.when(name.isNotNull(), F.concat_ws(" ", F.lit(site), name)).otherwise(F.lit(site_path))
     return F.when(terms.isNotNull(), F.concat_ws(" ", head, terms, F.year(date).cast("string")))
 
 
 def sentence_case(text: Column, keep: list[str] = fv.ABBREVIATIONS, ratio: float = 0.6) -> Column:
     """Recase text that is mostly capitals; listed abbreviations stay as written."""
-    keep_set = F.array(*[F.lit(k) for k in keep])
+    trailing = ".,;:!?'\""
+    kept = sorted({k.rstrip(trailing) for k in keep})
     upper_share = F.length(F.regexp_replace(text, r"[^\p{Lu}]", "")) / F.greatest(F.length(text), F.lit(1))
     pieces = F.split(F.regexp_replace(text, r"([.!?]\s+)", "\u0001$1\u0001"), "\u0001")
 
     def recase(word: Column, position: Column) -> Column:
-        bare = F.regexp_replace(F.upper(word), r"[.,;:!?'\"]+$", "")
-        is_kept = F.array_contains(keep_set, bare) | F.array_contains(keep_set, F.concat(bare, F.lit(".")))
+        is_kept = F.rtrim(F.upper(word), F.lit(trailing)).isin(kept)
         first = F.concat(F.upper(F.left(word, F.lit(1))), F.lower(F.substring(word, 2, 1 << 30)))
         return F.when(is_kept, word).when(position == 0, first).otherwise(F.lower(word))
 

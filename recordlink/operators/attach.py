@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from recordlink import fixed_values as fv
 from recordlink.functions import text
 from recordlink.operators.similarity import overlap_counts, similar_pairs
+from recordlink.session import materialize
 
 
 def _title_sets(df: DataFrame, block: list[str], title: str, ord_col: str, name: str) -> DataFrame:
@@ -27,7 +28,7 @@ def best_similar(
     records: DataFrame, videos: DataFrame, block: list[str], title: str, ord_col: str, video_title: str, video_ord: str, threshold: float
 ) -> DataFrame:
     """(video, record, sim): for each video the most similar record of its block, first in order on a tie."""
-    rec_sets = _title_sets(records, block, title, ord_col, "__rec")
+    rec_sets = materialize(_title_sets(records, block, title, ord_col, "__rec"))
     vid = videos.select(*block, text.token_set(F.col(video_title)).alias("tokens"), F.col(video_ord).alias("video"))
     vid_sets = vid.select(*block, "tokens").distinct()
     pairs = similar_pairs(
@@ -135,7 +136,7 @@ def reconcile_ids(
         sides[1].join(stored_sets, [key, date, "tokens"]).filter(F.col("__id") > F.col("__o1"))
         .groupBy(key, date, "tokens").agg(F.min("__id").alias("__o2"))
     )
-    stored_sets = stored_sets.join(second, [key, date, "tokens"], "left")
+    stored_sets = materialize(stored_sets.join(second, [key, date, "tokens"], "left"))
     new_rows = sides[0].withColumnRenamed("__id", "new_id")
     new_sets = new_rows.select(key, date, "tokens").distinct().withColumn("__words", F.col("tokens"))
     pairs = similar_pairs(new_sets, stored_sets, [key, date], threshold, ["__words"], ["__o1", "__o2"])

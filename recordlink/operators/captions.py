@@ -9,6 +9,7 @@ from recordlink import fixed_values as fv
 from recordlink.functions import text
 from recordlink.functions.bind import let
 from recordlink.operators.ordered import gap_paragraphs, ordered_scan
+from recordlink.session import materialize
 
 
 def _seconds(stamp: Column) -> Column:
@@ -88,14 +89,14 @@ def rolling_diff(cues: DataFrame, doc: str, width_s: float = 600.0) -> DataFrame
 
     # Exploding the filtered one-element array computes each fragment once; a filter on it would compute it twice.
     fragments = F.filter(F.transform(F.array("__w"), fresh), lambda t: t != "")
-    new = words.select(doc, *order, F.explode(fragments).alias("new_text"))
+    new = materialize(words.select(doc, *order, F.explode(fragments).alias("new_text")))
     again = ordered_scan(new, [doc], order, _cue_segment(width_s), lags={"__last": F.col("new_text")})
     return again.filter(~F.col("new_text").eqNullSafe(F.col("__last"))).drop("__last")
 
 
 def caption_paragraphs(cues: DataFrame, doc: str, gap_s: float = fv.GAP_SECONDS, width_s: float = 600.0) -> DataFrame:
     """Fragments of `rolling_diff` with their paragraph number (a pause longer than the gap starts a new one)."""
-    parts = rolling_diff(cues, doc, width_s)
+    parts = materialize(rolling_diff(cues, doc, width_s))
     timed = parts.withColumn("__ts", F.timestamp_millis((F.col("end_s") * 1000).cast("bigint")))
     return gap_paragraphs(timed, [doc], "__ts", "seq", _cue_segment(width_s), gap_s).drop("__ts")
 

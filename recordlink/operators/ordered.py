@@ -2,13 +2,15 @@
 
 A plain window partitioned by a key puts all rows of that key into one task. Here every key is cut
 into segments of its order column (an hour, a range of positions). Rows are windowed inside
-(key, segment); one small row per (key, segment), pre-aggregated before its shuffle, carries the
-state from one segment to the next. The result equals the unsegmented window for every segment width.
+(key, segment); one small row per (key, segment), the last of the segment, carries the state from one
+segment to the next. The result equals the unsegmented window for every segment width.
 Key and segment columns must not be NULL.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,49 +41,89 @@ def ordered_scan(
     order: list[str],
     segment: Column,
     sums: dict[str, Column] | None = None,
-    lasts: dict[str, Column] | None = None,
     lags: dict[str, Column] | None = None,
+    marks: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add running values per key in ascending order.
 
     sums:  inclusive running sum of an expression;
-    lasts: last non-NULL value up to and including the row;
-    lags:  value of the previous row (may be NULL).
-    Expressions may use columns of `df` only. `order` must be unique within a key.
+    lags:  value of the previous row (may be NULL);
+    marks: position (1, 2, ...) of the last row up to here that meets a condition; also adds `pos`.
+    Expressions may use columns of `df` only. `order` must be unique within a key. The rows are derived
+    twice (for the windows and for the carried rows), so chain scans over a materialized input.
     """
-    sums, lasts, lags = sums or {}, lasts or {}, lags or {}
+    sums, lags, marks = sums or {}, lags or {}, marks or {}
     d = df.withColumn(SEG, segment)
     local = Window.partitionBy(*keys, SEG).orderBy(*order)
     run = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    position = F.struct(*[F.col(c) for c in order])
-
+    place = F.row_number().over(local)
     inner = d.select(
         "*",
         *[F.sum(e).over(run).alias(f"__s_{n}") for n, e in sums.items()],
-        *[F.last(e, ignorenulls=True).over(run).alias(f"__l_{n}") for n, e in lasts.items()],
         *[F.lag(F.struct(e.alias("v")), 1).over(local).alias(f"__g_{n}") for n, e in lags.items()],
+        *[F.struct(e.alias("v")).alias(f"__v_{n}") for n, e in lags.items()],
+        *([place.cast("bigint").alias("__pos")] if marks else []),
+        F.lead(F.lit(1), 1).over(local).isNull().alias("__end"),
     )
-    summary = d.groupBy(*keys, SEG).agg(
-        F.lit(1).alias("__one"),
-        *[F.sum(e).alias(f"__s_{n}") for n, e in sums.items()],
-        *[F.max_by(e, F.when(e.isNotNull(), position)).alias(f"__l_{n}") for n, e in lasts.items()],
-        *[F.max_by(F.struct(e.alias("v")), position).alias(f"__g_{n}") for n, e in lags.items()],
-    )
+    if marks:
+        inner = inner.select("*", *[F.max(F.when(c, F.col("__pos"))).over(run).alias(f"__m_{n}") for n, c in marks.items()])
+    # The last row of a segment holds the segment's totals; these few rows travel on alone.
     across = Window.partitionBy(*keys).orderBy(SEG) if keys else Window.orderBy(SEG)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
+    ends = inner.filter("__end")
+    if marks:
+        ends = ends.withColumn("__base", F.coalesce(F.sum("__pos").over(before), F.lit(0)))
+    carry = ends.select(
         *keys, SEG,
         *[F.sum(f"__s_{n}").over(before).alias(f"__cs_{n}") for n in sums],
-        *[F.last(f"__l_{n}", ignorenulls=True).over(before).alias(f"__cl_{n}") for n in lasts],
-        *[F.lag(f"__g_{n}", 1).over(across).alias(f"__cg_{n}") for n in lags],
+        *[F.lag(f"__v_{n}", 1).over(across).alias(f"__cg_{n}") for n in lags],
+        *(["__base"] if marks else []),
+        *[F.max(F.col("__base") + F.col(f"__m_{n}")).over(before).alias(f"__cm_{n}") for n in marks],
     )
     joined = inner.join(carry, [*keys, SEG], "left")
     return joined.select(
         *df.columns,
         *[(F.coalesce(F.col(f"__s_{n}"), F.lit(0)) + F.coalesce(F.col(f"__cs_{n}"), F.lit(0))).alias(n) for n in sums],
-        *[F.coalesce(f"__l_{n}", f"__cl_{n}").alias(n) for n in lasts],
         *[F.coalesce(f"__g_{n}", f"__cg_{n}").getField("v").alias(n) for n in lags],
+        *([(F.col("__pos") + F.col("__base")).alias("pos")] if marks else []),
+        *[F.coalesce(F.col(f"__m_{n}") + F.col("__base"), F.col(f"__cm_{n}")).alias(n) for n in marks],
+    )
+
+
+def number_changes(
+    df: DataFrame, keys: list[str], order: list[str], segment: Column, value: Column,
+    starts: Callable[[Column, Column], Column], name: str, flag: str = "__new",
+) -> DataFrame:
+    """Number the groups of each key: `name` counts the rows up to here at which a group starts.
+
+    `starts(previous, current)` decides from the previous row (struct with field v, NULL at the start of a
+    key) and the current value. Whether a segment opens with a start is settled among the segment ends, so
+    lag and running count need one pass.
+    """
+    d = df.withColumn(SEG, segment).withColumn("__v", value)
+    local = Window.partitionBy(*keys, SEG).orderBy(*order)
+    run = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = d.select(
+        "*",
+        F.lag(F.struct(F.col("__v").alias("v")), 1).over(local).alias("__p"),
+        F.first(F.struct(F.col("__v").alias("v"))).over(run).alias("__first"),
+        F.lead(F.lit(1), 1).over(local).isNull().alias("__end"),
     )
+    inside = F.when(F.col("__p").isNull(), F.lit(False)).otherwise(starts(F.col("__p"), F.col("__v")))
+    inner = marked.withColumn("__f", inside.cast("bigint"))
+    inner = inner.withColumn("__n", F.sum("__f").over(run))
+    across = Window.partitionBy(*keys).orderBy(SEG) if keys else Window.orderBy(SEG)
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    ends = inner.filter("__end").select(
+        *keys, SEG, "__n", "__first", F.lag(F.struct(F.col("__v").alias("v")), 1).over(across).alias("__last")
+    )
+    ends = ends.withColumn("__open", starts(F.col("__last"), F.col("__first.v")).cast("bigint"))
+    carry = ends.select(
+        *keys, SEG, "__open", (F.coalesce(F.sum(F.col("__n") + F.col("__open")).over(before), F.lit(0)) + F.col("__open")).alias("__base")
+    )
+    joined = inner.join(carry, [*keys, SEG], "left")
+    new = F.when(F.col("__p").isNull(), F.col("__open")).otherwise(F.col("__f"))
+    return joined.select(*df.columns, (F.col("__n") + F.col("__base")).alias(name), (new == 1).alias(flag))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -111,11 +153,8 @@ def collapse_repeats(df: DataFrame, doc: str, body: str) -> DataFrame:
 def gap_paragraphs(df: DataFrame, keys: list[str], ts: str, tie: str, segment: Column, gap_s: float = fv.GAP_SECONDS) -> DataFrame:
     """Number the paragraphs of each key: a new one starts after a pause longer than the gap."""
     seconds = F.col(ts).cast("timestamp").cast("double")
-    lagged = ordered_scan(df.withColumn("__t", seconds), keys, [ts, tie], segment, lags={"__prev": F.col("__t")})
-    starts = F.when(F.col("__t") - F.col("__prev") > gap_s, 1).otherwise(0)
-    marked = lagged.withColumn("__new", starts)
-    out = ordered_scan(marked, keys, [ts, tie], segment, sums={"paragraph": F.col("__new")})
-    return out.withColumn("paragraph", F.col("paragraph").cast("bigint")).drop("__t", "__prev", "__new")
+    later = lambda previous, now: previous.isNotNull() & (now - previous["v"] > gap_s)
+    return number_changes(df, keys, [ts, tie], segment, seconds, later, "paragraph").drop("__new")
 
 
 def speaker_turns(df: DataFrame, doc: str, seq: str, speaker: str, body: str, width: int = 4096) -> DataFrame:
@@ -129,15 +168,10 @@ def speaker_turns(df: DataFrame, doc: str, seq: str, speaker: str, body: str, wi
         "__who", F.when((named != "") & (named != ">>"), named)
     )
     tidy = F.trim(F.regexp_replace(F.regexp_replace(text.sentence_case(F.trim(body)), r"\n+", " "), r"\s{2,}", " "))
-    seg = position_segment(seq, width)
-    lagged = ordered_scan(parts, [doc], [seq], seg, lags={"__prev": F.col("__who")})
-    new = ~F.col("__who").eqNullSafe(F.col("__prev"))
-    marked = lagged.withColumn("__new", new.cast("int"))
-    out = ordered_scan(marked, [doc], [seq], seg, sums={"turn_no": F.col("__new")})
-    header = F.when(F.col("__new") == 1, F.coalesce("__who", F.lit("[SPEAKER]")))
-    return out.select(
-        doc, seq, F.col("turn_no").cast("bigint").alias("turn_no"), header.alias("header"), tidy.alias("line")
-    )
+    changed = lambda previous, now: ~now.eqNullSafe(previous["v"])
+    out = number_changes(parts, [doc], [seq], position_segment(seq, width), F.col("__who"), changed, "turn_no")
+    header = F.when(F.col("__new"), F.coalesce("__who", F.lit("[SPEAKER]")))
+    return out.select(doc, seq, "turn_no", header.alias("header"), tidy.alias("line"))
 
 
 def failure_streak(df: DataFrame, keys: list[str], ts: str, tie: str, ok: Column, count: Column) -> DataFrame:
@@ -180,10 +214,8 @@ def stop_after_empty(
 ) -> DataFrame:
     """Cut each queue at the first row that is at least the n-th empty result in a row on a page without links."""
     d = df.withColumn("__hit", found).withColumn("__blank", links == 0)
-    pos = ordered_scan(d, keys, order, segment, sums={"pos": F.lit(1)})
-    run = ordered_scan(pos, keys, order, segment, lasts={"__hit_pos": F.when(F.col("__hit"), F.col("pos"))})
-    streak = F.col("pos") - F.coalesce("__hit_pos", F.lit(0))
-    flagged = run.withColumn("empty_streak", streak)
+    run = ordered_scan(d, keys, order, segment, marks={"__hit_pos": F.col("__hit")})
+    flagged = run.withColumn("empty_streak", F.col("pos") - F.coalesce("__hit_pos", F.lit(0)))
     stop = flagged.groupBy(*keys).agg(
         F.min(F.when((F.col("empty_streak") >= n) & F.col("__blank"), F.col("pos"))).alias("__stop")
     )

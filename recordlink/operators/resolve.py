@@ -98,7 +98,7 @@ def fuzzy_representatives(
     equals the lexicographically first maximal independent set of the similarity graph, found in rounds:
     a node none of whose earlier neighbours is left is a representative and absorbs its later neighbours.
     """
-    nodes = _title_nodes(df)
+    nodes = materialize(_title_nodes(df))
     edges = _day_edges(nodes, [0, 1, -1], same_thr, near_thr)
     # a earlier than b; offset is (date of b) - (date of a)
     edges = materialize(edges.filter(F.col("pa") < F.col("pb")).select("a", "b", "offset", "pa"))
@@ -136,7 +136,7 @@ def dedup_fuzzy(df: DataFrame, same_thr: float = fv.SAME_DAY_SIMILARITY, near_th
 
 def adjacent_day_pairs(df: DataFrame, thr: float = fv.ADJACENT_DAY_SIMILARITY) -> DataFrame:
     """(a, b, sim): title nodes of one key, a exactly one day before b, a video on a side."""
-    return _day_edges(_title_nodes(df), [1], thr, thr).select("a", "b", "sim")
+    return _day_edges(materialize(_title_nodes(df)), [1], thr, thr).select("a", "b", "sim")
 
 
 def cross_key_pairs(df: DataFrame, thr: float = fv.CROSS_KEY_SIMILARITY, strict: bool = True) -> DataFrame:
@@ -153,13 +153,14 @@ def cross_key_pairs(df: DataFrame, thr: float = fv.CROSS_KEY_SIMILARITY, strict:
         .groupBy("event_date", "grp", "tokens", "block_key")
         .agg(F.min("p").alias("p"), F.min_by("rec", "p").alias("node"))
     )
+    nodes = materialize(nodes)
     block = ["event_date", "grp"]
     hub = F.min_by(F.struct("node", "block_key"), "p")
     sets = nodes.groupBy(*block, "tokens").agg(hub.alias("h1"))
     others = nodes.join(sets, [*block, "tokens"]).filter(F.col("block_key") != F.col("h1.block_key"))
     second = others.groupBy(*block, "tokens").agg(hub.alias("h2"))
     star = others.select(F.least("node", F.col("h1.node")).alias("a"), F.greatest("node", F.col("h1.node")).alias("b"), F.lit(1.0).alias("sim"))
-    full = sets.join(second, [*block, "tokens"], "left")
+    full = materialize(sets.join(second, [*block, "tokens"], "left"))
     left = full.select(*block, "tokens", F.col("h1").alias("a1"), F.col("h2").alias("a2"))
     right = full.select(*block, "tokens", F.col("h1").alias("b1"), F.col("h2").alias("b2"))
     links = similar_pairs(

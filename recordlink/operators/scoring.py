@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlink.functions import text
+from recordlink.functions.bind import let
 
 Scorer = Callable[[Column], Column]
 
@@ -18,8 +19,9 @@ def keyword_scorer(weights: dict[str, tuple[str, float]]) -> Scorer:
     themes = sorted({theme for theme, _ in weights.values()})
 
     def score(body: Column) -> Column:
-        words = F.array_distinct(text.clean_words(body))
+        return let(F.array_distinct(text.clean_words(body)), score_words)
 
+    def score_words(words: Column) -> Column:
         def weight(theme: str | None) -> Column:
             parts = [
                 F.when(F.array_contains(words, w), F.lit(Decimal(str(x))).cast("decimal(9,4)")).otherwise(F.lit(0).cast("decimal(9,4)"))

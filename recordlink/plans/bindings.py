@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlink.plans.registry import table
+from recordlink.plans.registry import table, wide_table
 
 
 def base_records(spark: SparkSession, sf: str) -> DataFrame:
     """One dated, titled record per order: key from the customer's nation, title from a part."""
-    orders, customer, part = (table(spark, sf, n) for n in ("orders", "customer", "part"))
+    customer, part = (table(spark, sf, n) for n in ("customer", "part"))
+    orders = wide_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(part, orders.o_custkey == part.p_partkey)
     return joined.select(
         "o_orderkey",

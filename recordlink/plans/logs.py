@@ -8,7 +8,7 @@ from recordlink import fixed_values as fv
 from recordlink.functions.cost import estimate_tokens, price_table, token_cost
 from recordlink.operators import captions, chunks, folds, ordered, report
 from recordlink.plans import sqltext as s
-from recordlink.plans.registry import query, table
+from recordlink.plans.registry import query, table, wide_table
 
 # ---------------------------------------------------------------- ordered scans
 
@@ -31,7 +31,7 @@ _CLEAN_LINES = """list_filter(list_transform(list_filter(string_split_regex(t, '
 )
 def q_collapse_repeats(spark, sf):
     body = F.concat(F.lit("WEBVTT\n00:01 --> 00:02\n"), F.replace(F.col("text"), F.lit(". "), F.lit(".\n<c>")))
-    docs = table(spark, sf, "documents").select("doc_id", body.alias("body"))
+    docs = wide_table(spark, sf, "documents", "doc_id", "text").select("doc_id", body.alias("body"))
     return ordered.collapse_repeats(docs, "doc_id", "body").select("doc_id", F.array_join("lines", "\n").alias("plain"))
 
 
@@ -275,7 +275,7 @@ def q_parse_cues(spark, sf):
         F.lit("\n\nNOTE skipped\n"), stamp(m + 2500), F.lit(" --> "), stamp(m + 4000), F.lit(" line:0\nvalue "), user, F.lit("\n"),
         stamp(m + 4000), F.lit(" --> "), stamp(m + 5000), F.lit("\n\n"),
     )
-    files = table(spark, sf, "events").select("event_id", body.alias("body"))
+    files = wide_table(spark, sf, "events", "event_id", "event_type", "user_id").select("event_id", body.alias("body"))
     out = captions.parse_cues(files, ["event_id"], "body")
     return out.withColumn("start_s", F.round("start_s", 3)).withColumn("end_s", F.round("end_s", 3))
 
@@ -296,7 +296,7 @@ _DIFF = f"""diff AS (SELECT doc_id, seq, start_s, end_s, f AS new_text FROM (SEL
 def document_cues(spark, sf):
     from recordlink.functions.text import words
 
-    docs = table(spark, sf, "documents").select("doc_id", words(F.col("text")).alias("w"))
+    docs = wide_table(spark, sf, "documents", "doc_id", "text").select("doc_id", words(F.col("text")).alias("w"))
     count = F.floor((F.size("w") + 2) / 3).cast("int")
     i = F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>")))
     return docs.select("doc_id", "w", i.alias("seq")).select(
@@ -343,7 +343,7 @@ CHUNKS = _CHUNKS.replace("{size}", "300").replace("{overlap}", "60")
 
 @query("chunk_paragraphs", f"WITH RECURSIVE {CHUNKS} SELECT doc_id, chunk_no, chunk FROM chunks")
 def q_chunk_paragraphs(spark, sf):
-    return chunks.chunk_paragraphs(table(spark, sf, "documents"), ["doc_id"], "text", 300, 60, "\n")
+    return chunks.chunk_paragraphs(wide_table(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", 300, 60, "\n")
 
 
 @query(
@@ -356,7 +356,7 @@ def q_chunk_paragraphs(spark, sf):
 )
 def q_chunk_requests(spark, sf):
     en = F.col("lang") == "en"
-    docs = table(spark, sf, "documents").select(
+    docs = wide_table(spark, sf, "documents", "doc_id", "lang", "source", "text").select(
         "doc_id", "text", F.when(~en, F.concat("lang", F.lit(" text"))).otherwise("").alias("title"), F.when(~en, F.col("source")).alias("grp")
     )
     return chunks.chunk_requests(docs, "doc_id", "text", "title", "grp", 300, 60, "\n")
@@ -370,7 +370,7 @@ def q_chunk_requests(spark, sf):
     FROM chunks GROUP BY 1""",
 )
 def q_chunk_rollup(spark, sf):
-    parts = chunks.chunk_paragraphs(table(spark, sf, "documents"), ["doc_id"], "text", 300, 60, "\n").select(
+    parts = chunks.chunk_paragraphs(wide_table(spark, sf, "documents", "doc_id", "text"), ["doc_id"], "text", 300, 60, "\n").select(
         "doc_id", "chunk_no", F.upper(F.replace("chunk", F.lit("ß"), F.lit("ss"))).alias("cleaned"),
         estimate_tokens(F.col("chunk")).alias("tin"), F.floor(F.length("chunk") / 8).cast("bigint").alias("tout"),
     )

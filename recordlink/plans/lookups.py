@@ -8,7 +8,7 @@ from recordlink import fixed_values as fv
 from recordlink.functions import text
 from recordlink.operators import filters, lookup
 from recordlink.plans import sqltext as s
-from recordlink.plans.registry import query, table
+from recordlink.plans.registry import query, table, wide_table
 
 # ---------------------------------------------------------------- filters
 
@@ -153,7 +153,7 @@ def q_code_lookup(spark, sf):
     code = F.concat(
         F.lpad(F.col("l_partkey").cast("string"), 4, "0"), F.when(F.col("l_linenumber") > 3, "07").otherwise("00")
     )
-    items = table(spark, sf, "lineitem").select(
+    items = wide_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").select(
         F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("item"),
         F.array(F.concat(F.lit("zz"), F.col("l_suppkey").cast("string")), code).alias("codes"),
     )

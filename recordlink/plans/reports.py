@@ -10,7 +10,7 @@ from recordlink.operators import rank, report, scoring
 from recordlink.operators.ordered import failure_streak
 from recordlink.plans import sqltext as s
 from recordlink.plans.bindings import base_records, records
-from recordlink.plans.registry import query, table
+from recordlink.plans.registry import query, table, wide_table
 
 FLAGS = {
     "video": "o_orderstatus = 'O'", "web": "o_orderpriority <> '5-LOW'", "feed": "o_orderstatus = 'F'",
@@ -173,7 +173,7 @@ _SCORED = f"""scored AS (SELECT doc_id, lang, source, quality, CAST(least(({_wei
 
 
 def scored(spark, sf):
-    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    docs = wide_table(spark, sf, "documents", "doc_id", "lang", "source", "text").join(table(spark, sf, "labels"), "doc_id")
     return scoring.score_with(docs, "text", scoring.keyword_scorer(WEIGHTS)).select("doc_id", "lang", "source", "quality", "score", "themes")
 
 

@@ -8,7 +8,7 @@ from recordlink import fixed_values as fv
 from recordlink.functions import cost, dates, keys, text, urls
 from recordlink.plans import sqltext as s
 from recordlink.plans.bindings import base_records
-from recordlink.plans.registry import query, table
+from recordlink.plans.registry import query, table, wide_table
 
 DECORATED_SQL = """
   CASE p_size % 7 WHEN 0 THEN 'HEARING NOTICE: ' || p_name WHEN 1 THEN 'Full Committee Hearing: ' || p_name
@@ -26,7 +26,7 @@ def decorated_title():
     UNION ALL SELECT 'p' || p_partkey, {s.norm_title('(' + DECORATED_SQL + ')')} FROM part""",
 )
 def q_normalize_title(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = wide_table(spark, sf, "documents", "doc_id", "text").select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("id"), text.normalize_title(F.col("text")).alias("norm_title")
     )
     parts = table(spark, sf, "part").select(
@@ -148,11 +148,11 @@ def q_keyword_overlap(spark, sf):
 def q_search_keywords(spark, sf):
     name = F.when(F.col("lang") == "en", "").otherwise(F.col("source"))
     query_text = text.search_query(
-        F.col("text"), name, dates.as_date("2024-05-01"), "site.example.org", "site.example.org/program"
-    )
-    return table(spark, sf, "documents").select(
-        "doc_id", text.search_keywords(F.col("text")).alias("keywords"), query_text.alias("search_query")
+        F.col("keywords"), name, dates.as_date("2024-05-01"), "site.example.org", "site.example.org/program"
     )
+    docs = wide_table(spark, sf, "documents", "doc_id", "lang", "source", "text")
+    found = docs.select("doc_id", "lang", "source", text.search_keywords(F.col("text")).alias("keywords"))
+    return found.select("doc_id", "keywords", query_text.alias("search_query"))
 
 
 @query(
@@ -274,7 +274,7 @@ _WORD = """CASE WHEN list_contains({keep}, regexp_replace(upper(w), '[.,;:!?''"]
 )
 def q_sentence_case(spark, sf):
     shouted = F.when(F.col("lang").isin("en", "fr"), F.concat(F.upper("text"), F.lit(" THE GDP OF THE U.S. ROSE."))).otherwise(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", text.sentence_case(shouted).alias("recased"))
+    return wide_table(spark, sf, "documents", "doc_id", "lang", "text").select("doc_id", text.sentence_case(shouted).alias("recased"))
 
 
 _PRICES_SQL = "(VALUES " + ", ".join(f"({s.q(m)}, {i}, {o})" for m, i, o in fv.MODEL_PRICES) + ") AS p(model, pin, pout)"

@@ -8,7 +8,7 @@ from recordlink import fixed_values as fv
 from recordlink.operators.rank import failing_list
 from recordlink.plans import sqltext as s
 from recordlink.plans.bindings import base_records
-from recordlink.plans.registry import query, table
+from recordlink.plans.registry import query, table, wide_table
 from recordlink.plans.reports import _STREAK, streaks
 from recordlink.session import scratch_path
 from recordlink.sources import layouts, listings, pages, sinks
@@ -85,7 +85,7 @@ _ORIGIN = "regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)"
     SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY raw) - 1 AS pos, href, abs_url, text FROM d""",
 )
 def q_page_links(spark, sf):
-    return pages.page_links(table(spark, sf, "pages"), "page_id", "html", "url")
+    return pages.page_links(wide_table(spark, sf, "pages", "page_id", "url", "html"), "page_id", "html", "url")
 
 
 # Pages of every layout, written from orders; the order columns are the expected listing.
@@ -96,7 +96,7 @@ _OLD = "o_orderpriority = '5-LOW'"
 
 def listing_pages(spark, sf):
     """One page per order in one of the registered layouts: a current record, an outdated one, navigation."""
-    orders = table(spark, sf, "orders")
+    orders = wide_table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
     day = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("o_orderkey") % 300).cast("int"))
     names = [x.layout for x in layouts.LAYOUTS]
     layout = F.get(F.array(*[F.lit(n) for n in names]), (F.col("o_orderkey") % len(names)).cast("int"))
@@ -199,7 +199,7 @@ def q_page_documents(spark, sf):
         layout = F.when(F.col("page_id") % 6 == i, name).otherwise(layout)
     frame = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('<iframe src="https://www.youtube.com/embed/vid_'), F.lpad(pid, 7, "0"), F.lit('"></iframe>'))).otherwise("")
     full = F.concat("html", block, frame)
-    docs = table(spark, sf, "pages").select("page_id", "url", full.alias("html"), layout.alias("layout"))
+    docs = wide_table(spark, sf, "pages", "page_id", "url", "html").select("page_id", "url", full.alias("html"), layout.alias("layout"))
     out = pages.page_documents(docs, "page_id", "html", "url", "layout")
     return out.select("page_id", F.array_join("pdf_urls", "|").alias("pdf_urls"), F.size("pdf_urls").cast("bigint").alias("n_docs"), "embed_id")
 

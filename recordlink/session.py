@@ -54,6 +54,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that is split into fewer pieces than there are cores.
+
+    A large table has many splits and passes through unchanged; one small file with a single row group
+    would otherwise run its expressions on one core.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def salt_count(spark: SparkSession) -> int:
     """How many ways a frequent join value is split: follows the shuffle width, at most 16."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

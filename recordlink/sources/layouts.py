@@ -226,6 +226,8 @@ def page_listing(
     """
     specs = layout_table(pages.sparkSession, fallback)
     joined = pages.select(page, F.col(html).alias("__h"), F.col(url).alias("__u"), F.col(layout).alias("layout")).join(specs, "layout")
+    # Neighbouring pages of one layout share compiled patterns.
+    joined = joined.sortWithinPartitions("layout")
     item = "array<struct<title: string, event_date: date, url: string, program: string>>"
 
     def recent(items: Column) -> Column:

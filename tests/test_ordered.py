@@ -13,12 +13,21 @@ def test_segmented_scan_equals_plain_window(spark):
     df = spark.createDataFrame(rows, "k string, pos bigint, v bigint")
     w = Window.partitionBy("k").orderBy("pos")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    want = df.select("k", "pos", F.coalesce(F.sum("v").over(run), F.lit(0)).alias("s"), F.last("v", ignorenulls=True).over(run).alias("l"), F.lag("v").over(w).alias("g"))
+    df = df.withColumnRenamed("pos", "at")
+    w = Window.partitionBy("k").orderBy("at")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = df.withColumn("n", F.row_number().over(w))
+    hit = F.max(F.when(F.col("v") == 2, F.col("n"))).over(run)
+    flagged = numbered.withColumn("f", (~F.col("v").eqNullSafe(F.lag("v").over(w))).cast("int"))
+    want = flagged.select(
+        "k", "at", F.coalesce(F.sum("v").over(run), F.lit(0)).alias("s"), F.lag("v").over(w).alias("g"), F.col("n").alias("pos"), hit.alias("m"), F.sum("f").over(run).alias("c")
+    )
     want = sorted(map(tuple, want.collect()), key=str)
     for width in (1, 7, 64, 100000):
-        out = ordered.ordered_scan(
-            df, ["k"], ["pos"], ordered.position_segment("pos", width), {"s": F.col("v")}, {"l": F.col("v")}, {"g": F.col("v")}
-        ).select("k", "pos", "s", "l", "g")
+        seg = ordered.position_segment("at", width)
+        out = ordered.ordered_scan(df, ["k"], ["at"], seg, {"s": F.col("v")}, {"g": F.col("v")}, {"m": F.col("v") == 2})
+        out = ordered.number_changes(out, ["k"], ["at"], seg, F.col("v"), lambda p, c: ~c.eqNullSafe(p["v"]), "c")
+        out = out.select("k", "at", "s", "g", "pos", "m", "c")
         assert sorted(map(tuple, out.collect()), key=str) == want, width
 
 

@@ -64,7 +64,7 @@ def test_small_text_functions(one, many):
     assert one(text.strip_markup(X), x=" <c>Hello</c>   <b>you</b> ") == "Hello you"
     value, label = text.coalesce_priority([("a", F.col("a")), ("b", F.col("b"))])
     assert one(F.concat_ws("/", value, label), a=" ", b="v") == "v/b"
-    q = text.search_query(F.col("t"), F.col("g"), F.col("d").cast("date"), "s.org", "s.org/p")
+    q = text.search_query(text.search_keywords(F.col("t")), F.col("g"), F.col("d").cast("date"), "s.org", "s.org/p")
     assert one(q, t="Farm Bill", g="House Agriculture", d="2026-01-02") == "s.org House Agriculture farm bill 2026"
     assert one(q, t="the of", g="", d="2026-01-02") is None
 
