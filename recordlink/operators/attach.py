@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
 from recordlink.functions import text
-from recordlink.operators.similarity import overlap_counts, similar_pairs
+from recordlink.operators.similarity import best_overlap, similar_pairs
 from recordlink.session import materialize
 
 
@@ -96,14 +96,10 @@ def attach_two_tier(
     def choose(block: list[str], wanted: DataFrame) -> DataFrame:
         """Best record per wanted video inside a block."""
         first = recs.groupBy(*block).agg(F.min("__rec").alias("__first"))
-        rec_sets = recs.groupBy(*block, "words").agg(F.min("__rec").alias("__rec"))
-        vid_sets = wanted.select(*block, "words").distinct().withColumn("__words", F.col("words"))
-        shared = overlap_counts(vid_sets, rec_sets, block, "__words", "__rec")
-        best = shared.groupBy(*block, "__words").agg(
-            F.max_by("__rec", F.struct("shared", -F.col("__rec"))).alias("__best")
-        ).withColumnRenamed("__words", "words")
+        rec_sets = materialize(recs.groupBy(*block, "words").agg(F.min("__rec").alias("__rec")))
+        best = best_overlap(wanted.select(*block, "words").distinct(), rec_sets, block, "words", "__rec")
         found = wanted.join(first, block).join(best, [*block, "words"], "left")
-        return found.select("video", F.coalesce("__best", "__first").alias("record"))
+        return found.select("video", F.coalesce("best", "__first").alias("record"))
 
     near = choose([key, date], vids)
     rest = vids.join(recs.select(key, date).distinct(), [key, date], "left_anti")

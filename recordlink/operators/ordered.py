@@ -174,30 +174,43 @@ def speaker_turns(df: DataFrame, doc: str, seq: str, speaker: str, body: str, wi
     return out.select(doc, seq, "turn_no", header.alias("header"), tidy.alias("line"))
 
 
-def failure_streak(df: DataFrame, keys: list[str], ts: str, tie: str, ok: Column, count: Column) -> DataFrame:
+def failure_streak(
+    df: DataFrame, keys: list[str], ts: str, tie: str, ok: Column, count: Column, width: str = "1 hour"
+) -> DataFrame:
     """Per key: consecutive failures since the last success, last success, last failure, last good count.
 
-    Two aggregates with map-side combine. The join only adds the last success of a key to its rows.
+    Rows are reduced per (key, time slice) first. Slices after the one with the last success count whole;
+    only the failures inside that slice are compared row by row, so a hot key is never in one place.
     """
-    events = df.select(*keys, F.col(ts).alias("__ts"), F.col(tie).alias("__tie"), ok.alias("__ok"), count.alias("__n"))
+    events = df.select(
+        *keys, time_segment(ts, width).alias(SEG), F.col(ts).alias("__ts"), F.col(tie).alias("__tie"), ok.alias("__ok"), count.alias("__n")
+    )
     position = F.struct("__ts", "__tie")
-    success = F.when(F.col("__ok"), position)
-    state = events.groupBy(*keys).agg(
-        F.max(success).alias("__last"),
-        F.max(F.when(~F.col("__ok"), F.col("__ts"))).alias("last_failure"),
-        F.max_by("__n", success).alias("last_count"),
+    slices = events.groupBy(*keys, SEG).agg(
+        F.max(F.when(F.col("__ok"), F.struct("__ts", "__tie", F.col("__n").alias("n")))).alias("__last"),
+        F.max(F.when(~F.col("__ok"), F.col("__ts"))).alias("__bad"),
+        F.count_if(~F.col("__ok")).alias("__fails"),
+    )
+    state = slices.groupBy(*keys).agg(
+        F.max("__last").alias("__last"), F.max("__bad").alias("last_failure"), F.max(F.when(F.col("__last").isNotNull(), F.col(SEG))).alias("__seg_ok")
+    )
+    whole = (
+        slices.join(state.select(*keys, "__seg_ok"), keys)
+        .filter(F.col("__seg_ok").isNull() | (F.col(SEG) > F.col("__seg_ok")))
+        .select(*keys, F.col("__fails").alias("__c"))
     )
-    failures = events.filter(~F.col("__ok")).select(*keys, position.alias("__pos"))
-    after = failures.join(state.select(*keys, "__last"), keys).filter(
-        F.col("__last").isNull() | (F.col("__pos") > F.col("__last"))
+    edge = state.filter("__seg_ok IS NOT NULL").select(*keys, F.col("__seg_ok").alias(SEG), "__last.__ts", "__last.__tie")
+    edge = edge.select(*keys, SEG, position.alias("__after"))
+    inside = (
+        events.filter(~F.col("__ok")).join(edge, [*keys, SEG]).filter(position > F.col("__after")).groupBy(*keys).agg(F.count("*").alias("__c"))
     )
-    streaks = after.groupBy(*keys).agg(F.count("*").alias("streak"))
+    streaks = whole.unionByName(inside).groupBy(*keys).agg(F.sum("__c").alias("streak"))
     return state.join(streaks, keys, "left").select(
         *keys,
         F.coalesce("streak", F.lit(0)).cast("bigint").alias("streak"),
         F.col("__last.__ts").alias("last_success"),
         "last_failure",
-        "last_count",
+        F.col("__last.n").alias("last_count"),
     )
 
 

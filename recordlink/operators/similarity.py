@@ -78,8 +78,37 @@ def similar_pairs(
     return scored.filter(enough).select(*block, *keep_left, *keep_right, "sim")
 
 
-def overlap_counts(left: DataFrame, right: DataFrame, block: list[str], left_id: str, right_id: str, words: str = "words") -> DataFrame:
-    """(left, right, shared) for pairs of a block that share at least one word, through an inverted index."""
-    a = left.select(*block, left_id, F.explode(words).alias("__w"))
-    b = right.select(*block, right_id, F.explode(words).alias("__w"))
-    return a.join(b, [*block, "__w"]).groupBy(*block, left_id, right_id).agg(F.count("*").alias("shared"))
+def best_overlap(left: DataFrame, right: DataFrame, block: list[str], words: str, order: str) -> DataFrame:
+    """(block, words, best): for each left word set the right row sharing most words with it, first in `order` on a tie.
+
+    Both sides have block columns and `words` (sorted, no repeats); `order` is a unique number of the right rows.
+    Step one looks only through the rarest word of a left set. It gives a lower bound b, and a row that
+    shares at least b of n words shares one of the n - b + 1 rarest, so step two joins just those. Common
+    words are joined only where nothing better exists, split by a salt.
+    """
+    spark = left.sparkSession
+    salts = salt_count(spark)
+    common = frequent_tokens(right, words)
+    lo = left.select(*block, F.col(words).alias("__a")).filter(F.size("__a") > 0).withColumn("__order", common)
+    ranked = F.array_sort(
+        F.transform("__a", lambda x: F.struct(F.coalesce(F.array_position(F.col("__order"), x), F.lit(0)).alias("r"), x.alias("w")))
+    )
+    lo = lo.select(*block, "__a", ranked.alias("__x"))
+    ro = right.select(*block, F.col(words).alias("__b"), F.col(order).alias("__o")).withColumn("__order", common)
+    ro = ro.select(*block, "__b", "__o", "__order", F.explode("__b").alias("__w"))
+    frequent = F.array_contains("__order", F.col("__w"))
+    ro = ro.withColumn("__salt", F.explode(F.when(frequent, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("__order")
+
+    def look(side: DataFrame, count: Column) -> DataFrame:
+        tokens = side.select(*block, "__a", F.explode(F.slice("__x", F.lit(1), count)).alias("__t"))
+        salt = F.when(F.col("__t.r") > 0, F.pmod(F.xxhash64("__a"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+        tokens = tokens.select(*block, "__a", F.col("__t.w").alias("__w"), salt.alias("__salt"))
+        shared = F.size(F.array_intersect("__a", "__b"))
+        hits = tokens.join(ro, [*block, "__w", "__salt"]).select(*block, "__a", F.struct(shared.alias("n"), (-F.col("__o")).alias("o")).alias("__h"))
+        return hits.groupBy(*block, "__a").agg(F.max("__h").alias("__h"))
+
+    bound = look(lo, F.lit(1)).select(*block, "__a", F.col("__h.n").alias("__b0"))
+    wider = lo.join(bound, [*block, "__a"], "left")
+    n = F.size("__x")
+    best = look(wider, F.least(n, F.greatest(n - F.coalesce("__b0", F.lit(1)) + 1, F.lit(1))))
+    return best.select(*block, F.col("__a").alias(words), (-F.col("__h.o")).alias("best"))

@@ -167,6 +167,47 @@ def q_unknown_layouts(spark, sf):
     return layouts.unknown_layouts(table(spark, sf, "pages").select("page_id", layout.alias("layout")), "layout")
 
 
+@query(
+    "layout_registry",
+    f"""SELECT l AS layout, count(*) AS pages, count(*) FILTER (o_orderpriority <> '5-LOW' OR l IN ('new_senate_cms', 'evo_framework', 'search_results', 'generic_links')) AS listed FROM (
+      SELECT o_orderpriority, {_NAMES}[o_orderkey % 15 + 1] AS l FROM orders) GROUP BY 1""",
+)
+def q_layout_registry(spark, sf):
+    """Pages per registered layout and how many of them the layout itself, without the fallback, can read."""
+    given = listing_pages(spark, sf)
+    read = layouts.page_listing(given, "o_orderkey", "html", "url", "layout", "2025-01-01", "2025-12-01", fallback=False)
+    hits = read.select("o_orderkey").distinct().withColumn("hit", F.lit(1))
+    return given.select("o_orderkey", "layout").join(hits, "o_orderkey", "left").groupBy("layout").agg(
+        F.count("*").alias("pages"), F.count("hit").alias("listed")
+    )
+
+
+_RULE_LINKS = {
+    # link: rules (by layout) that take it
+    '<li><a href="/t{}.pdf">Agenda</a></li>': ("drupal_table", "wordpress_blog", "coldfusion_table"),
+    '<li><a href="/files/t{}.pdf">Agenda</a></li>': ("drupal_table", "wordpress_blog", "coldfusion_table", "aspnet_card", "evo_framework"),
+    '<li><a href="/w{}.doc">Witness list</a></li>': ("drupal_table", "wordpress_blog"),
+    '<li><a href="/get?file_id={}">Statement</a></li>': ("coldfusion_table",),
+    '<li><a href="https://docs.house.gov/m/{}">Testimony</a></li>': ("evo_framework",),
+    '<li><a href="/video/{}.pdf">Testimony</a></li>': (),
+}
+_RULES = ["drupal_table", "wordpress_blog", "coldfusion_table", "aspnet_card", "evo_framework"]
+
+
+@query(
+    "link_rule_registry",
+    f"""SELECT page_id, layout, CAST(CASE layout {' '.join(f"WHEN '{r}' THEN {sum(r in rules for rules in _RULE_LINKS.values())}" for r in _RULES)} END AS BIGINT) AS accepted
+    FROM (SELECT page_id, unnest({s.sql_list(_RULES)}) AS layout FROM pages)""",
+)
+def q_link_rule_registry(spark, sf):
+    """Every rule of the registry over the links of every page."""
+    extra = F.concat(F.lit("<ul>"), *[_fill(x, False) for x in _RULE_LINKS], F.lit("</ul>"))
+    given = table(spark, sf, "pages").select("page_id", pages.links(F.concat("html", extra), F.col("url")).alias("ls"))
+    every = given.select("page_id", "ls", F.explode(F.array(*[F.lit(r) for r in _RULES])).alias("layout"))
+    taken = F.filter("ls", lambda x: pages.link_accept(F.col("layout"), x))
+    return every.select("page_id", "layout", F.size(taken).cast("bigint").alias("accepted"))
+
+
 _DOC_BLOCK = {
     0: ("drupal_table", '<div class="files"><a href="/download/t{}">Testimony of A</a> <p><a href="/news/{}.html">News</a></p> <a href="/b{}.pdf">Press Release</a></div>', "/download/t{}"),
     1: ("wordpress_blog", '<div class="entry-content"><p><a href="/wp-content/uploads/2026/02/s{}.pdf">Agenda</a></p><p><a href="/video/{}.pdf">Video</a></p></div>', "/wp-content/uploads/2026/02/s{}.pdf"),
