@@ -31,9 +31,7 @@ def best_similar(
     rec_sets = materialize(_title_sets(records, block, title, ord_col, "__rec"))
     vid = videos.select(*block, text.token_set(F.col(video_title)).alias("tokens"), F.col(video_ord).alias("video"))
     vid_sets = vid.select(*block, "tokens").distinct()
-    pairs = similar_pairs(
-        vid_sets.withColumn("__words", F.col("tokens")), rec_sets, block, threshold, ["__words"], ["__rec"]
-    )
+    pairs = similar_pairs(vid_sets, rec_sets, block, threshold, [], ["__rec"], left_tokens="__words")
     best = pairs.groupBy(*block, "__words").agg(
         F.max_by(F.struct(F.col("__rec").alias("record"), "sim"), F.struct("sim", -F.col("__rec"))).alias("__b")
     )
@@ -134,8 +132,8 @@ def reconcile_ids(
     )
     stored_sets = materialize(stored_sets.join(second, [key, date, "tokens"], "left"))
     new_rows = sides[0].withColumnRenamed("__id", "new_id")
-    new_sets = new_rows.select(key, date, "tokens").distinct().withColumn("__words", F.col("tokens"))
-    pairs = similar_pairs(new_sets, stored_sets, [key, date], threshold, ["__words"], ["__o1", "__o2"])
+    new_sets = new_rows.select(key, date, "tokens").distinct()
+    pairs = similar_pairs(new_sets, stored_sets, [key, date], threshold, [], ["__o1", "__o2"], left_tokens="__words")
     hits = new_rows.withColumnRenamed("tokens", "__words").join(pairs, [key, date, "__words"])
     old = F.when(F.col("__o1") != F.col("new_id"), F.col("__o1")).otherwise(F.col("__o2"))
     title_hits = (

@@ -70,23 +70,24 @@ def _title_nodes(df: DataFrame) -> DataFrame:
 
 
 def _day_edges(nodes: DataFrame, offsets: list[int], same_thr: float, near_thr: float) -> DataFrame:
-    """Similar title nodes of the same key whose dates are equal or one day apart: (a, b, offset, sim).
+    """Similar title nodes x, y of one key, y on the day of x (offset 0, x first in priority) or on the next day (1).
 
-    The date band becomes an equi-join: the left side is copied to the neighbouring days.
+    The date band becomes an equi-join: the left side is copied to the next day.
     """
     left = nodes.select(
-        "block_key", "tokens", F.col("node").alias("a"), F.col("prio").alias("pa"), F.col("video").alias("va"),
+        "block_key", "tokens", F.col("node").alias("x"), F.col("prio").alias("px"), F.col("video").alias("vx"),
         F.explode(F.array(*[F.lit(o) for o in offsets])).alias("offset"), F.col("event_date").alias("__d"),
     ).withColumn("event_date", F.date_add("__d", F.col("offset"))).drop("__d")
     right = nodes.select(
-        "block_key", "event_date", "tokens", F.col("node").alias("b"), F.col("prio").alias("pb"), F.col("video").alias("vb")
+        "block_key", "event_date", "tokens", F.col("node").alias("y"), F.col("prio").alias("py"), F.col("video").alias("vy")
     )
+    wanted = F.when(F.col("offset") == 0, F.col("px") < F.col("py")).otherwise(F.col("vx") | F.col("vy"))
     pairs = similar_pairs(
         left, right, ["block_key", "event_date"], min(same_thr, near_thr) if 0 in offsets else near_thr,
-        ["a", "pa", "va", "offset"], ["b", "pb", "vb"], residual=(F.col("a") != F.col("b")) & ((F.col("offset") == 0) | F.col("va") | F.col("vb")),
+        ["x", "px", "vx", "offset"], ["y", "py", "vy"], residual=wanted,
     )
     need = F.when(F.col("offset") == 0, F.lit(same_thr)).otherwise(F.lit(near_thr))
-    return pairs.filter(F.col("sim") >= need - 1e-12)
+    return pairs.filter(F.col("sim") >= need - 1e-12).select("x", "px", "y", "py", "offset", "sim")
 
 
 def fuzzy_representatives(
@@ -99,9 +100,11 @@ def fuzzy_representatives(
     a node none of whose earlier neighbours is left is a representative and absorbs its later neighbours.
     """
     nodes = materialize(_title_nodes(df))
-    edges = _day_edges(nodes, [0, 1, -1], same_thr, near_thr)
-    # a earlier than b; offset is (date of b) - (date of a)
-    edges = materialize(edges.filter(F.col("pa") < F.col("pb")).select("a", "b", "offset", "pa"))
+    found = _day_edges(nodes, [0, 1], same_thr, near_thr)
+    # a is earlier in priority than b; offset is (date of b) - (date of a)
+    forward = F.struct(F.col("x").alias("a"), F.col("y").alias("b"), F.col("offset"), F.col("px").alias("pa"))
+    backward = F.struct(F.col("y").alias("a"), F.col("x").alias("b"), (-F.col("offset")).alias("offset"), F.col("py").alias("pa"))
+    edges = materialize(found.select(F.when(F.col("px") < F.col("py"), forward).otherwise(backward).alias("e")).select("e.*"))
     absorbed: list[DataFrame] = []
     left = edges.select("a", "b")
     while not left.isEmpty():
@@ -136,7 +139,7 @@ def dedup_fuzzy(df: DataFrame, same_thr: float = fv.SAME_DAY_SIMILARITY, near_th
 
 def adjacent_day_pairs(df: DataFrame, thr: float = fv.ADJACENT_DAY_SIMILARITY) -> DataFrame:
     """(a, b, sim): title nodes of one key, a exactly one day before b, a video on a side."""
-    return _day_edges(materialize(_title_nodes(df)), [1], thr, thr).select("a", "b", "sim")
+    return _day_edges(materialize(_title_nodes(df)), [1], thr, thr).select(F.col("x").alias("a"), F.col("y").alias("b"), "sim")
 
 
 def cross_key_pairs(df: DataFrame, thr: float = fv.CROSS_KEY_SIMILARITY, strict: bool = True) -> DataFrame:

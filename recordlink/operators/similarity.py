@@ -25,17 +25,22 @@ def frequent_tokens(nodes: DataFrame, tokens: str = "tokens", n: int = FREQUENT)
     return listed.select(F.transform("l", lambda x: x["tok"])).scalar()
 
 
-def _prefix_rows(side: DataFrame, threshold: float, tokens: str, order: str, tag: str) -> DataFrame:
-    """One row per prefix token of each set, with its rank (0 = not frequent)."""
+def _prefix_length(tokens: Column, threshold: float) -> Column:
     n = F.size(tokens)
+    return F.greatest((n - F.ceil(n * threshold - 1e-9) + 1).cast("int"), F.lit(1))
+
+
+def _prefix_rows(side: DataFrame, threshold: float, tokens: str, common: Column) -> DataFrame:
+    """One row per prefix token of each set, with its rank (0 = not frequent); `tokens` becomes rare-first."""
+    staged = side.filter(F.size(tokens) > 0).withColumn("__order", common)
     ranked = F.array_sort(
-        F.transform(tokens, lambda x: F.struct(F.coalesce(F.array_position(F.col(order), x), F.lit(0)).alias("r"), x.alias("tok")))
+        F.transform(tokens, lambda x: F.struct(F.coalesce(F.array_position(F.col("__order"), x), F.lit(0)).alias("r"), x.alias("tok")))
     )
-    length = (n - F.ceil(n * threshold - 1e-9) + 1).cast("int")
-    staged = side.filter(n > 0).withColumn(f"__p{tag}", F.slice(ranked, 1, F.greatest(length, F.lit(1))))
-    return staged.select("*", F.explode(f"__p{tag}").alias("__x")).select(
-        "*", F.col("__x.tok").alias("__tok"), F.col("__x.r").alias("__rank")
-    ).drop("__x", order)
+    staged = staged.withColumn("__k", ranked).drop("__order", tokens)
+    rest = [c for c in side.columns if c != tokens]
+    prefix = F.slice("__k", F.lit(1), _prefix_length(F.col("__k"), threshold))
+    named = staged.select(*rest, F.transform("__k", lambda x: x["tok"]).alias(tokens), prefix.alias("__k"))
+    return named.select(*rest, tokens, F.inline("__k").alias("__rank", "__tok"))
 
 
 def similar_pairs(
@@ -47,35 +52,33 @@ def similar_pairs(
     keep_right: list[str],
     residual: Column | None = None,
     strict: bool = False,
+    left_tokens: str | None = None,
 ) -> DataFrame:
     """Pairs (left row, right row) of the same block with Jaccard(tokens) >= threshold (> when strict).
 
     Both sides have the block columns and `tokens`, a sorted array without repeats. `keep_left` and
     `keep_right` name the columns to return and must not overlap. `residual` may use any of them.
+    `left_tokens` names an output column with the token set of the left row.
     """
-    spark = left.sparkSession
-    salts = salt_count(spark)
-    frequent = frequent_tokens(right)
-    lo = left.select(*block, F.col("tokens").alias("__ta"), *keep_left).withColumn("__order", frequent)
-    ro = right.select(*block, F.col("tokens").alias("__tb"), *keep_right).withColumn("__order", frequent)
-    a = _prefix_rows(lo, threshold, "__ta", "__order", "a")
-    b = _prefix_rows(ro, threshold, "__tb", "__order", "b")
+    salts = salt_count(left.sparkSession)
+    common = frequent_tokens(right)
+    a = _prefix_rows(left.select(*block, F.col("tokens").alias("__ta"), *keep_left), threshold, "__ta", common)
+    b = _prefix_rows(right.select(*block, F.col("tokens").alias("__tb"), *keep_right), threshold, "__tb", common)
     if salts > 1:
-        spread = F.when(F.col("__rank") > 0, F.pmod(F.xxhash64(*keep_left), F.lit(salts))).otherwise(F.lit(0))
+        spread = F.when(F.col("__rank") > 0, F.pmod(F.xxhash64("__ta", *keep_left), F.lit(salts))).otherwise(F.lit(0))
         copies = F.when(F.col("__rank") > 0, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
         a = a.withColumn("__salt", spread.cast("int"))
         b = b.withColumn("__salt", F.explode(copies))
     on = [*block, "__tok", *(["__salt"] if salts > 1 else [])]
     joined = a.drop("__rank").join(b.drop("__rank"), on)
     sizes = (F.size("__ta") >= threshold * F.size("__tb") - 1e-9) & (F.size("__tb") >= threshold * F.size("__ta") - 1e-9)
-    shared = F.array_intersect(F.transform("__pa", lambda x: x["tok"]), F.transform("__pb", lambda x: x["tok"]))
-    first_meeting = F.element_at(shared, 1) == F.col("__tok")
-    candidates = joined.filter(sizes & first_meeting)
-    if residual is not None:
-        candidates = candidates.filter(residual)
+    prefixes = [F.slice(c, F.lit(1), _prefix_length(F.col(c), threshold)) for c in ("__ta", "__tb")]
+    first_meeting = F.element_at(F.array_intersect(*prefixes), 1) == F.col("__tok")
+    candidates = joined.filter(sizes if residual is None else sizes & residual).filter(first_meeting)
     scored = candidates.withColumn("sim", text.set_jaccard(F.col("__ta"), F.col("__tb")))
     enough = F.col("sim") > threshold + 1e-12 if strict else F.col("sim") >= threshold - 1e-12
-    return scored.filter(enough).select(*block, *keep_left, *keep_right, "sim")
+    extra = [F.array_sort("__ta").alias(left_tokens)] if left_tokens else []
+    return scored.filter(enough).select(*block, *keep_left, *keep_right, *extra, "sim")
 
 
 def best_overlap(left: DataFrame, right: DataFrame, block: list[str], words: str, order: str) -> DataFrame:

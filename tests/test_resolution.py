@@ -256,3 +256,28 @@ def test_reconcile(spark):
     old = spark.createDataFrame([("o1", "k", "d", "Other", "e1"), ("o2", "k", "d", "Farm Bill", ""), ("n4", "k", "d", "Same Row", "e4")], cols)
     got = {(r["old_id"], r["new_id"], r["rule"]) for r in attach.reconcile_ids(new, old, "id", "k", "d", "t", "ev").collect()}
     assert got == {("o1", "n1", "event_id"), ("o2", "n2", "title")}
+
+
+def test_best_overlap_equals_all_pairs(spark):
+    from recordlink.operators.similarity import best_overlap
+
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(15)]
+
+    def some(n, low):
+        return [(i, rng.choice("xxy"), sorted(set(rng.choices(words, weights=range(15, 0, -1), k=rng.randint(low, 6))))) for i in range(n)]
+
+    vids, recs = some(60, 0), some(80, 0)
+    left = spark.createDataFrame(vids, "v bigint, blk string, words array<string>").select("blk", "words").distinct()
+    right = spark.createDataFrame(recs, "r bigint, blk string, words array<string>").groupBy("blk", "words").agg(F.min("r").alias("r"))
+    want = {}
+    for _, blk, ws in vids:
+        scored = [(-len(set(ws) & set(rw)), r) for r, b, rw in recs if b == blk and set(ws) & set(rw)]
+        if scored:
+            want[(blk, tuple(ws))] = min(scored)[1]
+    spark.conf.set("spark.sql.shuffle.partitions", "32")  # four salts
+    try:
+        got = {(r["blk"], tuple(r["words"])): r["best"] for r in best_overlap(left, right, ["blk"], "words", "r").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == want
