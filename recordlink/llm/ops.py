@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from recordlink.llm.exact_dedup import exact_dedup
 from recordlink.llm.mixing import mix_sources
+from recordlink.llm.quality import score_quality
 from recordlink.llm.queries import query, read
+from recordlink.llm.secrets import scan_secrets
 from recordlink.llm.topk_search import top_k
+from recordlink.llm.toxicity import score_toxicity
 
 OP1_SQL = """
 WITH usable AS (
@@ -58,6 +61,23 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(read(spark, sf, "documents"))
 
 
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    scored = score_toxicity(read(spark, sf, "documents").select("doc_id", "text"), read(spark, sf, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "offending")
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_secrets(read(spark, sf, "documents"))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    scored = score_quality(read(spark, sf, "documents").select("doc_id", "text"), read(spark, sf, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op10_mixing", OP10_SQL)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(read(spark, sf, "documents"))
