@@ -10,6 +10,7 @@ from recordlink.llm.mixing import mix_sources
 from recordlink.llm.quality import score_quality
 from recordlink.llm.queries import query, read
 from recordlink.llm.secrets import scan_secrets
+from recordlink.llm.substring_dedup import substring_dedup
 from recordlink.llm.topk_search import top_k
 from recordlink.llm.toxicity import score_toxicity
 
@@ -56,6 +57,11 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(vectors.filter(F.col("vec_id") % 100 == 0), vectors, k=10, scale=1024.0)
 
 
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup(read(spark, sf, "documents"), window=50).drop("spans")
+
+
 @query("op4_exact_dedup", OP4_SQL)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(read(spark, sf, "documents"))
