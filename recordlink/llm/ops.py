@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlink.llm.exact_dedup import exact_dedup
+from recordlink.llm.line_dedup import line_dedup
 from recordlink.llm.mixing import mix_sources
+from recordlink.llm.near_dedup import near_dedup
 from recordlink.llm.quality import score_quality
 from recordlink.llm.queries import query, read
 from recordlink.llm.secrets import scan_secrets
@@ -62,6 +64,11 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup(read(spark, sf, "documents"), window=50).drop("spans")
 
 
+@query("op3_line_dedup")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup(read(spark, sf, "documents"), percent=80).select("doc_id", "n_lines", "n_removed_lines", "text")
+
+
 @query("op4_exact_dedup", OP4_SQL)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(read(spark, sf, "documents"))
@@ -78,6 +85,11 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return scan_secrets(read(spark, sf, "documents"))
 
 
+@query("op8_minhash_near_dedup")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup(read(spark, sf, "documents"), size=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op9_quality_classifier")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     scored = score_quality(read(spark, sf, "documents").select("doc_id", "text"), read(spark, sf, "labels"))
