@@ -130,7 +130,7 @@ def near_classes(docs: DataFrame, size: int, coordinates: int, matches: int) ->
     """One row per document (part 'row': doc_id, digest, n), and per class of a cell that may match another (part 'set': signature, postings, set)."""
     n_cells = cell_count(docs)
     n_buckets = bucket_count(n_cells)
-    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("text_key"))
     cells = dealt(narrow, F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n_cells)), n_cells)
 
     def first_pass(group: pa.Table) -> pa.Table:
@@ -160,6 +160,7 @@ def near_classes(docs: DataFrame, size: int, coordinates: int, matches: int) ->
                 "doc_id": group["doc_id"].cast(pa.int64()),
                 "digest": pa.array(digests, pa.string()),
                 "n": pa.array(sizes.astype(np.int64)),
+                "text_key": group["text_key"],
                 "sig": pa.nulls(n_rows, pa.binary()),
                 "postings": pa.nulls(n_rows, pa.list_(pa.int64())),
                 "shingles": pa.nulls(n_rows, pa.binary()),
@@ -170,6 +171,7 @@ def near_classes(docs: DataFrame, size: int, coordinates: int, matches: int) ->
                 "doc_id": pa.nulls(n_sets, pa.int64()),
                 "digest": pa.array([digests[reps[i]] for i in kept], pa.string()),
                 "n": pa.array([int(sizes[reps[i]]) for i in kept], pa.int64()),
+                "text_key": pa.nulls(n_sets, pa.int64()),
                 "sig": pa.array([sig[i].tobytes() for i in kept], pa.binary()),
                 "postings": pa.array(postings, pa.list_(pa.int64())),
                 "shingles": pa.array([sets[cut[i] : cut[i + 1]].tobytes() for i in kept], pa.binary()),
@@ -178,12 +180,12 @@ def near_classes(docs: DataFrame, size: int, coordinates: int, matches: int) ->
         return pa.concat_tables([rows, active])
 
     out_schema = pa.schema(
-        [("doc_id", pa.int64()), ("digest", pa.string()), ("n", pa.int64()), ("sig", pa.binary()), ("postings", pa.list_(pa.int64())), ("shingles", pa.binary())]
+        [("doc_id", pa.int64()), ("digest", pa.string()), ("n", pa.int64()), ("text_key", pa.int64()), ("sig", pa.binary()), ("postings", pa.list_(pa.int64())), ("shingles", pa.binary())]
     )
     asked = cells.groupBy("cell").applyInArrow(first_pass, PACKED)
     answers = ask(asked, merge_counts, "u4", "u1", COUNTS)
     return cells.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(
-        second_pass, "doc_id long, digest string, n long, sig binary, postings array<bigint>, shingles binary"
+        second_pass, "doc_id long, digest string, n long, text_key long, sig binary, postings array<bigint>, shingles binary"
     )
 
 
@@ -247,7 +249,7 @@ def across(postings: DataFrame, coordinates: int, matches: int) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, coordinates: int = 32, matches: int = 15) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, digest), one row per row of `docs`.
+    """(doc_id, n_shingles, component_id, kept, text_key), one row per row of `docs`; `text_key` is xxhash64 of the text.
 
     Documents are linked if 100 * |A and B| >= percent * |A or B| for their sets of `size`-word shingles (words between
     ASCII white space, A-Z lower-cased; fewer words: the whole sequence). A linked pair at 80 per cent misses the
@@ -258,9 +260,9 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, coordinates: i
     share its component if they share text; other columns are ignored; an empty table gives an empty result.
     """
     parts = keep(near_classes(docs, size, coordinates, matches), "near-classes")
-    rows = parts.filter("sig IS NULL").select("doc_id", "digest", "n")
+    rows = parts.filter("sig IS NULL").select("doc_id", "text_key", "digest", "n")
     # one set per class: cells may have met the same one
-    sets = keep(parts.filter("sig IS NOT NULL").drop("doc_id").dropDuplicates(["digest"]), "near-sets")
+    sets = keep(parts.filter("sig IS NOT NULL").drop("doc_id", "text_key").dropDuplicates(["digest"]), "near-sets")
     posted = sets.select("digest", "sig", F.explode("postings").alias("key"))
     heads = posted.groupBy("key").agg(F.min("digest").alias("head"), F.count("*").alias("members")).filter("members > 1").select("key", "head")
     stars = posted.join(heads, "key").filter("digest <> head").select(F.col("head").alias("a"), F.col("digest").alias("b")).distinct()
@@ -284,5 +286,14 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, coordinates: i
         F.col("n").alias("n_shingles"),
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-        "digest",
+        "text_key",
     )
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """`docs` with one document of each near-duplicate group: the smallest id, and one of rows that repeat it and its text."""
+    found = near_dedup(docs, size, percent)
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")
+    kept = found.filter("kept").select(key, F.col("text_key").alias("__text_key")).distinct()
+    keyed = docs.select("*", key, F.xxhash64("text").alias("__text_key"))
+    return keyed.join(kept, ["__id", "__text_key"]).dropDuplicates(["__id", "__text_key"]).select(*docs.columns)

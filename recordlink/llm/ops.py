@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from recordlink.llm.exact_dedup import exact_dedup
 from recordlink.llm.line_dedup import line_dedup
 from recordlink.llm.mixing import mix_sources
 from recordlink.llm.near_dedup import near_dedup
+from recordlink.llm.packing import pack_documents
 from recordlink.llm.quality import score_quality
 from recordlink.llm.queries import query, read
 from recordlink.llm.secrets import scan_secrets
@@ -80,6 +82,11 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "offending")
 
 
+@query("op6_best_fit_packing")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(read(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
+
+
 @query("op7_secret_scan")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return scan_secrets(read(spark, sf, "documents"))
