@@ -50,4 +50,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str, bound: int, featurise
 
     made = rows.mapInArrow(make, "doc_id long, y int, a binary, b binary")
     one_task = made.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "a")
-    return np.frombuffer(bytes(one_task.select("y", "a", "b").mapInArrow(learn, "weights binary").first()["weights"]), np.float32)
+    fitted = one_task.select("y", "a", "b").mapInArrow(learn, "weights binary").first()
+    if fitted is None:  # an empty relation has no task at all
+        return fit(np.zeros(0, np.int32), [], []).astype(np.float32)
+    return np.frombuffer(bytes(fitted["weights"]), np.float32)

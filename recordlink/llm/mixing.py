@@ -69,14 +69,14 @@ def mix_sources(
     draw; columns named like the added ones are replaced; an empty table gives an empty result.
     """
     rates = source_rates(docs, weights, power, total).withColumnRenamed("source", "__source")
-    salted = rates.select("__source", "rate", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    salted = rates.select("__source", F.col("rate").alias("__rate"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = docs.drop("copy", "copies", "order_key").withColumns(
         {"__source": F.coalesce("source", F.lit("")), "__salt": F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")}
     )
-    counted = rows.join(salted, ["__source", "__salt"]).withColumn("copies", poisson_count(F.col("rate"), seed, key)).filter("copies > 0")
+    counted = rows.join(salted, ["__source", "__salt"]).withColumn("copies", poisson_count(F.col("__rate"), seed, key)).filter("copies > 0")
     exploded = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     ordered = exploded.withColumn("order_key", hash_number(F.lit(f"order{seed}"), key, F.col("copy").cast("string")))
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = ordered.drop("__source", "__salt", "rate").repartition(width, "order_key")
+    dealt = ordered.drop("__source", "__salt", "__rate").repartition(width, "order_key")
     return dealt.sortWithinPartitions("order_key", "doc_id", "copy")
