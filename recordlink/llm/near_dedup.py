@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from recordlink.llm.cells import PACKED, answered, ask, bucket_count, cell_count, dealt, pack
 from recordlink.llm.scratch import keep
-from recordlink.llm.textblock import group_starts, mix, row_slices, signed, text_bytes, white_words
+from recordlink.llm.textblock import group_starts, mix, row_slices, text_bytes, white_words
 from recordlink.operators.resolve import connected_clusters
 
 COUNTS = 1
-BLOCK = 2048
+BLOCK, BLOCK_BYTES = 2048, 8 << 20
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -153,7 +153,7 @@ def near_classes(docs: DataFrame, size: int, coordinates: int, matches: int) ->
             those = rare[i][counts[i, rare[i]] > 1]
             if len(those):
                 kept.append(i)
-                postings.append(signed(keys[i, those]).tolist())
+                postings.append(((those << 32) | sig[i, those].astype(np.int64)).tolist())
         n_rows, n_sets = group.num_rows, len(kept)
         rows = pa.table(
             {
@@ -162,7 +162,7 @@ def near_classes(docs: DataFrame, size: int, coordinates: int, matches: int) ->
                 "n": pa.array(sizes.astype(np.int64)),
                 "text_key": group["text_key"],
                 "sig": pa.nulls(n_rows, pa.binary()),
-                "postings": pa.nulls(n_rows, pa.list_(pa.int64())),
+                "posted": pa.nulls(n_rows, pa.list_(pa.int64())),
                 "shingles": pa.nulls(n_rows, pa.binary()),
             }
         )
@@ -173,19 +173,19 @@ def near_classes(docs: DataFrame, size: int, coordinates: int, matches: int) ->
                 "n": pa.array([int(sizes[reps[i]]) for i in kept], pa.int64()),
                 "text_key": pa.nulls(n_sets, pa.int64()),
                 "sig": pa.array([sig[i].tobytes() for i in kept], pa.binary()),
-                "postings": pa.array(postings, pa.list_(pa.int64())),
+                "posted": pa.array(postings, pa.list_(pa.int64())),
                 "shingles": pa.array([sets[cut[i] : cut[i + 1]].tobytes() for i in kept], pa.binary()),
             }
         )
         return pa.concat_tables([rows, active])
 
     out_schema = pa.schema(
-        [("doc_id", pa.int64()), ("digest", pa.string()), ("n", pa.int64()), ("text_key", pa.int64()), ("sig", pa.binary()), ("postings", pa.list_(pa.int64())), ("shingles", pa.binary())]
+        [("doc_id", pa.int64()), ("digest", pa.string()), ("n", pa.int64()), ("text_key", pa.int64()), ("sig", pa.binary()), ("posted", pa.list_(pa.int64())), ("shingles", pa.binary())]
     )
     asked = cells.groupBy("cell").applyInArrow(first_pass, PACKED)
     answers = ask(asked, merge_counts, "u4", "u1", COUNTS)
     return cells.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(
-        second_pass, "doc_id long, digest string, n long, text_key long, sig binary, postings array<bigint>, shingles binary"
+        second_pass, "doc_id long, digest string, n long, text_key long, sig binary, posted array<bigint>, shingles binary"
     )
 
 
@@ -216,36 +216,109 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(near).select("a", "b", "sa", "sb").mapInArrow(check, "a string, b string")
 
 
-def across(postings: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """Pairs of members of one posting list, in different components, with enough equal coordinates.
-
-    A list of n members is cut into blocks; each pair of blocks is one group of bounded size.
+def _units(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows of each pair of blocks in a group: coordinate of its list, rows in order."""
+    key, lo, hi = (np.asarray(group[c]) for c in ("key", "lo", "hi"))
+    order = np.lexsort((hi, lo, key))
+    heads = np.append(group_starts(key[order], lo[order], hi[order]), len(order))
+    coord = np.asarray(group["coord"])
+    for s, e in zip(heads[:-1], heads[1:]):
+        yield int(coord[order[s]]), order[s:e]
+
+
+class Members:
+    """Signatures, posted coordinates, blocks and clusters of the rows of a group."""
+
+    def __init__(self, group: pa.Table, coordinates: int, matches: int):
+        self.matches = matches
+        self.sig = text_bytes(group["sig"])[0].view(np.uint32).reshape(-1, coordinates)
+        mask = group["mask"].combine_chunks() if isinstance(group["mask"], pa.ChunkedArray) else group["mask"]
+        bits = np.asarray(mask).astype(np.int64)
+        self.posted = (bits[:, None] >> np.arange(coordinates)) & 1 == 1
+        self.block = np.asarray(group["block"])
+        self.cluster = np.unique(np.array(group["cluster"].to_pylist(), object), return_inverse=True)[1]
+
+    def partners(self, coord: int, rows: np.ndarray, k: int, cluster: np.ndarray) -> np.ndarray:
+        """Later rows of the unit that belong to row number k here: another cluster, enough equal coordinates, and this
+        list is the first that both are posted in."""
+        i, later = rows[k], rows[k + 1 :]
+        lo, hi = self.block[rows].min(), self.block[rows].max()
+        later = later[cluster[later] != cluster[i]]
+        if lo != hi:
+            later = later[self.block[later] != self.block[i]]
+        equal = self.sig[later] == self.sig[i]
+        enough = equal.sum(1) >= self.matches
+        later, equal = later[enough], equal[enough]
+        first = (equal & self.posted[later] & self.posted[i]).argmax(1) if len(later) else np.zeros(0, np.int64)
+        return later[first == coord]
+
+
+def across(posted: DataFrame, sets: DataFrame, coordinates: int, matches: int, percent: int) -> DataFrame:
+    """Links (a, b) between different clusters: enough to connect all that are linked.
+
+    A list is cut into blocks of bounded number and bytes; each pair of blocks is a unit, and units are dealt to groups.
+    First the signatures tell which members have a partner to check in a unit; then only their sets go there, and are
+    compared in place. A pair is checked in one list only, and not at all once its members are connected there.
     """
-    lists = postings.groupBy("key").agg(F.count("*").alias("members"), F.min("cluster").alias("c0"), F.max("cluster").alias("c1")).filter("c0 <> c1")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    spark = posted.sparkSession
+    weight = F.col("n") * 8
+    lists = posted.groupBy("key").agg(F.count("*").alias("members"), F.sum(weight).alias("bytes"), F.min("cluster").alias("c0"), F.max("cluster").alias("c1"))
+    size = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    lists = lists.filter("c0 <> c1").select("key", size.alias("blocks"))
     block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    members = postings.join(lists.select("key", blocks.alias("blocks")), "key").withColumn("block", block)
-    other = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    grouped = other.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "digest", "cluster", "sig")
-
-    def count(group: pa.Table) -> pa.Table:
-        block = np.asarray(group["block"])
-        data, _ = text_bytes(group["sig"])
-        sig = data.view(np.uint32).reshape(len(block), coordinates)
-        _, cluster = np.unique(np.array(group["cluster"].to_pylist(), object), return_inverse=True)
-        digest = group["digest"].to_pylist()
-        lo, hi = block.min(), block.max()
-        a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    members = posted.join(lists, "key").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    unit = ["key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")]
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt_rows = members.select(*unit, F.shiftright("key", 32).cast("int").alias("coord"), "block", "digest", "cluster", "sig", "mask").withColumn("grp", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(8 * width)))
+
+    def who(group: pa.Table) -> pa.Table:
+        m, taken = Members(group, coordinates, matches), np.zeros(group.num_rows, bool)
+        for coord, rows in _units(group):
+            for k in range(len(rows) - 1):
+                those = m.partners(coord, rows, k, m.cluster)
+                if len(those):
+                    taken[rows[k]] = True
+                    taken[those] = True
+        return group.select(["key", "lo", "hi", "coord", "block", "digest", "cluster"]).filter(pa.array(taken))
+
+    needed = dealt_rows.groupBy("grp").applyInArrow(who, "key long, lo int, hi int, coord int, block int, digest string, cluster string")
+    needed = keep(needed, "near-members")
+    full = needed.join(sets.select("digest", "sig", "mask", "shingles"), "digest").withColumn("grp", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(8 * width)))
+
+    def link(group: pa.Table) -> pa.Table:
+        m = Members(group, coordinates, matches)
+        raw, edges = text_bytes(group["shingles"])
+        values, edges = raw.view(np.uint64), edges // 8
+        sizes, digest = np.diff(edges), group["digest"].to_pylist()
         found_a, found_b = [], []
-        for i in a:
-            those = b[(cluster[b] != cluster[i])] if lo != hi else a[(a > i) & (cluster[a] != cluster[i])]
-            hit = those[(sig[those] == sig[i]).sum(1) >= matches]
-            found_a += [digest[i]] * len(hit)
-            found_b += [digest[j] for j in hit]
+        for coord, rows in _units(group):
+            cluster = m.cluster.copy()
+            at = np.concatenate([np.arange(edges[r], edges[r + 1]) for r in rows])
+            codes = np.unique(values[at], return_inverse=True)[1]
+            cut = np.concatenate([[0], np.cumsum(sizes[rows])])
+            where = {int(r): k for k, r in enumerate(rows)}
+            mark = np.zeros(codes.max(initial=0) + 1, bool)
+            for k in range(len(rows) - 1):
+                those = m.partners(coord, rows, k, cluster)
+                if not len(those):
+                    continue
+                mark[codes[cut[k] : cut[k + 1]]] = True
+                for r in those:
+                    if cluster[r] == cluster[rows[k]]:
+                        continue
+                    small, large = sorted((int(sizes[r]), int(sizes[rows[k]])))
+                    if small * 100 < large * percent:
+                        continue
+                    j = where[int(r)]
+                    common = int(mark[codes[cut[j] : cut[j + 1]]].sum())
+                    if 100 * common >= percent * (small + large - common):
+                        cluster[cluster == cluster[r]] = cluster[rows[k]]
+                        found_a.append(digest[rows[k]])
+                        found_b.append(digest[r])
+                mark[codes[cut[k] : cut[k + 1]]] = False
         return pa.table({"a": pa.array(found_a, pa.string()), "b": pa.array(found_b, pa.string())})
 
-    pairs = grouped.groupBy("key", "lo", "hi").applyInArrow(count, "a string, b string")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return full.groupBy("grp").applyInArrow(link, "a string, b string")
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, coordinates: int = 32, matches: int = 15) -> DataFrame:
@@ -263,7 +336,10 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, coordinates: i
     rows = parts.filter("sig IS NULL").select("doc_id", "text_key", "digest", "n")
     # one set per class: cells may have met the same one
     sets = keep(parts.filter("sig IS NOT NULL").drop("doc_id", "text_key").dropDuplicates(["digest"]), "near-sets")
-    posted = sets.select("digest", "sig", F.explode("postings").alias("key"))
+    mask = F.aggregate("posted", F.lit(0).cast("long"), lambda a, key: a + F.pow(F.lit(2.0), F.shiftright(key, 32)).cast("long"))
+    sets = sets.withColumn("mask", mask)
+    # a key is coordinate * 2**32 + value
+    posted = sets.select("digest", "n", "sig", "mask", F.explode("posted").alias("key"))
     heads = posted.groupBy("key").agg(F.min("digest").alias("head"), F.count("*").alias("members")).filter("members > 1").select("key", "head")
     stars = posted.join(heads, "key").filter("digest <> head").select(F.col("head").alias("a"), F.col("digest").alias("b")).distinct()
     sig_a, sig_b = sets.select(F.col("digest").alias("a"), F.col("sig").alias("ga")), sets.select(F.col("digest").alias("b"), F.col("sig").alias("gb"))
@@ -276,7 +352,7 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, coordinates: i
     counted = stars.join(sig_a, "a").join(sig_b, "b").select("a", "b", "ga", "gb").mapInArrow(enough, "a string, b string")
     links = keep(confirm(counted, sets, percent), "near-links")
     clusters = connected_clusters(sets, links, "digest")
-    second = keep(confirm(across(posted.join(clusters, "digest"), coordinates, matches), sets, percent), "near-links")
+    second = keep(across(posted.join(clusters, "digest"), sets, coordinates, matches, percent), "near-links")
     clusters = keep(connected_clusters(sets, links.unionByName(second), "digest"), "near-clusters")
     labelled = rows.join(clusters, "digest", "left").withColumn("cluster", F.coalesce("cluster", "digest"))
     lowest = labelled.filter("n > 0").groupBy("cluster").agg(F.min("doc_id").alias("component"), F.count("*").alias("component_size"))
