@@ -131,3 +131,6 @@ MIN_RECORD_SECONDS = 600
 MIN_STREAM_SECONDS = 1800
 MAX_ATTEMPTS = 5
 MAX_BACKOFF_SECONDS = 3600
+
+# Statuses whose attempts count as retries, by queue.
+OPEN_STATUSES = {"stage_tasks": ("pending", "running", "failed"), "outbox": ("pending", "processing", "dead_letter")}

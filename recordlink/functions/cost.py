@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
@@ -13,23 +13,24 @@ def estimate_tokens(text: Column) -> Column:
     return F.floor(F.length(text) / 4).cast("bigint")
 
 
-def price_table(spark: SparkSession, prices: list[tuple] = fv.MODEL_PRICES) -> DataFrame:
-    """Price dimension; negative prices are refused."""
+def price_maps(prices: list[tuple] = fv.MODEL_PRICES) -> tuple[Column, Column]:
+    """Prices of input and output tokens by model, as literals; negative prices are refused."""
     bad = [m for m, i, o in prices if i < 0 or o < 0]
     if bad:
         raise ValueError(f"negative price for {bad}")
-    return spark.createDataFrame(prices, "model string, in_price double, out_price double")
 
+    def by_model(at: int) -> Column:
+        return F.create_map(*[x for p in prices for x in (F.lit(p[0]), F.lit(p[at]).cast("decimal(18,6)"))])
 
-def token_cost(df: DataFrame, model: str, in_tokens: str, out_tokens: str, prices: DataFrame) -> DataFrame:
+    return by_model(1), by_model(2)
+
+
+def token_cost(df: DataFrame, model: str, in_tokens: str, out_tokens: str, prices: list[tuple] = fv.MODEL_PRICES) -> DataFrame:
     """Add `cost_usd` (six decimals). A model without a price fails the job instead of costing nothing."""
-    joined = df.join(prices.withColumnRenamed("model", "__model"), F.col(model) == F.col("__model"), "left")
-    in_price, out_price = F.col("in_price").cast("decimal(18,6)"), F.col("out_price").cast("decimal(18,6)")
+    in_price, out_price = (F.try_element_at(m, F.col(model)) for m in price_maps(prices))
     usd = (F.col(in_tokens) * in_price + F.col(out_tokens) * out_price) / 1000000
-    checked = F.when(
-        F.col("__model").isNull(), F.raise_error(F.concat(F.lit("unknown model: "), F.col(model))).cast("double")
-    ).otherwise(F.round(usd, 6).cast("double"))
-    return joined.withColumn("cost_usd", checked).drop("__model", "in_price", "out_price")
+    unknown = F.raise_error(F.concat(F.lit("unknown model: "), F.coalesce(F.col(model), F.lit("none")))).cast("double")
+    return df.withColumn("cost_usd", F.when(in_price.isNull(), unknown).otherwise(F.round(usd, 6).cast("double")))
 
 
 def retry_plan(

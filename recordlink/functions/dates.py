@@ -20,9 +20,7 @@ def as_date(value: str) -> Column:
 def month_number(name: Column) -> Column:
     """Month number of an English month name or abbreviation, else NULL."""
     low = F.lower(name)
-    order = "".join(n[:3] for n in dict.fromkeys(k[:3] for k in fv.MONTHS))
-    place = F.instr(F.lit(order), F.left(low, F.lit(3)))
-    return F.when(low.rlike(f"^(?:{'|'.join(fv.MONTHS)})$"), ((place + 2) / 3).cast("int"))
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in fv.MONTHS.items() for x in pair]), low).cast("int")
 
 
 def _assemble(year: Column, month: Column, day: Column) -> Column:

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
 
 
-def _fold_dots(url: Column, depth: int = 8) -> Column:
-    """Resolve `/./` and `/x/../` after the authority, up to `depth` nested steps."""
-    one = F.regexp_replace(url, r"/\./", "/")
-    step = lambda u, _: F.regexp_replace(u, r"(://[^/]+(?:/[^/?#]+)*?)/(?!\.\.?/)[^/?#]+/\.\./", "$1/")
-    folded = reduce(step, range(depth), one)
-    return F.regexp_replace(folded, r"(://[^/]+)/(?:\.\./)+", "$1/")
+def _fold_dots(url: Column) -> Column:
+    """Resolve `.` and `..` steps of the path, however many; query and fragment stay as they are."""
+    origin = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    tail = F.regexp_extract(url, r"[?#].*$", 0)
+    path = F.regexp_replace(F.substr(url, F.length(origin) + 1), r"[?#].*$", "")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.array_append(done, part))
+
+    parts = F.split(path, "/")
+    folded = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")), step)
+    closed = F.when(path.rlike(r"/\.\.?$"), F.array_append(folded, F.lit(""))).otherwise(folded)
+    return F.concat(origin, F.array_join(closed, "/"), tail)
 
 
 def absolutize_url(href: Column, base: Column) -> Column:
@@ -70,8 +76,8 @@ def program_id(url: Column) -> Column:
 
 
 def query_param(url: Column, name: str) -> Column:
-    """First value of a query parameter, NULL when absent or empty."""
-    return _extract_or_null(url, rf"[?&]{name}=([^&#]*)")
+    """First value of a query parameter, percent-decoded; NULL when absent or empty. `&amp;` in HTML counts as `&`."""
+    return F.try_url_decode(_extract_or_null(url, rf"[?&](?:amp;)?{name}=([^&#]*)"))
 
 
 def player_params(html: Column) -> tuple[Column, Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,9 +78,15 @@ def status_counts(queues: DataFrame) -> DataFrame:
     return queues.groupBy("queue", "status").agg(F.count("*").alias("n"))
 
 
-def retry_histogram(queues: DataFrame, final: tuple[str, ...] = ("done",)) -> DataFrame:
-    """Items per attempt count, leaving out finished ones."""
-    return queues.filter(~F.col("status").isin(*final)).groupBy("queue", "attempts").agg(F.count("*").alias("n")).orderBy("queue", "attempts")
+def still_open(open_statuses: dict[str, tuple[str, ...]]) -> Column:
+    """Does the item's status count for the retry histogram of its queue? A queue that is not named keeps none."""
+    named = [(F.col("queue") == queue) & F.col("status").isin(*statuses) for queue, statuses in open_statuses.items()]
+    return reduce(lambda a, b: a | b, named, F.lit(False))
+
+
+def retry_histogram(queues: DataFrame, open_statuses: dict[str, tuple[str, ...]] = fv.OPEN_STATUSES) -> DataFrame:
+    """Items per attempt count, only those whose status is open in their queue."""
+    return queues.filter(still_open(open_statuses)).groupBy("queue", "attempts").agg(F.count("*").alias("n")).orderBy("queue", "attempts")
 
 
 def _seconds_since(ts: Column, as_of: str) -> Column:
@@ -97,7 +105,10 @@ def stale_leases(queues: DataFrame, as_of: str, running: tuple[str, ...] = ("run
     return queues.groupBy("queue").agg(F.count_if(stale).alias("n"))
 
 
-def queue_health(queues: DataFrame, dead: DataFrame, as_of: str, max_age_s: int | None = None, max_dead: int | None = None) -> DataFrame:
+def queue_health(
+    queues: DataFrame, dead: DataFrame, as_of: str, max_age_s: int | None = None, max_dead: int | None = None,
+    open_statuses: dict[str, tuple[str, ...]] = fv.OPEN_STATUSES,
+) -> DataFrame:
     """All queue metrics in long form (queue, metric, bucket, value, breach).
 
     One aggregate per (queue, status, attempts) feeds every metric, so the queues are read once.
@@ -115,7 +126,7 @@ def queue_health(queues: DataFrame, dead: DataFrame, as_of: str, max_age_s: int
 
     metrics = F.array(
         metric("status_count", F.col("status"), F.col("n")),
-        metric("retry_histogram", F.when(F.col("status") != "done", F.col("attempts").cast("string")), F.col("n")),
+        metric("retry_histogram", F.when(still_open(open_statuses), F.col("attempts").cast("string")), F.col("n")),
         metric("stale_leases", F.lit(""), F.col("stale")),
         metric("max_queue_age_s", F.lit(""), F.lit(0).cast("bigint"), F.col("oldest")),
     )
@@ -141,16 +152,25 @@ def duplicate_groups(df: DataFrame, keys: list[str], record_id: str) -> DataFram
     return df.select(*keys, record_id).join(groups, keys)
 
 
-def theme_groups(quotes: DataFrame, themes: str, score: str, order: list[str], max_rows: int = fv.MAX_QUOTES) -> DataFrame:
-    """Selected quotes (at most `max_rows`) under their first theme, else `Other`, with their place in the theme."""
+def theme_groups(quotes: DataFrame, themes: str, score: str, order: list[str]) -> DataFrame:
+    """All quotes under their first theme, else `Other`, with their place in the theme (best score first).
+
+    Places are counted in slices of equal rounded score, and slices are added up by their counts, so a theme is not one
+    task.
+    """
     from pyspark.sql import Window
 
-    chosen = quotes.orderBy(F.col(score).desc(), *order).limit(max_rows)
     theme = F.coalesce(F.get(themes, F.lit(0)), F.lit("Other"))
-    w = Window.partitionBy("theme").orderBy(F.col(score).desc(), *order)
     rounded = F.bround(F.col(score).cast("decimal(18,6)"), 2).cast("double")
-    ranked = chosen.withColumn("theme", theme).withColumn("place", F.row_number().over(w).cast("bigint"))
-    return ranked.withColumn(score, rounded).drop(themes)
+    sliced = quotes.withColumn("theme", theme).withColumn("__slice", rounded)
+    sizes = sliced.groupBy("theme", "__slice").agg(F.count("*").alias("__n"))
+    above = Window.partitionBy("theme").orderBy(F.col("__slice").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("theme", F.col("__slice").alias("__s"), F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy("theme", "__slice").orderBy(F.col(score).desc_nulls_last(), *order)
+    ranked = sliced.withColumn("__row", F.row_number().over(inside)).withColumnRenamed("theme", "__theme")
+    placed = ranked.join(starts, (F.col("__theme") == F.col("theme")) & F.col("__slice").eqNullSafe(F.col("__s")))
+    placed = placed.withColumn("place", (F.col("__start") + F.col("__row")).cast("bigint")).withColumn(score, F.col("__slice"))
+    return placed.drop("__theme", "__slice", "__s", "__start", "__row", themes)
 
 
 def latest_marker(df: DataFrame, ts: str, as_of: str) -> DataFrame:

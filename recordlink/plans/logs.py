@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
-from recordlink.functions.cost import estimate_tokens, price_table, token_cost
+from recordlink.functions.cost import estimate_tokens, token_cost
 from recordlink.operators import captions, chunks, folds, ordered, report
 from recordlink.plans import sqltext as s
 from recordlink.plans.registry import query, table, wide_table
@@ -376,7 +376,7 @@ def q_chunk_rollup(spark, sf):
     )
     docs = chunks.chunk_rollup(parts, "doc_id", "chunk_no", "cleaned", "tin", "tout")
     docs = docs.withColumn("model", F.lit("google/gemini-3-flash-preview"))
-    return token_cost(docs, "model", "input_tokens", "output_tokens", price_table(spark)).drop("model")
+    return token_cost(docs, "model", "input_tokens", "output_tokens").drop("model")
 
 
 _VALID = "role <> 'system' AND turn % 5 <> 4 AND text <> ''"

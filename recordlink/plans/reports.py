@@ -81,15 +81,20 @@ def q_run_summary(spark, sf):
     )
 
 
-_QUEUES = """SELECT 'q' || left(o_orderpriority, 1) AS queue, CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'done' ELSE 'running' END AS status,
+# Odd orders are stage tasks, even ones outbox events: finished items have another name in each queue.
+_QUEUES = """SELECT CASE WHEN o_orderkey % 2 = 1 THEN 'stage_tasks' ELSE 'outbox' END AS queue,
+  CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN CASE WHEN o_orderkey % 2 = 1 THEN 'done' ELSE 'delivered' END
+    ELSE CASE WHEN o_orderkey % 2 = 1 THEN 'running' ELSE 'processing' END END AS status,
   CAST(o_custkey % 6 AS BIGINT) AS attempts, o_orderdate AS enqueued_at, o_orderdate + INTERVAL 1 DAY AS lease_expires_at, o_orderkey AS item FROM orders"""
 AS_OF = "2000-06-01 00:00:00"
 
 
 def queues(spark, sf):
+    task = F.col("o_orderkey") % 2 == 1
     return table(spark, sf, "orders").select(
-        F.concat(F.lit("q"), F.left("o_orderpriority", F.lit(1))).alias("queue"),
-        F.expr("CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'done' ELSE 'running' END").alias("status"),
+        F.when(task, "stage_tasks").otherwise("outbox").alias("queue"),
+        F.when(F.col("o_orderstatus") == "O", "pending").when(F.col("o_orderstatus") == "F", F.when(task, "done").otherwise("delivered"))
+        .otherwise(F.when(task, "running").otherwise("processing")).alias("status"),
         (F.col("o_custkey") % 6).alias("attempts"), F.col("o_orderdate").alias("enqueued_at"),
         F.expr("o_orderdate + INTERVAL 1 DAY").alias("lease_expires_at"), F.col("o_orderkey").alias("item"),
     )
@@ -100,13 +105,13 @@ def q_status_counts(spark, sf):
     return report.status_counts(queues(spark, sf))
 
 
-@query("retry_histogram", f"SELECT queue, attempts, count(*) AS n FROM ({_QUEUES}) WHERE status <> 'done' GROUP BY 1, 2")
+@query("retry_histogram", f"SELECT queue, attempts, count(*) AS n FROM ({_QUEUES}) WHERE status IN ('pending', 'running', 'processing') GROUP BY 1, 2")
 def q_retry_histogram(spark, sf):
     return report.retry_histogram(queues(spark, sf))
 
 
 _AGE = f"CAST(epoch(TIMESTAMP '{AS_OF}' - min(enqueued_at) FILTER (status = 'pending')) AS BIGINT)"
-_STALE = f"count(*) FILTER (status = 'running' AND lease_expires_at < TIMESTAMP '{AS_OF}')"
+_STALE = f"count(*) FILTER (status IN ('running', 'processing') AND lease_expires_at < TIMESTAMP '{AS_OF}')"
 
 
 @query("queue_age", f"SELECT queue, {_AGE} AS age_s FROM ({_QUEUES}) GROUP BY 1")
@@ -135,7 +140,7 @@ def dead_letters(spark, sf):
     "queue_health",
     f"""WITH q AS ({_QUEUES}), m AS (
       SELECT queue, 'status_count' AS metric, status AS bucket, count(*) AS value FROM q GROUP BY 1, 3
-      UNION ALL SELECT queue, 'retry_histogram', CAST(attempts AS VARCHAR), count(*) FROM q WHERE status <> 'done' GROUP BY 1, 3
+      UNION ALL SELECT queue, 'retry_histogram', CAST(attempts AS VARCHAR), count(*) FROM q WHERE status IN ('pending', 'running', 'processing') GROUP BY 1, 3
       UNION ALL SELECT queue, 'stale_leases', '', {_STALE} FROM q GROUP BY 1
       UNION ALL SELECT queue, 'max_queue_age_s', '', {_AGE} FROM q GROUP BY 1
       UNION ALL SELECT 'dead_letter', 'dead_letter_count', '', count(*) FROM ({_DEAD}) WHERE resolved_at IS NULL)
@@ -169,11 +174,11 @@ def _weight_sql(theme=None):
 _THEMES = sorted({t for t, _ in WEIGHTS.values()})
 _THEME_SQL = "list_transform(list_sort(list_filter([" + ", ".join(f"{{'w': -({_weight_sql(t)})::DECIMAL(18,4), 't': '{t}'}}" for t in _THEMES) + "], lambda z: z.w < 0)), lambda z: z.t)"
 _SCORED = f"""scored AS (SELECT doc_id, lang, source, quality, CAST(least(({_weight_sql()})::DECIMAL(18,4), 1) AS DOUBLE) AS score, {_THEME_SQL} AS themes
-  FROM (SELECT documents.*, quality, list_distinct({s.clean_words('text')}) AS w FROM documents JOIN labels USING (doc_id)))"""
+  FROM (SELECT documents.*, quality, list_distinct({s.clean_words('text')}) AS w FROM documents LEFT JOIN labels USING (doc_id)))"""
 
 
 def scored(spark, sf):
-    docs = wide_table(spark, sf, "documents", "doc_id", "lang", "source", "text").join(table(spark, sf, "labels"), "doc_id")
+    docs = wide_table(spark, sf, "documents", "doc_id", "lang", "source", "text").join(table(spark, sf, "labels"), "doc_id", "left")
     return scoring.score_with(docs, "text", scoring.keyword_scorer(WEIGHTS)).select("doc_id", "lang", "source", "quality", "score", "themes")
 
 
@@ -189,13 +194,12 @@ def q_top_quotes(spark, sf):
 
 @query(
     "theme_groups",
-    f"""WITH {_SCORED}, t AS (SELECT * FROM scored WHERE score >= 0.4 ORDER BY score DESC, doc_id LIMIT 30)
+    f"""WITH {_SCORED}, t AS (SELECT * FROM scored)
     SELECT doc_id, lang, source, quality, coalesce(themes[1], 'Other') AS theme, row_number() OVER (PARTITION BY coalesce(themes[1], 'Other') ORDER BY score DESC, doc_id) AS place,
       CAST(round_even(CAST(score AS DECIMAL(18,6)), 2) AS DOUBLE) AS score FROM t""",
 )
 def q_theme_groups(spark, sf):
-    chosen = rank.top_quotes(scored(spark, sf), "score", ["doc_id"])
-    return report.theme_groups(chosen, "themes", "score", ["doc_id"])
+    return report.theme_groups(scored(spark, sf), "themes", "score", ["doc_id"])
 
 
 @query("latest_marker", "SELECT max(ts) AS latest, max(ts)::DATE = DATE '2024-01-30' AS ran_today FROM events WHERE event_type = 'purchase'")

@@ -293,7 +293,7 @@ def q_token_cost(spark, sf):
         "doc_id", F.expr(_MODEL_SQL).alias("model"), cost.estimate_tokens(F.col("text")).alias("tokens")
     )
     docs = docs.withColumn("out_tokens", F.floor(F.col("tokens") / 2))
-    return cost.token_cost(docs, "model", "tokens", "out_tokens", cost.price_table(spark)).drop("out_tokens")
+    return cost.token_cost(docs, "model", "tokens", "out_tokens").drop("out_tokens")
 
 
 @query(

@@ -30,7 +30,7 @@ def build_session(master: str = "local[*]", app: str = "recordlink", **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that outlives an executor: `spark.checkpoint.dir`, or a temp folder when it is unset."""
+    """Folder that outlives an executor: `spark.checkpoint.dir`. Only a local session may do without and gets a temp folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -38,6 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
@@ -54,12 +56,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that is split into fewer pieces than there are cores.
+    """Use all cores on a small input whose file has a single row group and would run on one core.
 
-    A large table has many splits and passes through unchanged; one small file with a single row group
-    would otherwise run its expressions on one core.
+    Only for inputs of at most SPREAD_BYTES by Spark's own estimate; larger ones pass through unchanged.
     """
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SPREAD_BYTES:
+        return df
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
 

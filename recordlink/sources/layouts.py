@@ -1,20 +1,21 @@
 """Record listings on HTML pages, by page layout.
 
-The layouts are rows of one small table joined to the pages; the same expressions serve all of them, and a
-new layout is a new row. A page is read inside its row, without a shuffle.
+The layouts are entries of one literal registry; the same expressions serve all of them, and a new layout is a new
+entry. A page is read inside its row, without a join, a sort or a shuffle.
 """
 
 from __future__ import annotations
 
-from dataclasses import astuple, dataclass
+import json
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
 from recordlink.functions import dates, urls
 from recordlink.functions.bind import let
-from recordlink.sources.pages import anchors, attribute, plain
+from recordlink.sources.pages import anchors, attribute, decode_entities, plain
 
 NONE = r"(?!)"  # matches nothing
 
@@ -91,21 +92,23 @@ GENERIC = "generic_links"
 layout_registry = {spec.layout: spec for spec in LAYOUTS}
 
 
-def layout_table(spark: SparkSession, fallback: bool = True) -> DataFrame:
-    """The layout registry as rows: each layout with the specs to try in turn (sized by the registry)."""
+def layout_tries(layout: Column, fallback: bool = True) -> Column:
+    """The specs to try in turn for a layout, from the registry as one literal. An unknown or missing layout fails."""
     fields = LayoutSpec.__dataclass_fields__.values()
     types = {"bool": "boolean", "int": "int"}
     schema = ", ".join(f"{f.name}: {types.get(f.type, 'string')}" for f in fields)
 
-    def tries(spec: LayoutSpec) -> list[tuple]:
+    def tries(spec: LayoutSpec) -> list[dict]:
         chain = [layout_registry["evo_framework"]] if spec.time_first else []
         chain.append(spec)
         if fallback and spec.layout != GENERIC:
             chain.append(layout_registry[GENERIC])
-        return [astuple(x) for x in chain]
+        return [asdict(x) for x in chain]
 
-    rows = [(spec.layout, tries(spec)) for spec in layout_registry.values()]
-    return spark.createDataFrame(rows, f"layout string, tries array<struct<{schema}>>")
+    text = json.dumps({spec.layout: tries(spec) for spec in layout_registry.values()})
+    known = F.try_element_at(F.from_json(F.lit(text), f"map<string, array<struct<{schema}>>>"), layout)
+    unknown = F.raise_error(F.concat(F.lit("unknown page layout: "), F.coalesce(layout, F.lit("none"))))
+    return F.when(layout == NO_SITE, F.array().cast(f"array<struct<{schema}>>")).when(known.isNotNull(), known).otherwise(unknown.cast(f"array<struct<{schema}>>"))
 
 
 def unknown_layouts(pages: DataFrame, layout: str) -> DataFrame:
@@ -187,7 +190,7 @@ def block_items(html: Column, spec: Column) -> Column:
         tag = F.regexp_extract(scope, r"(?is)<a\b([^>]*\bhref\b[^>]*>.*?)</a", 1)
         linked = plain(F.regexp_replace(tag, r"(?s)^[^>]*>", ""))
         title = F.when((tag == "") & spec["slot_date"], F.left(plain(scope), F.lit(120))).otherwise(linked)
-        href = F.coalesce(attribute(tag, "href"), F.lit(""))
+        href = decode_entities(F.coalesce(attribute(tag, "href"), F.lit("")))
         has_link = (tag != "") | (spec["slot_date"] & (scope != ""))
         return F.when(has_link, let(href, lambda h: _item(title, h, _dated(h, b, spec))))
 
@@ -198,7 +201,7 @@ def context_items(html: Column, spec: Column) -> Column:
     """Records of a context layout: every fitting link with the date nearest to it in its item."""
 
     def read(a: Column) -> Column:
-        href = F.coalesce(attribute(a["tag"], "href"), F.lit(""))
+        href = decode_entities(F.coalesce(attribute(a["tag"], "href"), F.lit("")))
         marked = _extract(a["inner"], spec["title_tag"], 1)
         title = plain(F.when((spec["title_tag"] != "") & (marked != ""), marked).otherwise(a["inner"]))
         around = F.concat_ws(" ", a["before"], a["inner"], a["after"])
@@ -222,12 +225,9 @@ def page_listing(
     """Listed records (page, title, event_date, url) of each page by its layout.
 
     Only plausible dates not before the cutoff count. A page whose layout yields nothing is read again
-    with the generic link layout.
+    with the generic link layout. Layouts without a site list nothing; an unknown layout fails the job.
     """
-    specs = layout_table(pages.sparkSession, fallback)
-    joined = pages.select(page, F.col(html).alias("__h"), F.col(url).alias("__u"), F.col(layout).alias("layout")).join(specs, "layout")
-    # Neighbouring pages of one layout share compiled patterns.
-    joined = joined.sortWithinPartitions("layout")
+    joined = pages.select(page, F.col(html).alias("__h"), F.col(url).alias("__u"), layout_tries(F.col(layout), fallback).alias("tries"))
     item = "array<struct<title: string, event_date: date, url: string, program: string>>"
 
     def recent(items: Column) -> Column:

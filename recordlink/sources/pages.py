@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5, name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,20 +18,54 @@ BLOCK_EDGE = r"(?i)</?(?:div|li|tr|td|p|article|section|table|ul|ol|nav|h[1-6]|b
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute in the text of a tag, NULL when it is not there."""
-    found = F.regexp_extract(tag, rf"""(?is)^[^>]*?\b{name}\s*=\s*["']([^"']*)["']""", 1)
-    return F.when(tag.rlike(rf"""(?is)^[^>]*?\b{name}\s*=\s*["']"""), found)
+    """Value of an attribute (quoted or not) in the text of a tag, as written; NULL when it is not there."""
+    raw = F.regexp_extract(tag, rf"""(?is)^[^>]*?(?<![\w-]){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.when(raw != "", F.regexp_replace(raw, r"""^["']|["']$""", ""))
+
+
+def undecoded(html: Column) -> Column:
+    """Text of a fragment with its entities as written, enough to look for words."""
+    return F.regexp_replace(html, r"(?s)<[^>]*>", " ")
 
 
 def plain(html: Column) -> Column:
-    """Visible text of a fragment: tags become blanks, common entities are decoded, blanks are squeezed."""
-    return F.trim(F.regexp_replace(decode_entities(F.regexp_replace(html, r"(?s)<[^>]*>", " ")), r"\s+", " "))
+    """Visible text of a fragment: tags become blanks, entities are decoded, blanks are squeezed."""
+    return F.trim(F.regexp_replace(decode_entities(undecoded(html)), r"\s+", " "))
+
+
+# Named characters by the rule of the HTML standard library table; a non-breaking blank reads as a blank.
+NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+# Names that browsers also accept without a semicolon.
+BARE = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+REFERENCE = rf"^(#[0-9]{{1,7}};?|#[xX][0-9a-fA-F]{{1,6}};?|[A-Za-z][A-Za-z0-9]*;|(?:{'|'.join(BARE)}))"
+
+
+def _character(code: Column) -> Column:
+    valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    number = F.when(~valid, 0xFFFD).when(code == 160, 32).otherwise(code)
+    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
 
 
 def decode_entities(c: Column) -> Column:
-    for entity, char in [("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Named and numeric character references, each decoded once. An unknown name stays as it is."""
+    table = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def value_of(name: Column) -> Column:
+        hexadecimal = F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("bigint")
+        code = F.when(name.rlike("^#[xX]"), hexadecimal).otherwise(F.substr(name, F.lit(2)).try_cast("bigint"))
+        return F.when(name.startswith("#"), let(code, _character)).otherwise(F.try_element_at(table, name))
+
+    def one(piece: Column) -> Column:
+        def after(ref: Column) -> Column:
+            return F.concat(let(F.rtrim(ref, F.lit(";")), value_of), F.substr(piece, F.length(ref) + 1))
+
+        return F.coalesce(let(F.regexp_extract(piece, REFERENCE, 1), after), F.concat(F.lit("&"), piece))
+
+    def decoded(pieces: Column) -> Column:
+        rest = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), one)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
+
+    return let(c, lambda v: F.when(F.contains(v, F.lit("&")), let(F.split(v, "&"), decoded)).otherwise(v))
 
 
 def anchors(html: Column) -> Column:
@@ -69,7 +105,7 @@ def links(html: Column, base: Column) -> Column:
     """Anchors with a usable link, first per absolute URL: pos, href, abs_url, text, tag, before, after."""
 
     def described(a: Column) -> Column:
-        href = F.coalesce(attribute(a["tag"], "href"), F.lit(""))
+        href = decode_entities(F.coalesce(attribute(a["tag"], "href"), F.lit("")))
         return F.struct(
             href.alias("href"), urls.absolutize_url(href, base).alias("abs_url"), plain(a["inner"]).alias("text"),
             a["tag"].alias("tag"), a["inner"].alias("inner"), a["before"].alias("before"), a["line"].alias("line"),
@@ -95,7 +131,7 @@ def page_links(pages: DataFrame, page: str, html: str, url: str) -> DataFrame:
 
 def has_testimony_signal(link: Column) -> Column:
     """Testimony words in the link text, its title or aria-label, or in the line around it."""
-    pieces = [link["text"], attribute(link["tag"], "title"), attribute(link["tag"], "aria-label"), plain(link["line"])]
+    pieces = [link["text"], attribute(link["tag"], "title"), attribute(link["tag"], "aria-label"), undecoded(link["line"])]
     return F.concat_ws(" | ", *pieces).rlike(fv.TESTIMONY_PATTERN)
 
 

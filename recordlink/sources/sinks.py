@@ -87,8 +87,8 @@ def alert_lines(failing: DataFrame, key: str, source: str, as_of: str) -> DataFr
     return failing.select(dates.as_date(as_of).alias("alert_date"), message.alias("message"))
 
 
-def alert_append(failing: DataFrame, key: str, source: str, as_of: str, path: str) -> DataFrame:
-    """Append the alert blocks to the folder of their day and return them."""
+def alert_append(failing: DataFrame, key: str, source: str, as_of: str, path: str, run: str = "0") -> DataFrame:
+    """Write the alert blocks to the folder of their day and run, and return them. A retried run overwrites its own."""
     lines = alert_lines(failing, key, source, as_of)
-    lines.write.mode("append").partitionBy("alert_date").text(path)
+    lines.select("message").write.mode("overwrite").text(f"{path}/alert_date={as_of[:10]}/run={run}")
     return lines

@@ -112,12 +112,24 @@ def stream_failure_streak(stream: DataFrame, key: str, ts: str, tie: str, ok: Co
         state = session.read.parquet(f"{root}/state/v={batch_id}")
         crossed = state.filter((F.col("streak") >= threshold) & (F.col("streak_before") < threshold))
         crossed.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
-        write.last = batch_id
 
-    write.last = 0
     run_to_end(stream, root, "append", write)
-    state = spark.read.parquet(f"{root}/state/v={write.last}").drop("streak_before")
-    return state, _read_out(spark, root)
+    last = newest_version(spark, f"{root}/state")
+    if last is None:
+        none = fold_streaks(None, spark.createDataFrame([], stream.schema), key, ts, tie, ok)
+        return none.drop("streak_before"), none
+    return spark.read.parquet(f"{root}/state/v={last}").drop("streak_before"), _read_out(spark, root)
+
+
+def newest_version(spark: SparkSession, folder: str) -> int | None:
+    """Highest n of the complete `v=n` folders, by the store itself: a restarted job knows no more than that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return None
+    found = [s.getPath() for s in store.listStatus(path)]
+    done = [p for p in found if store.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max((int(p.getName().split("=")[1]) for p in done), default=None)
 
 
 def stream_health_counts(stream: DataFrame, ts: str, status: str, size: str, slide: str | None, delay: str, root: str) -> DataFrame:

@@ -120,14 +120,13 @@ def test_keys(many):
 
 
 def test_cost(spark):
-    prices = cost.price_table(spark)
     df = spark.createDataFrame([("openai/gpt-4o-mini", 1_000_000, 500_000)], "m string, i bigint, o bigint")
-    assert cost.token_cost(df, "m", "i", "o", prices).first()["cost_usd"] == 0.45
+    assert cost.token_cost(df, "m", "i", "o").first()["cost_usd"] == 0.45
     bad = spark.createDataFrame([("nobody/none", 1, 1)], "m string, i bigint, o bigint")
     with pytest.raises(Exception, match="unknown model"):
-        cost.token_cost(bad, "m", "i", "o", prices).collect()
+        cost.token_cost(bad, "m", "i", "o").collect()
     with pytest.raises(ValueError):
-        cost.price_table(spark, [("m", -1.0, 0.0)])
+        cost.price_maps([("m", -1.0, 0.0)])
 
 
 def test_retry_plan(spark):
