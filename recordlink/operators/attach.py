@@ -6,7 +6,7 @@ choice of a best partner is an aggregate, so a block of copies is neither paired
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
@@ -59,15 +59,36 @@ def attach_date_similar(
     video_title: str, video_ord: str, video_url: str, video_duration: str,
     threshold: float = fv.STREAM_SIMILARITY, long_s: int = fv.MIN_STREAM_SECONDS,
 ) -> DataFrame:
-    """Match full streams by date and title; a match overwrites the record's URL, the last stream wins.
+    """Match full streams by date and title, each record to one stream at most.
 
-    Records that already have a long video are no candidates.
+    Streams choose in order: each takes the most similar record of its date (first in order on a tie) that has no long
+    video yet and that no earlier stream has taken; the record's URL and duration are overwritten. Streams shorter than
+    `long_s` take no part. The choice in order equals deferred acceptance in which every record prefers the earliest
+    stream, so it is found in rounds: every stream without a record asks for its best one that no earlier stream holds.
     """
     has_long = F.nullif(F.col(url), F.lit("")).isNotNull() & (F.coalesce(F.col(duration), F.lit(0)) >= long_s)
-    matched = best_similar(records.filter(~has_long), videos, [date], title, ord_col, video_title, video_ord, threshold)
-    v = videos.select(F.col(video_ord).alias("video"), F.struct(F.col(video_url).alias("u"), F.col(video_duration).alias("s")).alias("__v"))
-    last = matched.join(v, "video").groupBy("record").agg(F.max_by("__v", "video").alias("__v"))
-    out = records.join(last, records[ord_col] == last["record"], "left").drop("record")
+    streams = videos.filter(F.col(video_duration) >= long_s)
+    vid = streams.select(date, text.token_set(F.col(video_title)).alias("tokens"), F.col(video_ord).alias("__video"))
+    rec = records.filter(~has_long).select(date, text.token_set(F.col(title)).alias("tokens"), F.col(ord_col).alias("__rec"))
+    # of records with one title no more can be taken than there are streams on the day
+    day = vid.groupBy(date).agg(F.count("*").alias("__streams"))
+    place = F.row_number().over(Window.partitionBy(date, "tokens").orderBy("__rec"))
+    rec = rec.join(day, date).withColumn("__place", place).filter(F.col("__place") <= F.col("__streams")).select(date, "tokens", "__rec")
+    pairs = similar_pairs(vid, rec, [date], threshold, ["__video"], ["__rec"])
+    pairs = materialize(pairs.select(F.col("__video").alias("video"), F.col("__rec").alias("record"), "sim"))
+    held = records.sparkSession.createDataFrame([], pairs.select("record", "video").schema)
+    while True:
+        taken = held.select("record", F.col("video").alias("__holder"))
+        free = pairs.join(held.select("video"), "video", "left_anti").join(taken, "record", "left")
+        free = free.filter(F.col("__holder").isNull() | (F.col("__holder") > F.col("video")))
+        asked = free.groupBy("video").agg(F.max_by("record", F.struct("sim", -F.col("record"))).alias("record"))
+        after = materialize(held.unionByName(asked.select("record", "video")).groupBy("record").agg(F.min("video").alias("video")))
+        if after.exceptAll(held).isEmpty():
+            break
+        held = after
+    v = streams.select(F.col(video_ord).alias("video"), F.struct(F.col(video_url).alias("u"), F.col(video_duration).alias("s")).alias("__v"))
+    won = held.join(v, "video").select("record", "__v")
+    out = records.join(won, records[ord_col] == won["record"], "left").drop("record")
     return (
         out.withColumn(url, F.coalesce(F.col("__v.u"), F.col(url)))
         .withColumn(duration, F.coalesce(F.col("__v.s"), F.col(duration)))
@@ -88,6 +109,7 @@ def attach_two_tier(
     def words(c: str) -> Column:
         return F.array_sort(F.array_distinct(text.significant_words(F.col(c))))
 
+    videos = videos.filter(F.nullif(F.col(video_url), F.lit("")).isNotNull() & F.col(date).isNotNull())
     recs = records.select(key, date, F.col(ord_col).alias("__rec"), words(title).alias("words"))
     vids = videos.select(key, date, F.col(video_ord).alias("video"), words(video_title).alias("words"))
 

@@ -174,11 +174,22 @@ def q_attached_clips(spark, sf):
     return listed.withColumn("sim", F.round("sim", 4))
 
 
+_SIMILAR = f"""p AS (SELECT * FROM (SELECT c.d, clip, rec, {s.jaccard('rt', 'ctk')} AS sim FROM (SELECT *, {s.token_set('t')} AS rt FROM recs WHERE NOT (url <> '' AND coalesce(dur, 0) >= 1800)) r
+    JOIN (SELECT *, {s.token_set('ct')} AS ctk FROM clips) c ON r.d = c.d) WHERE sim >= 0.10)"""
+
+
 @query(
     "attach_date_similar",
-    f"""WITH {CLIPS}, {best_sql('r.d = c.d', 0.10, "NOT (url <> '' AND coalesce(dur, 0) >= 1800)")}
-    SELECT recs.rec, coalesce(u1, url) AS url, CASE WHEN u1 IS NULL THEN dur ELSE 2000 END AS dur FROM recs
-    LEFT JOIN (SELECT rec, last(u ORDER BY clip) AS u1 FROM m GROUP BY 1) x ON recs.rec = x.rec""",
+    # one stream after the other, each with the list of records that are gone
+    f"""WITH RECURSIVE {CLIPS}, {_SIMILAR}, v AS (SELECT d, clip, u, row_number() OVER (PARTITION BY d ORDER BY clip) AS i FROM clips),
+    s(d, i, clip, gone, won) AS (
+      SELECT DISTINCT d, 0::BIGINT, NULL::BIGINT, []::BIGINT[], NULL::BIGINT FROM v
+      UNION ALL
+      SELECT d, i, clip, CASE WHEN won IS NULL THEN gone ELSE list_append(gone, won) END, won FROM (
+        SELECT s.d, v.i, v.clip, s.gone, first(p.rec ORDER BY p.sim DESC, p.rec) FILTER (p.rec IS NOT NULL AND NOT list_contains(s.gone, p.rec)) AS won
+        FROM s JOIN v ON v.d = s.d AND v.i = s.i + 1 LEFT JOIN p ON p.clip = v.clip GROUP BY 1, 2, 3, 4))
+    SELECT recs.rec, coalesce(x.u, url) AS url, CASE WHEN x.u IS NULL THEN dur ELSE 2000 END AS dur FROM recs
+    LEFT JOIN (SELECT won, u FROM s JOIN clips USING (clip) WHERE won IS NOT NULL) x ON recs.rec = x.won""",
 )
 def q_attach_date_similar(spark, sf):
     recs, clips = rec_and_clips(spark, sf)

@@ -281,3 +281,34 @@ def test_best_overlap_equals_all_pairs(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert got == want
+
+
+def by_turns(recs, streams):
+    """One stream after the other takes the most similar record of its day that is still free."""
+    words = lambda t: {w for w in t.lower().split() if len(w) > 2}
+    gone, won = {r for r, _, _, url, dur in recs if url and (dur or 0) >= 1800}, {}
+    for v, d, title, _, dur in sorted(streams):
+        if dur < 1800:
+            continue
+        found = [(-jaccard(words(t), words(title)), r) for r, day, t, _, _ in recs if day == d and r not in gone]
+        found = sorted(x for x in found if -x[0] >= 0.10)
+        if found:
+            gone.add(found[0][1])
+            won[found[0][1]] = f"u{v}"
+    return won
+
+
+def test_streams_take_records_in_turn(spark):
+    rng = random.Random(11)
+    vocab = "otter heron peat moss weir canal lamp stone mill ferry".split()
+    title = lambda: " ".join(rng.sample(vocab, rng.randint(1, 4)))
+    recs = [(i, f"d{i % 3}", title(), rng.choice(["", "own"]), rng.choice([None, 900, 2400])) for i in range(40)]
+    recs += [(100, "d9", "peat moss", "", None), (101, "d9", "peat moss weir", "", None)]
+    streams = [(i, f"d{i % 3}", title(), f"u{i}", rng.choice([600, 1800, 4000])) for i in range(30)]
+    streams += [(200, "d9", "peat moss", "u200", 2000), (201, "d9", "peat moss", "u201", 2000), (202, "d9", "peat moss", "u202", 2000)]
+    r = spark.createDataFrame(recs, "rec bigint, d string, t string, url string, dur int")
+    v = spark.createDataFrame(streams, "clip bigint, d string, ct string, u string, ud int")
+    out = attach.attach_date_similar(r, v, "d", "t", "rec", "url", "dur", "ct", "clip", "u", "ud").collect()
+    won = by_turns(recs, streams)
+    assert {x["rec"]: x["url"] for x in out} == {i: won.get(i, url) for i, _, _, url, _ in recs}
+    assert won[100] == "u200" and won[101] == "u201"
