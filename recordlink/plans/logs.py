@@ -218,14 +218,14 @@ def q_record_upsert(spark, sf):
 
 @query(
     "insert_if_absent",
-    """SELECT user_id, event_id FROM (SELECT user_id, min(event_id) AS event_id FROM events WHERE event_type = 'purchase' AND value > 20 GROUP BY 1)
-    UNION ALL SELECT user_id, first(event_id ORDER BY ts, event_id) FROM events WHERE event_type = 'click'
-      AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 20) GROUP BY 1""",
+    """SELECT user_id, event_id FROM (SELECT user_id, min(event_id) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY 1)
+    UNION ALL SELECT user_id, first(event_id ORDER BY ts, event_id) FROM events WHERE event_type <> 'purchase'
+      AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase') GROUP BY 1""",
 )
 def q_insert_if_absent(spark, sf):
     ev = table(spark, sf, "events")
-    stored = ev.filter("event_type = 'purchase' AND value > 20").groupBy("user_id").agg(F.min("event_id").alias("event_id"))
-    new = ev.filter("event_type = 'click'").select("user_id", "event_id", "ts")
+    stored = ev.filter("event_type = 'purchase'").groupBy("user_id").agg(F.min("event_id").alias("event_id"))
+    new = ev.filter("event_type <> 'purchase'").select("user_id", "event_id", "ts")
     return folds.insert_if_absent(stored, new, "user_id", ["ts", "event_id"])
 
 

@@ -213,11 +213,10 @@ def q_attach_two_tier(spark, sf):
     return out.select("rec", "url")
 
 
-@query("unmatched_videos", f"WITH {CLIPS} SELECT clip, u FROM clips WHERE d NOT IN (SELECT d FROM recs WHERE t LIKE '%ring%')")
+@query("unmatched_videos", f"WITH {CLIPS} SELECT clip, u FROM clips WHERE d NOT IN (SELECT d FROM recs)")
 def q_unmatched_videos(spark, sf):
     recs, clips = rec_and_clips(spark, sf)
-    narrow = recs.filter("t LIKE '%ring%'")
-    _, rest = attach.attach_two_tier(narrow, clips, "k", "d", "t", "rec", "url", "ct", "clip", "u")
+    _, rest = attach.attach_two_tier(recs, clips, "k", "d", "t", "rec", "url", "ct", "clip", "u")
     return rest.select("clip", "u")
 
 

@@ -52,7 +52,7 @@ def q_delimited_listing(spark, sf):
 
 @query(
     "api_page_flatten",
-    """SELECT event_id AS page, 'e' || event_id AS event_id, 'https://api.example.org/' || user_id AS url, 1::BIGINT AS people FROM events WHERE event_type <> 'error'
+    """SELECT event_id AS page, 'e' || event_id AS event_id, 'https://api.example.org/' || user_id AS url, CASE WHEN value > 0 THEN 1::BIGINT ELSE 0 END AS people FROM events WHERE event_type <> 'error'
     UNION ALL SELECT event_id, 'x' || event_id, 'https://api.example.org/x', 0 FROM events WHERE value > 10""",
 )
 def q_api_page_flatten(spark, sf):
@@ -66,7 +66,7 @@ def q_api_page_flatten(spark, sf):
     first = item(F.when(F.col("event_type") != "error", F.concat(F.lit("e"), eid)), F.concat(F.lit("https://api.example.org/"), user), person)
     second = item(F.concat(F.lit("x"), eid), F.when(F.col("value") > 10, "https://api.example.org/x").otherwise(""), nobody)
     body = F.to_json(F.struct(F.struct(F.array(first, second).alias("meetings")).alias("data")))
-    answers = table(spark, sf, "events").filter("value > 0").select(F.col("event_id").alias("page"), body.alias("body"))
+    answers = table(spark, sf, "events").select(F.col("event_id").alias("page"), body.alias("body"))
     schema = "data struct<meetings: array<struct<eventId: string, url: string, witnesses: array<struct<name: string, position: string, organization: string>>>>>"
     out = listings.api_page_flatten(answers, "body", schema, "data.meetings", ["eventId", "url"], ["page"])
     people = F.size(listings.non_empty_people(F.col("witnesses"))).cast("bigint")
