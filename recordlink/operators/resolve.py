@@ -216,12 +216,13 @@ def merge_pairs(df: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def resolve_all(
     sources: DataFrame, dim: DataFrame, dim_key: str, dim_name: str, dim_code: str, as_of: str, days: int | None = None,
-    clips: DataFrame | None = None,
+    clips: DataFrame | None = None, streams: DataFrame | None = None,
 ) -> DataFrame:
     """Filter, merge and enrich all source records to one row per event.
 
     `dim` names the blocks and holds the code used for stream names; `clips` has (clip, block_key,
-    event_date, title, url).
+    event_date, title, url); `streams` has (stream, event_date, title, url, duration) and comes after the clips: a full
+    stream overwrites the video of the one record that it is matched to.
     """
     kept = filters.procedural_filter(sources, "title", F.col("has_video"))
     if days is not None:
@@ -232,6 +233,11 @@ def resolve_all(
     out = merged.withColumn("video_url", F.try_element_at("sources", F.lit("video_id")))
     if clips is not None:
         out, _ = attach.attach_best_similar(out, clips, "block_key", "event_date", "title", "rec", "video_url", "title", "clip", "url")
+    if streams is not None:
+        out = materialize(out.withColumn("video_duration", F.lit(None).cast("int")))
+        out = attach.attach_date_similar(
+            out, streams, "event_date", "title", "rec", "video_url", "video_duration", "title", "stream", "url", "duration"
+        )
     names = dim.select(F.col(dim_key).alias("block_key"), F.col(dim_name).alias("block_name"), F.col(dim_code).alias("__code"))
     out = out.join(names, "block_key", "left").withColumn("block_name", F.coalesce("block_name", "block_key"))
     out = out.withColumn("__group", keys.group_of_key(F.col("block_key"))).withColumn("__old", F.lit(None).cast("string"))

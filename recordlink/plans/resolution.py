@@ -107,7 +107,7 @@ def q_dedup_fuzzy(spark, sf):
 
 @query("resolve_all", resolvesql.RESOLVE)
 def q_resolve_all(spark, sf):
-    """Flagship: three overlapping sources and their clips to one row per event."""
+    """Flagship: three overlapping sources, their clips and full streams to one row per event."""
     rec = record_list(spark, sf)
     clips = base_records(spark, sf).filter("o_orderstatus = 'P'").select(
         F.col("o_orderkey").alias("clip"), F.col("k").alias("block_key"), F.col("d").alias("event_date"),
@@ -117,9 +117,13 @@ def q_resolve_all(spark, sf):
         F.concat(F.when(F.col("n_nationkey") < 12, "house.n").otherwise("senate.n"), F.col("n_nationkey").cast("string")).alias("k"),
         "n_name", F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("code"),
     )
-    out = resolve.resolve_all(rec, dim, "k", "n_name", "code", "2002-01-01", clips=clips)
+    streams = base_records(spark, sf).filter("o_orderpriority = '1-URGENT'").select(
+        F.col("o_orderkey").alias("stream"), F.col("d").alias("event_date"), F.concat(F.lit("Whole session "), "t").alias("title"),
+        F.concat(F.lit("stream"), F.col("o_orderkey").cast("string")).alias("url"), F.lit(3600).alias("duration"),
+    )
+    out = resolve.resolve_all(rec, dim, "k", "n_name", "code", "2002-01-01", clips=clips, streams=streams)
     return sources_text(out).select(
-        "record_id", "rec", "block_key", "block_name", "title", "event_date", "authority", "sources", "video_url", "n_clips",
+        "record_id", "rec", "block_key", "block_name", "title", "event_date", "authority", "sources", "video_url", "video_duration", "n_clips",
         "stream_comm", "stream_file", "slug",
     )
 

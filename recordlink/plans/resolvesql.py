@@ -87,17 +87,29 @@ DEDUP = f"""WITH RECURSIVE {s.RECORDS}, {start()}, {exact(0)}, {fuzzy(1)}
 SELECT rec, block_key, title, event_date, authority, has_video, n_merged, sources FROM r2 JOIN ({sources_text(2)}) USING (rec)"""
 
 _CLIP_SIM = s.jaccard("toks", "ctoks")
+_STREAM_SIM = s.jaccard("toks", "stoks")
 RESOLVE = f"""WITH RECURSIVE {s.RECORDS}, {start()}, {exact(0)}, {fuzzy(1)}, {cross_key(2)}, {adjacent(3)},
   vid AS (SELECT rec, v AS video FROM s4 WHERE source = 'video_id'),
   clips AS (SELECT o_orderkey AS clip, k, d, {s.token_set("'Opening statement ' || t")} AS ctoks FROM base WHERE o_orderstatus = 'P'),
   hit AS (SELECT clip, first(rec ORDER BY sim DESC, rec) AS rec FROM (SELECT clip, rec, {_CLIP_SIM} AS sim
     FROM (SELECT *, {s.token_set('title')} AS toks FROM r4) JOIN clips ON block_key = k AND event_date = d) WHERE sim >= 0.15 GROUP BY clip),
   got AS (SELECT rec, first('clip' || clip ORDER BY clip) AS url, count(*) AS n FROM hit GROUP BY rec),
-  named AS (SELECT r4.*, sources, coalesce(video, url) AS video_url, coalesce(n, 0) AS n_clips, n_name, 'n' || n_nationkey AS code
-    FROM r4 JOIN ({sources_text(4)}) USING (rec) LEFT JOIN vid USING (rec) LEFT JOIN got USING (rec)
+  streams AS (SELECT o_orderkey AS stream, d, {s.token_set("'Whole session ' || t")} AS stoks, row_number() OVER (PARTITION BY d ORDER BY o_orderkey) AS i
+    FROM base WHERE o_orderpriority = '1-URGENT'),
+  fits AS MATERIALIZED (SELECT stream, rec, sim FROM (SELECT stream, rec, {_STREAM_SIM} AS sim
+    FROM (SELECT rec, event_date, {s.token_set('title')} AS toks FROM r4) JOIN streams ON event_date = d) WHERE sim >= 0.10),
+  turn(d, i, stream, gone, won) AS (
+    SELECT DISTINCT d, 0::BIGINT, NULL::BIGINT, []::BIGINT[], NULL::BIGINT FROM streams
+    UNION ALL
+    SELECT d, i, stream, CASE WHEN won IS NULL THEN gone ELSE list_append(gone, won) END, won FROM (
+      SELECT turn.d, streams.i, streams.stream, turn.gone, first(fits.rec ORDER BY sim DESC, fits.rec) FILTER (fits.rec IS NOT NULL AND NOT list_contains(turn.gone, fits.rec)) AS won
+      FROM turn JOIN streams ON streams.d = turn.d AND streams.i = turn.i + 1 LEFT JOIN fits ON fits.stream = streams.stream GROUP BY 1, 2, 3, 4)),
+  full_video AS (SELECT won AS rec, 'stream' || stream AS surl FROM turn WHERE won IS NOT NULL),
+  named AS (SELECT r4.*, sources, coalesce(surl, video, url) AS video_url, CASE WHEN surl IS NOT NULL THEN 3600 END AS video_duration, coalesce(n, 0) AS n_clips, n_name, 'n' || n_nationkey AS code
+    FROM r4 JOIN ({sources_text(4)}) USING (rec) LEFT JOIN vid USING (rec) LEFT JOIN got USING (rec) LEFT JOIN full_video USING (rec)
     LEFT JOIN nation ON block_key = CASE WHEN n_nationkey < 12 THEN 'house.n' ELSE 'senate.n' END || n_nationkey)
 SELECT left(sha256(concat_ws(':', block_key, strftime(event_date, '%Y-%m-%d'), {s.norm_title('title')})), 12) AS record_id, rec, block_key,
-  coalesce(n_name, block_key) AS block_name, title, event_date, authority, sources, video_url, n_clips,
+  coalesce(n_name, block_key) AS block_name, title, event_date, authority, sources, video_url, video_duration, n_clips,
   CASE WHEN starts_with(block_key, 'senate.') THEN code END AS stream_comm,
   CASE WHEN starts_with(block_key, 'senate.') THEN code || strftime(event_date, '%m%d%y') END AS stream_file,
   split_part(block_key, '.', 1) || '-' || replace(split_part(block_key, '.', 2), '_', '-') || '-' ||
