@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CELL_BYTES = 8 << 20
@@ -23,8 +23,11 @@ ANSWERS = "cell int, bucket int, kind int, answer binary"
 
 def cell_count(docs: DataFrame, cell_bytes: int = CELL_BYTES) -> int:
     """Cells for all the text there is; small tables still give every core some."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells_for(docs.sparkSession, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, cell_bytes)
+
+
+def cells_for(spark: SparkSession, total: int, cell_bytes: int = CELL_BYTES) -> int:
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(1, math.ceil(total / cell_bytes), min(width, math.ceil(total / (256 << 10))))
 
 

@@ -5,9 +5,14 @@ Jaccard similarity reaches the threshold share a word among the rarest few of ea
 (length filter), and enough words must be left behind the shared one (positional filter). What passes is verified on the
 full sets, and a line goes if any earlier line, in (doc_id, line number) order, matches it.
 
-Lines with equal sets are one class, known by its first position. Lists of prefix words are not paired out: first each
-member is held against the earliest of its list; only members that this leaves without an earlier match are then held
-against all earlier ones, in blocks of bounded size, behind a bitmap bound of the difference of two sets.
+Lines with equal sets are one class, known by its first position. Three steps keep the join small:
+- rarity comes from a table of word counts over all lines, hashed to a fixed number of counters; two words that share
+  a counter only share a place in the order, which stays one and the same for all lines;
+- the cells send each class's prefix words with its size and a bitmap of its words, and learn per word whether any
+  other class in that list can match (length filter, bitmap bound of the difference of two sets). Only classes with such
+  a word, and copies, become rows;
+- the lists of these rows are not paired out: first each member is held against the earliest of its list; only members
+  that this leaves without an earlier match are then held against all earlier ones, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -20,13 +25,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlink.llm.cells import PACKED, answered, ask, bucket_count, cell_count, pack
-from recordlink.llm.near_dedup import merge_counts
+from recordlink.llm.cells import PACKED, answered, ask, bucket_count, cells_for, pack
 from recordlink.llm.scratch import keep
 from recordlink.llm.textblock import group_starts, mix, row_slices, signed, text_bytes, white_words
 
-COUNTS = 1
+ALIVE = 1
 BITMAP = 64  # bytes
+COUNTERS = 1 << 20
+LONG = 1 << 13
 BLOCK = 2048
 
 
@@ -89,68 +95,150 @@ def _bucket(key: np.ndarray, n_buckets: int) -> np.ndarray:
     return ((key >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
 
 
-def _questions(lines: Lines, picked: np.ndarray, counts: np.ndarray):
-    """Distinct words of the classes and how many classes hold each; then the classes and how many lines each has."""
-    at = np.concatenate([np.arange(lines.edges[i], lines.edges[i + 1]) for i in picked]) if len(picked) else np.zeros(0, np.int64)
-    words, times = np.unique(lines.word[at], return_counts=True)
-    keys = np.concatenate([words, mix(lines.h1[picked] ^ lines.h2[picked] * np.uint64(3))])
-    return at, words, keys, np.minimum(np.concatenate([times, counts]), 65535).astype(np.uint16)
-
-
 def _prefix(size: np.ndarray, percent: int) -> np.ndarray:
     return size - -(-size * percent // 100) + 1
 
 
-def _bitmap(words: np.ndarray) -> bytes:
+def _bitmap(words: np.ndarray) -> np.ndarray:
     bits = np.zeros(BITMAP * 8, np.uint8)
     bits[(words & np.uint64(BITMAP * 8 - 1)).astype(np.int64)] = 1
-    return np.packbits(bits).tobytes()
+    return np.packbits(bits).view(np.int64)
 
 
-CLASS_ROWS = "cell int, h1 long, h2 long, doc_id long, sub long, line int, n int, words binary, postings array<bigint>, places array<int>, bits binary"
+CLASS_ROWS = "cell int, h1 long, h2 long, doc_id long, sub long, line int, n int, words binary, postings array<bigint>, places array<int>, bits array<bigint>"
 FIELDS = [
     ("cell", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("sub", pa.int64()), ("line", pa.int32()), ("n", pa.int32()),
-    ("words", pa.binary()), ("postings", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("bits", pa.binary()),
+    ("words", pa.binary()), ("postings", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("bits", pa.list_(pa.int64())),
 ]
 
 
-def shared_lines(cells: DataFrame, n_buckets: int, percent: int) -> DataFrame:
+ENTRY = np.dtype([("h", "u4"), ("h_more", "u2"), ("low", "u8"), ("high", "u4"), ("n", "u2")])  # a class: fingerprint, bitmap, size
+
+
+def word_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Rank of each counter by how often its words occur, over all rows, and the bytes of all texts.
+
+    `COUNTERS` numbers, whatever the size of the table.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS + 1, np.int64)
+        for batch in batches:
+            data, offsets = text_bytes(batch["text"])
+            total[COUNTERS] += len(data)
+            for a, b in row_slices(offsets):
+                _, _, words = white_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                np.add.at(total, (words & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+        full = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], ["counter", "n"])
+
+    rows = docs.select("text").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    found = rows.toArrow()  # at most COUNTERS pairs of numbers
+    total = np.zeros(COUNTERS + 1, np.int64)
+    total[np.asarray(found["counter"])] = np.asarray(found["n"])
+    total, size = total[:COUNTERS], int(total[COUNTERS])
+    # only the order matters: the rank of the count, in 16 bits
+    return (np.searchsorted(np.sort(total), total) >> max(0, COUNTERS.bit_length() - 17)).astype(np.uint16), size
+
+
+class Ordered:
+    """The classes of a cell with their words by rarity, and the words of their prefixes."""
+
+    def __init__(self, group: pa.Table, rarity: np.ndarray, percent: int):
+        self.lines = lines = Lines(group["text"])
+        self.picked, self.copies = lines.classes(_ranks(group)[0])
+        size = lines.size[self.picked]
+        at = np.repeat(lines.edges[self.picked] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
+        word, owner = lines.word[at], np.repeat(np.arange(len(size)), size)
+        heads = self.edges_of(size)[:-1]
+        place = (word >> np.uint64(32)) % np.uint64(96)
+        bit = np.uint64(1) << (place % np.uint64(64))
+        low, high = (np.bitwise_or.reduceat(np.where(place // np.uint64(64) == half, bit, np.uint64(0)), heads) if len(size) else bit for half in (0, 1))
+        # lines are in the order of their words' fingerprints: a stable sort by rarity within the line breaks ties alike everywhere
+        order = np.argsort((owner.astype(np.uint64) << np.uint64(16)) | rarity[(word & np.uint64(COUNTERS - 1)).astype(np.int64)], kind="stable")
+        self.word, self.owner = word[order], owner
+        self.edges = self.edges_of(size)
+        place = np.arange(len(word)) - self.edges[owner]
+        self.posted = np.flatnonzero((place < _prefix(size, percent)[owner]) & (size[owner] > 3))
+        self.place = place
+        # entries: the words of the prefixes, then the classes themselves (to learn of copies)
+        of = np.concatenate([owner[self.posted], np.arange(len(size))])
+        self.keys = np.concatenate([mix(self.word[self.posted]), mix(lines.h1[self.picked] ^ np.uint64(0x5555AAAA5555AAAA))])
+        self.entries = np.empty(len(of), ENTRY)
+        h = lines.h1[self.picked]
+        self.entries["h"], self.entries["h_more"] = h.astype(np.uint32)[of], (h >> np.uint64(32)).astype(np.uint16)[of]
+        self.entries["low"], self.entries["high"], self.entries["n"] = low[of], high.astype(np.uint32)[of], np.minimum(size, 65535)[of]
+        own = self.entries[len(self.posted) :]
+        own["low"] = own["high"] = 0  # the mark of a class entry
+        own["n"] = np.minimum(self.copies, 2)
+
+    @staticmethod
+    def edges_of(size: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+
+
+def merge_lists(percent: int):
+    """Whether an entry has another class in its list that passes the filters; for a class entry, whether it has copies."""
+
+    def merge(key: np.ndarray, entry: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        order = np.argsort((key.astype(np.uint64) << np.uint64(32)) | entry["n"])
+        k, low, high = key[order], entry["low"][order], entry["high"][order]
+        h = entry["h"][order].astype(np.uint64) | (entry["h_more"][order].astype(np.uint64) << np.uint64(32))
+        n, alive = entry["n"][order].astype(np.int64), np.zeros(len(k), bool)
+        is_class = (low == 0) & (high == 0)
+        heads = group_starts(k)
+        if not len(heads):
+            return np.zeros(0, np.uint8)
+        count = np.diff(np.append(heads, len(k)))
+        copies = np.add.reduceat(np.where(is_class, n, 0), heads)
+        alive |= is_class & np.repeat(copies > 1, count)
+        # long lists go on unfiltered: the blocks of the next step are made for them
+        long_list = np.repeat(count > LONG, count)
+        alive |= long_list & ~is_class
+        left = np.repeat(heads + count, count) - np.arange(len(k)) - 1  # entries that follow in the list
+        shift, at = 1, np.flatnonzero((left > 0) & ~long_list & ~is_class)
+        while len(at):
+            to = at + shift
+            near = n[at] * 100 >= n[to] * percent  # sizes ascend: once too far apart, for good
+            at, to = at[near], to[near]
+            far = (np.bitwise_count(low[at] ^ low[to]) + np.bitwise_count(high[at] ^ high[to])).astype(np.int64)
+            fits = (h[at] != h[to]) & (far * (100 + percent) <= (100 - percent) * (n[at] + n[to]))
+            alive[at[fits]] = True
+            alive[to[fits]] = True
+            shift += 1
+            at = at[left[at] >= shift]
+        out = np.zeros(len(k), np.uint8)
+        out[order] = alive
+        return out
+
+    return merge
+
+
+def shared_lines(cells: DataFrame, n_buckets: int, percent: int, rarity: np.ndarray) -> DataFrame:
     """One row per (cell, class) that has copies or may match another class: its first position and its set by rarity."""
 
     def first_pass(group: pa.Table) -> pa.Table:
-        lines = Lines(group["text"])
-        picked, counts = lines.classes(_ranks(group)[0])
-        _, _, keys, times = _questions(lines, picked, counts)
-        return pack(group["__cell"][0].as_py(), _bucket(keys, n_buckets), n_buckets, keys.astype(np.uint32), times)[1]
+        o = Ordered(group, rarity, percent)
+        return pack(group["__cell"][0].as_py(), _bucket(o.keys, n_buckets), n_buckets, o.keys.astype(np.uint32), o.entries)[1]
 
     def second_pass(group: pa.Table, answers: pa.Table) -> pa.Table:
         if not group.num_rows:
             return pa.table({n: pa.array([], t) for n, t in FIELDS})
-        lines = Lines(group["text"])
-        picked, counts = lines.classes(_ranks(group)[0])
-        at, words, keys, _ = _questions(lines, picked, counts)
-        total = np.empty(len(keys), np.uint32)
-        order = np.argsort(_bucket(keys, n_buckets).astype(np.uint16 if n_buckets <= 1 << 16 else np.uint32), kind="stable")
-        total[order] = answered(answers, COUNTS, "u4", len(keys))
-        copies = total[len(words) :]
-        word = lines.word[at]
-        frequency = total[np.searchsorted(words, word)]
-        owner = np.repeat(np.arange(len(picked)), lines.size[picked])
-        order = np.lexsort((word, frequency, owner))
-        word, frequency = word[order], frequency[order]
-        edges = np.concatenate([[0], np.cumsum(lines.size[picked])])
-        prefix = _prefix(lines.size[picked], percent)
-        place = np.arange(len(word)) - edges[owner]
-        posted = (place < prefix[owner]) & (frequency > 1) & (lines.size[picked][owner] > 3)
-        n_posted = np.bincount(owner[posted], minlength=len(picked))
-        chosen = np.flatnonzero((n_posted > 0) | (copies > 1))
+        o = Ordered(group, rarity, percent)
+        lines, picked = o.lines, o.picked
+        alive = np.empty(len(o.keys), bool)
+        order = np.argsort(_bucket(o.keys, n_buckets).astype(np.uint16 if n_buckets <= 1 << 16 else np.uint32), kind="stable")
+        alive[order] = answered(answers, ALIVE, "u1", len(o.keys)) == 1
+        copied, posted = alive[len(o.posted) :], o.posted[alive[: len(o.posted)]]
+        n_posted = np.bincount(o.owner[posted], minlength=len(picked))
+        chosen = np.flatnonzero((n_posted > 0) | copied)
         active = n_posted[chosen] > 0
         pick = picked[chosen]
         line = lines.line[pick]
         p_edges = np.concatenate([[0], np.cumsum(n_posted)])
-        p_words, p_places = signed(word[posted]), place[posted]
+        p_words, p_places = signed(o.word[posted]), o.place[posted]
         ids = group["doc_id"].cast(pa.int64()).take(pa.array(lines.row[line]))
-        sets = [word[edges[c] : edges[c + 1]] if a else None for c, a in zip(chosen, active)]
+        sets = [o.word[o.edges[c] : o.edges[c + 1]] if a else None for c, a in zip(chosen, active)]
         return pa.table(
             {
                 "cell": pa.array(np.full(len(chosen), group["__cell"][0].as_py(), np.int32)),
@@ -163,12 +251,12 @@ def shared_lines(cells: DataFrame, n_buckets: int, percent: int) -> DataFrame:
                 "words": pa.array([None if s is None else s.tobytes() for s in sets], pa.binary()),
                 "postings": pa.array([p_words[p_edges[c] : p_edges[c + 1]] if a else None for c, a in zip(chosen, active)], pa.list_(pa.int64())),
                 "places": pa.array([p_places[p_edges[c] : p_edges[c + 1]] if a else None for c, a in zip(chosen, active)], pa.list_(pa.int32())),
-                "bits": pa.array([None if s is None else _bitmap(s) for s in sets], pa.binary()),
+                "bits": pa.array([None if s is None else _bitmap(s) for s in sets], pa.list_(pa.int64())),
             }
         )
 
     asked = cells.groupBy("__cell").applyInArrow(first_pass, PACKED)
-    answers = ask(asked, merge_counts, "u4", "u2", COUNTS)
+    answers = ask(asked, merge_lists(percent), "u4", ENTRY, ALIVE)
     return cells.groupBy("__cell").cogroup(answers.groupBy("cell")).applyInArrow(second_pass, CLASS_ROWS)
 
 
@@ -199,12 +287,14 @@ def earlier_matches(sets: DataFrame, percent: int) -> DataFrame:
     """(h1, h2) of the classes that match a class with an earlier first position."""
     members = sets.select("h1", "h2", "first", "n", "bits", F.explode(F.arrays_zip("postings", "places")).alias("p"))
     members = members.select("h1", "h2", "first", "n", "bits", F.col("p.postings").alias("key"), F.col("p.places").alias("place"))
-    head = F.min_by(F.struct("h1", "h2", "n", "place"), F.struct("first", "h1", "h2")).alias("head")
+    head = F.min_by(F.struct("h1", "h2", "n", "place", "bits"), F.struct("first", "h1", "h2")).alias("head")
     lists = members.groupBy("key").agg(F.count("*").alias("members"), head).filter("members > 1")
     joined = members.join(lists, "key").filter((F.col("h1") != F.col("head.h1")) | (F.col("h2") != F.col("head.h2")))
     need = _overlap_bound(percent, F.col("n"), F.col("head.n"))
     rest = F.least(F.col("n") - F.col("place"), F.col("head.n") - F.col("head.place")) + F.least("place", F.col("head.place"))
     stars = joined.filter((rest >= need) & (F.least("n", "head.n") * 100 >= F.greatest("n", "head.n") * percent))
+    apart = F.aggregate(F.zip_with("bits", "head.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    stars = stars.filter(apart * (100 + percent) <= (F.col("n") + F.col("head.n")) * (100 - percent))
     pairs = stars.select(F.col("h1").alias("x1"), F.col("h2").alias("x2"), F.col("head.h1").alias("y1"), F.col("head.h2").alias("y2")).distinct()
     settled = keep(verified(pairs, sets, percent), "line-matches")
     marked = members.join(settled.select(F.col("x1").alias("h1"), F.col("x2").alias("h2"), F.lit(True).alias("settled")), ["h1", "h2"], "left")
@@ -214,36 +304,71 @@ def earlier_matches(sets: DataFrame, percent: int) -> DataFrame:
     lists = lists.filter("members > 2 AND open > 1").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("h1", "h2"), F.col("blocks")).cast("int")
     blocks = marked.join(lists, "key").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    grouped = blocks.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "h1", "h2", "first", "n", "place", "bits", F.col("settled").isNotNull().alias("settled"))
-
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        order = sorted(range(group.num_rows), key=lambda i: _position(group["first"][i].as_py()))
-        group = group.take(pa.array(order, pa.int64()))
-        h1, h2, n, place, block, settled = (np.asarray(group[c]) for c in ("h1", "h2", "n", "place", "block", "settled"))
-        bits = text_bytes(group["bits"])[0].reshape(-1, BITMAP).view(np.uint64)
-        one = block.min() == block.max()
-        xs, ys = [], []
-        for i in np.flatnonzero(~settled):
-            y = np.arange(i)
-            if not one:
-                y = y[block[y] != block[i]]
-            least = -(-(n[y] + n[i]) * percent // (100 + percent))
-            y = y[np.minimum(n[y] - place[y], n[i] - place[i]) + np.minimum(place[y], place[i]) >= least]
-            far = np.bitwise_count(bits[y] ^ bits[i]).sum(1)
-            y = y[far * (100 + percent) <= (100 - percent) * (n[y] + n[i])]
-            xs += [i] * len(y)
-            ys.append(y)
-        x, y = np.array(xs, np.int64), np.concatenate(ys) if ys else np.zeros(0, np.int64)
-        return pa.table({"x1": h1[x], "x2": h2[x], "y1": h1[y], "y2": h2[y]})
-
-    found = grouped.groupBy("key", "lo", "hi").applyInArrow(compare, "x1 long, x2 long, y1 long, y2 long").distinct()
-    late = verified(found, sets, percent)
+    unit = ["key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")]
+    width = 8 * int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grp = F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(width)).alias("grp")
+    names = ["key", "lo", "hi", "block", "h1", "h2", "late", "doc_id", "sub", "line", "n", "place", "bits", "settled"]
+    flat = blocks.select(*unit, "block", "h1", "h2", "first.*", "n", "place", "bits", F.col("settled").isNotNull().alias("settled"))
+
+    def who(group: pa.Table) -> pa.Table:
+        taken = np.zeros(group.num_rows, bool)
+        for x, y in later_and_earlier(group, percent):
+            taken[x] = True
+            taken[y] = True
+        return group.select(names).filter(pa.array(taken))
+
+    def match(group: pa.Table) -> pa.Table:
+        raw, edges = text_bytes(group["words"])
+        words, edges = raw.view(np.uint64), edges // 8
+        h1, h2 = np.asarray(group["h1"]), np.asarray(group["h2"])
+        found: set[tuple[int, int]] = set()
+        for xs, ys in later_and_earlier(group, percent):
+            for x, y in zip(xs, ys):
+                if (h1[x], h2[x]) in found:
+                    continue
+                both = np.concatenate([words[edges[x] : edges[x + 1]], words[edges[y] : edges[y + 1]]])
+                both.sort(kind="stable")
+                common = int((both[1:] == both[:-1]).sum())
+                if 100 * common >= percent * (len(both) - common):
+                    found.add((h1[x], h2[x]))
+        return pa.table({"x1": pa.array([int(a) for a, _ in found], pa.int64()), "x2": pa.array([int(b) for _, b in found], pa.int64())})
+
+    schema = flat.select(*names).schema
+    needed = flat.select("*", grp).groupBy("grp").applyInArrow(who, schema)
+    full = needed.join(sets.select("h1", "h2", "words"), ["h1", "h2"]).select("*", grp)
+    late = full.groupBy("grp").applyInArrow(match, "x1 long, x2 long")
     return settled.unionByName(late).distinct().select(F.col("x1").alias("h1"), F.col("x2").alias("h2"))
 
 
-def _position(first: dict) -> tuple:
-    return (first["late"], first["doc_id"] or 0, first["sub"], first["line"])
+def later_and_earlier(group: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one unit that pass all filters: a class without an earlier match yet, and an earlier class."""
+    key, lo, hi, block, n, place, late, line, sub = (np.asarray(group[c]) for c in ("key", "lo", "hi", "block", "n", "place", "late", "line", "sub"))
+    settled, doc_id = np.asarray(group["settled"]), np.asarray(group["doc_id"].fill_null(0))
+    position = np.empty(len(key), np.int64)
+    position[np.lexsort((line, sub, doc_id, late))] = np.arange(len(key))
+    h1, h2 = np.asarray(group["h1"]), np.asarray(group["h2"])
+    bits = np.asarray(pc.list_flatten(group["bits"])).reshape(-1, BITMAP // 8)
+    order = np.lexsort((n, hi, lo, key))
+    heads = group_starts(key[order], lo[order], hi[order])
+    count = np.diff(np.append(heads, len(order)))
+    left = np.repeat(heads + count, count) - np.arange(len(order)) - 1
+    shift, at = 1, np.flatnonzero(left > 0)
+    n = n.astype(np.int64)
+    while len(at):
+        i, j = order[at], order[at + shift]
+        near = n[i] * 100 >= n[j] * percent  # sizes ascend
+        at, i, j = at[near], i[near], j[near]
+        x, y = np.where(position[i] > position[j], i, j), np.where(position[i] > position[j], j, i)
+        fits = ~settled[x] & ((h1[x] != h1[y]) | (h2[x] != h2[y])) & ((lo[x] == hi[x]) | (block[x] != block[y]))
+        x, y = x[fits], y[fits]
+        least = -(-(n[x] + n[y]) * percent // (100 + percent))
+        fits = np.minimum(n[x] - place[x], n[y] - place[y]) + np.minimum(place[x], place[y]) >= least
+        x, y = x[fits], y[fits]
+        fits = np.bitwise_count(bits[x] ^ bits[y]).sum(1) * (100 + percent) <= (100 - percent) * (n[x] + n[y])
+        if fits.any():
+            yield x[fits], y[fits]
+        shift += 1
+        at = at[left[at] >= shift]
 
 
 def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -259,18 +384,20 @@ def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     an empty result.
     """
     docs = docs.drop("n_lines", "n_removed_lines")
-    n_cells = cell_count(docs)
+    rarity, size = word_counts(docs)
+    n_cells = cells_for(docs.sparkSession, size)
     n_buckets = bucket_count(n_cells)
     sub = F.xxhash64("text")
     cell = F.pmod(F.xxhash64(F.coalesce("doc_id", sub)), F.lit(n_cells)).cast("int")
     cells = docs.withColumns({"__cell": cell, "__sub": sub}).repartition(n_cells, "__cell")
-    shared = keep(shared_lines(cells, n_buckets, percent), "line-classes")
+    shared = keep(shared_lines(cells, n_buckets, percent, rarity), "line-classes")
     first = F.min(F.struct(F.col("doc_id").isNull().cast("int").alias("late"), "doc_id", "sub", "line")).alias("first")
     classes = keep(shared.groupBy("h1", "h2").agg(first, F.max("words").alias("words"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("postings").alias("postings"), F.max("places").alias("places")), "line-sets")
     sets = classes.filter("words IS NOT NULL")
-    matched = earlier_matches(sets, percent).withColumn("matched", F.lit(True))
+    matched = keep(earlier_matches(sets, percent), "line-matched").withColumn("matched", F.lit(True))
     verdict = shared.select("cell", "h1", "h2").join(classes.select("h1", "h2", "first"), ["h1", "h2"]).join(matched, ["h1", "h2"], "left")
     verdict = verdict.select("cell", "h1", "h2", F.col("first.doc_id").alias("first_doc"), F.col("first.sub").alias("first_sub"), F.col("first.line").alias("first_line"), F.coalesce("matched", F.lit(False)).alias("matched"))
+    verdict = keep(verdict, "line-verdict")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     names = docs.columns
 
