@@ -1,8 +1,8 @@
 """Training rows for the classifiers, and the learned weights on their way back.
 
 Labels are learned only from rows whose crc32(doc_id as text) mod 5 is not 0. The training sample is bounded: at most
-`bound` labelled documents, chosen by a hash of the id, half of them from each class where there are enough. Scoring,
-thresholds and every other step cover all rows.
+`bound` labelled documents, chosen by a hash of the id, so that classes keep their shares. Scoring, thresholds and every
+other step cover all rows.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FOLDS = 5
@@ -25,11 +25,8 @@ def label_sample(labels: DataFrame, target: str, bound: int) -> DataFrame:
     """(doc_id, y) of at most `bound` ids. Contradictory labels of one id count as 1; null ids and labels are left out."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1) & ~held_out(F.col("doc_id")))
     one = usable.groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias("y"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    # per class the first `bound` at most: a top-N per task, then over the tasks
-    picked = [one.filter(F.col("y") == y).orderBy(*order).limit(bound) for y in (0, 1)]
-    ranked = picked[0].unionByName(picked[1]).withColumn("place", F.row_number().over(Window.partitionBy("y").orderBy(*order)))
-    return ranked.orderBy("place", "y").limit(bound).select("doc_id", "y")
+    # a top-N per task, then over the tasks; classes keep their natural shares at every size of the table
+    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
 def train(docs: DataFrame, labels: DataFrame, target: str, bound: int, featurise: Callable, fit: Callable) -> np.ndarray:

@@ -31,7 +31,7 @@ from recordlink.llm.textblock import group_starts, mix, row_slices, signed, text
 
 ALIVE = 1
 BITMAP = 64  # bytes
-COUNTERS = 1 << 20
+COUNTERS, PART = 1 << 20, 1 << 14
 LONG = 1 << 13
 BLOCK = 2048
 
@@ -129,13 +129,22 @@ def word_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
             for a, b in row_slices(offsets):
                 _, _, words = white_words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 np.add.at(total, (words & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], ["counter", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    found = rows.toArrow()  # at most COUNTERS pairs of numbers
+        parts = [total[at : at + PART] for at in range(0, len(total), PART)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], ["part", "n"])
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_buffer(), np.int64) for x in group["n"])
+        return pa.table({"part": group["part"].slice(0, 1), "run": group["run"].slice(0, 1), "n": pa.array([total.tobytes()], pa.binary())})
+
+    found = docs.select("text").mapInArrow(count, "part int, n binary").withColumn("run", F.spark_partition_id())
+    for _ in range(3):  # 64 counts at a time, so that no group grows with the number of tasks
+        fewer = F.floor(F.col("run") / 64).cast("int").alias("run")
+        found = found.select("part", fewer, "n").groupBy("part", "run").applyInArrow(add, "part int, run int, n binary")
+    found = found.groupBy("part").agg(F.collect_list("n").alias("n")).collect()  # COUNTERS numbers
     total = np.zeros(COUNTERS + 1, np.int64)
-    total[np.asarray(found["counter"])] = np.asarray(found["n"])
+    for r in found:
+        part = sum(np.frombuffer(bytes(x), np.int64) for x in r["n"])
+        total[r["part"] * PART : r["part"] * PART + len(part)] = part
     total, size = total[:COUNTERS], int(total[COUNTERS])
     # only the order matters: the rank of the count, in 16 bits
     return (np.searchsorted(np.sort(total), total) >> max(0, COUNTERS.bit_length() - 17)).astype(np.uint16), size
