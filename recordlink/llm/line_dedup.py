@@ -308,9 +308,10 @@ def earlier_matches(sets: DataFrame, percent: int) -> DataFrame:
     settled = keep(verified(pairs, sets, percent), "line-matches")
     marked = members.join(settled.select(F.col("x1").alias("h1"), F.col("x2").alias("h2"), F.lit(True).alias("settled")), ["h1", "h2"], "left")
     # lists in which somebody other than the head is still without an earlier match
-    head_key = F.min_by(F.struct("h1", "h2"), F.struct("first", "h1", "h2"))
-    lists = marked.groupBy("key").agg(F.count("*").alias("members"), F.count_if(F.col("settled").isNull()).alias("open"), head_key.alias("head"))
-    lists = lists.filter("members > 2 AND open > 1").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    is_open = F.col("settled").isNull()
+    head_open = F.min_by(is_open.cast("int"), F.struct("first", "h1", "h2"))  # the head may be settled through another list
+    lists = marked.groupBy("key").agg(F.count("*").alias("members"), (F.count_if(is_open) - head_open).alias("others"))
+    lists = lists.filter("members > 2 AND others > 0").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("h1", "h2"), F.col("blocks")).cast("int")
     blocks = marked.join(lists, "key").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     unit = ["key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")]

@@ -144,6 +144,20 @@ def test_near_lines_without_an_earlier_head(spark):
     assert got == {0: 0, 1: 1, 2: 1, 3: 1, 9: 0}
 
 
+def test_line_that_matches_only_a_later_member_of_a_list_with_a_settled_head(spark):
+    """Line 1 heads the lists of r1..r4 and is settled by line 0, line 2 by line 1; line 3 matches line 2 alone."""
+    c, r, rng = [f"c{i}" for i in range(1, 17)], [f"r{i}" for i in range(1, 5)], np.random.default_rng(5)
+    lines = [c, r + c, r + c[:14], r + c[:11]]
+    # unrelated lines: the c words become frequent, with many words between them and the r words in the order of rarity
+    lines += [[w, *(f"g{g}" for g in rng.choice(200, 9, replace=False))] for w in c for _ in range(8)]
+    sets, gone = [frozenset(x) for x in lines], {}
+    for i, x in enumerate(sets):
+        gone[i] = int(any(100 * len(x & y) >= 80 * len(x | y) for y in sets[:i]))
+    assert [gone[i] for i in range(4)] == [0, 1, 1, 1]
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    assert dict(rows_of(line_dedup(df), "doc_id", "n_removed_lines")) == gone
+
+
 # ---- 4
 
 
