@@ -2,7 +2,9 @@
 
 Strong kinds are reported wherever they stand. A credential often comes in parts, an access identifier, a secret and an
 endpoint, that are weak evidence alone: an interval join inside each document links parts whose spans, widened by the
-reach of a scope, meet, and a weak part is reported only when its complements are linked to it. A scope is a paragraph
+reach of a scope, meet, and a weak part is reported only when its complements are linked to it: an identifier needs a
+secret; a secret needs an identifier or an endpoint; an endpoint needs a secret. A secret that lies in a URL, which
+would be its own endpoint, is linked through identifiers only. Parts have no greatest length. A scope is a paragraph
 (between blank lines), and at most `reach` bytes wide. The join works on sorted span ends, so its cost follows the
 number of spans, and a document needs no shuffle.
 """
@@ -27,8 +29,8 @@ KINDS = ("assign", "access", "hex", "id", "key", "endpoint")
 
 ASSIGN_HINTS = (b"passw", b"secret", b"token", b"api")
 ID_HINTS = (b"access", b"client", b"account", b"user", b"login")
-WEAK_ID = re.compile(rb"""(?:access_?key(?:_?id)?|client_?id|account_?(?:id|name)|user_?name|user|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,128})""", re.I)
-WEAK_KEY = re.compile(rb"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{24,128}={0,2}(?![A-Za-z0-9+/=_-])")
+WEAK_ID = re.compile(rb"""(?:access_?key(?:_?id)?|client_?id|account_?(?:id|name)|user_?name|user|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""", re.I)
+WEAK_KEY = re.compile(rb"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{24,}={0,2}(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(rb"https?://[A-Za-z0-9.-]+(?::[0-9]{1,5})?(?:/[^\s\"'<>]*)?")
 BLANK = re.compile(rb"\n[ \t\r]*\n")
 IS_HEX = np.zeros(256, bool)
@@ -41,10 +43,10 @@ def _varied(word: bytes) -> bool:
 
 
 def linked(a: list[tuple[int, int]], b: list[tuple[int, int]], reach: int, breaks: list[int]) -> np.ndarray:
-    """Interval join: whether each span of `a` has a span of `b` within reach in the same paragraph. Spans of a kind don't overlap."""
+    """Interval join: whether each span of `a` has a span of `b` within reach in the same paragraph."""
     if not a or not b:
         return np.zeros(len(a), bool)
-    left, right = np.array(a), np.array(sorted(b))
+    left, right = np.array(a), np.sort(np.array(b), axis=0)  # starts and ends each in order, as spans of two kinds may overlap
     scope_end = np.append(breaks, np.iinfo(np.int64).max)
     scope_start = np.concatenate([[0], breaks])
     scope = np.searchsorted(np.array(breaks, np.int64), left[:, 0], "right")
@@ -53,6 +55,18 @@ def linked(a: list[tuple[int, int]], b: list[tuple[int, int]], reach: int, break
     return np.searchsorted(right[:, 0], high, "left") > np.searchsorted(right[:, 1], low, "right")
 
 
+def _clear_of(taken: list[tuple[int, int]]):
+    """Whether a span meets none of the spans in `taken`."""
+    taken = sorted(taken)
+    starts, ends = [s for s, _ in taken], np.maximum.accumulate([e for _, e in taken]) if taken else []
+
+    def free(span: tuple[int, int]) -> bool:
+        at = int(np.searchsorted(starts, span[1], "left"))
+        return at == 0 or ends[at - 1] <= span[0]
+
+    return free
+
+
 def scan(text: bytes, hexes: list[tuple[int, int]], reach: int) -> dict[str, list[tuple[int, int]]]:
     """Spans of each kind in one text, in bytes."""
     low = text.lower()
@@ -63,25 +77,21 @@ def scan(text: bytes, hexes: list[tuple[int, int]], reach: int) -> dict[str, lis
         found["access"] = [m.span() for m in ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
     weak_ids = [m.span(1) for m in WEAK_ID.finditer(text)] if any(h in low for h in ID_HINTS) else []
     strong_ids, strong_keys = found.get("access", []), found.get("assign", []) + hexes
-    if not weak_ids and not strong_ids:
+    endpoints = [m.span() for m in ENDPOINT.finditer(text)] if b"://" in text else []
+    if not weak_ids and not strong_ids and not endpoints:
         return found
-    taken = sorted(strong_ids + strong_keys)
-    starts, ends = [s for s, _ in taken], np.maximum.accumulate([e for _, e in taken]) if taken else []
-
-    def free(span: tuple[int, int]) -> bool:
-        at = int(np.searchsorted(starts, span[1], "left"))
-        return at == 0 or ends[at - 1] <= span[0]
-
+    free = _clear_of(strong_ids + strong_keys)
     breaks = [m.start() for m in BLANK.finditer(text)]
     weak_ids = [s for s in weak_ids if free(s)]
     weak_keys = [m.span() for m in WEAK_KEY.finditer(text) if _varied(m[0]) and free(m.span())]
     ids, keys = strong_ids + weak_ids, strong_keys + weak_keys
+    outside = _clear_of(endpoints)
+    apart = [s for s in keys if outside(s)]
+    beside = {s for s, ok in zip(apart, linked(apart, endpoints, reach, breaks)) if ok}
     found["id"] = [s for s, ok in zip(weak_ids, linked(weak_ids, keys, reach, breaks)) if ok]
-    found["key"] = [s for s, ok in zip(weak_keys, linked(weak_keys, ids, reach, breaks)) if ok]
-    if b"://" in text and (found["id"] or found["key"] or strong_keys):
-        ends_ = [m.span() for m in ENDPOINT.finditer(text)]
-        both = linked(ends_, ids, reach, breaks) & linked(ends_, keys, reach, breaks)
-        found["endpoint"] = [s for s, ok in zip(ends_, both) if ok]
+    found["key"] = [s for s, ok in zip(weak_keys, linked(weak_keys, ids, reach, breaks)) if ok or s in beside]
+    both = linked(endpoints, ids, reach, breaks) & linked(endpoints, keys, reach, breaks)
+    found["endpoint"] = [s for s, ok in zip(endpoints, both | linked(endpoints, apart, reach, breaks)) if ok]
     return found
 
 
