@@ -1,8 +1,8 @@
 """Training rows for the classifiers, and the learned weights on their way back.
 
 Labels are learned only from rows whose crc32(doc_id as text) mod 5 is not 0. The training sample is bounded: at most
-`bound` labelled documents, chosen by a hash of the id, so that classes keep their shares. Scoring, thresholds and every
-other step cover all rows.
+`bound` labelled documents, chosen by a hash of the id, so that classes keep their shares. Of rows that repeat an id, the
+text with the smallest fingerprint is learned from. Scoring, thresholds and every other step cover all rows.
 """
 
 from __future__ import annotations
@@ -33,6 +33,9 @@ def train(docs: DataFrame, labels: DataFrame, target: str, bound: int, featurise
     """Weights fitted in one task on the bounded sample; features are made where the documents are read."""
     sample = F.broadcast(label_sample(labels, target, bound))  # at most `bound` pairs of numbers
     rows = docs.select("doc_id", "text").join(sample, "doc_id")
+    # one text per id, found where the rows are read: a hot id is one row per task before the exchange
+    text = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text"))).alias("t")
+    rows = rows.groupBy("doc_id", "y").agg(text).select("doc_id", "t.text", "y")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -218,6 +218,21 @@ def test_labels_of_the_held_out_fold_are_never_read(spark):
     assert len(rows_of(labelled.label_sample(labels, "toxic", 50), "doc_id")) == 50
 
 
+def test_a_repeated_id_is_one_training_row(spark):
+    rows = [(1, f"text {i}") for i in range(300)] + [(i, f"own {i}") for i in range(2, 40)] + [(2, None), (3, "own 3")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, toxic int")
+    learned = {r[0] for r in rows if zlib.crc32(str(r[0]).encode()) % 5}
+    assert 1 in learned
+    featurise = lambda texts: ([(t or "").encode() for t in texts.to_pylist()], [b""] * len(texts))
+    fit = lambda y, a, b: np.array([len(y), y.sum(), sum(zlib.crc32(t) % 1000 * k for k, t in enumerate(a, 1))], np.float32)
+    found = []
+    for n in (1, 5):
+        df = spark.createDataFrame(rows[::-1] if n == 1 else rows, "doc_id long, text string").repartition(n)
+        found.append(labelled.train(df, labels, "toxic", 1000, featurise, fit).tolist())
+    assert found[0] == found[1]
+    assert found[0][:2] == [len(learned), sum(i % 2 for i in learned)]
+
+
 def test_offending_sentences_are_located(spark):
     clean = [(i, f"The road {i} is long. It goes on and on. Nobody walks here.", 0) for i in range(200)]
     bad = [(1000 + i, f"The road {i} is long. You are a nitwit really. Nobody walks here.", 1) for i in range(60)]
