@@ -58,7 +58,7 @@ STAGES = [
     ("mixing", mixing),
     ("best_fit_packing", packing),
 ]
-ORACLE_SQL = None  # trained scores, set-similarity joins and packing: tested against brute force
+ORACLE_SQL = None  # trained scores, set-similarity joins and packing: tests/llm/test_pipeline.py holds run() against plain Python
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
