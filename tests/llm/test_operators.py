@@ -64,6 +64,29 @@ def test_top_k_hard_rows(spark):
     assert got == brute_top(as_float, 10)
 
 
+@pytest.mark.parametrize("size", [2.0**18, 2.0**20, 2.0**30])
+def test_top_k_takes_large_components_as_they_are(spark, size):
+    """Scores of more than 2**53, where neighbours differ by little, up to sums of terms beyond a long."""
+    rng, small = np.random.default_rng(3), size * 1024 > 2**35
+    rows = [(i, [size + i, 0.5 if small else size - 3 * i, float(rng.integers(-9, 9))]) for i in range(12)] + [(20, [1.0, 2.0, 3.0])]
+    if small:  # two large terms that cancel
+        rows = [(i, [size + i, size, float(i)]) for i in range(0, 12, 2)] + [(i, [size, -size - i, float(i)]) for i in range(1, 12, 2)]
+        rows = [r for r in rows if r[0] in (0, 1)] + [(20, [1.0, 2.0, 3.0])]
+    whole = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows}
+    want = set()
+    for q, a in whole.items():
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole.items() if i != q)
+        want |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:5], 1)}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert set(rows_of(top_k(df, df, k=5), "query_id", "rank", "vec_id", "score")) == want
+
+
+def test_top_k_fails_where_a_component_exceeds_a_long(spark):
+    df = spark.createDataFrame([(1, [1e30]), (2, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="exceeds a long"):
+        top_k(df, df).collect()
+
+
 def test_top_k_few_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     two = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, -1.0])], schema)
