@@ -1,8 +1,10 @@
-"""Exact dedup: tree-merge of sorted digest runs, with built-in functions only.
+"""Exact dedup: partial groups of digests merged in rounds, with built-in functions only.
 
-Every document belongs to one of `fan_in ** levels` source runs, dealt by its id. A run is sorted by digest and keeps
-one entry per digest: how many copies it met and the largest id. In each round, `fan_in` neighbouring runs are merged
-into one (a multiway merge by digest); after the last round each digest has one entry. Digests are dealt over all tasks
+Every document belongs to one of `fan_in ** levels` source runs, dealt by its id. A run is aggregated by digest, in hash
+order and not sorted, and keeps one entry per digest: how many copies it met and the largest id. In each of the `levels`
+rounds the entries of `fan_in` neighbouring runs are aggregated into one; after the last round each digest has one entry.
+Texts are not compared again on the way: that they are equal rests on the SHA-256 and the length of the normalised text.
+Runs are 64 by default, whatever the size of the table. Digests are dealt over all tasks
 in every round, so no task holds a whole run, and a group of copies enters a round as `fan_in` entries at most.
 The verdict goes down the same way: to the entries of the source runs first, then to their documents, so that the
 documents of a hot group are joined in as many pieces as there are runs.
