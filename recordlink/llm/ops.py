@@ -1,4 +1,4 @@
-"""The ten operators on their whole tables, with production parameters."""
+"""The operators on their whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlink.llm.decontamination import decontaminate
 from recordlink.llm.exact_dedup import exact_dedup
 from recordlink.llm.line_dedup import line_dedup
 from recordlink.llm.mixing import mix_sources
@@ -54,6 +55,26 @@ SELECT doc_id, text, lang, source, n_chars, CAST(copies AS INTEGER) AS copies, C
 FROM x
 """
 
+OP11_SQL = """
+WITH fold AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+places AS (SELECT item, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, m, array_to_string(w[p:p + m - 1], ' ') AS t FROM places),
+starts AS (
+  SELECT r, x.m, w, unnest(range(1, len(w) - x.m + 2)) AS p FROM fold, (SELECT DISTINCT m FROM windows) x WHERE len(w) >= x.m),
+texts AS (SELECT r, m, p, array_to_string(w[p:p + m - 1], ' ') AS t FROM starts),
+hits AS (SELECT x.r, x.m, x.p, y.item FROM texts x JOIN windows y ON x.m = y.m AND x.t = y.t),
+covered AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT DISTINCT r, unnest(range(p, p + m)) AS q FROM hits) GROUP BY r),
+found AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT f.doc_id, CAST(len(f.w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+  sha256(coalesce(i.s, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM fold f LEFT JOIN covered c ON f.r = c.r LEFT JOIN found i ON f.r = i.r
+"""
+
 
 @query("op1_topk_search", OP1_SQL)
 def op1(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,3 +127,11 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_mixing", OP10_SQL)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(read(spark, sf, "documents"))
+
+
+@query("op11_decontamination", OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate(read(spark, sf, "documents"), read(spark, sf, "benchmark"), window=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), digest, (F.size("spans") > 0).alias("contaminated"))
