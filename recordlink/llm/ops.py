@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlink.llm.alignment import align_tokens
 from recordlink.llm.decontamination import decontaminate
 from recordlink.llm.exact_dedup import exact_dedup
+from recordlink.llm.lexical_search import lexical_search
 from recordlink.llm.line_dedup import line_dedup
 from recordlink.llm.mixing import mix_sources
 from recordlink.llm.near_dedup import near_dedup
@@ -75,6 +77,23 @@ SELECT f.doc_id, CAST(len(f.w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit,
 FROM fold f LEFT JOIN covered c ON f.r = c.r LEFT JOIN found i ON f.r = i.r
 """
 
+OP12_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+g AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+tf AS (SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, g GROUP BY t),
+m AS (SELECT r, doc_id, 10 + (90 * CAST(len(w) AS BIGINT) * n_docs) // n_terms AS m FROM d, g WHERE len(w) > 0),
+s AS (SELECT item_id, r, CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m))) AS BIGINT) AS score
+      FROM tf JOIN m USING (r) JOIN w USING (t) JOIN q USING (t) GROUP BY item_id, r),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s JOIN m USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 @query("op1_topk_search", OP1_SQL)
 def op1(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,3 +154,13 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), digest, (F.size("spans") > 0).alias("contaminated"))
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_search(read(spark, sf, "documents"), read(spark, sf, "benchmark"), k=10)
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return align_tokens(read(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
