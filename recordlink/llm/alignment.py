@@ -6,7 +6,7 @@ start reaches it: there, and only there, tokens of both end together. Within a g
 expanded; those that also end together are the links.
 
 Neither tokenizer joins anything across a blank that follows a non-blank, so a text is cut there, and each distinct
-piece of a cell (about `CELL` bytes of whole texts of one task) is encoded and aligned once. For a piece model with
+piece of a cell (about `CELL` characters of whole texts of one task) is encoded and aligned once. For a piece model with
 pieces that run over such a blank, texts are not cut.
 1. Cells give a row per document (its counts, the digest of its groups, its pieces by number) and one row with the
    pieces' links: id pairs and how many links of the cell hold them. These are written to the shared folder.
@@ -36,8 +36,8 @@ from recordlink.llm.scratch import keep
 from recordlink.llm.textblock import group_starts
 from recordlink.llm.wordindex import flat_ranges
 
-CELL = 8 << 20
-CACHE = 300_000
+CELL = 4 << 20
+CACHE = 150_000
 BLANK = "▁"
 CUT = re.compile(r"(?<=\S)(?= )")
 ROWS = "cell long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pieces binary, links binary"
@@ -88,12 +88,16 @@ class Aligner:
     def cut(self, text: str) -> list[str]:
         return CUT.split(" " + text) if self.cuts else [" " + text]
 
-    def encode(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of each piece by A and by B as unsigned 32-bit numbers; None where their bytes are not those of the piece."""
+    def encode(self, pieces: list[str], times: np.ndarray | None = None) -> list[tuple[bytes, bytes] | None]:
+        """Ids of each piece by A and by B as unsigned 32-bit numbers; None where their bytes are not those of the piece.
+
+        Short pieces that stand `times` >= 3 are kept for the next cell.
+        """
         if len(self.cache) > CACHE:
             self.cache.clear()
         cache = self.cache
         new = [p for p in pieces if p not in cache]
+        kept = set() if times is None else {p for p, n in zip(pieces, times.tolist()) if n >= 3 and len(p) < 64}
         found: dict[str, tuple[bytes, bytes] | None] = {}
         for piece, b_ids in zip(new, self.b.encode([p[1:] for p in new], num_threads=1) if new else []):
             raw = piece.encode()
@@ -101,12 +105,12 @@ class Aligner:
             b = self.blank if piece == " " else array("I", b_ids).tobytes()
             right = b"".join(map(self.a_bytes.__getitem__, a_ids)) == raw == b"".join(map(self.b_bytes.__getitem__, array("I", b)))
             found[piece] = (array("I", a_ids).tobytes(), b) if right else None
-            if len(piece) < 64:
+            if piece in kept:
                 cache[piece] = found[piece]
         return [found[p] if p in found else cache[p] for p in pieces]
 
-    def align(self, pieces: list[str]) -> Aligned:
-        return Aligned(self, self.encode(pieces))
+    def align(self, pieces: list[str], times: np.ndarray | None = None) -> Aligned:
+        return Aligned(self, self.encode(pieces, times))
 
 
 class Aligned:
@@ -199,7 +203,7 @@ def _cell_rows(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
 def _cell(by: Aligner, cell: int, held: list[tuple[int | None, str]]) -> Iterator[pa.RecordBatch]:
     number = _Pieces()
     listed = [np.fromiter(map(number.__getitem__, by.cut(text)), np.int64) if text else np.zeros(0, np.int64) for _, text in held]
-    made = by.align(list(number))
+    made = by.align(list(number), np.bincount(np.concatenate([*listed, np.zeros(0, np.int64)]), minlength=len(number)))
     good = [bool(made.valid[x].all()) and len(x) > 0 for x in listed]
     listed = [x if ok else x[:0] for x, ok in zip(listed, good)]
     flat = np.concatenate([*listed, np.zeros(0, np.int64)])
@@ -217,7 +221,7 @@ def _cell(by: Aligner, cell: int, held: list[tuple[int | None, str]]) -> Iterato
     n = len(held)
     names = ["cell", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pieces", "links", "pairs"]
     rows = [pa.array(np.full(n, cell)), pa.array([d for d, _ in held], pa.int64()), *map(pa.array, sums), pa.array(digests, pa.string())]
-    rows += [pa.array([x.astype("<u4").tobytes() for x in listed], pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, kinds)]
+    rows += [pa.array(list(map(_packed, listed)), pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, kinds)]
     yield pa.RecordBatch.from_arrays(rows, names)
     edges = np.append(link_from, len(pair)).astype("<u4").tobytes()
     found = pa.StructArray.from_arrays([pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(counted)], fields=list(kinds.value_type))
@@ -227,6 +231,17 @@ def _cell(by: Aligner, cell: int, held: list[tuple[int | None, str]]) -> Iterato
     yield pa.RecordBatch.from_arrays(one, names)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers in any order: steps of the sorted numbers in two bytes each where all fit, else in four."""
+    steps = np.diff(np.sort(numbers), prepend=0)
+    kind = "<u2" if not len(steps) or steps.max() < 1 << 16 else "<u4"
+    return kind[2].encode() + steps.astype(kind).tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(packed, f"<u{packed[:1].decode()}", offset=1), dtype=np.int64)
+
+
 def _answered(rows: pa.Table, answers: pa.Table) -> pa.Table:
     """Sums per document of one cell: its pieces' links, looked up in the corpus counts of the cell's pairs."""
     is_doc = np.asarray(rows["links"].is_null())
@@ -238,12 +253,13 @@ def _answered(rows: pa.Table, answers: pa.Table) -> pa.Table:
         edges, pair = np.zeros(1, np.int64), np.zeros(0, np.int64)
     key = np.asarray(answers["a"]).astype(np.int64) << 32 | np.asarray(answers["b"])
     order = np.argsort(key, kind="stable")
+    listed = list(map(_unpacked, docs["pieces"].to_pylist()))
     totals = []
     for column in ("best", "count"):
         per_link = np.asarray(answers[column]).astype(np.int64)[order][pair]
         before = np.concatenate([[0], np.cumsum(per_link)])
         per_piece = np.diff(before[edges])
-        totals.append(pa.array([int(per_piece[np.frombuffer(x, "<u4")].sum()) for x in docs["pieces"].to_pylist()], pa.int64()))
+        totals.append(pa.array([int(per_piece[x].sum()) for x in listed], pa.int64()))
     kept = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
     return pa.table([*(docs[c] for c in kept), *totals, docs["groups_sha256"]], [*kept, "n_best", "count_sum", "groups_sha256"])
 
