@@ -20,14 +20,16 @@ def as_date(value: str) -> Column:
 def month_number(name: Column) -> Column:
     """Month number of an English month name or abbreviation, else NULL."""
     low = F.lower(name)
-    return F.try_element_at(F.create_map(*[F.lit(x) for pair in fv.MONTHS.items() for x in pair]), low).cast("int")
+    table = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in fv.MONTHS.items())), F.lit(","), F.lit(":"))
+    return F.try_element_at(table, low).cast("int")
 
 
 def _assemble(year: Column, month: Column, day: Column) -> Column:
-    number = year.try_cast("int")
+    """Date of three texts of digits; NULL at once where a part is missing, without a failing parse."""
+    number = year.cast("int")
     full_year = F.when(number < 100, number + 2000).otherwise(number)
     text = F.concat_ws("-", F.lpad(full_year.cast("string"), 4, "0"), F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    return F.try_to_date(text, "yyyy-MM-dd")
+    return F.when((year != "") & month.isNotNull(), F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def _numeric(text: Column, pattern: str) -> Column:

@@ -211,7 +211,7 @@ def q_link_rule_registry(spark, sf):
 _DOC_BLOCK = {
     0: ("drupal_table", '<div class="files"><a href="/download/t{}">Testimony of A</a> <p><a href="/news/{}.html">News</a></p> <a href="/b{}.pdf">Press Release</a></div>', "/download/t{}"),
     1: ("wordpress_blog", '<div class="entry-content"><p><a href="/wp-content/uploads/2026/02/s{}.pdf">Agenda</a></p><p><a href="/video/{}.pdf">Video</a></p></div>', "/wp-content/uploads/2026/02/s{}.pdf"),
-    2: ("coldfusion_table", '<div><a href="/public/?a=Files.Serve&amp;File_id={}">Statement</a> <a href="/a{}/">Archive</a></div>', "/public/?a=Files.Serve&File_id={}"),
+    2: ("coldfusion_table", '<div><a href="/public/?a=Files.Serve&amp;File_id={}&section=2&copy=3">Statement</a> <a href="/a{}/">Archive</a></div>', "/public/?a=Files.Serve&File_id={}&section=2&copy=3"),
     3: ("evo_framework", '<div><a href="https://docs.house.gov/m/{}">Testimony of B</a> <a href="/x{}.pdf">Charter</a></div>', "https://docs.house.gov/m/{}|/x{}.pdf"),
     4: ("html_table", '<ul><li><a href="/r{}.pdf">Report</a></li><li><a href="/s{}.pdf">Written statement</a></li></ul>', "/s{}.pdf"),
     5: ("aspnet_card", '<ul><li><a href="/r{}.pdf">Report</a></li><li><a href="/q{}.pdf">Appendix</a></li></ul>', "/r{}.pdf|/q{}.pdf"),

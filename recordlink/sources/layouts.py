@@ -7,6 +7,7 @@ entry. A page is read inside its row, without a join, a sort or a shuffle.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from recordlink import fixed_values as fv
 from recordlink.functions import dates, urls
 from recordlink.functions.bind import let
-from recordlink.sources.pages import anchors, attribute, decode_entities, plain
+from recordlink.sources.pages import anchors, attribute, href_of, plain
 
 NONE = r"(?!)"  # matches nothing
 
@@ -117,16 +118,25 @@ def unknown_layouts(pages: DataFrame, layout: str) -> DataFrame:
     return pages.filter(~F.coalesce(F.col(layout), F.lit("")).isin(known))
 
 
-def _extract(c: Column, pattern: Column, group: int) -> Column:
-    """Group of a pattern held in a column."""
-    return F.call_function("regexp_extract", c, pattern, F.lit(group))
+def _by_pattern(spec: Column, field: str, use: Callable[[str], Column], unset: Column | None = None) -> Column:
+    """`use(pattern)` with the constant pattern that the spec holds in a field: one branch per pattern of the registry.
+
+    A pattern that is a constant is compiled once; one held in a column would be compiled for every row.
+    """
+    found = sorted({getattr(x, field) for x in LAYOUTS} - {NONE, ""})
+    chosen = unset
+    for pattern in found:
+        chosen = F.when(spec[field] == pattern, use(pattern)) if chosen is None else F.when(spec[field] == pattern, use(pattern)).otherwise(chosen)
+    return chosen
 
 
 def _url_date(href: Column, spec: Column) -> Column:
-    g = [_extract(href, spec["url_date"], i) for i in (1, 2, 3)]
-    mdy = F.concat_ws("-", g[2], g[0], g[1])
-    ymd = F.concat_ws("-", *g)
-    return F.when(F.regexp_like(href, spec["url_date"]), F.try_to_date(F.when(spec["url_order"] == "mdy", mdy).otherwise(ymd), "yyyy-MM-dd"))
+    def read(pattern: str) -> Column:
+        g = [F.regexp_extract(href, pattern, i) for i in (1, 2, 3)]
+        ordered = F.when(spec["url_order"] == "mdy", F.concat_ws("-", g[2], g[0], g[1])).otherwise(F.concat_ws("-", *g))
+        return F.when(href.rlike(pattern), F.try_to_date(ordered, "yyyy-MM-dd"))
+
+    return _by_pattern(spec, "url_date", read)
 
 
 def _time_date(html: Column) -> Column:
@@ -172,27 +182,28 @@ def _item(title: Column, href: Column, date: Column) -> Column:
 
 def block_items(html: Column, spec: Column) -> Column:
     """Records of a block layout: one per block, from its first link."""
-    needs_outer = spec["outer"] != NONE
-    inside = F.transform(
-        F.slice(F.split(html, spec["outer"]), 2, 1 << 30), lambda p: F.get(F.split(p, spec["outer_end"]), F.lit(0))
-    )
-    areas = F.when(needs_outer, inside).otherwise(F.array(html))
-    raw = F.flatten(F.transform(areas, lambda a: F.slice(F.split(a, spec["block"]), 2, 1 << 30)))
-    blocks = F.filter(
-        F.transform(raw, lambda b: F.get(F.split(b, spec["block_end"]), F.lit(0))), lambda b: F.regexp_like(b, spec["block_needs"])
-    )
+
+    def behind(pattern: str, text: Column) -> Column:
+        return F.slice(F.split(text, pattern), 2, 1 << 30)
+
+    def up_to(field: str, text: Column) -> Column:
+        return _by_pattern(spec, field, lambda p: F.get(F.split(text, p), F.lit(0)), text)
+
+    areas = _by_pattern(spec, "outer", lambda p: F.transform(behind(p, html), lambda a: up_to("outer_end", a)), F.array(html))
+    raw = F.flatten(F.transform(areas, lambda a: _by_pattern(spec, "block", lambda p: behind(p, a), F.array().cast("array<string>"))))
+    blocks = F.filter(F.transform(raw, lambda b: up_to("block_end", b)), lambda b: _by_pattern(spec, "block_needs", b.rlike, F.lit(True)))
 
     def read(b: Column) -> Column:
-        scope = F.when(spec["title_scope"] == "", b).otherwise(_extract(b, spec["title_scope"], 1))
-        return let(scope, lambda sc: read_scope(b, sc))
+        return let(_by_pattern(spec, "title_scope", lambda p: F.regexp_extract(b, p, 1), b), lambda sc: read_scope(b, sc))
 
     def read_scope(b: Column, scope: Column) -> Column:
-        tag = F.regexp_extract(scope, r"(?is)<a\b([^>]*\bhref\b[^>]*>.*?)</a", 1)
+        return let(F.regexp_extract(scope, r"(?is)<a\b([^>]*\bhref\b[^>]*>.*?)</a", 1), lambda tag: read_link(b, scope, tag))
+
+    def read_link(b: Column, scope: Column, tag: Column) -> Column:
         linked = plain(F.regexp_replace(tag, r"(?s)^[^>]*>", ""))
         title = F.when((tag == "") & spec["slot_date"], F.left(plain(scope), F.lit(120))).otherwise(linked)
-        href = decode_entities(F.coalesce(attribute(tag, "href"), F.lit("")))
         has_link = (tag != "") | (spec["slot_date"] & (scope != ""))
-        return F.when(has_link, let(href, lambda h: _item(title, h, _dated(h, b, spec))))
+        return F.when(has_link, let(href_of(tag), lambda h: _item(title, h, _dated(h, b, spec))))
 
     return F.filter(F.transform(blocks, read), lambda r: r.isNotNull() & (F.length(r["title"]) >= spec["min_title"]))
 
@@ -201,22 +212,22 @@ def context_items(html: Column, spec: Column) -> Column:
     """Records of a context layout: every fitting link with the date nearest to it in its item."""
 
     def read(a: Column) -> Column:
-        href = decode_entities(F.coalesce(attribute(a["tag"], "href"), F.lit("")))
-        marked = _extract(a["inner"], spec["title_tag"], 1)
-        title = plain(F.when((spec["title_tag"] != "") & (marked != ""), marked).otherwise(a["inner"]))
+        marked = _by_pattern(spec, "title_tag", lambda p: F.nullif(F.regexp_extract(a["inner"], p, 1), F.lit("")), F.lit(None).cast("string"))
+        title = plain(F.coalesce(marked, a["inner"]))
         around = F.concat_ws(" ", a["before"], a["inner"], a["after"])
-        return let(href, lambda h: let(around, lambda c: _item(title, h, _dated(h, c, spec))))
+        dated = lambda h, t: F.when(fits(h, t), let(around, lambda c: _item(t, h, _dated(h, c, spec))))
+        return let(href_of(a["tag"]), lambda h: let(title, lambda t: dated(h, t)))
 
-    def fits(r: Column) -> Column:
+    def fits(href: Column, title: Column) -> Column:
         return (
-            (r["href"] != "")
-            & (F.length(r["title"]) >= spec["min_title"])
-            & F.regexp_like(r["href"], spec["href_like"])
-            & ~F.regexp_like(r["href"], spec["href_not"])
-            & ~F.regexp_like(F.lower(r["title"]), spec["stop_words"])
+            (href != "")
+            & (F.length(title) >= spec["min_title"])
+            & _by_pattern(spec, "href_like", href.rlike, F.lit(True))
+            & ~_by_pattern(spec, "href_not", href.rlike, F.lit(False))
+            & ~_by_pattern(spec, "stop_words", F.lower(title).rlike, F.lit(False))
         )
 
-    return F.filter(F.transform(anchors(html), read), fits)
+    return F.filter(F.transform(anchors(html), read), lambda r: r.isNotNull())
 
 
 def page_listing(

@@ -33,11 +33,14 @@ def plain(html: Column) -> Column:
     return F.trim(F.regexp_replace(decode_entities(undecoded(html)), r"\s+", " "))
 
 
-# Named characters by the rule of the HTML standard library table; a non-breaking blank reads as a blank.
-NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
-# Names that browsers also accept without a semicolon.
-BARE = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
-REFERENCE = rf"^(#[0-9]{{1,7}};?|#[xX][0-9a-fA-F]{{1,6}};?|[A-Za-z][A-Za-z0-9]*;|(?:{'|'.join(BARE)}))"
+# Named characters by the rule of the HTML standard library tables; a non-breaking blank reads as a blank.
+NAMED = {f"{name};": chr(code) for name, code in name2codepoint.items()} | {"apos;": "'", "nbsp;": " "}
+# Names that an attribute value may also hold without a semicolon.
+BARE = {name: " " if name == "nbsp" else char for name, char in html5.items() if not name.endswith(";")}
+NUMERIC = r"#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?"
+IN_TEXT = rf"^({NUMERIC}|[A-Za-z][A-Za-z0-9]*;)"
+# A bare name before `=`, a letter or a digit is part of a query string, not a reference.
+IN_ATTRIBUTE = rf"^({NUMERIC}|[A-Za-z][A-Za-z0-9]*;|[A-Za-z][A-Za-z0-9]*(?![=A-Za-z0-9;]))"
 
 
 def _character(code: Column) -> Column:
@@ -46,20 +49,21 @@ def _character(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
 
 
-def decode_entities(c: Column) -> Column:
-    """Named and numeric character references, each decoded once. An unknown name stays as it is."""
-    table = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+def _decode(c: Column, reference: str, names: dict[str, str]) -> Column:
+    # one literal instead of a node per name: the plan stays small
+    table = F.str_to_map(F.lit("\x01".join(f"{name}\x02{char}" for name, char in names.items())), F.lit("\x01"), F.lit("\x02"))
 
     def value_of(name: Column) -> Column:
-        hexadecimal = F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("bigint")
-        code = F.when(name.rlike("^#[xX]"), hexadecimal).otherwise(F.substr(name, F.lit(2)).try_cast("bigint"))
+        digits = F.rtrim(name, F.lit(";"))
+        hexadecimal = F.conv(F.substr(digits, F.lit(3)), 16, 10).try_cast("bigint")
+        code = F.when(name.rlike("^#[xX]"), hexadecimal).otherwise(F.substr(digits, F.lit(2)).try_cast("bigint"))
         return F.when(name.startswith("#"), let(code, _character)).otherwise(F.try_element_at(table, name))
 
     def one(piece: Column) -> Column:
         def after(ref: Column) -> Column:
-            return F.concat(let(F.rtrim(ref, F.lit(";")), value_of), F.substr(piece, F.length(ref) + 1))
+            return F.concat(value_of(ref), F.substr(piece, F.length(ref) + 1))
 
-        return F.coalesce(let(F.regexp_extract(piece, REFERENCE, 1), after), F.concat(F.lit("&"), piece))
+        return F.coalesce(let(F.regexp_extract(piece, reference, 1), after), F.concat(F.lit("&"), piece))
 
     def decoded(pieces: Column) -> Column:
         rest = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), one)
@@ -68,6 +72,21 @@ def decode_entities(c: Column) -> Column:
     return let(c, lambda v: F.when(F.contains(v, F.lit("&")), let(F.split(v, "&"), decoded)).otherwise(v))
 
 
+def decode_entities(c: Column) -> Column:
+    """Character references of a text, each decoded once: numeric ones and names with a semicolon; others stay."""
+    return _decode(c, IN_TEXT, NAMED)
+
+
+def decode_attribute(c: Column) -> Column:
+    """Character references of an attribute value: as in a text, and bare names that no `=`, letter or digit follows."""
+    return _decode(c, IN_ATTRIBUTE, NAMED | BARE)
+
+
+def href_of(tag: Column) -> Column:
+    """Decoded link target of a tag, '' when it has none."""
+    return decode_attribute(F.coalesce(attribute(tag, "href"), F.lit("")))
+
+
 def anchors(html: Column) -> Column:
     """Array of all anchors in page order: tag text, inner HTML, HTML before and after within the same item, line.
 
@@ -105,11 +124,13 @@ def links(html: Column, base: Column) -> Column:
     """Anchors with a usable link, first per absolute URL: pos, href, abs_url, text, tag, before, after."""
 
     def described(a: Column) -> Column:
-        href = decode_entities(F.coalesce(attribute(a["tag"], "href"), F.lit("")))
-        return F.struct(
-            href.alias("href"), urls.absolutize_url(href, base).alias("abs_url"), plain(a["inner"]).alias("text"),
-            a["tag"].alias("tag"), a["inner"].alias("inner"), a["before"].alias("before"), a["line"].alias("line"),
-        )
+        def with_href(href: Column) -> Column:
+            return F.struct(
+                href.alias("href"), urls.absolutize_url(href, base).alias("abs_url"), plain(a["inner"]).alias("text"),
+                a["tag"].alias("tag"), a["inner"].alias("inner"), a["before"].alias("before"), a["line"].alias("line"),
+            )
+
+        return let(href_of(a["tag"]), with_href)
 
     usable = F.filter(F.transform(anchors(html), described), lambda x: x["abs_url"] != "")
 

@@ -78,7 +78,7 @@ def test_listing_has_no_join_sort_or_exchange(spark):
     assert not any(x in plan for x in ("Join", "Sort", "Exchange"))
 
 
-ENTITIES = [("a &amp; b", "a & b"), ("&lt;&middot;&copy;", "<·©"), ("&#228;&#xE4;&#x1F600;", "ää😀"), ("&amp;lt;", "&lt;"), ("x&nbsp;y", "x y"), ("AT&T &unknown; &", "AT&T &unknown; &"), ("&copy 2020", "© 2020"), ("none", "none"), ("&#0;", "\ufffd")]
+ENTITIES = [("a &amp; b", "a & b"), ("&lt;&middot;&copy;", "<·©"), ("&#228;&#xE4;&#x1F600;", "ää😀"), ("&amp;lt;", "&lt;"), ("x&nbsp;y", "x y"), ("AT&T &unknown; &", "AT&T &unknown; &"), ("&copy 2020 &copy;&lt x", "&copy 2020 ©&lt x"), ("none", "none"), ("&#0;", "\ufffd")]
 
 
 @pytest.mark.parametrize("raw, want", ENTITIES)
@@ -86,6 +86,23 @@ def test_entities(one, raw, want):
     assert one(pages.decode_entities(F.col("x")), x=raw) == want
 
 
+HREFS = [
+    ("/x?id=1&section=2&region=3&copy=4", "/x?id=1&section=2&region=3&copy=4"), ("/x?a=1&amp;b=2&lt=3", "/x?a=1&b=2&lt=3"), ("/a&copy", "/a©"),
+    ("/a&copyright/&para-1&notit;&reg;x", "/a&copyright/¶-1&notit;®x"), ("?q=&#65;&#x42&sect1", "?q=AB&sect1"), ("&AMP&amp", "&&"), ("&&", "&&"),
+]
+
+
+@pytest.mark.parametrize("raw, want", HREFS)
+def test_attribute_references(one, raw, want):
+    assert one(pages.decode_attribute(F.col("x")), x=raw) == want
+
+
+def test_links_keep_query_names(spark):
+    df = spark.createDataFrame([(1, '<a href="/x?id=1&section=2&region=3&copy=4">A &amp; B</a>', "https://e.org/l")], "p int, html string, url string")
+    row = pages.page_links(df, "p", "html", "url").first()
+    assert (row["href"], row["abs_url"], row["text"]) == ("/x?id=1&section=2&region=3&copy=4", "https://e.org/x?id=1&section=2&region=3&copy=4", "A & B")
+
+
 def test_unknown_layouts(spark):
     df = spark.createDataFrame([(1, "drupal_table"), (2, "odd"), (3, None), (4, "youtube_only")], "p int, l string")
     assert sorted(r["p"] for r in layouts.unknown_layouts(df, "l").collect()) == [2, 3]
