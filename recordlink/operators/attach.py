@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
 from recordlink.functions import text
-from recordlink.operators.similarity import best_overlap, similar_pairs
+from recordlink.operators.similarity import best_partner, similar_pairs
 from recordlink.session import materialize
 
 
@@ -28,15 +28,10 @@ def best_similar(
     records: DataFrame, videos: DataFrame, block: list[str], title: str, ord_col: str, video_title: str, video_ord: str, threshold: float
 ) -> DataFrame:
     """(video, record, sim): for each video the most similar record of its block, first in order on a tie."""
-    rec_sets = materialize(_title_sets(records, block, title, ord_col, "__rec"))
+    rec_sets = _title_sets(records, block, title, ord_col, "__rec")
     vid = videos.select(*block, text.token_set(F.col(video_title)).alias("tokens"), F.col(video_ord).alias("video"))
-    vid_sets = vid.select(*block, "tokens").distinct()
-    pairs = similar_pairs(vid_sets, rec_sets, block, threshold, [], ["__rec"], left_tokens="__words")
-    best = pairs.groupBy(*block, "__words").agg(
-        F.max_by(F.struct(F.col("__rec").alias("record"), "sim"), F.struct("sim", -F.col("__rec"))).alias("__b")
-    )
-    chosen = best.select(*block, F.col("__words").alias("tokens"), "__b.record", "__b.sim")
-    return vid.join(chosen, [*block, "tokens"]).select("video", "record", "sim")
+    best = best_partner(vid.select(*block, "tokens").distinct(), rec_sets, block, "__rec", threshold)
+    return vid.join(best, [*block, "tokens"]).select("video", F.col("best").alias("record"), F.col("score").alias("sim"))
 
 
 def attach_best_similar(
@@ -116,8 +111,9 @@ def attach_two_tier(
     def choose(block: list[str], wanted: DataFrame) -> DataFrame:
         """Best record per wanted video inside a block."""
         first = recs.groupBy(*block).agg(F.min("__rec").alias("__first"))
-        rec_sets = materialize(recs.groupBy(*block, "words").agg(F.min("__rec").alias("__rec")))
-        best = best_overlap(wanted.select(*block, "words").distinct(), rec_sets, block, "words", "__rec")
+        rec_sets = recs.groupBy(*block, F.col("words").alias("tokens")).agg(F.min("__rec").alias("__rec"))
+        sets = wanted.select(*block, F.col("words").alias("tokens")).distinct()
+        best = best_partner(sets, rec_sets, block, "__rec").withColumnRenamed("tokens", "words")
         found = wanted.join(first, block).join(best, [*block, "words"], "left")
         return found.select("video", F.coalesce("best", "__first").alias("record"))
 

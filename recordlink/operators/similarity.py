@@ -1,9 +1,11 @@
-"""Set-similarity join inside blocks, without pairing everything in a block.
-
-Two token sets with Jaccard >= t share a token among the first n - ceil(t*n) + 1 tokens of each, for any
-common token order. Only those prefix tokens are joined. Tokens are ordered rare first: the most frequent
-tokens of the data (a list of fixed size) go last, so they seldom reach a prefix. Where they do, the
-bucket of such a token is split by a salt. The result is exact for every threshold > 0.
+"""Set-similarity joins inside blocks, without pairing out a block.
+
+Blocks of at most `DIRECT` right rows are compared in the join itself, so a left row meets at most that many. Larger
+blocks get a dictionary of their own: how often each (block, token) occurs on the right. Two sets with Jaccard >= t
+share a token among the first n - ceil(t*n) + 1 tokens of each, for any common token order; with tokens ordered by the
+dictionary, rare first, only those prefix tokens are joined. A token with many right rows is cut into parts sized from
+its count. `similar_pairs` gives all pairs above a threshold, `best_partner` the best one of each left set. Both are
+exact.
 """
 
 from __future__ import annotations
@@ -12,17 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlink.functions import text
-from recordlink.session import salt_count
-
-FREQUENT = 64
 
-
-def frequent_tokens(nodes: DataFrame, tokens: str = "tokens", n: int = FREQUENT) -> Column:
-    """The n most frequent tokens, least frequent first, as a scalar subquery over n rows."""
-    counts = nodes.select(F.explode(tokens).alias("tok")).groupBy("tok").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "tok").limit(n)
-    listed = top.agg(F.array_sort(F.collect_list(F.struct("n", "tok"))).alias("l"))
-    return listed.select(F.transform("l", lambda x: x["tok"])).scalar()
+DIRECT = 256  # right rows of a block that a left row is compared with directly; also the most rows of a rare token
+PART = 4096  # right rows of a frequent token that one key of the join holds
 
 
 def _prefix_length(tokens: Column, threshold: float) -> Column:
@@ -30,17 +24,39 @@ def _prefix_length(tokens: Column, threshold: float) -> Column:
     return F.greatest((n - F.ceil(n * threshold - 1e-9) + 1).cast("int"), F.lit(1))
 
 
-def _prefix_rows(side: DataFrame, threshold: float, tokens: str, common: Column) -> DataFrame:
-    """One row per prefix token of each set, with its rank (0 = not frequent); `tokens` becomes rare-first."""
-    staged = side.filter(F.size(tokens) > 0).withColumn("__order", common)
-    ranked = F.array_sort(
-        F.transform(tokens, lambda x: F.struct(F.coalesce(F.array_position(F.col("__order"), x), F.lit(0)).alias("r"), x.alias("tok")))
-    )
-    staged = staged.withColumn("__k", ranked).drop("__order", tokens)
-    rest = [c for c in side.columns if c != tokens]
-    prefix = F.slice("__k", F.lit(1), _prefix_length(F.col("__k"), threshold))
-    named = staged.select(*rest, F.transform("__k", lambda x: x["tok"]).alias(tokens), prefix.alias("__k"))
-    return named.select(*rest, tokens, F.inline("__k").alias("__rank", "__tok"))
+def token_counts(right: DataFrame, block: list[str], tokens: str) -> DataFrame:
+    """The dictionary: (block, __tok, __c), in how many right rows of the block a token is."""
+    return right.select(*block, F.explode(tokens).alias("__tok")).groupBy(*block, "__tok").agg(F.count("*").alias("__c"))
+
+
+def _ranked(side: DataFrame, block: list[str], tokens: str, counts: DataFrame) -> DataFrame:
+    """Rows with `__k`: (count, token) of each token by the dictionary, rare first. Rows must differ."""
+    listed = side.withColumn("__tok", F.explode(tokens)).join(counts, [*block, "__tok"], "left")
+    pair = F.struct(F.coalesce("__c", F.lit(0)).alias("c"), F.col("__tok").alias("t"))
+    return listed.groupBy(*side.columns).agg(F.array_sort(F.collect_list(pair)).alias("__k"))
+
+
+def _parts(count: Column) -> Column:
+    return F.greatest(F.ceil(count / PART), F.lit(1)).cast("int")
+
+
+def _names(pairs: str) -> Column:
+    return F.transform(pairs, lambda x: x["t"])
+
+
+def _meet(a: DataFrame, b: DataFrame, block: list[str], a_prefix: str, b_prefix: str) -> DataFrame:
+    """Pairs of rows that share a token of their prefixes, once each; a token's right rows lie in parts.
+
+    Prefixes are arrays of (count, token) in dictionary order, and are used up.
+    """
+    own_a, own_b = ([c for c in side.columns if c != prefix] for side, prefix in ((a, a_prefix), (b, b_prefix)))
+    left = a.select(*own_a, _names(a_prefix).alias("__na"), F.inline(a_prefix).alias("__c", "__tok"))
+    left = left.withColumn("__part", F.explode(F.sequence(F.lit(0), _parts(F.col("__c")) - 1))).drop("__c")
+    right = b.select(*own_b, _names(b_prefix).alias("__nb_"), F.inline(b_prefix).alias("__c", "__tok"))
+    mine = F.pmod(F.xxhash64(*[c for c in own_b if c not in block]), _parts(F.col("__c"))).cast("int")
+    right = right.withColumn("__part", mine).drop("__c")
+    first = F.element_at(F.array_intersect("__na", "__nb_"), 1) == F.col("__tok")
+    return left.join(right, [*block, "__tok", "__part"]).filter(first).drop("__tok", "__part", "__na", "__nb_")
 
 
 def similar_pairs(
@@ -57,61 +73,94 @@ def similar_pairs(
     """Pairs (left row, right row) of the same block with Jaccard(tokens) >= threshold (> when strict).
 
     Both sides have the block columns and `tokens`, a sorted array without repeats. `keep_left` and
-    `keep_right` name the columns to return and must not overlap. `residual` may use any of them.
-    `left_tokens` names an output column with the token set of the left row.
+    `keep_right` name the columns to return and must not overlap; rows of a side differ in them or in their tokens.
+    `residual` may use any of them. `left_tokens` names an output column with the token set of the left row.
     """
-    salts = salt_count(left.sparkSession)
-    common = frequent_tokens(right)
-    a = _prefix_rows(left.select(*block, F.col("tokens").alias("__ta"), *keep_left), threshold, "__ta", common)
-    b = _prefix_rows(right.select(*block, F.col("tokens").alias("__tb"), *keep_right), threshold, "__tb", common)
-    if salts > 1:
-        spread = F.when(F.col("__rank") > 0, F.pmod(F.xxhash64("__ta", *keep_left), F.lit(salts))).otherwise(F.lit(0))
-        copies = F.when(F.col("__rank") > 0, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        a = a.withColumn("__salt", spread.cast("int"))
-        b = b.withColumn("__salt", F.explode(copies))
-    on = [*block, "__tok", *(["__salt"] if salts > 1 else [])]
-    joined = a.drop("__rank").join(b.drop("__rank"), on)
-    sizes = (F.size("__ta") >= threshold * F.size("__tb") - 1e-9) & (F.size("__tb") >= threshold * F.size("__ta") - 1e-9)
-    prefixes = [F.slice(c, F.lit(1), _prefix_length(F.col(c), threshold)) for c in ("__ta", "__tb")]
-    first_meeting = F.element_at(F.array_intersect(*prefixes), 1) == F.col("__tok")
-    candidates = joined.filter(sizes if residual is None else sizes & residual).filter(first_meeting)
-    scored = candidates.withColumn("sim", text.set_jaccard(F.col("__ta"), F.col("__tb")))
+    right = right.select(*block, F.col("tokens").alias("__tb"), *keep_right).filter(F.size("__tb") > 0)
+    sizes = right.groupBy(*block).agg(F.count("*").alias("__n"))
+    a = left.select(*block, F.col("tokens").alias("__ta"), *keep_left).filter(F.size("__ta") > 0).join(sizes, block)
+    b = right.join(sizes, block)
+    small = F.col("__n") <= DIRECT
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        fits = (F.size("__ta") >= threshold * F.size("__tb") - 1e-9) & (F.size("__tb") >= threshold * F.size("__ta") - 1e-9)
+        found = pairs.filter(fits if residual is None else fits & residual)
+        return found.withColumn("sim", text.set_jaccard(F.col("__ta"), F.col("__tb"))).select(*block, "__ta", *keep_left, *keep_right, "sim")
+
+    direct = scored(a.filter(small).drop("__n").join(b.filter(small).drop("__n"), block))
+    large_a, large_b = a.filter(~small).drop("__n"), b.filter(~small).drop("__n")
+    counts = token_counts(large_b, block, "__tb")
+    pa, pb = (
+        _ranked(side, block, tokens, counts).withColumn(name, F.slice("__k", F.lit(1), _prefix_length(F.col("__k"), threshold))).drop("__k")
+        for side, tokens, name in ((large_a, "__ta", "__pa"), (large_b, "__tb", "__pb"))
+    )
+    every = direct.unionByName(scored(_meet(pa, pb, block, "__pa", "__pb")))
     enough = F.col("sim") > threshold + 1e-12 if strict else F.col("sim") >= threshold - 1e-12
-    extra = [F.array_sort("__ta").alias(left_tokens)] if left_tokens else []
-    return scored.filter(enough).select(*block, *keep_left, *keep_right, *extra, "sim")
+    extra = [F.col("__ta").alias(left_tokens)] if left_tokens else []
+    return every.filter(enough).select(*block, *keep_left, *keep_right, *extra, "sim")
 
 
-def best_overlap(left: DataFrame, right: DataFrame, block: list[str], words: str, order: str) -> DataFrame:
-    """(block, words, best): for each left word set the right row sharing most words with it, first in `order` on a tie.
+def best_partner(left: DataFrame, right: DataFrame, block: list[str], order: str, threshold: float | None = None) -> DataFrame:
+    """(block, tokens, best, score): for each left set the right row of its block with the best score, first on a tie.
 
-    Both sides have block columns and `words` (sorted, no repeats); `order` is a unique number of the right rows.
-    Step one looks only through the rarest word of a left set. It gives a lower bound b, and a row that
-    shares at least b of n words shares one of the n - b + 1 rarest, so step two joins just those. Common
-    words are joined only where nothing better exists, split by a salt.
+    The score is the Jaccard similarity, at least `threshold`, or without one the number of shared tokens, at least 1.
+    Left rows are distinct (block, tokens); right rows have a unique number `order` too. In large blocks the search raises
+    its own bound: partners that share a rare token (of at most `DIRECT` right rows) are scored first. Any other
+    partner shares frequent tokens only, so its score depends on its frequent tokens and its size: such rows are one
+    class with one first row. Classes are joined only through so many of a left set's frequent tokens as a score above
+    the one found leaves open, and not at all where none is left.
     """
-    spark = left.sparkSession
-    salts = salt_count(spark)
-    common = frequent_tokens(right, words)
-    lo = left.select(*block, F.col(words).alias("__a")).filter(F.size("__a") > 0).withColumn("__order", common)
-    ranked = F.array_sort(
-        F.transform("__a", lambda x: F.struct(F.coalesce(F.array_position(F.col("__order"), x), F.lit(0)).alias("r"), x.alias("w")))
-    )
-    lo = lo.select(*block, "__a", ranked.alias("__x"))
-    ro = right.select(*block, F.col(words).alias("__b"), F.col(order).alias("__o")).withColumn("__order", common)
-    ro = ro.select(*block, "__b", "__o", "__order", F.explode("__b").alias("__w"))
-    frequent = F.array_contains("__order", F.col("__w"))
-    ro = ro.withColumn("__salt", F.explode(F.when(frequent, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("__order")
-
-    def look(side: DataFrame, count: Column) -> DataFrame:
-        tokens = side.select(*block, "__a", F.explode(F.slice("__x", F.lit(1), count)).alias("__t"))
-        salt = F.when(F.col("__t.r") > 0, F.pmod(F.xxhash64("__a"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-        tokens = tokens.select(*block, "__a", F.col("__t.w").alias("__w"), salt.alias("__salt"))
-        shared = F.size(F.array_intersect("__a", "__b"))
-        hits = tokens.join(ro, [*block, "__w", "__salt"]).select(*block, "__a", F.struct(shared.alias("n"), (-F.col("__o")).alias("o")).alias("__h"))
-        return hits.groupBy(*block, "__a").agg(F.max("__h").alias("__h"))
-
-    bound = look(lo, F.lit(1)).select(*block, "__a", F.col("__h.n").alias("__b0"))
-    wider = lo.join(bound, [*block, "__a"], "left")
-    n = F.size("__x")
-    best = look(wider, F.least(n, F.greatest(n - F.coalesce("__b0", F.lit(1)) + 1, F.lit(1))))
-    return best.select(*block, F.col("__a").alias(words), (-F.col("__h.o")).alias("best"))
+    right = right.select(*block, F.col("tokens").alias("__tb"), F.col(order).alias("__o")).filter(F.size("__tb") > 0)
+    sizes = right.groupBy(*block).agg(F.count("*").alias("__n"))
+    a = left.select(*block, F.col("tokens").alias("__ta")).filter(F.size("__ta") > 0).join(sizes, block)
+    b = right.join(sizes, block)
+    small = F.col("__n") <= DIRECT
+
+    def score(shared: Column, n_a: Column, n_b: Column) -> Column:
+        return shared.cast("double") if threshold is None else shared / (n_a + n_b - shared)
+
+    def best_of(pairs: DataFrame) -> DataFrame:
+        enough = F.col("__s") >= (1.0 if threshold is None else threshold - 1e-12)
+        return pairs.filter(enough).groupBy(*block, "__ta").agg(F.max(F.struct(F.col("__s").alias("s"), (-F.col("__o")).alias("o"))).alias("__h"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        shared = F.size(F.array_intersect("__ta", "__tb"))
+        return pairs.withColumn("__s", score(shared, F.size("__ta"), F.size("__tb"))).select(*block, "__ta", "__s", "__o")
+
+    direct = best_of(compared(a.filter(small).drop("__n").join(b.filter(small).drop("__n"), block)))
+    ranked_a, ranked_b = large_sides(a.filter(~small).drop("__n"), b.filter(~small).drop("__n"), block)
+    near = best_of(compared(rare_candidates(ranked_a, ranked_b, block)))
+    bounded = ranked_a.join(near, [*block, "__ta"], "left")
+    found = F.coalesce("__h.s", F.lit(0.0))
+    floor = F.greatest(found, F.lit(1.0)) if threshold is None else F.ceil(F.greatest(found, F.lit(threshold)) * F.size("__ta") - 1e-9)
+    classes = class_candidates(bounded.withColumn("__need", floor.cast("int")).drop("__h"), ranked_b, block)
+    far = best_of(classes.withColumn("__s", score(F.size(F.array_intersect("__fa", "__fb")), F.size("__ta"), F.col("__nb"))))
+    every = direct.unionByName(near).unionByName(far).groupBy(*block, "__ta").agg(F.max("__h").alias("__h"))
+    return every.select(*block, F.col("__ta").alias("tokens"), (-F.col("__h.o")).alias("best"), F.col("__h.s").alias("score"))
+
+
+def large_sides(a: DataFrame, b: DataFrame, block: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their rare tokens `__r` and frequent tokens `__f`, as (count, token) rare first."""
+    counts = token_counts(b, block, "__tb")
+
+    def split(side: DataFrame, tokens: str) -> DataFrame:
+        k = _ranked(side, block, tokens, counts)
+        return k.withColumns({"__r": F.filter("__k", lambda x: x["c"] <= DIRECT), "__f": F.filter("__k", lambda x: x["c"] > DIRECT)}).drop("__k")
+
+    return split(a, "__ta"), split(b, "__tb")
+
+
+def rare_candidates(a: DataFrame, b: DataFrame, block: list[str]) -> DataFrame:
+    """Pairs that share a rare token."""
+    return _meet(a.drop("__f"), b.drop("__f").withColumnRenamed("__r", "__q"), block, "__r", "__q")
+
+
+def class_candidates(a: DataFrame, b: DataFrame, block: list[str]) -> DataFrame:
+    """(block, __ta, __fa, __fb, __nb, __o): left sets with classes of right rows that have the same frequent tokens and size.
+
+    A class is met through the |F| - need + 1 rarest frequent tokens of the left set; all its own are listed.
+    """
+    classes = b.groupBy(*block, F.col("__f").alias("__g"), F.size("__tb").alias("__nb")).agg(F.min("__o").alias("__o"))
+    open_ = F.size("__f") - F.col("__need") + 1
+    asked = a.filter(open_ > 0).select(*block, "__ta", _names("__f").alias("__fa"), F.slice("__f", F.lit(1), open_).alias("__p"))
+    return _meet(asked, classes.withColumn("__fb", _names("__g")), block, "__p", "__g")

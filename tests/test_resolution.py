@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from recordlink.operators import attach, lookup, resolve
@@ -92,24 +93,25 @@ def jaccard(a, b):
     return len(a & b) / len(a | b) if a and b else 0.0
 
 
-def test_similarity_join_equals_all_pairs(spark):
+@pytest.mark.parametrize("limits", [(256, 4096), (8, 4), (0, 1)])
+def test_similarity_join_equals_all_pairs(spark, monkeypatch, limits):
+    from recordlink.operators import similarity
+
+    monkeypatch.setattr(similarity, "DIRECT", limits[0])
+    monkeypatch.setattr(similarity, "PART", limits[1])
     rng = random.Random(7)
     words = [f"w{i}" for i in range(12)]
     sets = [(i, rng.choice("xy"), sorted(set(rng.choices(words, weights=range(12, 0, -1), k=rng.randint(1, 6))))) for i in range(120)]
     df = spark.createDataFrame(sets, "id bigint, blk string, tokens array<string>")
     left, right = df.withColumnRenamed("id", "a"), df.withColumnRenamed("id", "b")
-    spark.conf.set("spark.sql.shuffle.partitions", "32")  # four salts
-    try:
-        for t, strict in [(0.1, False), (0.3, False), (0.5, True), (1.0, False)]:
-            got = {(r["a"], r["b"]) for r in similar_pairs(left, right, ["blk"], t, ["a"], ["b"], F.col("a") < F.col("b"), strict).collect()}
-            want = {
-                (x[0], y[0])
-                for x, y in itertools.combinations(sets, 2)
-                if x[1] == y[1] and (jaccard(set(x[2]), set(y[2])) > t if strict else jaccard(set(x[2]), set(y[2])) >= t)
-            }
-            assert got == want, t
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for t, strict in [(0.1, False), (0.3, False), (0.5, True), (1.0, False)]:
+        got = {(r["a"], r["b"]) for r in similar_pairs(left, right, ["blk"], t, ["a"], ["b"], F.col("a") < F.col("b"), strict).collect()}
+        want = {
+            (x[0], y[0])
+            for x, y in itertools.combinations(sets, 2)
+            if x[1] == y[1] and (jaccard(set(x[2]), set(y[2])) > t if strict else jaccard(set(x[2]), set(y[2])) >= t)
+        }
+        assert got == want, t
 
 
 def test_fuzzy_representatives_equal_sequential_rule(spark):
@@ -258,9 +260,12 @@ def test_reconcile(spark):
     assert got == {("o1", "n1", "event_id"), ("o2", "n2", "title")}
 
 
-def test_best_overlap_equals_all_pairs(spark):
-    from recordlink.operators.similarity import best_overlap
+@pytest.mark.parametrize("limits", [(256, 4096), (3, 4), (0, 1)])  # all direct; a few; every block large and every token frequent
+def test_best_partner_equals_all_pairs(spark, monkeypatch, limits):
+    from recordlink.operators import similarity
 
+    monkeypatch.setattr(similarity, "DIRECT", limits[0])
+    monkeypatch.setattr(similarity, "PART", limits[1])
     rng = random.Random(9)
     words = [f"w{i}" for i in range(15)]
 
@@ -268,19 +273,36 @@ def test_best_overlap_equals_all_pairs(spark):
         return [(i, rng.choice("xxy"), sorted(set(rng.choices(words, weights=range(15, 0, -1), k=rng.randint(low, 6))))) for i in range(n)]
 
     vids, recs = some(60, 0), some(80, 0)
-    left = spark.createDataFrame(vids, "v bigint, blk string, words array<string>").select("blk", "words").distinct()
-    right = spark.createDataFrame(recs, "r bigint, blk string, words array<string>").groupBy("blk", "words").agg(F.min("r").alias("r"))
-    want = {}
-    for _, blk, ws in vids:
-        scored = [(-len(set(ws) & set(rw)), r) for r, b, rw in recs if b == blk and set(ws) & set(rw)]
-        if scored:
-            want[(blk, tuple(ws))] = min(scored)[1]
-    spark.conf.set("spark.sql.shuffle.partitions", "32")  # four salts
-    try:
-        got = {(r["blk"], tuple(r["words"])): r["best"] for r in best_overlap(left, right, ["blk"], "words", "r").collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert got == want
+    left = spark.createDataFrame(vids, "v bigint, blk string, tokens array<string>").select("blk", "tokens").distinct()
+    right = spark.createDataFrame(recs, "r bigint, blk string, tokens array<string>").groupBy("blk", "tokens").agg(F.min("r").alias("r"))
+    for threshold in (None, 0.15, 0.5):
+        want = {}
+        for _, blk, ws in vids:
+            scored = []
+            for r, b, rw in recs:
+                shared = len(set(ws) & set(rw))
+                score = shared if threshold is None else jaccard(set(ws), set(rw))
+                if b == blk and shared and score >= (threshold or 1):
+                    scored.append((-score, r))
+            if scored:
+                want[(blk, tuple(ws))] = (min(scored)[1], round(-min(scored)[0], 9))
+        rows = similarity.best_partner(left, right, ["blk"], "r", threshold).collect()
+        assert {(r["blk"], tuple(r["tokens"])): (r["best"], round(r["score"], 9)) for r in rows} == want
+
+
+def test_candidates_grow_with_the_rows_of_a_block(spark):
+    """Like titles of one block: twice the titles give at most about twice the candidates."""
+    from recordlink.operators import similarity
+
+    def candidates(n):
+        title = lambda i: ["annual", f"n{i:05d}", "on", "session"] + (["spring"] if i % 3 == 0 else [])
+        left = spark.createDataFrame([("b", sorted(title(i)), 2) for i in range(0, 2 * n, 2)], "blk string, __ta array<string>, __need int")
+        right = spark.createDataFrame([("b", sorted(title(i)), i) for i in range(n)], "blk string, __tb array<string>, __o bigint")
+        a, b = similarity.large_sides(left, right, ["blk"])
+        return similarity.rare_candidates(a, b, ["blk"]).count() + similarity.class_candidates(a, b, ["blk"]).count()
+
+    small, large = candidates(2000), candidates(4000)
+    assert 0 < small < 4 * 2000 and large < 2.2 * small
 
 
 def by_turns(recs, streams):
