@@ -134,3 +134,6 @@ MAX_BACKOFF_SECONDS = 3600
 
 # Statuses whose attempts count as retries, by queue.
 OPEN_STATUSES = {"stage_tasks": ("pending", "running", "failed"), "outbox": ("pending", "processing", "dead_letter")}
+
+# --- fixed value: page of a video, before its id ----------------------------
+VIDEO_PAGE = "https://www.youtube.com/watch?v="

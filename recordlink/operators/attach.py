@@ -36,11 +36,16 @@ def best_similar(
 
 def attach_best_similar(
     records: DataFrame, clips: DataFrame, key: str, date: str, title: str, ord_col: str, url: str,
-    clip_title: str, clip_ord: str, clip_url: str, threshold: float = fv.CLIP_SIMILARITY,
+    clip_title: str, clip_ord: str, clip_url: str, threshold: float = fv.CLIP_SIMILARITY, clip_duration: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(records, clip list): a record without URL takes its first clip's; the list keeps every matched clip as a row."""
+    """(records, clip list): a record without URL takes its first clip's; the list keeps every matched clip as a row.
+
+    The list has URL, title and duration (NULL where clips have none) of the clip.
+    """
     matched = best_similar(records, clips, [key, date], title, ord_col, clip_title, clip_ord, threshold)
-    listed = matched.join(clips.select(F.col(clip_ord).alias("video"), F.col(clip_url).alias("clip_url")), "video")
+    length = F.lit(None).cast("int") if clip_duration is None else F.col(clip_duration)
+    details = clips.select(F.col(clip_ord).alias("video"), F.col(clip_url).alias("clip_url"), F.col(clip_title).alias("clip_title"), length.alias("clip_duration"))
+    listed = matched.join(details, "video")
     first = listed.groupBy("record").agg(F.min_by("clip_url", "video").alias("__url"), F.count("*").alias("n_clips"))
     out = records.join(first, records[ord_col] == first["record"], "left").drop("record")
     out = out.withColumn(url, F.coalesce(F.nullif(F.col(url), F.lit("")), "__url")).withColumn(
@@ -49,17 +54,16 @@ def attach_best_similar(
     return out.drop("__url"), listed
 
 
-def attach_date_similar(
+def assign_streams(
     records: DataFrame, videos: DataFrame, date: str, title: str, ord_col: str, url: str, duration: str,
-    video_title: str, video_ord: str, video_url: str, video_duration: str,
-    threshold: float = fv.STREAM_SIMILARITY, long_s: int = fv.MIN_STREAM_SECONDS,
+    video_title: str, video_ord: str, video_duration: str, threshold: float = fv.STREAM_SIMILARITY, long_s: int = fv.MIN_STREAM_SECONDS,
 ) -> DataFrame:
-    """Match full streams by date and title, each record to one stream at most.
+    """(record, video): full streams matched by date and title, each record to one stream at most.
 
     Streams choose in order: each takes the most similar record of its date (first in order on a tie) that has no long
-    video yet and that no earlier stream has taken; the record's URL and duration are overwritten. Streams shorter than
-    `long_s` take no part. The choice in order equals deferred acceptance in which every record prefers the earliest
-    stream, so it is found in rounds: every stream without a record asks for its best one that no earlier stream holds.
+    video yet and that no earlier stream has taken. Streams shorter than `long_s` take no part. The choice in order equals
+    deferred acceptance in which every record prefers the earliest stream, so it is found in rounds: every stream
+    without a record asks for its best one that no earlier stream holds.
     """
     has_long = F.nullif(F.col(url), F.lit("")).isNotNull() & (F.coalesce(F.col(duration), F.lit(0)) >= long_s)
     streams = videos.filter(F.col(video_duration) >= long_s)
@@ -81,7 +85,17 @@ def attach_date_similar(
         if after.exceptAll(held).isEmpty():
             break
         held = after
-    v = streams.select(F.col(video_ord).alias("video"), F.struct(F.col(video_url).alias("u"), F.col(video_duration).alias("s")).alias("__v"))
+    return held
+
+
+def attach_date_similar(
+    records: DataFrame, videos: DataFrame, date: str, title: str, ord_col: str, url: str, duration: str,
+    video_title: str, video_ord: str, video_url: str, video_duration: str,
+    threshold: float = fv.STREAM_SIMILARITY, long_s: int = fv.MIN_STREAM_SECONDS,
+) -> DataFrame:
+    """Overwrite URL and duration of each record that a full stream is assigned to."""
+    held = assign_streams(records, videos, date, title, ord_col, url, duration, video_title, video_ord, video_duration, threshold, long_s)
+    v = videos.select(F.col(video_ord).alias("video"), F.struct(F.col(video_url).alias("u"), F.col(video_duration).alias("s")).alias("__v"))
     won = held.join(v, "video").select("record", "__v")
     out = records.join(won, records[ord_col] == won["record"], "left").drop("record")
     return (
@@ -91,20 +105,15 @@ def attach_date_similar(
     )
 
 
-def attach_two_tier(
-    records: DataFrame, videos: DataFrame, key: str, date: str, title: str, ord_col: str, url: str,
-    video_title: str, video_ord: str, video_url: str,
-) -> tuple[DataFrame, DataFrame]:
-    """(records, unmatched videos): candidates share key and date, or only the date when no key fits.
+def two_tier_matches(records: DataFrame, videos: DataFrame, key: str, date: str, title: str, ord_col: str, video_title: str, video_ord: str) -> DataFrame:
+    """(video, record): candidates share key and date, or only the date when no key fits.
 
-    The most shared significant words win, first in order on a tie, even with none shared. Videos come
-    in order and a record keeps the first URL it gets.
+    The most shared significant words win, first in order on a tie, even with none shared.
     """
 
     def words(c: str) -> Column:
         return F.array_sort(F.array_distinct(text.significant_words(F.col(c))))
 
-    videos = videos.filter(F.nullif(F.col(video_url), F.lit("")).isNotNull() & F.col(date).isNotNull())
     recs = records.select(key, date, F.col(ord_col).alias("__rec"), words(title).alias("words"))
     vids = videos.select(key, date, F.col(video_ord).alias("video"), words(video_title).alias("words"))
 
@@ -119,7 +128,21 @@ def attach_two_tier(
 
     near = choose([key, date], vids)
     rest = vids.join(recs.select(key, date).distinct(), [key, date], "left_anti")
-    matched = near.unionByName(choose([date], rest))
+    return near.unionByName(choose([date], rest))
+
+
+def usable_videos(videos: DataFrame, url: str, date: str) -> DataFrame:
+    """Videos with a URL and a date; others are skipped."""
+    return videos.filter(F.nullif(F.col(url), F.lit("")).isNotNull() & F.col(date).isNotNull())
+
+
+def attach_two_tier(
+    records: DataFrame, videos: DataFrame, key: str, date: str, title: str, ord_col: str, url: str,
+    video_title: str, video_ord: str, video_url: str,
+) -> tuple[DataFrame, DataFrame]:
+    """(records, unmatched videos): videos matched in two tiers come in order and a record keeps the first URL it gets."""
+    videos = usable_videos(videos, video_url, date)
+    matched = two_tier_matches(records, videos, key, date, title, ord_col, video_title, video_ord)
     urls = videos.select(F.col(video_ord).alias("video"), F.col(video_url).alias("__url"))
     first_url = matched.join(urls, "video").groupBy("record").agg(F.min_by("__url", "video").alias("__url"))
     out = records.join(first_url, records[ord_col] == first_url["record"], "left").drop("record")

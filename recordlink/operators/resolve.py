@@ -10,46 +10,56 @@ from pyspark.sql import functions as F
 from recordlink import fixed_values as fv
 from recordlink.functions import keys, text
 from recordlink.operators import attach, filters
+from recordlink.operators.enrich import Supplier, precedence_merge
 from recordlink.operators.similarity import similar_pairs
 from recordlink.session import materialize
 
 # Records have: rec (unique order and id), block_key, title, event_date, authority, sources (map), has_video.
 
 
-def priority(authority: str = "authority", ord_col: str = "rec") -> Column:
-    """Sort value of a record: highest authority first, then its unique order."""
-    return F.struct((-F.col(authority)).alias("a"), F.col(ord_col).alias("o"))
+def priority(authority: str = "authority", ord_col: str = "rec", more: tuple[str, ...] = ()) -> Column:
+    """Sort value of a record: highest authority first, then the most of each number in `more`, then its unique order."""
+    return F.struct((-F.col(authority)).alias("a"), *[(-F.col(c)).alias(c) for c in more], F.col(ord_col).alias("o"))
 
 
-def best_title(title: str = "title", authority: str = "authority", ord_col: str = "rec") -> Column:
-    """Aggregate: title of the highest authority, then the longest, then the earliest."""
-    return F.max_by(title, F.struct(F.col(authority), F.length(title), -F.col(ord_col)))
+def best_title(title: str = "title", authority: str = "authority", ord_col: str = "rec", more: tuple[str, ...] = ()) -> Column:
+    """Aggregate: title of the highest authority, then the longest, then the first in priority."""
+    return F.min_by(title, F.struct((-F.col(authority)).alias("a"), (-F.length(title)).alias("l"), priority(authority, ord_col, more).alias("p")))
 
 
-def merge_records(df: DataFrame, cluster: str, prefer: str = "last", specific: Column | None = None) -> DataFrame:
+def is_specific(df: DataFrame) -> Column:
+    """Does a record's key name a known block? With a column `registered` the registry decides, and a fallback key never does."""
+    own = ~F.col("block_key").startswith(keys.FALLBACK_PREFIX + ".")
+    return own & F.col("registered") if "registered" in df.columns else own
+
+
+def merge_records(df: DataFrame, cluster: str, prefer: str = "last", more: tuple[str, ...] = ()) -> DataFrame:
     """One row per cluster: best title, highest authority, earliest date, merged source map, preferred key.
 
     Maps merge entry by entry: the entry of the last row in priority order wins (`prefer="last"`), or of
-    the first (`prefer="authority"`). A key that names a known block beats a fallback key.
+    the first (`prefer="authority"`). Of keys that name a known block (`is_specific`) the first in priority order
+    stays; where none does, the last one. `more` names numbers that decide between rows of one authority.
     """
-    entries = df.select(cluster, priority().alias("__p"), F.explode("sources").alias("k", "v"))
+    order = priority(more=more)
+    entries = df.select(cluster, order.alias("__p"), F.explode("sources").alias("k", "v"))
     pick = F.max_by("v", "__p") if prefer == "last" else F.min_by("v", "__p")
     maps = (
         entries.groupBy(cluster, "k").agg(pick.alias("v"))
         .groupBy(cluster).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("sources"))
     )
-    if specific is None:
-        specific = ~F.col("block_key").startswith(keys.FALLBACK_PREFIX + ".")
+    chosen = [c for c in ("block_key", "registered") if c in df.columns]
+    specific, key = is_specific(df), F.struct(*chosen)
     rows = df.groupBy(cluster).agg(
-        F.min_by("rec", priority()).alias("rec"),
-        F.min_by("block_key", F.struct((~specific).alias("generic"), priority().alias("p"))).alias("block_key"),
-        best_title().alias("title"),
+        F.min_by("rec", order).alias("rec"),
+        F.coalesce(F.min_by(key, F.when(specific, order)), F.max_by(key, order)).alias("__k"),
+        best_title(more=more).alias("title"),
         F.min("event_date").alias("event_date"),
         F.max("authority").alias("authority"),
         F.max("has_video").alias("has_video"),
         F.count("*").alias("n_merged"),
     )
-    return rows.join(maps, cluster, "left")
+    named = rows.select(cluster, "rec", "__k.*", "title", "event_date", "authority", "has_video", "n_merged")
+    return named.join(maps, cluster, "left")
 
 
 def dedup_exact(df: DataFrame) -> DataFrame:
@@ -208,39 +218,99 @@ def connected_clusters(nodes: DataFrame, edges: DataFrame, node: str, a: str = "
     return nodes.select(node).distinct().join(labels, node, "left").select(node, F.coalesce("__m", node).alias("cluster"))
 
 
-def merge_pairs(df: DataFrame, pairs: DataFrame) -> DataFrame:
+def merge_pairs(df: DataFrame, pairs: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     """Merge records connected by pairs of record ids."""
     clusters = connected_clusters(df, pairs, "rec")
-    return merge_records(df.drop("n_merged").join(clusters, "rec"), "cluster").drop("cluster")
+    return merge_records(df.drop("n_merged").join(clusters, "rec"), "cluster", more=more).drop("cluster")
 
 
-def resolve_all(
-    sources: DataFrame, dim: DataFrame, dim_key: str, dim_name: str, dim_code: str, as_of: str, days: int | None = None,
-    clips: DataFrame | None = None, streams: DataFrame | None = None,
-) -> DataFrame:
-    """Filter, merge and enrich all source records to one row per event.
+def merge_adjacent(df: DataFrame) -> DataFrame:
+    """Merge similar records of one key on neighbouring days: of equal authorities the one with more sources leads."""
+    counted = df.withColumn("n_sources", F.coalesce(F.size("sources"), F.lit(0)))
+    return merge_pairs(counted, adjacent_day_pairs(df), more=("n_sources",))
 
-    `dim` names the blocks and holds the code used for stream names; `clips` has (clip, block_key,
-    event_date, title, url); `streams` has (stream, event_date, title, url, duration) and comes after the clips: a full
-    stream overwrites the video of the one record that it is matched to.
-    """
+
+def resolve_records(sources: DataFrame, dim: DataFrame, dim_key: str, as_of: str, days: int | None = None) -> DataFrame:
+    """Filter and merge all source records to one row per event. The keys of `dim` are the registered ones."""
     kept = filters.procedural_filter(sources, "title", F.col("has_video"))
     if days is not None:
         kept = filters.lookback_window(kept, "event_date", as_of, days)
+    known = dim.select(F.col(dim_key).alias("block_key"), F.lit(True).alias("registered")).distinct()
+    kept = kept.join(known, "block_key", "left").withColumn("registered", F.coalesce("registered", F.lit(False)))
     merged = materialize(dedup_fuzzy(kept))
     merged = materialize(merge_pairs(merged, cross_key_pairs(merged)))
-    merged = materialize(merge_pairs(merged, adjacent_day_pairs(merged)))
-    out = merged.withColumn("video_url", F.try_element_at("sources", F.lit("video_id")))
+    return materialize(merge_adjacent(merged))
+
+
+def resolve_all(
+    sources: DataFrame, dim: DataFrame, dim_key: str, dim_name: str, dim_code: str, as_of: str, days: int | None = None,
+    clips: DataFrame | None = None, streams: DataFrame | None = None, found: DataFrame | None = None,
+    broadcasts: DataFrame | None = None, details: DataFrame | None = None, dim_scrape: str | None = None,
+) -> DataFrame:
+    """Filter, merge and enrich all source records to one row per event.
+
+    `dim` registers the blocks: name, code used for stream names, and with `dim_scrape` whether their pages are read.
+    Suppliers, in order; each only fills a gap unless stated:
+    - `clips` (clip, block_key, event_date, title, url, duration): the first matched clip gives the video;
+    - `streams` (stream, event_date, title, url, duration): a full stream overwrites the video of its one record;
+    - `found` (record_id, url): looked-up broadcast pages of records not after `as_of`;
+    - `broadcasts` (video, block_key, event_date, title, url): matched in two tiers, the first gives the broadcast page;
+    - `details` (url, pdf_urls, embed_id, stream_comm, stream_file): what the record's own page holds, read for the
+      blocks to scrape and all of the senate: its stream parameters override derived ones, a video only fills a gap.
+    """
+    out = enriched(resolve_records(sources, dim, dim_key, as_of, days), dim, dim_key, dim_name, dim_code, as_of, clips, streams, found, broadcasts, details, dim_scrape)
+    return out.withColumn("slug", text.slug(F.col("block_key"), F.col("title")))
+
+
+def enriched(
+    merged: DataFrame, dim: DataFrame, dim_key: str, dim_name: str, dim_code: str, as_of: str, clips: DataFrame | None, streams: DataFrame | None,
+    found: DataFrame | None, broadcasts: DataFrame | None, details: DataFrame | None, dim_scrape: str | None,
+) -> DataFrame:
+    """Merged records with names, videos, broadcast pages and page details: two aggregates, before and after the streams."""
+    scrape = F.lit(False) if dim_scrape is None else F.coalesce(dim_scrape, F.lit(False))
+    names = dim.select(F.col(dim_key).alias("block_key"), F.col(dim_name).alias("block_name"), F.col(dim_code).alias("__code"), scrape.alias("__scrape"))
+    out = merged.drop("registered").join(names, "block_key", "left").withColumn("block_name", F.coalesce("block_name", "block_key"))
+    out = out.withColumn("__group", keys.group_of_key(F.col("block_key"))).withColumn("__old", F.try_element_at("sources", F.lit("stream_comm")))
+    old_file = F.try_element_at("sources", F.lit("stream_file"))
+    out = keys.stream_name(out, "__code", "__group", "event_date", "__old").withColumn("stream_file", F.coalesce("stream_file", old_file)).drop("__code", "__old")
+    out = out.withColumns({
+        "record_id": text.record_id(F.col("block_key"), F.col("event_date"), F.col("title")),
+        "video_url": F.nullif(F.try_element_at("sources", F.lit("video_id")), F.lit("")),
+        "video_duration": F.try_element_at("sources", F.lit("video_duration")).try_cast("int"),
+        "broadcast_url": F.nullif(F.try_element_at("sources", F.lit("broadcast_url")), F.lit("")),
+    })
     if clips is not None:
-        out, _ = attach.attach_best_similar(out, clips, "block_key", "event_date", "title", "rec", "video_url", "title", "clip", "url")
+        hit = attach.best_similar(out, clips, ["block_key", "event_date"], "title", "rec", "title", "clip", fv.CLIP_SIMILARITY)
+        length = F.col("duration") if "duration" in clips.columns else F.lit(None).cast("int")
+        video = clips.select(F.col("clip").alias("video"), F.col("url").alias("video_url"), length.alias("clip_s"))
+        given = hit.join(video, "video").select(F.col("record").alias("rec"), "video", "video_url", "clip_s")
+        own = F.col("video_url")
+        out = precedence_merge(out.withColumn("__own", own), "rec", [Supplier(given, order="video", count_as="n_clips")])
+        out = out.withColumn("video_duration", F.when(F.col("__own").isNull(), F.col("clip_s")).otherwise(F.col("video_duration"))).drop("__own", "clip_s")
+    out = materialize(out)
+    suppliers: list[Supplier] = []
     if streams is not None:
-        out = materialize(out.withColumn("video_duration", F.lit(None).cast("int")))
-        out = attach.attach_date_similar(
-            out, streams, "event_date", "title", "rec", "video_url", "video_duration", "title", "stream", "url", "duration"
+        held = attach.assign_streams(out, streams, "event_date", "title", "rec", "video_url", "video_duration", "title", "stream", "duration")
+        video = streams.select(F.col("stream").alias("video"), F.col("url").alias("video_url"), F.col("duration").alias("video_duration"))
+        given = held.join(video, "video").select(F.col("record").alias("rec"), "video_url", "video_duration")
+        suppliers.append(Supplier(given, frozenset({"video_url", "video_duration"})))
+    if found is not None:
+        past = out.filter(F.col("broadcast_url").isNull() & (F.col("event_date") <= F.lit(as_of).cast("date")))
+        last = found.filter(F.col("url") != "").groupBy("record_id").agg(F.max("url").alias("broadcast_url"))
+        suppliers.append(Supplier(past.select("rec", "record_id").join(last, "record_id").select("rec", "broadcast_url")))
+    if broadcasts is not None:
+        videos = attach.usable_videos(broadcasts, "url", "event_date")
+        hit = attach.two_tier_matches(out, videos, "block_key", "event_date", "title", "rec", "title", "video")
+        given = hit.join(videos.select("video", F.col("url").alias("broadcast_url")), "video").select(F.col("record").alias("rec"), "video", "broadcast_url")
+        suppliers.append(Supplier(given, order="video"))
+    if details is not None:
+        own_page = out.filter(F.coalesce("__scrape", F.lit(False)) | (F.col("__group") == "senate"))
+        own_page = own_page.select("rec", F.try_element_at("sources", F.lit("web_url")).alias("url")).filter("url <> ''")
+        page = details.select(
+            "url", F.when(F.size("pdf_urls") > 0, F.col("pdf_urls")).alias("pdf_urls"), F.concat(F.lit(fv.VIDEO_PAGE), "embed_id").alias("video_url"),
+            "stream_comm", F.when(F.col("stream_comm").isNotNull(), F.col("stream_file")).alias("stream_file"),
         )
-    names = dim.select(F.col(dim_key).alias("block_key"), F.col(dim_name).alias("block_name"), F.col(dim_code).alias("__code"))
-    out = out.join(names, "block_key", "left").withColumn("block_name", F.coalesce("block_name", "block_key"))
-    out = out.withColumn("__group", keys.group_of_key(F.col("block_key"))).withColumn("__old", F.lit(None).cast("string"))
-    out = keys.stream_name(out, "__code", "__group", "event_date", "__old").drop("__code", "__group", "__old")
-    ident = text.record_id(F.col("block_key"), F.col("event_date"), F.col("title"))
-    return out.withColumn("record_id", ident).withColumn("slug", text.slug(F.col("block_key"), F.col("title")))
+        suppliers.append(Supplier(own_page.join(page, "url").drop("url"), frozenset({"stream_comm", "stream_file", "pdf_urls"})))
+    if suppliers:
+        out = precedence_merge(out, "rec", suppliers)
+    return out.drop("__group", "__scrape")

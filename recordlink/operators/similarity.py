@@ -24,6 +24,17 @@ def _prefix_length(tokens: Column, threshold: float) -> Column:
     return F.greatest((n - F.ceil(n * threshold - 1e-9) + 1).cast("int"), F.lit(1))
 
 
+def _mask(tokens: str) -> Column:
+    """One of 64 bits for each token."""
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda m, t: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))))
+
+
+def _may_share(needed: Column) -> Column:
+    """Can `__ta` and `__tb` share so many tokens? Each bit that the other set has not stands for a token that is not shared."""
+    a_only, b_only = (F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) for x, y in (("__ma", "__mb"), ("__mb", "__ma")))
+    return (F.size("__ta") - a_only >= needed) & (F.size("__tb") - b_only >= needed)
+
+
 def token_counts(right: DataFrame, block: list[str], tokens: str) -> DataFrame:
     """The dictionary: (block, __tok, __c), in how many right rows of the block a token is."""
     return right.select(*block, F.explode(tokens).alias("__tok")).groupBy(*block, "__tok").agg(F.count("*").alias("__c"))
@@ -78,12 +89,12 @@ def similar_pairs(
     """
     right = right.select(*block, F.col("tokens").alias("__tb"), *keep_right).filter(F.size("__tb") > 0)
     sizes = right.groupBy(*block).agg(F.count("*").alias("__n"))
-    a = left.select(*block, F.col("tokens").alias("__ta"), *keep_left).filter(F.size("__ta") > 0).join(sizes, block)
-    b = right.join(sizes, block)
+    a = left.select(*block, F.col("tokens").alias("__ta"), *keep_left).filter(F.size("__ta") > 0).withColumn("__ma", _mask("__ta")).join(sizes, block)
+    b = right.withColumn("__mb", _mask("__tb")).join(sizes, block)
     small = F.col("__n") <= DIRECT
 
     def scored(pairs: DataFrame) -> DataFrame:
-        fits = (F.size("__ta") >= threshold * F.size("__tb") - 1e-9) & (F.size("__tb") >= threshold * F.size("__ta") - 1e-9)
+        fits = _may_share(threshold / (1 + threshold) * (F.size("__ta") + F.size("__tb")) - 1e-9)
         found = pairs.filter(fits if residual is None else fits & residual)
         return found.withColumn("sim", text.set_jaccard(F.col("__ta"), F.col("__tb"))).select(*block, "__ta", *keep_left, *keep_right, "sim")
 
@@ -112,8 +123,8 @@ def best_partner(left: DataFrame, right: DataFrame, block: list[str], order: str
     """
     right = right.select(*block, F.col("tokens").alias("__tb"), F.col(order).alias("__o")).filter(F.size("__tb") > 0)
     sizes = right.groupBy(*block).agg(F.count("*").alias("__n"))
-    a = left.select(*block, F.col("tokens").alias("__ta")).filter(F.size("__ta") > 0).join(sizes, block)
-    b = right.join(sizes, block)
+    a = left.select(*block, F.col("tokens").alias("__ta")).filter(F.size("__ta") > 0).withColumn("__ma", _mask("__ta")).join(sizes, block)
+    b = right.withColumn("__mb", _mask("__tb")).join(sizes, block)
     small = F.col("__n") <= DIRECT
 
     def score(shared: Column, n_a: Column, n_b: Column) -> Column:
@@ -124,6 +135,8 @@ def best_partner(left: DataFrame, right: DataFrame, block: list[str], order: str
         return pairs.filter(enough).groupBy(*block, "__ta").agg(F.max(F.struct(F.col("__s").alias("s"), (-F.col("__o")).alias("o"))).alias("__h"))
 
     def compared(pairs: DataFrame) -> DataFrame:
+        if threshold is not None:
+            pairs = pairs.filter(_may_share(threshold / (1 + threshold) * (F.size("__ta") + F.size("__tb")) - 1e-9))
         shared = F.size(F.array_intersect("__ta", "__tb"))
         return pairs.withColumn("__s", score(shared, F.size("__ta"), F.size("__tb"))).select(*block, "__ta", "__s", "__o")
 

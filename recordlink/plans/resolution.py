@@ -107,24 +107,40 @@ def q_dedup_fuzzy(spark, sf):
 
 @query("resolve_all", resolvesql.RESOLVE)
 def q_resolve_all(spark, sf):
-    """Flagship: three overlapping sources, their clips and full streams to one row per event."""
-    rec = record_list(spark, sf)
-    clips = base_records(spark, sf).filter("o_orderstatus = 'P'").select(
-        F.col("o_orderkey").alias("clip"), F.col("k").alias("block_key"), F.col("d").alias("event_date"),
-        F.concat(F.lit("Opening statement "), "t").alias("title"), F.concat(F.lit("clip"), F.col("o_orderkey").cast("string")).alias("url"),
+    """Flagship: three overlapping sources, and all that is attached to them, to one row per event."""
+    rec, base = record_list(spark, sf), base_records(spark, sf)
+    number = F.col("o_orderkey")
+
+    def named(prefix, suffix=""):
+        return F.concat(F.lit(prefix), number.cast("string"), F.lit(suffix))
+
+    clips = base.filter("o_orderstatus = 'P'").select(
+        number.alias("clip"), F.col("k").alias("block_key"), F.col("d").alias("event_date"), F.concat(F.lit("Opening statement "), "t").alias("title"),
+        named("clip").alias("url"), F.when(number % 2 == 0, 2000).otherwise(600).alias("duration"),
+    )
+    nation = F.col("n_nationkey")
+    dim = table(spark, sf, "nation").filter("n_nationkey % 5 <> 3").select(  # smaller than the keys present
+        F.concat(F.when(nation < 12, "house.n").otherwise("senate.n"), nation.cast("string")).alias("k"),
+        "n_name", F.concat(F.lit("n"), nation.cast("string")).alias("code"), (nation % 2 == 0).alias("scrape"),
+    )
+    streams = base.filter("o_orderpriority = '1-URGENT'").select(
+        number.alias("stream"), F.col("d").alias("event_date"), F.concat(F.lit("Whole session "), "t").alias("title"), named("stream").alias("url"), F.lit(3600).alias("duration"),
+    )
+    found = base.filter("o_orderkey % 7 = 0").select(text.record_id(F.col("k"), F.col("d"), F.col("t")).alias("record_id"), named("found").alias("url"))
+    broadcasts = base.filter("o_orderpriority = '3-MEDIUM'").select(
+        number.alias("video"), F.col("k").alias("block_key"), F.col("d").alias("event_date"), F.concat(F.lit("Broadcast of "), "t").alias("title"), named("cast").alias("url"),
     )
-    dim = table(spark, sf, "nation").select(
-        F.concat(F.when(F.col("n_nationkey") < 12, "house.n").otherwise("senate.n"), F.col("n_nationkey").cast("string")).alias("k"),
-        "n_name", F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("code"),
+    player = number % 5 == 0
+    details = base.filter("o_orderkey % 3 = 0").select(
+        named("https://site.example.org/").alias("url"), F.when(number % 2 == 0, F.array(named("https://d.example.org/", ".pdf"))).otherwise(F.array().cast("array<string>")).alias("pdf_urls"),
+        F.when(F.col("o_orderstatus") == "O", named("y")).alias("embed_id"), F.when(player, named("p")).alias("stream_comm"), F.when(player, named("f")).alias("stream_file"),
     )
-    streams = base_records(spark, sf).filter("o_orderpriority = '1-URGENT'").select(
-        F.col("o_orderkey").alias("stream"), F.col("d").alias("event_date"), F.concat(F.lit("Whole session "), "t").alias("title"),
-        F.concat(F.lit("stream"), F.col("o_orderkey").cast("string")).alias("url"), F.lit(3600).alias("duration"),
+    out = resolve.resolve_all(
+        rec, dim, "k", "n_name", "code", "1997-01-01", clips=clips, streams=streams, found=found, broadcasts=broadcasts, details=details, dim_scrape="scrape"
     )
-    out = resolve.resolve_all(rec, dim, "k", "n_name", "code", "2002-01-01", clips=clips, streams=streams)
-    return sources_text(out).select(
+    return sources_text(out).withColumn("pdf_urls", F.array_join("pdf_urls", "|")).select(
         "record_id", "rec", "block_key", "block_name", "title", "event_date", "authority", "sources", "video_url", "video_duration", "n_clips",
-        "stream_comm", "stream_file", "slug",
+        "broadcast_url", "pdf_urls", "stream_comm", "stream_file", "slug",
     )
 
 
@@ -170,11 +186,11 @@ def q_attach_best_similar(spark, sf):
 
 @query(
     "attached_clips",
-    f"""WITH {CLIPS}, {best_sql('r.k = c.k AND r.d = c.d', 0.15)} SELECT rec AS record, clip AS video, u AS clip_url, round(sim, 4) AS sim FROM m""",
+    f"""WITH {CLIPS}, {best_sql('r.k = c.k AND r.d = c.d', 0.15)} SELECT rec AS record, clip AS video, m.u AS clip_url, ct AS clip_title, 2000 AS clip_duration, round(sim, 4) AS sim FROM m JOIN clips USING (clip)""",
 )
 def q_attached_clips(spark, sf):
     recs, clips = rec_and_clips(spark, sf)
-    _, listed = attach.attach_best_similar(recs, clips, "k", "d", "t", "rec", "url", "ct", "clip", "u")
+    _, listed = attach.attach_best_similar(recs, clips, "k", "d", "t", "rec", "url", "ct", "clip", "u", clip_duration="ud")
     return listed.withColumn("sim", F.round("sim", 4))
 
 

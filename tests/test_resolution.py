@@ -57,6 +57,73 @@ def test_cross_key_prefers_specific_key_in_either_order(spark):
         assert len(out) == 1 and out[0]["block_key"] == "house.wm" and set(out[0]["sources"]) == {"package_id", "video_id"}
 
 
+def test_cross_key_follows_the_registry(spark):
+    """A key that the registry does not hold is no better than a fallback key; of several such the last stays."""
+    title = "State of the Harbour Dredging Fund"
+    rows = [("house.gone", title, "2026-04-08", 4, {"a": "1"}), ("govinfo.house", title, "2026-04-08", 3, {"b": "2"}), ("house.wm", title, "2026-04-08", 1, {"c": "3"})]
+    for known, want in ((["house.wm"], "house.wm"), ([], "house.wm"), (["house.wm", "house.gone"], "house.gone"), (["govinfo.house"], "house.wm")):
+        df = frame(spark, rows).withColumn("registered", F.col("block_key").isin(known) if known else F.lit(False))
+        out = resolve.merge_pairs(df, resolve.cross_key_pairs(df)).collect()
+        assert [(r["block_key"], r["title"], r["authority"]) for r in out] == [(want, title, 4)]
+    df = frame(spark, rows[:2]).withColumn("registered", F.lit(False))
+    assert resolve.merge_pairs(df, resolve.cross_key_pairs(df)).first()["block_key"] == "govinfo.house"
+
+
+def test_adjacent_day_merge_counts_sources(spark):
+    """Of equal authorities the record with more sources leads, whatever the order; the other's entries override."""
+    few = ("house.j", "Upkeep of Canal Towpaths and Lamps", "2026-03-17", 2, {"web_url": "w1"})
+    many = ("house.j", "Upkeep of Canal Towpaths or Lamps!", "2026-03-18", 2, {"video_id": "v", "web_url": "w2"})
+    for rows in ([few, many], [many, few]):
+        out = resolve.merge_adjacent(frame(spark, rows)).collect()
+        assert len(out) == 1 and out[0]["rec"] == rows.index(many) and str(out[0]["event_date"]) == "2026-03-17"
+        assert out[0]["sources"] == {"video_id": "v", "web_url": "w1"}
+
+
+def test_precedence_merge(spark):
+    from recordlink.operators.enrich import Supplier, precedence_merge
+
+    base = spark.createDataFrame([(1, "own", None, "x"), (2, None, None, "y"), (3, None, "b", "z")], "k int, a string, b string, other string")
+    one = spark.createDataFrame([(1, "s1", 5), (2, "late", 9), (2, "early", 4), (2, None, 1), (7, "nobody", 1)], "k int, a string, o int")
+    two = spark.createDataFrame([(1, "t1", None), (3, None, "tb")], "k int, a string, b string")
+    three = spark.createDataFrame([(2, "u2", "ub"), (3, "u3", "ub")], "k int, a string, b string")
+    out = precedence_merge(base, "k", [Supplier(one, order="o", count_as="n"), Supplier(two, frozenset({"a", "b"})), Supplier(three)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert sorted((r["k"], r["a"], r["b"], r["other"], r["n"]) for r in out.collect()) == [(1, "t1", None, "x", 1), (2, "early", "ub", "y", 3), (3, "u3", "tb", "z", 0)]
+
+
+def test_page_details_override_and_fill(spark):
+    rows = [
+        ("senate.a", "Upkeep of Canal Towpaths", "2026-03-17", 2, {"web_url": "u1"}), ("senate.a", "Ferries in Winter Ice", "2026-03-18", 2, {"web_url": "u2", "video_id": "own"}),
+        ("house.b", "Lamps Along the Quay", "2026-03-17", 2, {"web_url": "u3"}), ("house.c", "Ropes and Anchors", "2026-03-17", 2, {"web_url": "u4"}),
+    ]
+    dim = spark.createDataFrame([("senate.a", "A", "aa", False), ("house.b", "B", "bb", True)], "k string, n string, c string, s boolean")
+    details = spark.createDataFrame(
+        [("u1", ["p1"], "e1", "pc", "pf"), ("u2", [], "e2", None, "lone"), ("u3", ["p3", "q3"], None, "hc", "hf"), ("u4", ["p4"], "e4", "xc", "xf")],
+        "url string, pdf_urls array<string>, embed_id string, stream_comm string, stream_file string",
+    )
+    found = spark.createDataFrame([], "record_id string, url string")
+    casts = spark.createDataFrame([(1, "house.zz", "2026-03-17", "Anchors", "cast1"), (2, "house.c", "2026-03-17", "Quay", "cast2")], "video int, block_key string, event_date string, title string, url string")
+    casts = casts.withColumn("event_date", F.col("event_date").cast("date"))
+    out = resolve.resolve_all(frame(spark, rows), dim, "k", "n", "c", "2026-03-17", found=found, broadcasts=casts, details=details, dim_scrape="s")
+    got = {r["title"]: (r["pdf_urls"], r["video_url"], r["stream_comm"], r["stream_file"], r["broadcast_url"]) for r in out.collect()}
+    page = "https://www.youtube.com/watch?v="
+    assert got == {
+        "Upkeep of Canal Towpaths": (["p1"], page + "e1", "pc", "pf", None), "Ferries in Winter Ice": (None, "own", "aa", "aa031826", None),
+        "Lamps Along the Quay": (["p3", "q3"], None, "hc", "hf", None), "Ropes and Anchors": (None, None, None, None, "cast1"),
+    }
+
+
+def test_looked_up_pages_are_for_past_records(spark):
+    rows = [("house.a", f"Session number {w} of the year", d, 2, {"web_url": "u", **more}) for w, d, more in (
+        ("one", "2026-03-17", {}), ("two", "2026-03-19", {}), ("three", "2026-03-01", {"broadcast_url": "kept"}))]
+    dim = spark.createDataFrame([("house.a", "A", "aa")], "k string, n string, c string")
+    first = resolve.resolve_all(frame(spark, rows), dim, "k", "n", "c", "2026-03-18")
+    found = first.select("record_id", F.concat(F.lit("for "), "title").alias("url"))
+    out = resolve.resolve_all(frame(spark, rows), dim, "k", "n", "c", "2026-03-18", found=found)
+    assert {r["title"].split()[2]: r["broadcast_url"] for r in out.collect()} == {"one": "for Session number one of the year", "two": None, "three": "kept"}
+
+
 def test_cross_key_leaves_other_groups_and_same_key(spark):
     budget = "Lighthouse Staffing and Fuel Review"
     df = frame(spark, [
