@@ -73,8 +73,11 @@ def assign_streams(
     day = vid.groupBy(date).agg(F.count("*").alias("__streams"))
     place = F.row_number().over(Window.partitionBy(date, "tokens").orderBy("__rec"))
     rec = rec.join(day, date).withColumn("__place", place).filter(F.col("__place") <= F.col("__streams")).select(date, "tokens", "__rec")
-    pairs = similar_pairs(vid, rec, [date], threshold, ["__video"], ["__rec"])
-    pairs = materialize(pairs.select(F.col("__video").alias("video"), F.col("__rec").alias("record"), "sim"))
+    # others take at most one record for each other stream of the day: a stream never needs more than its best so many
+    found = similar_pairs(vid, rec, [date], threshold, ["__video"], ["__rec"]).join(day, date)
+    choice = F.row_number().over(Window.partitionBy("__video").orderBy(F.col("sim").desc(), "__rec"))
+    found = found.withColumn("__choice", choice).filter(F.col("__choice") <= F.col("__streams"))
+    pairs = materialize(found.select(F.col("__video").alias("video"), F.col("__rec").alias("record"), "sim"))
     held = records.sparkSession.createDataFrame([], pairs.select("record", "video").schema)
     while True:
         taken = held.select("record", F.col("video").alias("__holder"))

@@ -35,6 +35,11 @@ def _may_share(needed: Column) -> Column:
     return (F.size("__ta") - a_only >= needed) & (F.size("__tb") - b_only >= needed)
 
 
+def has_large_blocks(right: DataFrame, block: list[str]) -> bool:
+    """Is there a block of more than `DIRECT` right rows? Where there is none, a single join does."""
+    return not right.groupBy(*block).agg(F.count("*").alias("__n")).filter(F.col("__n") > DIRECT).isEmpty()
+
+
 def token_counts(right: DataFrame, block: list[str], tokens: str) -> DataFrame:
     """The dictionary: (block, __tok, __c), in how many right rows of the block a token is."""
     return right.select(*block, F.explode(tokens).alias("__tok")).groupBy(*block, "__tok").agg(F.count("*").alias("__c"))
@@ -47,6 +52,14 @@ def _ranked(side: DataFrame, block: list[str], tokens: str, counts: DataFrame) -
     return listed.groupBy(*side.columns).agg(F.array_sort(F.collect_list(pair)).alias("__k"))
 
 
+def _by_size(a: DataFrame, b: DataFrame, block: list[str]) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """Rows of small and of large blocks, for both sides."""
+    sizes = b.groupBy(*block).agg((F.count("*") > DIRECT).alias("__large"))
+    sides = [side.join(sizes, block) for side in (a, b)]
+    (a0, a1), (b0, b1) = ([s.filter(~F.col("__large")).drop("__large"), s.filter("__large").drop("__large")] for s in sides)
+    return (a0, a1), (b0, b1)
+
+
 def _parts(count: Column) -> Column:
     return F.greatest(F.ceil(count / PART), F.lit(1)).cast("int")
 
@@ -88,24 +101,24 @@ def similar_pairs(
     `residual` may use any of them. `left_tokens` names an output column with the token set of the left row.
     """
     right = right.select(*block, F.col("tokens").alias("__tb"), *keep_right).filter(F.size("__tb") > 0)
-    sizes = right.groupBy(*block).agg(F.count("*").alias("__n"))
-    a = left.select(*block, F.col("tokens").alias("__ta"), *keep_left).filter(F.size("__ta") > 0).withColumn("__ma", _mask("__ta")).join(sizes, block)
-    b = right.withColumn("__mb", _mask("__tb")).join(sizes, block)
-    small = F.col("__n") <= DIRECT
+    a = left.select(*block, F.col("tokens").alias("__ta"), *keep_left).filter(F.size("__ta") > 0).withColumn("__ma", _mask("__ta"))
+    b = right.withColumn("__mb", _mask("__tb"))
 
     def scored(pairs: DataFrame) -> DataFrame:
         fits = _may_share(threshold / (1 + threshold) * (F.size("__ta") + F.size("__tb")) - 1e-9)
         found = pairs.filter(fits if residual is None else fits & residual)
         return found.withColumn("sim", text.set_jaccard(F.col("__ta"), F.col("__tb"))).select(*block, "__ta", *keep_left, *keep_right, "sim")
 
-    direct = scored(a.filter(small).drop("__n").join(b.filter(small).drop("__n"), block))
-    large_a, large_b = a.filter(~small).drop("__n"), b.filter(~small).drop("__n")
-    counts = token_counts(large_b, block, "__tb")
-    pa, pb = (
-        _ranked(side, block, tokens, counts).withColumn(name, F.slice("__k", F.lit(1), _prefix_length(F.col("__k"), threshold))).drop("__k")
-        for side, tokens, name in ((large_a, "__ta", "__pa"), (large_b, "__tb", "__pb"))
-    )
-    every = direct.unionByName(scored(_meet(pa, pb, block, "__pa", "__pb")))
+    if has_large_blocks(right, block):
+        (a, large_a), (b, large_b) = _by_size(a, b, block)
+        counts = token_counts(large_b, block, "__tb")
+        pa, pb = (
+            _ranked(side, block, tokens, counts).withColumn(name, F.slice("__k", F.lit(1), _prefix_length(F.col("__k"), threshold))).drop("__k")
+            for side, tokens, name in ((large_a, "__ta", "__pa"), (large_b, "__tb", "__pb"))
+        )
+        every = scored(a.join(b, block)).unionByName(scored(_meet(pa, pb, block, "__pa", "__pb")))
+    else:
+        every = scored(a.join(b, block))
     enough = F.col("sim") > threshold + 1e-12 if strict else F.col("sim") >= threshold - 1e-12
     extra = [F.col("__ta").alias(left_tokens)] if left_tokens else []
     return every.filter(enough).select(*block, *keep_left, *keep_right, *extra, "sim")
@@ -122,10 +135,8 @@ def best_partner(left: DataFrame, right: DataFrame, block: list[str], order: str
     the one found leaves open, and not at all where none is left.
     """
     right = right.select(*block, F.col("tokens").alias("__tb"), F.col(order).alias("__o")).filter(F.size("__tb") > 0)
-    sizes = right.groupBy(*block).agg(F.count("*").alias("__n"))
-    a = left.select(*block, F.col("tokens").alias("__ta")).filter(F.size("__ta") > 0).withColumn("__ma", _mask("__ta")).join(sizes, block)
-    b = right.withColumn("__mb", _mask("__tb")).join(sizes, block)
-    small = F.col("__n") <= DIRECT
+    a = left.select(*block, F.col("tokens").alias("__ta")).filter(F.size("__ta") > 0).withColumn("__ma", _mask("__ta"))
+    b = right.withColumn("__mb", _mask("__tb"))
 
     def score(shared: Column, n_a: Column, n_b: Column) -> Column:
         return shared.cast("double") if threshold is None else shared / (n_a + n_b - shared)
@@ -140,16 +151,21 @@ def best_partner(left: DataFrame, right: DataFrame, block: list[str], order: str
         shared = F.size(F.array_intersect("__ta", "__tb"))
         return pairs.withColumn("__s", score(shared, F.size("__ta"), F.size("__tb"))).select(*block, "__ta", "__s", "__o")
 
-    direct = best_of(compared(a.filter(small).drop("__n").join(b.filter(small).drop("__n"), block)))
-    ranked_a, ranked_b = large_sides(a.filter(~small).drop("__n"), b.filter(~small).drop("__n"), block)
+    def named(best: DataFrame) -> DataFrame:
+        return best.select(*block, F.col("__ta").alias("tokens"), (-F.col("__h.o")).alias("best"), F.col("__h.s").alias("score"))
+
+    if not has_large_blocks(right, block):
+        return named(best_of(compared(a.join(b, block))))
+    (a, large_a), (b, large_b) = _by_size(a, b, block)
+    direct = best_of(compared(a.join(b, block)))
+    ranked_a, ranked_b = large_sides(large_a, large_b, block)
     near = best_of(compared(rare_candidates(ranked_a, ranked_b, block)))
     bounded = ranked_a.join(near, [*block, "__ta"], "left")
     found = F.coalesce("__h.s", F.lit(0.0))
     floor = F.greatest(found, F.lit(1.0)) if threshold is None else F.ceil(F.greatest(found, F.lit(threshold)) * F.size("__ta") - 1e-9)
     classes = class_candidates(bounded.withColumn("__need", floor.cast("int")).drop("__h"), ranked_b, block)
     far = best_of(classes.withColumn("__s", score(F.size(F.array_intersect("__fa", "__fb")), F.size("__ta"), F.col("__nb"))))
-    every = direct.unionByName(near).unionByName(far).groupBy(*block, "__ta").agg(F.max("__h").alias("__h"))
-    return every.select(*block, F.col("__ta").alias("tokens"), (-F.col("__h.o")).alias("best"), F.col("__h.s").alias("score"))
+    return named(direct.unionByName(near).unionByName(far).groupBy(*block, "__ta").agg(F.max("__h").alias("__h")))
 
 
 def large_sides(a: DataFrame, b: DataFrame, block: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -25,9 +25,8 @@ def base_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def records(spark: SparkSession, sf: str) -> DataFrame:
+def records(base: DataFrame) -> DataFrame:
     """Three overlapping sources of the same events: web pages, videos (one day late when urgent) and an official feed."""
-    base = base_records(spark, sf)
     d, t, k, key = F.col("d"), F.col("t"), F.col("k"), F.col("o_orderkey")
     video_day = F.when(F.col("o_orderpriority") == "1-URGENT", F.date_add(d, 1)).otherwise(d)
     feed_key = F.when(
@@ -54,6 +53,6 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     return web.unionByName(video).unionByName(feed)
 
 
-def record_list(spark: SparkSession, sf: str) -> DataFrame:
+def record_list(spark: SparkSession, sf: str, base: DataFrame | None = None) -> DataFrame:
     """Records in the shape the resolver takes: a source map per row."""
-    return records(spark, sf).withColumn("sources", F.create_map("source", "source_value"))
+    return records(base_records(spark, sf) if base is None else base).withColumn("sources", F.create_map("source", "source_value"))

@@ -10,6 +10,7 @@ from recordlink.plans import resolvesql
 from recordlink.plans import sqltext as s
 from recordlink.plans.bindings import base_records, record_list
 from recordlink.plans.registry import query, table
+from recordlink.session import materialize
 
 WITH = f"WITH RECURSIVE {s.RECORDS}"
 
@@ -108,7 +109,8 @@ def q_dedup_fuzzy(spark, sf):
 @query("resolve_all", resolvesql.RESOLVE)
 def q_resolve_all(spark, sf):
     """Flagship: three overlapping sources, and all that is attached to them, to one row per event."""
-    rec, base = record_list(spark, sf), base_records(spark, sf)
+    base = materialize(base_records(spark, sf))  # read by all suppliers
+    rec = record_list(spark, sf, base)
     number = F.col("o_orderkey")
 
     def named(prefix, suffix=""):
