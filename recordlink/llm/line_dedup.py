@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordlink.llm.cells import PACKED, answered, ask, bucket_count, cells_for, pack
-from recordlink.llm.scratch import keep
+from recordlink.llm.scratch import discard, keep
 from recordlink.llm.textblock import group_starts, mix, row_slices, signed, text_bytes, white_words
 
 ALIVE = 1
@@ -344,7 +344,7 @@ def earlier_matches(sets: DataFrame, percent: int) -> DataFrame:
         return pa.table({"x1": pa.array([int(a) for a, _ in found], pa.int64()), "x2": pa.array([int(b) for _, b in found], pa.int64())})
 
     schema = flat.select(*names).schema
-    needed = flat.select("*", grp).groupBy("grp").applyInArrow(who, schema)
+    needed = keep(flat.select("*", grp).groupBy("grp").applyInArrow(who, schema), "line-pairs")
     full = needed.join(sets.select("h1", "h2", "words"), ["h1", "h2"]).select("*", grp)
     late = full.groupBy("grp").applyInArrow(match, "x1 long, x2 long")
     return settled.unionByName(late).distinct().select(F.col("x1").alias("h1"), F.col("x2").alias("h2"))
@@ -402,12 +402,16 @@ def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     cells = docs.withColumns({"__cell": cell, "__sub": sub}).repartition(n_cells, "__cell")
     shared = keep(shared_lines(cells, n_buckets, percent, rarity), "line-classes")
     first = F.min(F.struct(F.col("doc_id").isNull().cast("int").alias("late"), "doc_id", "sub", "line")).alias("first")
+    held = keep(shared.select("cell", "h1", "h2"), "line-cells")
     classes = keep(shared.groupBy("h1", "h2").agg(first, F.max("words").alias("words"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("postings").alias("postings"), F.max("places").alias("places")), "line-sets")
+    discard(shared)
     sets = classes.filter("words IS NOT NULL")
-    matched = keep(earlier_matches(sets, percent), "line-matched").withColumn("matched", F.lit(True))
-    verdict = shared.select("cell", "h1", "h2").join(classes.select("h1", "h2", "first"), ["h1", "h2"]).join(matched, ["h1", "h2"], "left")
+    matched_kept = keep(earlier_matches(sets, percent), "line-matched")
+    matched = matched_kept.withColumn("matched", F.lit(True))
+    verdict = held.join(classes.select("h1", "h2", "first"), ["h1", "h2"]).join(matched, ["h1", "h2"], "left")
     verdict = verdict.select("cell", "h1", "h2", F.col("first.doc_id").alias("first_doc"), F.col("first.sub").alias("first_sub"), F.col("first.line").alias("first_line"), F.coalesce("matched", F.lit(False)).alias("matched"))
     verdict = keep(verdict, "line-verdict")
+    discard(held, classes, matched_kept)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     names = docs.columns
 
