@@ -201,6 +201,16 @@ def test_exact_dedup_runs_no_python(nasty):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_exact_dedup_rounds_follow_the_runs(nasty, parts):
+    """Any number of runs gives the same groups; with up to 40 runs and two at a time the merge takes five or six rounds."""
+    out = exact_dedup(nasty.repartition(parts), fan_in=2)
+    want = Counter(rows_of(exact_dedup(nasty), "doc_id", "keep_id", "group_size", "kept", "text_sha256"))
+    assert Counter(rows_of(out, "doc_id", "keep_id", "group_size", "kept", "text_sha256")) == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") in {1: (0,), 3: (2,), 40: (5, 6)}[parts]
+
+
 # ---- 5 and 9
 
 
