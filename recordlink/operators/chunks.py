@@ -7,39 +7,69 @@ from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
 from recordlink.functions import text
+from recordlink.functions.bind import let
 from recordlink.functions.cost import estimate_tokens
 
 
+STEP = 256
+
+
+def prefix_sums(sizes: Column) -> Column:
+    """0 and the running sums of an array. Summed in slices of `STEP`, so that no step copies more than a slice."""
+
+    def running(xs: Column, start: Column) -> Column:
+        return F.aggregate(xs, F.array(start), lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
+
+    zero = F.lit(0).cast("bigint")
+    firsts = F.sequence(F.lit(1), F.greatest(F.size(sizes), F.lit(1)), F.lit(STEP))
+    slices = F.transform(firsts, lambda at: running(F.slice(sizes, at, F.lit(STEP)), zero))
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.element_at(p, -1))
+        return let(running(totals, zero), lambda base: F.flatten(F.transform(parts, lambda p, i: F.transform(F.slice(p, F.lit(2), F.lit(STEP)), lambda x: x + F.get(base, i)))))
+
+    return F.concat(F.array(zero), let(slices, joined))
+
+
+def first_at_least(prefix: Column, value: Column) -> Column:
+    """Number of values of an ascending array below `value`, by halving."""
+    halves = F.array(*[F.lit(1 << i) for i in range(24, -1, -1)])
+
+    def step(at: Column, half: Column) -> Column:
+        return F.when((at + half <= F.size(prefix)) & (F.get(prefix, at + half - 1) < value), at + half).otherwise(at)
+
+    return F.aggregate(halves, F.lit(0), step)
+
+
 def chunk_bounds(sizes: Column, size: int, overlap: int) -> Column:
     """Array of (s, e): paragraphs s..e-1 of each chunk, from the token size of every paragraph.
 
     A paragraph that would exceed the limit closes the chunk; the next one starts with the longest tail
-    of whole paragraphs within the overlap. A single oversize paragraph stays whole.
+    of whole paragraphs within the overlap. A single oversize paragraph stays whole. One step per chunk: where a chunk
+    ends and where the next one starts are found by halving in the running sums.
     """
-    totals = F.aggregate(
-        sizes,
-        F.array(F.lit(0).cast("bigint")),
-        lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x),
-    )
-    state = "struct<b:array<struct<s:int,e:int>>,start:int>"
-    first = F.struct(F.array().cast("array<struct<s:int,e:int>>").alias("b"), F.lit(0).alias("start")).cast(state)
+    state = "struct<b:array<struct<s:int,e:int>>,start:int,at:int>"
+    first = F.struct(F.array().cast("array<struct<s:int,e:int>>").alias("b"), F.lit(0).alias("start"), F.lit(0).alias("at")).cast(state)
 
     def walk(prefix: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            full = (i > acc["start"]) & (F.get(prefix, i + 1) - F.get(prefix, acc["start"]) > size)
-            tail = F.size(F.filter(prefix, lambda p: p < F.get(prefix, i) - overlap))
-            closed = F.struct(
-                F.array_append(acc["b"], F.struct(acc["start"].alias("s"), i.alias("e"))).alias("b"),
-                F.greatest(acc["start"], tail).alias("start"),
-            )
-            return F.when(full, closed.cast(state)).otherwise(acc)
-
         n = F.size(prefix) - 1
-        done = F.aggregate(F.sequence(F.lit(0), n - 1), first, step)
-        last = F.transform(F.array(done), lambda d: F.array_append(d["b"], F.struct(d["start"].alias("s"), n.alias("e")).cast("struct<s:int,e:int>")))
-        return F.element_at(last, 1)
 
-    return F.element_at(F.transform(F.array(totals), walk), 1)
+        def step(acc: Column, _: Column) -> Column:
+            start = acc["start"]
+            # the first paragraph that exceeds the limit, behind the one that closed the chunk before
+            over = first_at_least(prefix, F.get(prefix, start) + size + 1) - 1
+            end = F.least(n, F.greatest(acc["at"] + 1, over))
+
+            def closed(i: Column) -> Column:
+                tail = first_at_least(prefix, F.get(prefix, i) - overlap)
+                grown = F.array_append(acc["b"], F.struct(start.alias("s"), i.alias("e")).cast("struct<s:int,e:int>"))
+                return F.struct(grown.alias("b"), F.greatest(start, tail).alias("start"), i.alias("at")).cast(state)
+
+            return F.when(acc["at"] < n, let(end, closed)).otherwise(acc)
+
+        return F.aggregate(F.sequence(F.lit(1), n), first, step)["b"]
+
+    return let(prefix_sums(sizes), walk)
 
 
 def chunk_paragraphs(

@@ -1,9 +1,13 @@
+import random
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from recordlink.functions import cost, dates, keys, text, urls
+from recordlink.operators import chunks
 
 X = None
 
@@ -147,3 +151,37 @@ def test_similarity_is_symmetric_and_bounded(spark, pairs):
     for r in df.select("a", "b", ab.alias("ab"), ba.alias("ba"), text.normalize_title(F.col("a")).alias("n")).collect():
         assert r["ab"] == r["ba"] and 0.0 <= r["ab"] <= 1.0
         assert len(r["n"].split()) <= 8
+
+
+def walked(sizes, size, overlap):
+    """Bounds of chunks, paragraph by paragraph."""
+    prefix, out, start = [0], [], 0
+    for x in sizes:
+        prefix.append(prefix[-1] + x)
+    for i in range(len(sizes)):
+        if i > start and prefix[i + 1] - prefix[start] > size:
+            out.append((start, i))
+            start = max(start, sum(p < prefix[i] - overlap for p in prefix))
+    return [*out, (start, len(sizes))]
+
+
+def test_chunk_bounds_equal_a_walk(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([0, 1, 3, 10, 40, 200]) for _ in range(rng.choice([1, 2, 5, 300, 700]))]) for i in range(40)]
+    df = spark.createDataFrame(rows, "i int, s array<bigint>")
+    for size, overlap in ((50, 10), (1, 0), (100, 100), (100, 300)):
+        got = {r["i"]: [(b["s"], b["e"]) for b in r["b"]] for r in df.select("i", chunks.chunk_bounds(F.col("s"), size, overlap).alias("b")).collect()}
+        assert got == {i: walked(s, size, overlap) for i, s in rows}
+
+
+def test_chunk_bounds_of_many_paragraphs(spark):
+    """Four times the paragraphs take nowhere near sixteen times as long."""
+    def seconds(n):
+        df = spark.range(1).select(F.array_repeat(F.lit(7).cast("bigint"), n).alias("s"))
+        start = time.time()
+        assert df.select(F.size(chunks.chunk_bounds(F.col("s"), 300, 60)).alias("n")).first()["n"] > n / 60
+        return time.time() - start
+
+    seconds(1000)
+    short, long = seconds(20_000), seconds(80_000)
+    assert long < 8 * max(short, 0.5)
