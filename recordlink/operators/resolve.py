@@ -120,10 +120,12 @@ def fuzzy_representatives(
     while not left.isEmpty():
         later = left.select(F.col("b").alias("a")).distinct()
         roots = left.join(later, "a", "left_anti").select("a").distinct()
-        gone = materialize(left.join(roots, "a", "left_semi").select(F.col("b").alias("node")).distinct())
-        absorbed.append(gone)
-        left = left.join(gone, left["b"] == gone["node"], "left_anti").join(gone, left["a"] == gone["node"], "left_anti")
-        left = materialize(left)
+        gone = left.join(roots, "a", "left_semi").select(F.col("b").alias("node")).distinct()
+        ends = left.join(gone, left["b"] == gone["node"], "left_anti").join(gone.select(F.col("node").alias("a")), "a", "left_anti")
+        # one table a round: the edges that are left, and the nodes that went with an empty a
+        state = materialize(ends.select("a", "b").unionByName(gone.select(F.lit(None).cast(left.schema["a"].dataType).alias("a"), F.col("node").alias("b"))))
+        left = state.filter("a IS NOT NULL")
+        absorbed.append(state.filter("a IS NULL").select(F.col("b").alias("node")))
     if absorbed:
         gone = reduce(DataFrame.unionByName, absorbed)
         links = edges.join(gone, edges["a"] == gone["node"], "left_anti").join(gone, edges["b"] == gone["node"], "left_semi")
@@ -189,11 +191,31 @@ def cross_key_pairs(df: DataFrame, thr: float = fv.CROSS_KEY_SIMILARITY, strict:
     return star.unionByName(linked)
 
 
+HUB = 100_000  # edges of a node above which its star is not joined as one key
+
+
+def with_least(edges: DataFrame, n_edges: int, own: bool) -> DataFrame:
+    """Edges (u, v) with `m`, the least v of their u (`own`: or u itself).
+
+    The stars of hubs are taken out first: there are at most n_edges / HUB hubs, a table that Spark broadcasts by its
+    size, so the edges of a hub stay where they are. Only a table of more than `HUB` edges can have one.
+    """
+    least = F.min("v") if not own else F.least(F.min("v"), F.col("u"))
+    low = edges.groupBy("u").agg(least.alias("m"), F.count("*").alias("__c"))
+    if n_edges <= HUB:
+        return edges.join(low.drop("__c"), "u")
+    hubs = materialize(low.filter(F.col("__c") > HUB).drop("__c"))
+    if hubs.isEmpty():
+        return edges.join(low.drop("__c"), "u")
+    rest = edges.join(hubs.select("u"), "u", "left_anti").join(low.filter(F.col("__c") <= HUB).drop("__c"), "u")
+    return rest.unionByName(edges.join(hubs, "u"))
+
+
 def connected_clusters(nodes: DataFrame, edges: DataFrame, node: str, a: str = "a", b: str = "b") -> DataFrame:
     """(node, cluster): smallest id reachable over the edges.
 
     Alternating large-star and small-star steps; each is a min-aggregate and a join, and the number of
-    rounds grows with the logarithm of the component size.
+    rounds grows with the logarithm of the component size. A component ends as one star; `with_least` splits large ones.
     """
 
     def fingerprint(df: DataFrame):
@@ -203,13 +225,10 @@ def connected_clusters(nodes: DataFrame, edges: DataFrame, node: str, a: str = "
     seen = fingerprint(current)
     while seen[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = with_least(both, 2 * seen[0], own=True).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
-        parent = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(parent, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            parent.select("u", F.col("m").alias("v"))
-        )
+        both_ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+        small = with_least(large, seen[0], own=False).select(both_ends.alias("e")).select("e.*")
         current = materialize(small.filter("u <> v").distinct())
         before, seen = seen, fingerprint(current)
         if before == seen:

@@ -233,7 +233,23 @@ def test_resolution_does_not_depend_on_partitioning(spark):
     assert once == again
 
 
-def test_connected_clusters(spark):
+def test_stars_of_hubs_are_joined_without_a_hot_key(spark, monkeypatch):
+    """With a hub, the other edges are joined by key and the hub's stay in their partitions."""
+    monkeypatch.setattr(resolve, "HUB", 1000)
+    edges = spark.range(1, 40_001).select(F.col("id").alias("u"), F.lit(0).cast("bigint").alias("v"))
+    edges = edges.unionByName(spark.range(50_000, 50_500).select((F.col("id") + 1).alias("u"), F.col("id").alias("v")))
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    out = resolve.with_least(both, 81_000, own=True)
+    rows = out.withColumn("part", F.spark_partition_id()).filter("u = 0").groupBy("part").count().collect()
+    assert sum(r["count"] for r in rows) == 40_000 and len(rows) > 1
+    assert out.filter("u = 0 AND m <> 0").isEmpty() and out.count() == both.count()
+    clusters = resolve.connected_clusters(both.select(F.col("u").alias("id")), edges, "id", "u", "v")
+    assert clusters.groupBy("cluster").count().count() == 2 and clusters.filter("cluster = 0").count() == 40_001
+
+
+@pytest.mark.parametrize("hub", [100_000, 2])
+def test_connected_clusters(spark, monkeypatch, hub):
+    monkeypatch.setattr(resolve, "HUB", hub)
     rng = random.Random(5)
     n = 60
     edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(35)] + [(i, i + 1) for i in range(100, 130)]
