@@ -33,6 +33,7 @@ ALIVE = 1
 BITMAP = 64  # bytes
 COUNTERS, PART = 1 << 20, 1 << 14
 LONG = 1 << 13
+HASHED = "64m"  # a join side with partitions up to this size is hashed
 BLOCK = 2048
 
 
@@ -305,7 +306,7 @@ def earlier_matches(sets: DataFrame, percent: int) -> DataFrame:
     apart = F.aggregate(F.zip_with("bits", "head.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
     stars = stars.filter(apart * (100 + percent) <= (F.col("n") + F.col("head.n")) * (100 - percent))
     pairs = stars.select(F.col("h1").alias("x1"), F.col("h2").alias("x2"), F.col("head.h1").alias("y1"), F.col("head.h2").alias("y2")).distinct()
-    settled = keep(verified(pairs, sets, percent), "line-matches")
+    settled = keep(verified(pairs, sets, percent), "line-matches", HASHED)
     marked = members.join(settled.select(F.col("x1").alias("h1"), F.col("x2").alias("h2"), F.lit(True).alias("settled")), ["h1", "h2"], "left")
     # lists in which somebody other than the head is still without an earlier match
     is_open = F.col("settled").isNull()
@@ -344,7 +345,7 @@ def earlier_matches(sets: DataFrame, percent: int) -> DataFrame:
         return pa.table({"x1": pa.array([int(a) for a, _ in found], pa.int64()), "x2": pa.array([int(b) for _, b in found], pa.int64())})
 
     schema = flat.select(*names).schema
-    needed = keep(flat.select("*", grp).groupBy("grp").applyInArrow(who, schema), "line-pairs")
+    needed = keep(flat.select("*", grp).groupBy("grp").applyInArrow(who, schema), "line-pairs", HASHED)
     full = needed.join(sets.select("h1", "h2", "words"), ["h1", "h2"]).select("*", grp)
     late = full.groupBy("grp").applyInArrow(match, "x1 long, x2 long")
     return settled.unionByName(late).distinct().select(F.col("x1").alias("h1"), F.col("x2").alias("h2"))
@@ -406,11 +407,11 @@ def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = keep(shared.groupBy("h1", "h2").agg(first, F.max("words").alias("words"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("postings").alias("postings"), F.max("places").alias("places")), "line-sets")
     discard(shared)
     sets = classes.filter("words IS NOT NULL")
-    matched_kept = keep(earlier_matches(sets, percent), "line-matched")
+    matched_kept = keep(earlier_matches(sets, percent), "line-matched", HASHED)
     matched = matched_kept.withColumn("matched", F.lit(True))
     verdict = held.join(classes.select("h1", "h2", "first"), ["h1", "h2"]).join(matched, ["h1", "h2"], "left")
     verdict = verdict.select("cell", "h1", "h2", F.col("first.doc_id").alias("first_doc"), F.col("first.sub").alias("first_sub"), F.col("first.line").alias("first_line"), F.coalesce("matched", F.lit(False)).alias("matched"))
-    verdict = keep(verdict, "line-verdict")
+    verdict = keep(verdict, "line-verdict", HASHED)
     discard(held, classes, matched_kept)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     names = docs.columns

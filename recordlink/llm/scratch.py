@@ -7,21 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from recordlink.session import scratch_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+HASH_JOIN = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
+def keep(df: DataFrame, label: str, hash_join: str | None = None) -> DataFrame:
     """Write the rows to the shared folder and read them back: cuts the lineage, survives lost executors.
 
-    The shuffle files of the job that wrote them are not needed again and are removed at its end.
+    The shuffle files of the job that wrote them are not needed again and are removed at its end. With `hash_join`, a
+    size, Spark hashes a join side whose measured partitions are all at most so large, instead of sorting both sides.
     """
     spark: SparkSession = df.sparkSession
-    before = spark.conf.get(CLEANUP, "false")
+    wanted = {CLEANUP: "true"} | ({HASH_JOIN: hash_join} if hash_join else {})
+    before = {name: spark.conf.get(name, None) for name in wanted}
     path = scratch_path(spark, label)
-    spark.conf.set(CLEANUP, "true")
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     kept = spark.read.schema(df.schema).parquet(path)
     kept._scratch_path = path
     return kept
