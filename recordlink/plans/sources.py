@@ -289,7 +289,8 @@ _ARTS = s.sql_list(fv.ARTIFACT_PRIORITY)
     "publish_best",
     f"""WITH {s.RECORDS}, a AS (SELECT l_orderkey, l_linenumber, {_ARTS}[l_linenumber] AS kind, CASE WHEN l_returnflag = 'R' THEN '' ELSE 'text ' || l_partkey END AS text, l_partkey FROM lineitem WHERE l_linenumber <= 7),
       b AS (SELECT l_orderkey, l_linenumber, min(text) AS text, min(kind) AS kind FROM a WHERE text <> '' GROUP BY 1, 2)
-    SELECT o_orderkey, k AS block_key, d AS event_date, k || '/' || strftime(d, '%Y-%m-%d') || '_' || o_orderkey AS path, first(kind ORDER BY l_linenumber) AS kind, first(text ORDER BY l_linenumber) AS text, t AS title
+    SELECT o_orderkey, k AS block_key, d AS event_date, k || '/' || strftime(d, '%Y-%m-%d') || '_' || o_orderkey AS path, first(kind ORDER BY l_linenumber) AS kind, first(text ORDER BY l_linenumber) AS text, t AS title,
+      'e' || o_orderkey AS meta_id, strftime(d, '%Y-%m-%d') AS meta_day, '2002-01-01' AS published_at
     FROM base JOIN b ON o_orderkey = l_orderkey GROUP BY o_orderkey, k, d, t""",
 )
 def q_publish_best(spark, sf):
@@ -298,24 +299,27 @@ def q_publish_best(spark, sf):
     body = F.when(F.col("l_returnflag") == "R", "").otherwise(F.concat(F.lit("text "), F.col("l_partkey").cast("string")))
     arts = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), kind.alias("kind"), body.alias("text"))
     arts = arts.filter("text <> ''").groupBy("o_orderkey", "kind").agg(F.min("text").alias("text"))
-    best = sinks.best_artifacts(arts, "o_orderkey", "kind", "text")
-    rel = F.concat("block_key", F.lit("/"), F.date_format("event_date", "yyyy-MM-dd"), F.lit("_"), F.col("o_orderkey").cast("string"))
-    return rec.join(best, "o_orderkey").select("o_orderkey", "block_key", "event_date", rel.alias("path"), "kind", "text", "title")
+    rec = rec.withColumn("o_orderkey", F.concat(F.lit("e"), F.col("o_orderkey").cast("string")))
+    arts = arts.withColumn("o_orderkey", F.concat(F.lit("e"), F.col("o_orderkey").cast("string")))
+    back = sinks.publish_best(rec, arts, "o_orderkey", scratch_path(spark, "published"), "2002-01-01")
+    number = F.substr("o_orderkey", F.lit(2))
+    meta = {name: F.get_json_object("meta", f"$.{field}") for name, field in (("title", "title"), ("meta_id", "id"), ("meta_day", "event_date"), ("published_at", "published_at"))}
+    path = F.regexp_replace("path", r"_e(\d+)$", "_$1")
+    return back.select(number.cast("bigint").alias("o_orderkey"), "block_key", "event_date", path.alias("path"), "kind", "text", *[v.alias(k) for k, v in meta.items()])
 
 
 @query(
     "published_files",
-    f"""WITH {s.RECORDS} SELECT k AS block_key, 1 + d - date_trunc('year', d)::DATE AS yday, count(*) AS n, min(o_orderkey) AS first_id FROM base GROUP BY 1, 2""",
+    f"""WITH {s.RECORDS} SELECT k AS block_key, d AS event_date, count(*) AS n, min(o_orderkey) AS first_id FROM base GROUP BY 1, 2""",
 )
 def q_published_files(spark, sf):
     """Write, then read back the written partitions."""
     rec = base_records(spark, sf).select(
-        "o_orderkey", F.col("k").alias("block_key"), F.trunc("d", "year").alias("event_date"), F.dayofyear("d").cast("bigint").alias("yday"), F.col("t").alias("title")
+        "o_orderkey", F.col("k").alias("block_key"), F.col("d").alias("event_date"), F.col("t").alias("title")
     )
     arts = rec.select("o_orderkey", F.lit("captions").alias("kind"), F.col("title").alias("text"))
     back = sinks.publish_best(rec, arts, "o_orderkey", scratch_path(spark, "published"), "2002-01-01")
-    day = F.get_json_object("meta", "$.yday").cast("bigint")
-    return back.groupBy(F.col("block_key").cast("string").alias("block_key"), day.alias("yday")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_id"))
+    return back.groupBy("block_key", "event_date").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_id"))
 
 
 @query(
@@ -337,16 +341,28 @@ def q_manifest_upsert(spark, sf):
 
 @query(
     "run_report_json",
-    """WITH i AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'), e AS (SELECT * FROM orders WHERE o_orderstatus = 'P')
-    SELECT o_orderpriority AS run_id, 'header' AS section, -1::BIGINT AS line_id, count(*) FILTER (o_orderstatus <> 'P') AS processed, count(*) FILTER (o_orderstatus = 'P') AS failed FROM orders GROUP BY 1
-    UNION ALL SELECT o_orderpriority, CASE WHEN o_orderstatus = 'P' THEN 'error' ELSE 'item' END, o_orderkey, NULL, NULL FROM orders""",
+    """SELECT o_orderpriority AS run_id, 'header' AS section, -1::BIGINT AS line_id, count(*) FILTER (o_orderstatus <> 'P') AS processed, count(*) FILTER (o_orderstatus = 'P') AS failed,
+      CAST(round(coalesce(sum(CAST(o_totalprice AS DECIMAL(18,6))) FILTER (o_orderstatus <> 'P'), 0), 2) AS DOUBLE) AS total_usd,
+      CAST(count(*) FILTER (o_orderstatus = 'F') AS DOUBLE) AS finished, NULL AS status, NULL AS error FROM orders GROUP BY 1
+    UNION ALL SELECT o_orderpriority, 'item', o_orderkey, NULL, NULL, CAST(o_totalprice AS DOUBLE), CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END, o_orderstatus, NULL FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT o_orderpriority, 'error', o_orderkey, NULL, NULL, NULL, NULL, NULL, 'failed "' || o_custkey || '"' FROM orders WHERE o_orderstatus = 'P'""",
 )
 def q_run_report_json(spark, sf):
-    orders = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("run_id"), F.col("o_orderkey").alias("id"), "o_orderstatus", F.col("o_totalprice").alias("total_usd"))
-    items, errors = orders.filter("o_orderstatus <> 'P'"), orders.filter("o_orderstatus = 'P'").select("run_id", "id", F.lit("failed").alias("error"))
-    out = sinks.run_report_json(items, errors, "run_id", "id", ["total_usd"])
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("run_id"), F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total_usd"),
+        F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0).alias("finished"), "o_custkey",
+    )
+    items = orders.filter("status <> 'P'").drop("o_custkey")
+    errors = orders.filter("status = 'P'").select("run_id", "id", F.concat(F.lit('failed "'), F.col("o_custkey").cast("string"), F.lit('"')).alias("error"))
+    out = sinks.run_report_json(items, errors, "run_id", "id", ["total_usd", "finished"])
+    is_header = F.col("section") == "header"
+
+    def value(header, line):
+        return F.when(is_header, F.get_json_object("json", f"$.{header}")).otherwise(F.get_json_object("json", f"$.{line}"))
+
     counts = [F.get_json_object("json", f"$.items_{n}").cast("bigint").alias(n) for n in ("processed", "failed")]
-    return out.select("run_id", "section", "line_id", *counts)
+    costs = [value(f"cost.{c}", c).cast("double").alias(c) for c in ("total_usd", "finished")]
+    return out.select("run_id", "section", "line_id", *counts, *costs, *[F.get_json_object("json", f"$.{c}").alias(c) for c in ("status", "error")])
 
 
 @query(

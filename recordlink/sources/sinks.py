@@ -18,18 +18,21 @@ def best_artifacts(artifacts: DataFrame, record_id: str, kind: str, body: str, p
 
 
 def publish_best(records: DataFrame, artifacts: DataFrame, record_id: str, path: str, as_of: str) -> DataFrame:
-    """Write the best artefact of each record under block_key/event_date with its metadata as JSON.
+    """Write the best artefact of each record with its path (block_key/event_date_id) and its metadata as JSON.
 
-    Records have block_key, event_date and metadata columns. Records without text are not published. Rows
-    are rebalanced by size before the write, so a large block is split over several files.
+    Records have block_key, event_date and metadata columns. Records without text are not published. Folders are
+    block_key/event_year, not one per day, so that files stay large; rows are rebalanced by size before the write, so a
+    large block is split over several files.
     """
     best = best_artifacts(artifacts, record_id, "kind", "text")
     meta_cols = [c for c in records.columns if c not in ("block_key", "event_date", record_id)]
     meta = F.to_json(F.struct(F.col(record_id).alias("id"), "block_key", "event_date", *meta_cols, F.lit(as_of).alias("published_at")))
     rel = F.concat("block_key", F.lit("/"), F.date_format("event_date", "yyyy-MM-dd"), F.lit("_"), F.col(record_id).cast("string"))
     out = records.join(best, record_id).select(record_id, "block_key", "event_date", rel.alias("path"), "kind", "text", meta.alias("meta"))
-    out.hint("rebalance", "block_key", "event_date").write.mode("overwrite").partitionBy("block_key", "event_date").parquet(path)
-    return out.sparkSession.read.parquet(path)
+    dealt = out.withColumn("event_year", F.year("event_date")).hint("rebalance", "block_key", "event_year")
+    dealt.write.mode("overwrite").partitionBy("block_key", "event_year").parquet(path)
+    schema = dealt.select(*[c for c in dealt.columns if c != "block_key"], "block_key").schema
+    return out.sparkSession.read.schema(schema).parquet(path).select(*out.columns)
 
 
 def manifest_upsert(existing: DataFrame, new: DataFrame, key: str, as_of: str) -> DataFrame:
