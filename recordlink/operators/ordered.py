@@ -43,16 +43,20 @@ def ordered_scan(
     sums: dict[str, Column] | None = None,
     lags: dict[str, Column] | None = None,
     marks: dict[str, Column] | None = None,
+    levels: int | None = None,
 ) -> DataFrame:
     """Add running values per key in ascending order.
 
     sums:  inclusive running sum of an expression;
     lags:  value of the previous row (may be NULL);
     marks: position (1, 2, ...) of the last row up to here that meets a condition; also adds `pos`.
-    Expressions may use columns of `df` only. `order` must be unique within a key. The rows are derived
-    twice (for the windows and for the carried rows), so chain scans over a materialized input.
+    Expressions may use columns of `df` only. `order` must be unique within a key. The carried rows come from the same
+    exchange as the windows if nothing but the order and the expressions is used of the rows; else they read these few
+    columns a second time. `levels` is how many times segments are themselves cut into groups of `FAN` before one window
+    goes over what is left of a key: none with keys, one without.
     """
     sums, lags, marks = sums or {}, lags or {}, marks or {}
+    levels = (0 if keys else 1) if levels is None else levels
     d = df.withColumn(SEG, segment)
     local = Window.partitionBy(*keys, SEG).orderBy(*order)
     run = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -68,18 +72,9 @@ def ordered_scan(
     if marks:
         inner = inner.select("*", *[F.max(F.when(c, F.col("__pos"))).over(run).alias(f"__m_{n}") for n, c in marks.items()])
     # The last row of a segment holds the segment's totals; these few rows travel on alone.
-    across = Window.partitionBy(*keys).orderBy(SEG) if keys else Window.orderBy(SEG)
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    ends = inner.filter("__end")
-    if marks:
-        ends = ends.withColumn("__base", F.coalesce(F.sum("__pos").over(before), F.lit(0)))
-    carry = ends.select(
-        *keys, SEG,
-        *[F.sum(f"__s_{n}").over(before).alias(f"__cs_{n}") for n in sums],
-        *[F.lag(f"__v_{n}", 1).over(across).alias(f"__cg_{n}") for n in lags],
-        *(["__base"] if marks else []),
-        *[F.max(F.col("__base") + F.col(f"__m_{n}")).over(before).alias(f"__cm_{n}") for n in marks],
-    )
+    totals = [*[f"__s_{n}" for n in sums], *[f"__v_{n}" for n in lags], *(["__pos"] if marks else []), *[f"__m_{n}" for n in marks]]
+    ends = inner.filter("__end").select(*keys, SEG, *totals)
+    carry = _carried(ends, keys, SEG, list(sums), list(lags), list(marks), levels).drop(*totals)
     joined = inner.join(carry, [*keys, SEG], "left")
     return joined.select(
         *df.columns,
@@ -90,6 +85,52 @@ def ordered_scan(
     )
 
 
+FAN = 4096  # segments of one group on the next level
+
+
+def _carried(ends: DataFrame, keys: list[str], seg: str, sums: list[str], lags: list[str], marks: list[str], levels: int) -> DataFrame:
+    """Segment rows with what lies before them in their key: `__cs_` sums, `__cg_` last values, `__base` rows, `__cm_` marks.
+
+    With levels left, this is settled inside groups of `FAN` segments first; each group's last row carries its totals up.
+    """
+    up = f"{seg}_up"
+    # without keys the few rows of the last level are one group: pmod(x, 1) is 0 for all
+    grouped = ends.withColumn(up, F.floor(F.col(seg) / FAN).cast("bigint") if levels else F.pmod(F.col(seg), F.lit(1)))
+    group = [*keys, up]
+    across = Window.partitionBy(*group).orderBy(seg)
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    if marks:
+        grouped = grouped.withColumn("__base", F.coalesce(F.sum("__pos").over(before), F.lit(0)))
+    inside = grouped.select(
+        "*",
+        *[F.sum(f"__s_{n}").over(before).alias(f"__cs_{n}") for n in sums],
+        *[F.lag(f"__v_{n}", 1).over(across).alias(f"__cg_{n}") for n in lags],
+        *[F.max(F.col("__base") + F.col(f"__m_{n}")).over(before).alias(f"__cm_{n}") for n in marks],
+        F.lead(F.lit(1), 1).over(across).isNull().alias("__top"),
+    )
+    if not levels:
+        return inside.drop(up, "__top")
+    tops = inside.filter("__top").select(
+        *group,
+        *[(F.coalesce(f"__cs_{n}", F.lit(0)) + F.coalesce(f"__s_{n}", F.lit(0))).alias(f"__s_{n}") for n in sums],
+        *[f"__v_{n}" for n in lags],
+        *([(F.col("__base") + F.col("__pos")).alias("__pos")] if marks else []),
+        *[F.coalesce(F.col("__base") + F.col(f"__m_{n}"), f"__cm_{n}").alias(f"__m_{n}") for n in marks],
+    )
+    above = _carried(tops, keys, up, sums, lags, marks, levels - 1)
+    above = above.select(
+        *group,
+        *[F.col(f"__cs_{n}").alias(f"__us_{n}") for n in sums], *[F.col(f"__cg_{n}").alias(f"__ug_{n}") for n in lags],
+        *([F.col("__base").alias("__ubase")] if marks else []), *[F.col(f"__cm_{n}").alias(f"__um_{n}") for n in marks],
+    )
+    both = inside.join(above, group, "left")
+    mine = {f"__cs_{n}": F.coalesce(f"__cs_{n}", F.lit(0)) + F.coalesce(f"__us_{n}", F.lit(0)) for n in sums}
+    mine |= {f"__cg_{n}": F.coalesce(f"__cg_{n}", f"__ug_{n}") for n in lags}
+    mine |= {f"__cm_{n}": F.coalesce(F.col("__ubase") + F.col(f"__cm_{n}"), f"__um_{n}") for n in marks}
+    mine |= {"__base": F.col("__base") + F.col("__ubase")} if marks else {}
+    return both.withColumns(mine).select(*[c for c in inside.columns if c not in (up, "__top")])
+
+
 def number_changes(
     df: DataFrame, keys: list[str], order: list[str], segment: Column, value: Column,
     starts: Callable[[Column, Column], Column], name: str, flag: str = "__new",

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,37 @@ def test_scan_without_keys(spark):
     assert [r["s"] for r in out.orderBy("pos").collect()] == list(range(1, 51))
 
 
+@pytest.mark.parametrize("levels", [0, 1, 2])
+def test_levels_of_segments_equal_a_plain_window(spark, monkeypatch, levels):
+    monkeypatch.setattr(ordered, "FAN", 3)
+    rng = random.Random(8)
+    rows = [(k, i, rng.randrange(-3, 4), rng.choice(["a", None, "b"])) for k in "xy" for i in sorted(rng.sample(range(400), 150))]
+    df = spark.createDataFrame(rows, "k string, at int, v int, t string")
+    for keys in (["k"], []):
+        own = df if keys else df.filter("k = 'x'")
+        out = ordered.ordered_scan(own, keys, ["at"], ordered.position_segment("at", 8), {"s": F.col("v")}, {"g": F.col("t")}, {"m": F.col("v") == 2}, levels=levels)
+        got = {(r["k"], r["at"]): (r["s"], r["g"], r["m"], r["pos"]) for r in out.collect()}
+        want, state = {}, {}
+        for k, at, v, t in rows:
+            if keys or k == "x":
+                total, last, mark, n = state.get(k, (0, None, None, 0))
+                n, total, mark = n + 1, total + v, n + 1 if v == 2 else mark
+                want[(k, at)] = (total, last, mark, n)
+                state[k] = (total, t, mark, n)
+        assert got == want
+
+
+def test_budget_scan_reads_once_and_never_in_one_partition(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
+    out = ordered.budget_cutoff(orders, "o_orderkey", "o_totalprice", 1e6).select("o_orderkey", "spent_before")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SinglePartition" not in plan and plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+
+
 def test_collapse_repeats(spark):
     body = "WEBVTT\nKind: captions\n\n00:00:01.000 --> 00:00:02.000\n<c>Hello</c> there\nHello there\nYes\nNo\nYes\n  \nYes"
     out = ordered.collapse_repeats(spark.createDataFrame([(1, body)], "d int, t string"), "d", "t").first()["lines"]
