@@ -264,3 +264,30 @@ def test_ingest_passes_each_record_once(spark, tmp_path):
     batches = [[(1, "a", t.format(5), True), (2, "a", t.format(5), True)], [(2, "a", t.format(5), True), (3, "a", t.format(6), True)], [(9, "a", t.format(1), True), (3, "a", t.format(6), True)]]
     out = jobs.stream_ingest(write_batches(spark, str(tmp_path / "in"), batches), "id", "ts", "2 days", str(tmp_path / "out"))
     assert sorted(r["id"] for r in out.collect()) == [1, 2, 3]
+
+
+def test_sessions_over_batches_and_late_rows(spark, tmp_path):
+    t = "2026-01-01 {}:00"
+    batches = [
+        [(1, "a", t.format("00:00"), True), (2, "a", t.format("00:05"), True)],
+        [(3, "a", t.format("00:12"), True), (4, "b", t.format("00:12"), True)],  # goes on with the session of the batch before
+        [(5, "a", t.format("02:00"), True)],
+        [(8, "c", t.format("02:01"), True)],  # the watermark of the batch before closes both
+        [(6, "a", t.format("00:06"), True), (7, "a", t.format("05:00"), True)],  # 6 is late
+    ]
+    out = jobs.stream_gap_sessions(write_batches(spark, str(tmp_path / "in"), batches), "k", "ts", "10 minutes", "30 minutes", str(tmp_path / "out"))
+    got = sorted((r["k"], str(r["session_start"])[11:16], str(r["session_end"])[11:16], r["parts"]) for r in out.collect())
+    assert got == [("a", "00:00", "00:22", 3), ("a", "02:00", "02:10", 1), ("b", "00:12", "00:22", 1), ("c", "02:01", "02:11", 1)]
+
+
+def test_health_counts_over_batches_and_late_rows(spark, tmp_path):
+    t = "2026-01-01 {}:00"
+    batches = [
+        [(1, "ok", t.format("00:10"), True), (2, "bad", t.format("00:20"), True)],
+        [(3, "ok", t.format("00:50"), True)],  # a newer value of the same window
+        [(4, "ok", t.format("05:00"), True)],
+        [(6, "ok", t.format("05:01"), True)],
+        [(5, "ok", t.format("00:30"), True)],  # late
+    ]
+    out = jobs.stream_health_counts(write_batches(spark, str(tmp_path / "in"), batches), "ts", "k", "1 hour", None, "30 minutes", str(tmp_path / "out"))
+    assert sorted((str(r["window_start"])[11:13], r["k"], r["n"]) for r in out.collect()) == [("00", "bad", 1), ("00", "ok", 2), ("05", "ok", 2)]
