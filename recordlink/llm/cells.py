@@ -2,8 +2,8 @@
 
 Documents are dealt once into cells of about `CELL_BYTES` of text. A pass over the cells turns each into packed rows of
 fingerprints, one row per (cell, bucket); buckets are merged where all cells meet, and the answers go back to the cells
-as packed rows in the same order. A value that a third of all documents hold is one entry per cell here, so no task
-grows with a hot value. All passes of one job read the same exchange of the text.
+as packed rows in the same order. Equal values of a cell are one entry where a pass merges them before packing, and a
+bucket takes all entries of its values: a hot value costs its bucket an entry for each cell that holds it. All passes of one job read the same exchange of the text.
 """
 
 from __future__ import annotations

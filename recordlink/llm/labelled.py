@@ -23,7 +23,7 @@ def held_out(doc_id: Column) -> Column:
 
 def label_sample(labels: DataFrame, target: str, bound: int) -> DataFrame:
     """(doc_id, y) of at most `bound` ids. Contradictory labels of one id count as 1; null ids and labels are left out."""
-    usable = labels.filter(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1) & ~held_out(F.col("doc_id")))
+    usable = labels.withColumn("doc_id", F.col("doc_id").cast("long")).filter(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1) & ~held_out(F.col("doc_id")))
     one = usable.groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias("y"))
     # a top-N per task, then over the tasks; classes keep their natural shares at every size of the table
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
@@ -32,7 +32,7 @@ def label_sample(labels: DataFrame, target: str, bound: int) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, target: str, bound: int, featurise: Callable, fit: Callable) -> np.ndarray:
     """Weights fitted in one task on the bounded sample; features are made where the documents are read."""
     sample = F.broadcast(label_sample(labels, target, bound))  # at most `bound` pairs of numbers
-    rows = docs.select("doc_id", "text").join(sample, "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
     # one text per id, found where the rows are read: a hot id is one row per task before the exchange
     text = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text"))).alias("t")
     rows = rows.groupBy("doc_id", "y").agg(text).select("doc_id", "t.text", "y")

@@ -389,7 +389,7 @@ def line_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     earlier line, in the order of doc_id and line number, has a word set with 100 * common >= percent * union. All is
     judged on the input, so a removed line still counts as an earlier one.
 
-    Defined cases: lines without words stay; a null text stays null with no line; a null id is later than all others;
+    Defined cases: lines without words stay; a null text stays null with no line; texts and lines of any length are read whole; a null id is later than all others;
     rows that repeat an id stand in an order fixed by their texts, and all but one of rows that repeat both lose their lines;
     a document may end up empty but its row stays; columns named like the added ones are replaced; an empty table gives
     an empty result.

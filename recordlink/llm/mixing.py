@@ -2,8 +2,8 @@
 
 The repetition rate of a source is target rows of the source / rows of the source. Each document draws its number of
 copies by inverting the Poisson distribution of that rate at a uniform number that is a hash of seed and id; it is
-exploded by the count, and all copies are dealt and ordered by a hash of (seed, id, copy), a global shuffle that gives
-the same order on every run and every cluster size.
+exploded by the count, and all copies are dealt and ordered by a hash of (seed, id, copy), a global shuffle: the order
+is the same on every run with the same number of shuffle partitions, and `order_key` sorts the copies on any cluster.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def mix_sources(
     counts, which flattens the mixture. `total` is the expected number of rows out, as many as came in by default.
 
     Defined cases: a null source is one source; a null id hashes as empty text; rows that repeat an id repeat the same
-    draw; columns named like the added ones are replaced; an empty table gives an empty result.
+    draw; null, empty and long texts are passed on as they are; columns named like the added ones are replaced; an empty table gives an empty result.
     """
     rates = source_rates(docs, weights, power, total).withColumnRenamed("source", "__source")
     salted = rates.select("__source", F.col("rate").alias("__rate"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))

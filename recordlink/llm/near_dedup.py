@@ -330,7 +330,7 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, coordinates: i
 
     Defined cases: a null text, or one without words, has no shingle and is linked with nothing; a null id is larger
     than all others within its component and kept only if alone; rows that repeat an id are documents of their own and
-    share its component if they share text; other columns are ignored; an empty table gives an empty result.
+    share its component if they share text; texts of any length are read whole; other columns are ignored; an empty table gives an empty result.
     """
     parts = keep(near_classes(docs, size, coordinates, matches), "near-classes")
     rows = parts.filter("sig IS NULL").select("doc_id", "text_key", "digest", "n")

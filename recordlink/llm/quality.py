@@ -112,7 +112,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, bound: int = 12_000, thres
     """`docs` with `held_out`, `score` and `predicted` (score >= threshold).
 
     Only the text is an input of the score. Defined cases: a null or empty text has no feature and gets the score of
-    the bias; without any usable label every score is 0.5; a null id is not held out; rows that repeat an id are scored
+    the bias; a text of any length is scored whole; without any usable label every score is 0.5; a null id is not held out; rows that repeat an id are scored
     each on its own; columns named like the added ones are replaced; an empty table gives an empty result.
     """
     weights = train(docs, labels, target, bound, featurise, fit).astype(np.float64)

@@ -106,7 +106,7 @@ def scan_secrets(docs: DataFrame, reach: int = 400) -> DataFrame:
     linked weak ones: id, key, endpoint (never overlapping strong ids or keys in the case of id and key).
 
     Defined cases: a null text is empty and has no span; a null id is returned as it is; rows that repeat an id are
-    scanned each on its own; other columns are ignored; an empty table gives an empty result.
+    scanned each on its own; texts and spans of any length are read whole; other columns are ignored; an empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

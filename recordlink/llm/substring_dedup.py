@@ -194,7 +194,7 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = 24) -> DataFr
     bytes nor take any; rows that repeat an id are one document and don't take from each other; a text of any length is
     worked on in slices; other columns are ignored; an empty table gives an empty result.
     """
-    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     n_cells = cell_count(docs)
     n_buckets = bucket_count(n_cells)
     cells = dealt(narrow, range_cell(docs, n_cells), n_cells)

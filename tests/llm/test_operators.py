@@ -476,3 +476,15 @@ def test_mixing(nasty, weights):
 def test_empty_tables(nothing):
     for out in (substring_dedup(nothing), line_dedup(nothing), exact_dedup(nothing), scan_secrets(nothing), near_dedup(nothing), keep_one(nothing), mix_sources(nothing), pack_documents(nothing, public_tokenizers.path("byte_bpe_50k.json"))):
         assert out.count() == 0
+
+
+def test_int_ids(nasty):
+    """Ids of type int give the results of long ones."""
+    short = nasty.filter("text IS NULL OR length(text) < 1000")
+    ints = short.withColumn("doc_id", F.col("doc_id").cast("int"))
+    labels = short.filter("doc_id IS NOT NULL").select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")).distinct()
+    for run, columns in (
+        (substring_dedup, ("doc_id", "n_bytes", "n_removed", "kept_sha256")),
+        (lambda d: toxicity.score_toxicity(d, labels.withColumn("doc_id", F.col("doc_id").cast(d.schema["doc_id"].dataType))), ("doc_id", "score", "held_out")),
+    ):
+        assert Counter(rows_of(run(ints), *columns)) == Counter(rows_of(run(short), *columns))
