@@ -31,23 +31,28 @@ def aside(docs: DataFrame, used: tuple[str, ...], work: Callable[[DataFrame], Da
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labels of `sf_dir`, does not call toxic; null and empty texts too get a score."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return aside(docs, ("held_out", "score", "predicted", "offending"), lambda d: score_toxicity(d, labels).filter("predicted = 0"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without lines that match an earlier one; a document may end up empty, a null text stays null."""
     return aside(docs, ("n_lines", "n_removed_lines"), line_dedup)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; texts without words are linked with nothing and stay."""
     return keep_one(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's rate draws it, none to several times; a null source is one source."""
     return aside(docs, ("copy", "copies", "order_key", "rate"), mix_sources)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences; a null or empty text is its end id alone."""
     return pack_documents(docs, public_tokenizers.path(TOKENIZER), SEQUENCE)
 
 
