@@ -68,9 +68,3 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
-
-
-def salt_count(spark: SparkSession) -> int:
-    """How many ways a frequent join value is split: follows the shuffle width, at most 16."""
-    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(16, width // 8))
