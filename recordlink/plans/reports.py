@@ -269,7 +269,7 @@ def q_dead_letter_list(spark, sf):
 
 @query("authority_order", f"{WITH} SELECT rec, authority FROM records ORDER BY authority DESC, rec")
 def q_authority_order(spark, sf):
-    return rank.authority_order(records(spark, sf), "authority", "rec").select("rec", "authority")
+    return rank.authority_order(records(base_records(spark, sf)), "authority", "rec").select("rec", "authority")
 
 
 @query(

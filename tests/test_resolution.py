@@ -417,3 +417,10 @@ def test_streams_take_records_in_turn(spark):
     won = by_turns(recs, streams)
     assert {x["rec"]: x["url"] for x in out} == {i: won.get(i, url) for i, _, _, url, _ in recs}
     assert won[100] == "u200" and won[101] == "u201"
+
+
+def test_authority_order_reads_the_records_of_the_tables(spark, sf_dir):
+    from recordlink.plans import QUERIES
+
+    rows = [(-r["authority"], r["rec"]) for r in QUERIES["authority_order"](spark, sf_dir).collect()]
+    assert rows and rows == sorted(rows) and len({a for a, _ in rows}) == 3
