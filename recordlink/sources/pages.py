@@ -252,9 +252,13 @@ def page_documents(pages: DataFrame, page: str, html: str, url: str, layout: str
 
 
 def html_to_text(html: Column) -> Column:
-    """Text of a page: every tag ends a line; scripts, styles and comments go; entities are decoded."""
+    """Text of a page: every tag ends a line; scripts, styles and comments go; entities are decoded.
+
+    `&amp` counts with and without its semicolon, as a cut title ends in it.
+    """
     body = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</(?:script|style)\s*>|<!--.*?-->", "")
-    lines = decode_entities(F.regexp_replace(body, r"(?s)<[^>]+>", "\n"))
+    closed = F.regexp_replace(F.regexp_replace(body, r"(?s)<[^>]+>", "\n"), "&amp;?", "&amp;")
+    lines = decode_entities(closed)
     return F.regexp_replace(F.regexp_replace(lines, r"[ \t]*\n\s*", "\n"), r"^\s+|\s+$", "")
 
 

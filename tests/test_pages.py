@@ -291,3 +291,8 @@ def test_health_counts_over_batches_and_late_rows(spark, tmp_path):
     ]
     out = jobs.stream_health_counts(write_batches(spark, str(tmp_path / "in"), batches), "ts", "k", "1 hour", None, "30 minutes", str(tmp_path / "out"))
     assert sorted((str(r["window_start"])[11:13], r["k"], r["n"]) for r in out.collect()) == [("00", "bad", 1), ("00", "ok", 2), ("05", "ok", 2)]
+
+
+@pytest.mark.parametrize("raw,want", [("<h1>of&amp;&amp</h1>x", "of&&\nx"), ("a&ampb&amp;lt;", "a&b&lt;"), ("&lt &amp", "&lt &")])
+def test_page_text_reads_an_ampersand_without_semicolon(one, raw, want):
+    assert one(pages.html_to_text(F.col("x")), x=raw) == want
