@@ -39,18 +39,18 @@ def fragment_match(
     """Key of the longest dimension fragment contained in a title.
 
     Search text, in order: the text after `COMMITTEE ON` without an article, with it, the whole title.
-    The pairs come from an equi-join on the first three characters of the fragment against the distinct
-    three-character pieces of the text, so no title meets a fragment it cannot contain.
+    Equal titles of a group are looked up once. The pairs come from an equi-join on the first three characters of the
+    fragment against the distinct three-character pieces of the text, so no title meets a fragment it cannot contain.
     """
-    upper = F.upper(F.col(title))
+    kind = F.coalesce(F.col(group), F.lit("")).alias("__group")
+    upper = F.upper("__title")
     pattern = r"COMMITTEE\s+ON\s+(.+?)(?:\s*[-—,]\s*(?:UNITED\s+STATES|U\.S\.)|$)"
     named = F.trim(F.regexp_extract(upper, pattern, 1))
     search = F.when(upper.rlike(pattern), named).otherwise(upper)
     bare = F.regexp_replace(search, r"(?i)^THE\s+", "")
     texts = F.array_distinct(F.array(bare, search, upper))
-    lowered = items.select(item_id, F.col(group).alias("__group"), F.posexplode(texts).alias("__pos", "__t")).withColumn(
-        "__t", F.lower("__t")
-    )
+    titles = items.select(kind, F.col(title).alias("__title")).filter("__title <> ''").distinct()
+    lowered = titles.select("__group", "__title", F.posexplode(texts).alias("__pos", "__t")).withColumn("__t", F.lower("__t"))
     starts = F.when(F.length("__t") > 0, F.sequence(F.lit(1), F.length("__t"))).otherwise(F.array().cast("array<int>"))
 
     def pieces(n: int) -> Column:
@@ -59,12 +59,15 @@ def fragment_match(
     grams = F.array_distinct(F.flatten(F.array(pieces(1), pieces(2), pieces(3))))
     fragments = dim.select(F.lower(F.trim(fragment)).alias("__f"), F.col(key).alias("key")).filter("__f <> ''")
     fragments = fragments.withColumn("__gram", F.left("__f", F.lit(3)))
-    probes = lowered.select(item_id, "__group", "__pos", F.explode(grams).alias("__gram"))
-    in_group = F.coalesce(F.col("__group"), F.lit("")).isin("", "unknown") | F.col("key").startswith(F.concat("__group", F.lit(".")))
-    candidates = probes.join(fragments, "__gram").filter(in_group).select(item_id, "__pos", "__f", "key")
-    hits = candidates.join(lowered.select(item_id, "__pos", "__t"), [item_id, "__pos"]).filter(F.col("__t").contains(F.col("__f")))
-    best = hits.groupBy(item_id).agg(
-        F.min_by("key", F.struct("__pos", (-F.length("__f")).alias("__len"), "__f", "key")).alias("matched_key")
+    probes = lowered.withColumn("__gram", F.explode(grams))
+    in_group = F.col("__group").isin("", "unknown") | F.col("key").startswith(F.concat("__group", F.lit(".")))
+    # A left join, kept by the coalesce: of the two sides only the dimension may be gathered, as the pieces are many times their texts.
+    hits = probes.join(fragments, "__gram", "left").filter(F.coalesce(in_group & F.col("__t").contains(F.col("__f")), F.lit(False)))
+    rank = F.struct("__pos", (-F.length("__f")).alias("__len"), "__f", "key")
+    of_title = hits.groupBy("__group", "__title").agg(F.min(rank).alias("__rank"))
+    best = (
+        items.select(item_id, kind, F.col(title).alias("__title")).join(of_title, ["__group", "__title"])
+        .groupBy(item_id).agg(F.min("__rank").alias("__rank")).select(item_id, F.col("__rank.key").alias("matched_key"))
     )
     spare = F.concat(F.lit(fallback + "."), F.coalesce(F.nullif(F.col(group), F.lit("")), F.lit("unknown")))
     return items.join(best, item_id, "left").withColumn("key", F.coalesce("matched_key", spare))

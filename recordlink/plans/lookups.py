@@ -185,7 +185,9 @@ _ON = "'COMMITTEE\\s+ON\\s+(.+?)(?:\\s*[-—,]\\s*(?:UNITED\\s+STATES|U\\.S\\.)|
 )
 def q_fragment_match(spark, sf):
     part = table(spark, sf, "part")
-    items = part.select("p_partkey", F.expr(_FRAG_GROUP).alias("g"), F.expr(_FRAG_TITLE).alias("title"))
+    items = wide_table(spark, sf, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size").select(
+        "p_partkey", F.expr(_FRAG_GROUP).alias("g"), F.expr(_FRAG_TITLE).alias("title")
+    )
     dim = part.filter("p_type = 'ECONOMY'").select(
         F.expr("CASE WHEN p_size < 6 THEN p_name ELSE split_part(p_name, ' ', 2) END").alias("f"),
         F.expr("CASE WHEN p_size % 2 = 0 THEN 'senate.' ELSE 'house.' END || replace(p_name, ' ', '_')").alias("k"),

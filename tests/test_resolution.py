@@ -424,3 +424,27 @@ def test_authority_order_reads_the_records_of_the_tables(spark, sf_dir):
 
     rows = [(-r["authority"], r["rec"]) for r in QUERIES["authority_order"](spark, sf_dir).collect()]
     assert rows and rows == sorted(rows) and len({a for a, _ in rows}) == 3
+
+
+def test_fragment_match_gathers_no_exploded_titles(spark, sf_dir):
+    from recordlink.plans import QUERIES
+
+    lines = QUERIES["fragment_match"](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    joins = [i for i, x in enumerate(lines) if "BroadcastHashJoin" in x]
+    assert any("Generate" in x for x in lines)
+    for i in joins:
+        child = depth[i] + 3
+        starts = [j for j in range(i + 1, len(lines)) if depth[j] == child and all(d > depth[i] for d in depth[i + 1:j])]
+        gathered = starts[-1] if "BuildRight" in lines[i] else starts[0]
+        for line in lines[gathered:]:
+            if "Aggregate" in line or "Scan" in line:  # up to here the gathered side is as long as its exploded rows
+                break
+            assert "Generate" not in line, lines[i]
+
+
+def test_fragment_match_reads_equal_titles_and_nulls(spark):
+    dim = spark.createDataFrame([("toads", "house.b"), ("toads", "house.a"), ("toads", "senate.a")], "f string, k string")
+    items = spark.createDataFrame([(1, "On Toads", "house"), (2, "On Toads", "house"), (3, "On Toads", None), (4, None, "senate"), (5, "On Toads", "senate")], "i int, t string, g string")
+    got = {r["i"]: r["key"] for r in lookup.fragment_match(items, "i", "t", "g", dim, "f", "k").collect()}
+    assert got == {1: "house.a", 2: "house.a", 3: "house.a", 4: "govinfo.senate", 5: "senate.a"}
