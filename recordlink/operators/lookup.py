@@ -24,12 +24,13 @@ def code_lookup(
             F.struct(F.lit(1).alias("__level"), keys.parent_code(F.col("__code")).alias("__probe")),
         )),
     )
-    known = dim.select(F.col(dim_code).alias("__probe"), F.col(dim_key).alias("key"))
+    # of the keys of one code only the least can win, so a code that many rows hold is met once
+    known = dim.groupBy(F.col(dim_code).alias("__probe")).agg(F.min(dim_key).alias("key"))
     hits = probes.join(known, "__probe")
     best = hits.groupBy(item_id).agg(
         F.min_by(F.struct("key", F.col("__probe").alias("matched_code")), F.struct("__pos", "__level", "key")).alias("__b")
     )
-    out = best.select(item_id, "__b.key", "__b.matched_code")
+    out = best.select(item_id, "__b.key", "__b.matched_code").filter("key IS NOT NULL")
     return out.join(allowed.select(F.col(allowed.columns[0]).alias("key")).distinct(), "key", "left_semi").select(*out.columns) if allowed is not None else out
 
 

@@ -448,3 +448,10 @@ def test_fragment_match_reads_equal_titles_and_nulls(spark):
     items = spark.createDataFrame([(1, "On Toads", "house"), (2, "On Toads", "house"), (3, "On Toads", None), (4, None, "senate"), (5, "On Toads", "senate")], "i int, t string, g string")
     got = {r["i"]: r["key"] for r in lookup.fragment_match(items, "i", "t", "g", dim, "f", "k").collect()}
     assert got == {1: "house.a", 2: "house.a", 3: "house.a", 4: "govinfo.senate", 5: "senate.a"}
+
+
+def test_code_lookup_meets_a_code_once(spark):
+    items = spark.createDataFrame([(1, ["aaaa00"]), (2, ["bbbb07"]), (3, ["cccc00"])], "i int, codes array<string>")
+    dim = spark.createDataFrame([("aaaa00", None), ("aaaa00", "k2"), ("aaaa00", "k1"), ("bbbb00", "k4"), ("bbbb00", "k3"), ("cccc00", None)], "code string, k string")
+    out = lookup.code_lookup(items, "i", "codes", dim, "code", "k")
+    assert {r["i"]: r["key"] for r in out.collect()} == {1: "k1", 2: "k3"}
