@@ -455,3 +455,13 @@ def test_code_lookup_meets_a_code_once(spark):
     dim = spark.createDataFrame([("aaaa00", None), ("aaaa00", "k2"), ("aaaa00", "k1"), ("bbbb00", "k4"), ("bbbb00", "k3"), ("cccc00", None)], "code string, k string")
     out = lookup.code_lookup(items, "i", "codes", dim, "code", "k")
     assert {r["i"]: r["key"] for r in out.collect()} == {1: "k1", 2: "k3"}
+
+
+def test_copies_of_a_title_are_gone_before_its_words_are_taken(spark):
+    rows = [(i, "house.a", "Toad Tunnels", "2026-01-02", 1 + i % 2, i == 5) for i in range(8)]
+    df = spark.createDataFrame(rows, "rec int, block_key string, title string, event_date string, authority int, has_video boolean")
+    nodes = resolve._title_nodes(df)
+    plan = nodes._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    taken = [x for x in plan if "array_sort" in x]
+    assert taken and all("Aggregate [" in x and "array_sort" not in x.split("]")[0] for x in taken)  # in the output of the aggregate, not in its rows
+    assert [(r["node"], r["video"]) for r in nodes.collect()] == [(1, True)]
