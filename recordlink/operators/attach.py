@@ -6,6 +6,8 @@ choice of a best partner is an aggregate, so a block of copies is neither paired
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,34 +63,75 @@ def assign_streams(
     """(record, video): full streams matched by date and title, each record to one stream at most.
 
     Streams choose in order: each takes the most similar record of its date (first in order on a tie) that has no long
-    video yet and that no earlier stream has taken. Streams shorter than `long_s` take no part. The choice in order equals
-    deferred acceptance in which every record prefers the earliest stream, so it is found in rounds: every stream
-    without a record asks for its best one that no earlier stream holds.
+    video yet and that no earlier stream has taken. Streams shorter than `long_s` take no part. Titles are compared once for
+    each token set of a day. Of records with one token set the first one left is always taken first, so the choice in order
+    (`take_in_order`) holds one place for each set, not a list of records for each stream. A day is one group: of its
+    numbers and of the pairs of its token sets, never of pairs of streams and records.
     """
     has_long = F.nullif(F.col(url), F.lit("")).isNotNull() & (F.coalesce(F.col(duration), F.lit(0)) >= long_s)
-    streams = videos.filter(F.col(video_duration) >= long_s)
-    vid = streams.select(date, text.token_set(F.col(video_title)).alias("tokens"), F.col(video_ord).alias("__video"))
-    rec = records.filter(~has_long).select(date, text.token_set(F.col(title)).alias("tokens"), F.col(ord_col).alias("__rec"))
-    # of records with one title no more can be taken than there are streams on the day
+    streams = videos.filter((F.col(video_duration) >= long_s) & F.col(date).isNotNull())
+
+    def placed(df: DataFrame, text_col: str, number: str) -> DataFrame:
+        """Rows with the first number of their token set (`__set`) and their place in it."""
+        alike = Window.partitionBy(date, "tokens").orderBy("__n")
+        rows = df.select(date, text.token_set(F.col(text_col)).alias("tokens"), F.col(number).cast("bigint").alias("__n")).filter(F.size("tokens") > 0)
+        return rows.withColumns({"__place": F.row_number().over(alike), "__set": F.first("__n").over(alike)})
+
+    vid = materialize(placed(streams, video_title, video_ord))
     day = vid.groupBy(date).agg(F.count("*").alias("__streams"))
-    place = F.row_number().over(Window.partitionBy(date, "tokens").orderBy("__rec"))
-    rec = rec.join(day, date).withColumn("__place", place).filter(F.col("__place") <= F.col("__streams")).select(date, "tokens", "__rec")
-    # others take at most one record for each other stream of the day: a stream never needs more than its best so many
-    found = similar_pairs(vid, rec, [date], threshold, ["__video"], ["__rec"]).join(day, date)
-    choice = F.row_number().over(Window.partitionBy("__video").orderBy(F.col("sim").desc(), "__rec"))
-    found = found.withColumn("__choice", choice).filter(F.col("__choice") <= F.col("__streams"))
-    pairs = materialize(found.select(F.col("__video").alias("video"), F.col("__rec").alias("record"), "sim"))
-    held = records.sparkSession.createDataFrame([], pairs.select("record", "video").schema)
-    while True:
-        taken = held.select("record", F.col("video").alias("__holder"))
-        free = pairs.join(held.select("video"), "video", "left_anti").join(taken, "record", "left")
-        free = free.filter(F.col("__holder").isNull() | (F.col("__holder") > F.col("video")))
-        asked = free.groupBy("video").agg(F.max_by("record", F.struct("sim", -F.col("record"))).alias("record"))
-        after = materialize(held.unionByName(asked.select("record", "video")).groupBy("record").agg(F.min("video").alias("video")))
-        if after.exceptAll(held).isEmpty():
-            break
-        held = after
-    return held
+    # of records with one token set no more can be taken than there are streams on the day
+    rec = placed(records.filter(~has_long).join(day.select(date), date, "left_semi"), title, ord_col)
+    rec = materialize(rec.join(day, date).filter(F.col("__place") <= F.col("__streams")).drop("__streams"))
+    sets = [df.filter("__place = 1").select(date, "tokens", F.col("__set").alias(name)) for df, name in ((vid, "__v"), (rec, "__r"))]
+    found = similar_pairs(*sets, [date], threshold, ["__v"], ["__r"])
+    # others take at most one record for each other stream of the day: better sets that hold so many records are enough
+    held = rec.groupBy(date, F.col("__set").alias("__r")).agg(F.count("*").alias("__held"))
+    better = Window.partitionBy(date, "__v").orderBy(F.col("sim").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = found.join(held, [date, "__r"]).withColumn("__sum", F.sum("__held").over(better)).withColumn(
+        "__before", F.col("__sum") - F.sum("__held").over(Window.partitionBy(date, "__v", "sim"))
+    )
+    found = found.join(day, date).filter(F.col("__before") < F.col("__streams"))
+    rows = [df.select(date, F.lit(kind).alias("kind"), F.col("__n").alias("a"), F.col("__set").alias("b"), F.lit(0.0).alias("sim")) for df, kind in ((vid, 0), (rec, 1))]
+    every = rows[0].unionByName(rows[1]).unionByName(found.select(date, F.lit(2).alias("kind"), F.col("__v").alias("a"), F.col("__r").alias("b"), "sim"))
+    held = every.groupBy(date).applyInPandas(take_in_order, "record bigint, video bigint")
+    kinds = records.schema[ord_col].dataType, videos.schema[video_ord].dataType
+    return materialize(held.select(F.col("record").cast(kinds[0]), F.col("video").cast(kinds[1])))
+
+
+def take_in_order(day: pd.DataFrame) -> pd.DataFrame:
+    """(record, video) of one day. Rows by kind: 0 stream a of set b, 1 record a of set b, 2 similarity of sets a and b."""
+    kind, a, b, sim = (day[c].to_numpy() for c in ("kind", "a", "b", "sim"))
+    rec = kind == 1
+    order = np.lexsort((a[rec], b[rec]))
+    numbers, names = a[rec][order], b[rec][order]
+    sets, start = np.unique(names, return_index=True)
+    place, end = start.copy(), np.append(start[1:], len(numbers))
+    none = np.iinfo(np.int64).max
+    head = numbers[place] if len(numbers) else numbers  # first record left of each set
+    pair = kind == 2
+    order = np.lexsort((-sim[pair], a[pair]))
+    askers, partner, level = a[pair][order], np.searchsorted(sets, b[pair][order]), sim[pair][order]
+    new = np.ones(len(askers), bool)
+    new[1:] = (askers[1:] != askers[:-1]) | (level[1:] != level[:-1])
+    first = np.flatnonzero(new)  # a tier: the equally similar sets of one set of streams
+    last = np.append(first[1:], len(askers))
+    tier = dict(zip(*(x.tolist() for x in np.unique(askers[first], return_index=True))))
+    stream = kind == 0
+    order = np.argsort(a[stream])
+    won: list[tuple[int, int]] = []
+    for video, asker in zip(a[stream][order].tolist(), b[stream][order].tolist()):
+        t = tier.get(asker, len(first))
+        while t < len(first) and askers[first[t]] == asker:
+            among = partner[first[t] : last[t]]
+            s = among[head[among].argmin()]
+            if head[s] != none:
+                won.append((int(head[s]), video))
+                place[s] += 1
+                head[s] = numbers[place[s]] if place[s] < end[s] else none
+                break
+            t += 1  # a tier that is used up stays so
+        tier[asker] = t
+    return pd.DataFrame(won, columns=["record", "video"], dtype="int64")
 
 
 def attach_date_similar(

@@ -465,3 +465,23 @@ def test_copies_of_a_title_are_gone_before_its_words_are_taken(spark):
     taken = [x for x in plan if "array_sort" in x]
     assert taken and all("Aggregate [" in x and "array_sort" not in x.split("]")[0] for x in taken)  # in the output of the aggregate, not in its rows
     assert [(r["node"], r["video"]) for r in nodes.collect()] == [(1, True)]
+
+
+def test_streams_of_one_title_are_compared_once(spark, monkeypatch):
+    sizes = []
+
+    def counted(left, right, *args, **kwargs):
+        sizes.append((left.count(), right.count()))
+        return similar_pairs(left, right, *args, **kwargs)
+
+    monkeypatch.setattr(attach, "similar_pairs", counted)
+    rng = random.Random(5)
+    titles = ["peat moss", "moss peat weir", "weir canal", "lamp stone", "stone mill weir"]
+    recs = [(i, f"d{i % 2}", rng.choice(titles), "", None) for i in range(60)]
+    streams = [(i, f"d{i % 2}", rng.choice(titles[1:]), f"u{i}", 2000) for i in range(50)]
+    r = spark.createDataFrame(recs, "rec bigint, d string, t string, url string, dur int")
+    v = spark.createDataFrame(streams, "clip bigint, d string, ct string, u string, ud int")
+    out = attach.attach_date_similar(r, v, "d", "t", "rec", "url", "dur", "ct", "clip", "u", "ud").collect()
+    won = by_turns(recs, streams)
+    assert {x["rec"]: x["url"] for x in out} == {i: won.get(i, url) for i, _, _, url, _ in recs}
+    assert sizes and all(a <= 8 and b <= 10 for a, b in sizes)  # token sets of two days, not streams and records
