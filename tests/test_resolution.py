@@ -485,3 +485,15 @@ def test_streams_of_one_title_are_compared_once(spark, monkeypatch):
     won = by_turns(recs, streams)
     assert {x["rec"]: x["url"] for x in out} == {i: won.get(i, url) for i, _, _, url, _ in recs}
     assert sizes and all(a <= 8 and b <= 10 for a, b in sizes)  # token sets of two days, not streams and records
+
+
+def test_titles_are_normalized_once(spark):
+    rows = [(i, "house.a", t, "2026-01-02", i % 3, False, {"web_url": f"u{i}"} if i else {}) for i, t in enumerate(["Hearing: Toad Tunnels", "Toad Tunnels"] * 4)]
+    rows += [(90, "house.a", "Newts", "2026-01-02", 1, True, {}), (91, "house.a", None, "2026-01-02", 1, True, None)]
+    df = spark.createDataFrame(rows, "rec bigint, block_key string, title string, event_date string, authority int, has_video boolean, sources map<string, string>")
+    out = resolve.dedup_exact(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = [x for x in plan if "regexp_replace" in x]
+    assert made and all("Aggregate [title" in x for x in made)  # in the output of the distinct titles, not in the rows
+    got = {r["rec"]: (r["title"], r["n_merged"], r["sources"]) for r in out.collect()}
+    assert got == {2: ("Hearing: Toad Tunnels", 8, {"web_url": "u6"}), 90: ("Newts", 1, None), 91: (None, 1, None)}
