@@ -6,6 +6,8 @@ choice of a best partner is an aggregate, so a block of copies is neither paired
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -17,13 +19,23 @@ from recordlink.operators.similarity import best_partner, similar_pairs
 from recordlink.session import materialize
 
 
-def _title_sets(df: DataFrame, block: list[str], title: str, ord_col: str, name: str) -> DataFrame:
-    """One row per (block, token set) with the first row's order value."""
-    return (
-        df.select(*block, text.token_set(F.col(title)).alias("tokens"), F.col(ord_col).alias(name))
-        .groupBy(*block, "tokens")
-        .agg(F.min(name).alias(name))
-    )
+def _title_sets(df: DataFrame, block: list[str], title: str, ord_col: str, name: str, words: Callable[[Column], Column] = text.token_set) -> DataFrame:
+    """One row per (block, token set) with the first row's order value, kept: a search reads it several times.
+
+    Copies of a title are gone before its words are taken; kept, no later filter on the words moves down to the rows.
+    """
+    titles = df.groupBy(*block, F.col(title).alias("__title")).agg(F.min(ord_col).alias(name))
+    return materialize(titles.select(*block, words(F.col("__title")).alias("tokens"), name).groupBy(*block, "tokens").agg(F.min(name).alias(name)))
+
+
+def _best_of_titles(
+    videos: DataFrame, rec_sets: DataFrame, block: list[str], video_title: str, threshold: float | None = None,
+    words: Callable[[Column], Column] = text.token_set,
+) -> DataFrame:
+    """(block, title of a video, best, score): `best_partner` of each title, so that rows of videos never carry its words."""
+    titles = materialize(videos.select(*block, F.col(video_title).alias("__title")).distinct().withColumn("tokens", words(F.col("__title"))))
+    best = best_partner(titles.select(*block, "tokens").distinct(), rec_sets, block, "__rec", threshold)
+    return titles.join(best, [*block, "tokens"]).select(*block, F.col("__title").alias(video_title), "best", "score")
 
 
 def best_similar(
@@ -31,9 +43,9 @@ def best_similar(
 ) -> DataFrame:
     """(video, record, sim): for each video the most similar record of its block, first in order on a tie."""
     rec_sets = _title_sets(records, block, title, ord_col, "__rec")
-    vid = videos.select(*block, text.token_set(F.col(video_title)).alias("tokens"), F.col(video_ord).alias("video"))
-    best = best_partner(vid.select(*block, "tokens").distinct(), rec_sets, block, "__rec", threshold)
-    return vid.join(best, [*block, "tokens"]).select("video", F.col("best").alias("record"), F.col("score").alias("sim"))
+    best = _best_of_titles(videos, rec_sets, block, video_title, threshold)
+    vid = videos.select(*block, video_title, F.col(video_ord).alias("video"))
+    return vid.join(best, [*block, video_title]).select("video", F.col("best").alias("record"), F.col("score").alias("sim"))
 
 
 def attach_best_similar(
@@ -157,23 +169,20 @@ def two_tier_matches(records: DataFrame, videos: DataFrame, key: str, date: str,
     The most shared significant words win, first in order on a tie, even with none shared.
     """
 
-    def words(c: str) -> Column:
-        return F.array_sort(F.array_distinct(text.significant_words(F.col(c))))
+    def words(c: Column) -> Column:
+        return F.array_sort(F.array_distinct(text.significant_words(c)))
 
-    recs = records.select(key, date, F.col(ord_col).alias("__rec"), words(title).alias("words"))
-    vids = videos.select(key, date, F.col(video_ord).alias("video"), words(video_title).alias("words"))
+    vids = videos.select(key, date, F.col(video_ord).alias("video"), F.col(video_title).alias("__named"))
 
     def choose(block: list[str], wanted: DataFrame) -> DataFrame:
         """Best record per wanted video inside a block."""
-        first = recs.groupBy(*block).agg(F.min("__rec").alias("__first"))
-        rec_sets = recs.groupBy(*block, F.col("words").alias("tokens")).agg(F.min("__rec").alias("__rec"))
-        sets = wanted.select(*block, F.col("words").alias("tokens")).distinct()
-        best = best_partner(sets, rec_sets, block, "__rec").withColumnRenamed("tokens", "words")
-        found = wanted.join(first, block).join(best, [*block, "words"], "left")
+        first = records.groupBy(*block).agg(F.min(ord_col).alias("__first"))
+        best = _best_of_titles(wanted, _title_sets(records, block, title, ord_col, "__rec", words), block, "__named", words=words)
+        found = wanted.join(first, block).join(best, [*block, "__named"], "left")
         return found.select("video", F.coalesce("best", "__first").alias("record"))
 
     near = choose([key, date], vids)
-    rest = vids.join(recs.select(key, date).distinct(), [key, date], "left_anti")
+    rest = vids.join(records.select(key, date).distinct(), [key, date], "left_anti")
     return near.unionByName(choose([date], rest))
 
 

@@ -497,3 +497,17 @@ def test_titles_are_normalized_once(spark):
     assert made and all("Aggregate [title" in x for x in made)  # in the output of the distinct titles, not in the rows
     got = {r["rec"]: (r["title"], r["n_merged"], r["sources"]) for r in out.collect()}
     assert got == {2: ("Hearing: Toad Tunnels", 8, {"web_url": "u6"}), 90: ("Newts", 1, None), 91: (None, 1, None)}
+
+
+def test_rows_of_videos_carry_no_words(spark, monkeypatch):
+    recs = spark.createDataFrame([(1, "a", "d1", "peat moss"), (2, "a", "d1", "weir canal"), (3, "a", "d1", "peat moss")], "rec bigint, k string, d string, t string")
+    vids = spark.createDataFrame([(i, "a", "d1", "on peat moss" if i % 2 else "the canal") for i in range(6)], "v bigint, k string, d string, vt string")
+    kept, materialize = [], attach.materialize
+    monkeypatch.setattr(attach, "materialize", lambda df: kept.append(df) or materialize(df))
+    near = attach.best_similar(recs, vids, ["k", "d"], "t", "rec", "vt", "v", 0.15)
+    tiers = attach.two_tier_matches(recs, vids, "k", "d", "t", "rec", "vt", "v")
+    for out in (near, tiers):
+        assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert {r["video"]: r["record"] for r in out.collect()} == {i: 1 if i % 2 else 2 for i in range(6)}
+    lines = [x for df in kept for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "regexp_replace" in x]
+    assert len(lines) >= 4 and all("Aggregate [" in x for x in lines)  # words of distinct titles only
