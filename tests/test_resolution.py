@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recordlink.operators import attach, lookup, resolve
 from recordlink.operators.similarity import similar_pairs
+from recordlink.session import materialize
 
 SCHEMA = "rec bigint, block_key string, title string, event_date string, authority int, sources map<string,string>, has_video boolean"
 
@@ -270,6 +271,18 @@ def test_connected_clusters(spark, monkeypatch, hub):
     assert lone.filter("id = cluster").count() == len(parent)
 
 
+def test_edges_are_reduced_before_they_are_shuffled(spark, monkeypatch):
+    """Of a block linked all to all no more edges than nodes are kept, also when a task reduces them in parts."""
+    kept = []
+    monkeypatch.setattr(resolve, "materialize", lambda df: kept.append(materialize(df)) or kept[-1])
+    monkeypatch.setattr(resolve, "FOREST", 700, raising=False)
+    ids = spark.range(120).filter("id <> 7").coalesce(1)
+    edges = ids.select(F.col("id").alias("a")).crossJoin(ids.select(F.col("id").alias("b"))).filter("a < b AND a % 3 = b % 3").coalesce(1)
+    got = {(r["id"], r["cluster"]) for r in resolve.connected_clusters(spark.range(120), edges, "id").collect()}
+    assert got == {(i, 7 if i == 7 else i % 3) for i in range(120)}
+    assert kept[0].count() <= 119
+
+
 def test_clips(spark):
     recs = spark.createDataFrame(
         [(1, "k", "2026-03-17", "River Gauge Session", ""), (2, "k", "2026-03-18", "River Gauge Session", ""), (3, "other", "2026-03-17", "River Gauge", ""),
