@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -151,6 +152,39 @@ def test_rolling_diff_rebuilds_text(spark):
         assert " ".join(r["new_text"] for r in out).split() == words
 
 
+def test_rolling_diff_equals_the_scan_in_order_and_reads_screens_once(spark):
+    rng = random.Random(3)
+    texts = [None, "", " a ", "a b", "a b c", "b c d", "b\tc de", "é f", "é fg h", "c d e f", "f"]
+    rows = [(d, i, float(i // 2), float(i // 2) + 1, rng.choice(texts)) for d in range(4) for i in range(150)]
+
+    def words(t):
+        return [w for w in re.split(r"[ \t\n\x0b\f\r]+", t) if w]
+
+    def overlap(a, b):
+        def fits(k):
+            apart = [(x, y) for x, y in zip(a[len(a) - k :], b[:k]) if x != y]
+            return not apart or (len(apart) == 1 and (apart[0][0].startswith(apart[0][1]) or apart[0][1].startswith(apart[0][0])))
+        return max([k for k in range(1, min(len(a), len(b)) + 1) if fits(k)], default=0)
+
+    want, seen = set(), {}
+    for d, seq, _, end, now in rows:
+        text, last = seen.get(d, (None, None))
+        if now is not None and now != text:
+            new = now.strip(" ") if text is None else " ".join(words(now)[overlap(words(text), words(now)) :])
+            if new and new != last:
+                want.add((d, seq, end, new))
+            last = new or last
+        seen[d] = (now, last)
+    count = spark.sparkContext.accumulator(0)
+    read = F.udf(lambda t: count.add(1) or t, "string")
+    df = spark.createDataFrame(rows, "d bigint, seq int, start_s double, end_s double, text string").repartition(5)
+    for width in (1.0, 2.0, 7.0, 600.0):
+        out = captions.rolling_diff(df, "d", width).collect()
+        assert len(out) == len(want) and {(r["d"], r["seq"], r["end_s"], r["new_text"]) for r in out} == want
+    captions.rolling_diff(df.withColumn("text", read("text")), "d").collect()
+    assert count.value == len(rows)
+
+
 def test_caption_paragraphs(spark):
     cues = [(1, 0, 0.0, 1.0, "A B"), (1, 1, 1.0, 9.0, "B C"), (1, 2, 9.0, 17.5, "C D")]
     df = spark.createDataFrame(cues, "d int, seq int, start_s double, end_s double, text string")
