@@ -217,20 +217,26 @@ def reconcile_ids(
         .select("old_id", "new_id", F.lit("event_id").alias("rule"))
     )
     rest = new.join(event_hits.select(F.col("new_id").alias(record_id)), record_id, "left_anti")
-    sides = [
-        df.select(key, date, text.token_set(F.col(title)).alias("tokens"), F.col(record_id).alias("__id")) for df in (rest, stored)
-    ]
-    # Two smallest ids per token set are enough: at most one of them can be the new id itself.
-    stored_sets = sides[1].groupBy(key, date, "tokens").agg(F.min("__id").alias("__o1"))
-    second = (
-        sides[1].join(stored_sets, [key, date, "tokens"]).filter(F.col("__id") > F.col("__o1"))
-        .groupBy(key, date, "tokens").agg(F.min("__id").alias("__o2"))
-    )
-    stored_sets = materialize(stored_sets.join(second, [key, date, "tokens"], "left"))
-    new_rows = sides[0].withColumnRenamed("__id", "new_id")
-    new_sets = new_rows.select(key, date, "tokens").distinct()
+
+    def two_least(df: DataFrame, group: list[str]) -> DataFrame:
+        """(group, __o1, __o2): the two smallest ids; Spark cuts a ranking this low before it shuffles the rows."""
+        low = df.withColumn("__r", F.dense_rank().over(Window.partitionBy(*group).orderBy("__id"))).filter("__r <= 2")
+        return low.groupBy(*group).agg(F.min("__id").alias("__o1"), F.nullif(F.max("__id"), F.min("__id")).alias("__o2"))
+
+    # Two smallest ids per title and per token set are enough: at most one of them can be the new id itself.
+    # Words are taken of distinct titles only, so no row carries them.
+    named = stored.select(key, date, F.col(title).alias("__title"), F.col(record_id).alias("__id")).filter(F.col("__id").isNotNull())
+    titles = two_least(named, [key, date, "__title"])
+    ids = F.explode(F.array_compact(F.array("__o1", "__o2"))).alias("__id")
+    stored_sets = materialize(two_least(titles.select(key, date, text.token_set(F.col("__title")).alias("tokens"), ids), [key, date, "tokens"]))
+    new_rows = rest.select(key, date, F.col(title).alias("__title"), F.col(record_id).alias("new_id"))
+    new_titles = materialize(new_rows.select(key, date, "__title").distinct().withColumn("__words", text.token_set(F.col("__title"))))
+    new_sets = new_titles.select(key, date, F.col("__words").alias("tokens")).distinct()
     pairs = similar_pairs(new_sets, stored_sets, [key, date], threshold, [], ["__o1", "__o2"], left_tokens="__words")
-    hits = new_rows.withColumnRenamed("tokens", "__words").join(pairs, [key, date, "__words"])
+    # of all sets that a new set resembles its two smallest ids are enough too
+    found = pairs.select(key, date, "__words", F.explode(F.array_compact(F.array("__o1", "__o2"))).alias("__id"))
+    best = two_least(found, [key, date, "__words"])
+    hits = new_rows.join(new_titles.join(best, [key, date, "__words"]).drop("__words"), [key, date, "__title"])
     old = F.when(F.col("__o1") != F.col("new_id"), F.col("__o1")).otherwise(F.col("__o2"))
     title_hits = (
         hits.withColumn("old_id", old).groupBy("new_id").agg(F.min("old_id").alias("old_id"))

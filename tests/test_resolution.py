@@ -271,6 +271,18 @@ def test_connected_clusters(spark, monkeypatch, hub):
     assert lone.filter("id = cluster").count() == len(parent)
 
 
+def test_reconcile_takes_words_of_distinct_titles_only(spark, monkeypatch):
+    count = spark.sparkContext.accumulator(0)
+    words = F.udf(lambda t: count.add(1) or sorted(set(t.lower().split())), "array<string>").asNondeterministic()
+    monkeypatch.setattr(attach.text, "token_set", words)
+    rows = [(i, "k", "2026-03-17", ("River Gauge Session", "Gauge River Session")[i % 2], "") for i in range(600)]
+    schema = "id bigint, k string, d string, t string, ev string"
+    new, old = (spark.createDataFrame(x, schema) for x in (rows[:500], rows[4:]))
+    got = {(r["old_id"], r["new_id"]) for r in attach.reconcile_ids(new, old, "id", "k", "d", "t", "ev").collect()}
+    assert got == {(5 if i == 4 else 4, i) for i in range(500)}
+    assert count.value < 40
+
+
 def test_edges_are_reduced_before_they_are_shuffled(spark, monkeypatch):
     """Of a block linked all to all no more edges than nodes are kept, also when a task reduces them in parts."""
     kept = []
