@@ -536,3 +536,29 @@ def test_rows_of_videos_carry_no_words(spark, monkeypatch):
         assert {r["video"]: r["record"] for r in out.collect()} == {i: 1 if i % 2 else 2 for i in range(6)}
     lines = [x for df in kept for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "regexp_replace" in x]
     assert len(lines) >= 4 and all("Aggregate [" in x for x in lines)  # words of distinct titles only
+
+
+@pytest.mark.parametrize("tile", [2, 7, 1024])
+def test_links_across_keys_have_the_components_of_all_pairs(spark, monkeypatch, tile):
+    monkeypatch.setattr(resolve, "TILE", tile)
+    dice = random.Random(tile)
+    words = ["river", "lake", "budget", "review", "coast", "harvest", "energy", "report"]
+    keys = ["house.a", "house.b", "house.c", "senate.a", "govinfo.house"]
+    rows = [
+        (dice.choice(keys), " ".join(dice.sample(words, dice.randint(1, 4))), dice.choice(["2026-03-01", "2026-03-02", None]), dice.randint(1, 3), {"w": str(i)})
+        for i in range(90)
+    ]
+    df = frame(spark, rows)
+    for strict in (True, False):
+        found = [
+            {(r["rec"], r["cluster"]) for r in resolve.connected_clusters(df, edges(df, 0.5, strict), "rec").collect()}
+            for edges in (resolve.cross_key_pairs, resolve.cross_key_links)
+        ]
+        assert found[0] == found[1] and len({c for _, c in found[0]}) < 90
+
+
+def test_resolution_writes_no_pairs_across_keys(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "cross_key_pairs", lambda *_: pytest.fail("pairs of a day were written out"))
+    rows = [("house.a", "River Budget Review", "2026-03-01", 1, {"w": "x"}), ("house.b", "River Budget Review", "2026-03-01", 2, {"w": "y"})]
+    dim = spark.createDataFrame([("house.a",), ("house.b",)], "k string")
+    assert resolve.resolve_records(frame(spark, rows), dim, "k", "2026-03-02").count() == 1
