@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
+from recordlink.functions.bind import let
 
 ISO = r"(\d{4})-(\d{2})-(\d{2})"
 SLASH = r"(\d{1,2})/(\d{1,2})/(\d{2,4})"
@@ -50,6 +51,20 @@ def parse_date(text: Column) -> Column:
     )
 
 
+def parse_date_once(text: Column) -> Column:
+    """`parse_date` inside an expression that is not compiled: each pattern is looked for once, its parts in what it found."""
+    iso, slash, dot = (F.regexp_extract(text, p, 0) for p in (ISO, SLASH, DOT))
+
+    def of_name(m: Column) -> Column:
+        month, year = month_number(F.regexp_extract(m, MONTH, 1)).cast("string"), F.regexp_extract(m, MONTH, 3)
+        return let(month, lambda n: F.when(n.isNotNull(), let(year, lambda y: _assemble(y, n, F.regexp_extract(m, MONTH, 2)))))
+
+    named = let(F.regexp_extract(text, MONTH, 0), lambda m: F.when(m != "", of_name(m)))
+    dotted = let(dot, lambda m: F.when(m != "", _numeric(m, DOT)).otherwise(named))
+    slashed = let(slash, lambda m: F.when(m != "", _numeric(m, SLASH)).otherwise(dotted))
+    return let(iso, lambda m: F.when(m != "", F.try_to_date(m, "yyyy-MM-dd")).otherwise(slashed))
+
+
 def date_window_flags(date: Column, cutoff: str, as_of: str, back: int = 730, ahead: int = 180) -> tuple[Column, Column]:
     """(plausible, recent): inside [as_of-back, as_of+ahead]; plausible and not before the cutoff."""
     plausible = F.coalesce(date.between(F.date_sub(as_date(as_of), back), F.date_add(as_date(as_of), ahead)), F.lit(False))

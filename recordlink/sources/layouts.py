@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
 from recordlink.functions import dates, urls
-from recordlink.functions.bind import let
+from recordlink.functions.bind import cut, let
 from recordlink.sources.pages import anchors, attribute, href_of, plain
 
 NONE = r"(?!)"  # matches nothing
@@ -144,7 +144,8 @@ def _time_date(html: Column) -> Column:
     tag = F.regexp_extract(html, r"(?is)<time\b([^>]*)>", 1)
     stamp = attribute(F.concat(F.lit("<time"), tag, F.lit(">")), "datetime")
     inner = plain(F.regexp_extract(html, r"(?is)<time\b[^>]*>(.*?)</time", 1))
-    return F.coalesce(let(F.coalesce(stamp, F.lit("")), dates.parse_date), let(inner, dates.parse_date))
+    written = F.coalesce(let(F.coalesce(stamp, F.lit("")), dates.parse_date_once), let(inner, dates.parse_date_once))
+    return F.when(html.rlike(r"(?i)<time\b"), written)
 
 
 def _slot_date(html: Column) -> Column:
@@ -152,7 +153,7 @@ def _slot_date(html: Column) -> Column:
     month, day, year = (
         F.trim(F.regexp_extract(html, rf"""(?is)<span\b[^>]*class=["'](?:[^"']*\s)?{n}(?:\s[^"']*)?["'][^>]*>([^<]*)<""", 1)) for n in ("month", "day", "year")
     )
-    return let(F.concat(month, F.lit(" "), day, F.lit(", "), year), dates.parse_date)
+    return let(F.concat(month, F.lit(" "), day, F.lit(", "), year), dates.parse_date_once)
 
 
 def _month_of_url(href: Column) -> Column:
@@ -164,14 +165,14 @@ def _month_of_url(href: Column) -> Column:
 
 def _dated(href: Column, context: Column, spec: Column) -> Column:
     """Date of a record by the chain of its layout."""
-    text_date = F.when(spec["text_date"], let(plain(context), dates.parse_date))
+    text_date = F.when(spec["text_date"], let(plain(context), dates.parse_date_once))
     time_date = F.when(spec["time_tag"], _time_date(context))
     return F.coalesce(
         _url_date(href, spec),
         F.when(spec["slot_date"], _slot_date(context)),
         F.when(spec["text_before_time"], text_date),
         time_date,
-        text_date,
+        F.when(~spec["text_before_time"], text_date),
         F.when(spec["month_of_url"], _month_of_url(href)),
     )
 
@@ -184,10 +185,10 @@ def block_items(html: Column, spec: Column) -> Column:
     """Records of a block layout: one per block, from its first link."""
 
     def behind(pattern: str, text: Column) -> Column:
-        return F.slice(F.split(text, pattern), 2, 1 << 30)
+        return F.slice(cut(text, pattern), 2, 1 << 30)
 
     def up_to(field: str, text: Column) -> Column:
-        return _by_pattern(spec, field, lambda p: F.get(F.split(text, p), F.lit(0)), text)
+        return _by_pattern(spec, field, lambda p: F.get(cut(text, p), F.lit(0)), text)
 
     areas = _by_pattern(spec, "outer", lambda p: F.transform(behind(p, html), lambda a: up_to("outer_end", a)), F.array(html))
     raw = F.flatten(F.transform(areas, lambda a: _by_pattern(spec, "block", lambda p: behind(p, a), F.array().cast("array<string>"))))
@@ -227,7 +228,7 @@ def context_items(html: Column, spec: Column) -> Column:
             & ~_by_pattern(spec, "stop_words", F.lower(title).rlike, F.lit(False))
         )
 
-    return F.filter(F.transform(anchors(html), read), lambda r: r.isNotNull())
+    return F.filter(F.transform(anchors(html, with_line=False), read), lambda r: r.isNotNull())
 
 
 def page_listing(
@@ -242,14 +243,13 @@ def page_listing(
     item = "array<struct<title: string, event_date: date, url: string, program: string>>"
 
     def recent(items: Column) -> Column:
-        done = F.transform(
-            items,
+        return F.transform(
+            F.filter(items, lambda r: dates.date_window_flags(r["event_date"], cutoff, as_of)[1]),
             lambda r: F.struct(
                 r["title"].alias("title"), r["event_date"].alias("event_date"),
                 urls.absolutize_url(r["href"], F.col("__u")).alias("url"), urls.program_id(r["href"]).alias("program"),
             ),
         )
-        return F.filter(done, lambda r: dates.date_window_flags(r["event_date"], cutoff, as_of)[1])
 
     def unique(items: Column, by_program: Column) -> Column:
         ids = F.transform(items, lambda r: F.when(by_program, r["program"]).otherwise(r["url"]))

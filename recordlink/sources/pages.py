@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
 from recordlink.functions import text, urls
-from recordlink.functions.bind import let
+from recordlink.functions.bind import cut, let
 
 # End of one item of a page and start of the next one.
 ITEM_END = r"(?is)</(?:div|li|tr|article|section|table|ul|nav)\s*>"
@@ -20,7 +20,7 @@ BLOCK_EDGE = r"(?i)</?(?:div|li|tr|td|p|article|section|table|ul|ol|nav|h[1-6]|b
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute (quoted or not) in the text of a tag, as written; NULL when it is not there."""
     raw = F.regexp_extract(tag, rf"""(?is)^[^>]*?(?<![\w-]){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
-    return F.when(raw != "", F.regexp_replace(raw, r"""^["']|["']$""", ""))
+    return let(raw, lambda v: F.when(v != "", F.regexp_replace(v, r"""^["']|["']$""", "")))
 
 
 def undecoded(html: Column) -> Column:
@@ -87,37 +87,40 @@ def href_of(tag: Column) -> Column:
     return decode_attribute(F.coalesce(attribute(tag, "href"), F.lit("")))
 
 
-def anchors(html: Column) -> Column:
+def anchors(html: Column, with_line: bool = True) -> Column:
     """Array of all anchors in page order: tag text, inner HTML, HTML before and after within the same item, line.
 
     `before` starts after the last item end behind the previous anchor, `after` stops at the next item end,
-    `line` is everything between the block borders around the anchor.
+    `line` is everything between the block borders around the anchor; without `with_line` it is left out.
     """
-    pieces = F.split(html, r"(?i)<a\b")
+    pieces = cut(html, r"(?i)<a\b")
 
     def parts(p: Column) -> Column:
-        close = F.regexp_instr(p, F.lit(r"(?i)</a\s*>"))
-        inner = F.when(close > 0, F.substr(p, F.lit(1), close - 1)).otherwise(p)
-        rest = F.when(close > 0, F.regexp_replace(F.substr(p, close), r"(?i)^</a\s*>", "")).otherwise("")
-        return F.struct(inner.alias("tag"), rest.alias("rest"))
+        def closed(close: Column) -> Column:
+            inner = F.when(close > 0, F.substr(p, F.lit(1), close - 1)).otherwise(p)
+            rest = F.when(close > 0, F.regexp_replace(F.substr(p, close), r"(?i)^</a\s*>", "")).otherwise("")
+            return F.struct(p.alias("all"), inner.alias("tag"), rest.alias("rest"))
 
-    lines = F.flatten(F.transform(F.split(html, BLOCK_EDGE), lambda r: F.array_repeat(r, F.size(F.split(r, r"(?i)<a\b")) - 1)))
+        return let(F.regexp_instr(p, F.lit(r"(?i)</a\s*>")), closed)
 
-    def build(ps: Column, around: Column) -> Column:
+    def build(ps: Column, around: Column | None) -> Column:
         def one(p: Column, i: Column) -> Column:
             previous = F.when(i == 1, F.get(ps, F.lit(0))["all"]).otherwise(F.get(ps, i - 1)["rest"])
             return F.struct(
                 p["tag"].alias("tag"),
                 F.regexp_replace(p["tag"], r"(?s)^[^>]*>", "").alias("inner"),
-                F.element_at(F.split(previous, ITEM_END), -1).alias("before"),
-                F.get(F.split(p["rest"], ITEM_END), F.lit(0)).alias("after"),
-                F.get(around, i - 1).alias("line"),
+                F.element_at(cut(previous, ITEM_END), -1).alias("before"),
+                F.get(cut(p["rest"], ITEM_END), F.lit(0)).alias("after"),
+                *([] if around is None else [F.get(around, i - 1).alias("line")]),
             )
 
         return F.slice(F.transform(ps, one), F.lit(2), F.greatest(F.size(ps) - 1, F.lit(0)))
 
-    cut = F.transform(pieces, lambda p: F.struct(p.alias("all"), parts(p)["tag"].alias("tag"), parts(p)["rest"].alias("rest")))
-    return let(cut, lambda ps: let(lines, lambda around: build(ps, around)))
+    taken = F.transform(pieces, parts)
+    if not with_line:
+        return let(taken, lambda ps: build(ps, None))
+    lines = F.flatten(F.transform(cut(html, BLOCK_EDGE), lambda r: F.array_repeat(r, F.size(cut(r, r"(?i)<a\b")) - 1)))
+    return let(taken, lambda ps: let(lines, lambda around: build(ps, around)))
 
 
 def links(html: Column, base: Column) -> Column:

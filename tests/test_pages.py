@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from recordlink.functions import dates
+from recordlink.functions.bind import cut
 from recordlink.operators import filters
 from recordlink.sources import layouts, listings, pages, sinks
 from recordlink.streaming import jobs
@@ -296,3 +298,20 @@ def test_health_counts_over_batches_and_late_rows(spark, tmp_path):
 @pytest.mark.parametrize("raw,want", [("<h1>of&amp;&amp</h1>x", "of&&\nx"), ("a&ampb&amp;lt;", "a&b&lt;"), ("&lt &amp", "&lt &")])
 def test_page_text_reads_an_ampersand_without_semicolon(one, raw, want):
     assert one(pages.html_to_text(F.col("x")), x=raw) == want
+
+
+def test_a_listing_is_cut_without_lines_and_without_patterns_compiled_per_row(spark):
+    df = spark.createDataFrame([(1, "generic_links", GENERIC, "https://e.example/l")], "p int, layout string, html string, url string").repartition(2)
+    plan = layouts.page_listing(df, "p", "html", "url", "layout", "2026-01-01", "2026-03-01", False)._jdf.queryExecution().analyzed().toString()
+    assert pages.BLOCK_EDGE not in plan  # the line around a link is not used
+    assert plan.count(f", {pages.ITEM_END}, -1)") == 2 and plan.count(f", {pages.ITEM_END}, \x00, 1)") == 2  # the first only for texts with a zero character
+
+
+@pytest.mark.parametrize("text", ["", "a", "<b>a<B >b", "a<b>", "<b><b>", "x\x00<b>y\x00", "\x00"])
+def test_cut_equals_split(one, text):
+    assert one(cut(F.col("x"), r"(?i)<b\s*>"), x=text) == one(F.split("x", r"(?i)<b\s*>"), x=text)
+
+
+def test_dates_found_once_equal_dates(many):
+    raw = ["", "x", "2026-02-30 March 1, 2026", "on 2026-03-01", "3/4/26", "13/4/2026 May 1, 2026", "1.2.0099", "12/31/123", "Sept. 4, 2025", "Sep 4 2025", "Foo 4, 2025 May 5, 2025", "June 31, 2025", "MAY 5 2025", "a May 123, 2025", "2025/1/2/2026", "é Mai 1, 2025"]
+    assert many(dates.parse_date_once(F.col("x")), raw) == many(dates.parse_date(F.col("x")), raw)
