@@ -11,12 +11,13 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recordlink.llm import labelled, packing, quality, toxicity
+from recordlink.llm import labelled, packing, quality, topk_search, toxicity
 from recordlink.llm.exact_dedup import exact_dedup
 from recordlink.llm.line_dedup import line_dedup
 from recordlink.llm.mixing import mix_sources
 from recordlink.llm.near_dedup import keep_one, near_dedup
 from recordlink.llm.packing import pack_documents
+from recordlink.llm.scratch import keep
 from recordlink.llm.secrets import scan_secrets
 from recordlink.llm.substring_dedup import substring_dedup
 from recordlink.llm.topk_search import top_k
@@ -87,6 +88,17 @@ def test_top_k_fails_where_a_component_exceeds_a_long(spark):
         top_k(df, df).collect()
 
 
+def test_top_k_samples_no_vectors_for_the_driver(spark, monkeypatch):
+    """The range of the sort is found from a sample of its key on the driver: the key is short, however long vectors are."""
+    kept = []
+    monkeypatch.setattr(topk_search, "keep", lambda df, label: kept.append(df) or keep(df, label))
+    df = spark.createDataFrame([(i, [float(i % 5), 1.0]) for i in range(200)], "vec_id long, embedding array<float>")
+    top_k(df.filter("vec_id % 100 = 0"), df)
+    plan = kept[0]._jdf.queryExecution().executedPlan().toString()
+    key = re.search(r"rangepartitioning\((.*?), \d+\)", plan).group(1)
+    assert re.findall(r"(\w+)#\d+", key) == ["len", "id"]
+
+
 def test_top_k_few_and_none(spark):
     schema = "vec_id long, embedding array<float>"
     two = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, -1.0])], schema)
