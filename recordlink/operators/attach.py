@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordlink import fixed_values as fv
 from recordlink.functions import text
+from recordlink.operators import matrix
 from recordlink.operators.similarity import best_partner, similar_pairs
 from recordlink.session import materialize
 
@@ -25,7 +26,7 @@ def _title_sets(df: DataFrame, block: list[str], title: str, ord_col: str, name:
     Copies of a title are gone before its words are taken; kept, no later filter on the words moves down to the rows.
     """
     titles = df.groupBy(*block, F.col(title).alias("__title")).agg(F.min(ord_col).alias(name))
-    return materialize(titles.select(*block, words(F.col("__title")).alias("tokens"), name).groupBy(*block, "tokens").agg(F.min(name).alias(name)))
+    return materialize(titles.select(*block, text.joined(words(F.col("__title"))).alias("tokens"), name).groupBy(*block, "tokens").agg(F.min(name).alias(name)))
 
 
 def _best_of_titles(
@@ -33,19 +34,19 @@ def _best_of_titles(
     words: Callable[[Column], Column] = text.token_set,
 ) -> DataFrame:
     """(block, title of a video, best, score): `best_partner` of each title, so that rows of videos never carry its words."""
-    titles = materialize(videos.select(*block, F.col(video_title).alias("__title")).distinct().withColumn("tokens", words(F.col("__title"))))
-    best = best_partner(titles.select(*block, "tokens").distinct(), rec_sets, block, "__rec", threshold)
-    return titles.join(best, [*block, "tokens"]).select(*block, F.col("__title").alias(video_title), "best", "score")
+    titles = materialize(videos.select(*block, F.col(video_title).alias("__title")).distinct().withColumn("tokens", text.joined(words(F.col("__title")))))
+    best = best_partner(titles, rec_sets, block, "__rec", threshold, keep=("__title",))
+    return best.select(*block, F.col("__title").alias(video_title), "best", "score")
 
 
 def best_similar(
     records: DataFrame, videos: DataFrame, block: list[str], title: str, ord_col: str, video_title: str, video_ord: str, threshold: float
 ) -> DataFrame:
-    """(video, record, sim): for each video the most similar record of its block, first in order on a tie."""
+    """(video, record, sim), kept: for each video the most similar record of its block, first in order on a tie."""
     rec_sets = _title_sets(records, block, title, ord_col, "__rec")
     best = _best_of_titles(videos, rec_sets, block, video_title, threshold)
     vid = videos.select(*block, video_title, F.col(video_ord).alias("video"))
-    return vid.join(best, [*block, video_title]).select("video", F.col("best").alias("record"), F.col("score").alias("sim"))
+    return materialize(vid.join(best, [*block, video_title]).select("video", F.col("best").alias("record"), F.col("score").alias("sim")))
 
 
 def attach_best_similar(
@@ -75,75 +76,72 @@ def assign_streams(
     """(record, video): full streams matched by date and title, each record to one stream at most.
 
     Streams choose in order: each takes the most similar record of its date (first in order on a tie) that has no long
-    video yet and that no earlier stream has taken. Streams shorter than `long_s` take no part. Titles are compared once for
-    each token set of a day. Of records with one token set the first one left is always taken first, so the choice in order
-    (`take_in_order`) holds one place for each set, not a list of records for each stream. A day is one group: of its
-    numbers and of the pairs of its token sets, never of pairs of streams and records.
+    video yet and that no earlier stream has taken. Streams shorter than `long_s` take no part. A day is one group: of its
+    titles with their numbers, which are compared when a stream chooses (`take_in_order`), never of pairs.
     """
     has_long = F.nullif(F.col(url), F.lit("")).isNotNull() & (F.coalesce(F.col(duration), F.lit(0)) >= long_s)
-    streams = videos.filter((F.col(video_duration) >= long_s) & F.col(date).isNotNull())
-
-    def placed(df: DataFrame, text_col: str, number: str) -> DataFrame:
-        """Rows with the first number of their token set (`__set`) and their place in it."""
-        alike = Window.partitionBy(date, "tokens").orderBy("__n")
-        rows = df.select(date, text.token_set(F.col(text_col)).alias("tokens"), F.col(number).cast("bigint").alias("__n")).filter(F.size("tokens") > 0)
-        return rows.withColumns({"__place": F.row_number().over(alike), "__set": F.first("__n").over(alike)})
-
-    vid = materialize(placed(streams, video_title, video_ord))
-    day = vid.groupBy(date).agg(F.count("*").alias("__streams"))
-    # of records with one token set no more can be taken than there are streams on the day
-    rec = placed(records.filter(~has_long).join(day.select(date), date, "left_semi"), title, ord_col)
-    rec = materialize(rec.join(day, date).filter(F.col("__place") <= F.col("__streams")).drop("__streams"))
-    sets = [df.filter("__place = 1").select(date, "tokens", F.col("__set").alias(name)) for df, name in ((vid, "__v"), (rec, "__r"))]
-    found = similar_pairs(*sets, [date], threshold, ["__v"], ["__r"])
-    # others take at most one record for each other stream of the day: better sets that hold so many records are enough
-    held = rec.groupBy(date, F.col("__set").alias("__r")).agg(F.count("*").alias("__held"))
-    better = Window.partitionBy(date, "__v").orderBy(F.col("sim").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    found = found.join(held, [date, "__r"]).withColumn("__sum", F.sum("__held").over(better)).withColumn(
-        "__before", F.col("__sum") - F.sum("__held").over(Window.partitionBy(date, "__v", "sim"))
-    )
-    found = found.join(day, date).filter(F.col("__before") < F.col("__streams"))
-    rows = [df.select(date, F.lit(kind).alias("kind"), F.col("__n").alias("a"), F.col("__set").alias("b"), F.lit(0.0).alias("sim")) for df, kind in ((vid, 0), (rec, 1))]
-    every = rows[0].unionByName(rows[1]).unionByName(found.select(date, F.lit(2).alias("kind"), F.col("__v").alias("a"), F.col("__r").alias("b"), "sim"))
-    held = every.groupBy(date).applyInPandas(take_in_order, "record bigint, video bigint")
+
+    def titles(df: DataFrame, text_col: str, number: str, name: str) -> DataFrame:
+        """One row per title of a day; its words are taken once."""
+        numbers = df.select(date, F.col(text_col).alias("__title"), F.col(number).cast("bigint").alias("__n")).groupBy(date, "__title").agg(F.collect_list("__n").alias(name))
+        return numbers.select(date, text.joined(text.token_set(F.col("__title"))).alias("tokens"), name)
+
+    def read(streams: pa.Table, recs: pa.Table) -> pa.Table:
+        return take_in_order(streams, recs, threshold)
+
+    streams = titles(videos.filter(F.col(video_duration) >= long_s), video_title, video_ord, "__v")
+    recs = titles(records.filter(~has_long), title, ord_col, "__r")
+    held = similar_pairs(streams, recs, [date], threshold, ["__v"], ["__r"], in_place=(read, "record bigint, video bigint"))
     kinds = records.schema[ord_col].dataType, videos.schema[video_ord].dataType
     return materialize(held.select(F.col("record").cast(kinds[0]), F.col("video").cast(kinds[1])))
 
 
-def take_in_order(day: pd.DataFrame) -> pd.DataFrame:
-    """(record, video) of one day. Rows by kind: 0 stream a of set b, 1 record a of set b, 2 similarity of sets a and b."""
-    kind, a, b, sim = (day[c].to_numpy() for c in ("kind", "a", "b", "sim"))
-    rec = kind == 1
-    order = np.lexsort((a[rec], b[rec]))
-    numbers, names = a[rec][order], b[rec][order]
-    sets, start = np.unique(names, return_index=True)
-    place, end = start.copy(), np.append(start[1:], len(numbers))
-    none = np.iinfo(np.int64).max
-    head = numbers[place] if len(numbers) else numbers  # first record left of each set
-    pair = kind == 2
-    order = np.lexsort((-sim[pair], a[pair]))
-    askers, partner, level = a[pair][order], np.searchsorted(sets, b[pair][order]), sim[pair][order]
-    new = np.ones(len(askers), bool)
-    new[1:] = (askers[1:] != askers[:-1]) | (level[1:] != level[:-1])
-    first = np.flatnonzero(new)  # a tier: the equally similar sets of one set of streams
-    last = np.append(first[1:], len(askers))
-    tier = dict(zip(*(x.tolist() for x in np.unique(askers[first], return_index=True))))
-    stream = kind == 0
-    order = np.argsort(a[stream])
+def take_in_order(streams: pa.Table, recs: pa.Table, threshold: float) -> pa.Table:
+    """(record, video) of one day, from its titles with their sets (`__ta`, `__tb`) and numbers (`__v`, `__r`).
+
+    Of records with one token set the first one left is always taken first, so a choice is one between sets, each with its first number.
+    """
     won: list[tuple[int, int]] = []
-    for video, asker in zip(a[stream][order].tolist(), b[stream][order].tolist()):
-        t = tier.get(asker, len(first))
-        while t < len(first) and askers[first[t]] == asker:
-            among = partner[first[t] : last[t]]
+    if len(streams) and len(recs):
+        asking, offered = matrix.read_sets(streams["__ta"], recs["__tb"])
+        number, owner = _numbers(recs["__r"])
+        code = recs["__tb"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        _, row = np.unique(code, return_index=True)  # a row of each set
+        order = np.lexsort((number, code[owner]))
+        number, name = number[order], code[owner][order]
+        place = np.searchsorted(name, np.arange(len(row)))
+        end = np.append(place[1:], len(name))
+        none = np.iinfo(np.int64).max
+        head = number[place]  # first record left of each set
+        offered = offered.take(row)
+        by_word = np.argsort(offered.word, kind="stable")
+        holder, word = np.repeat(np.arange(len(row)), offered.size)[by_word], offered.word[by_word]
+        used = np.zeros(len(row), bool)
+        first, last = np.searchsorted(word, asking.word, "left"), np.searchsorted(word, asking.word, "right")
+        number_v, owner_v = _numbers(streams["__v"])
+        for at in np.argsort(number_v):
+            asker = owner_v[at]
+            places = range(asking.start[asker], asking.start[asker + 1])
+            shared = np.bincount(np.concatenate([holder[first[p] : last[p]] for p in places]), minlength=len(row))
+            sim = shared / (asking.size[asker] + offered.size - shared)
+            sim[used] = -1
+            level = sim.max()
+            if level < threshold - 1e-12:
+                continue
+            among = np.flatnonzero(sim == level)
             s = among[head[among].argmin()]
-            if head[s] != none:
-                won.append((int(head[s]), video))
-                place[s] += 1
-                head[s] = numbers[place[s]] if place[s] < end[s] else none
-                break
-            t += 1  # a tier that is used up stays so
-        tier[asker] = t
-    return pd.DataFrame(won, columns=["record", "video"], dtype="int64")
+            won.append((int(head[s]), int(number_v[at])))
+            place[s] += 1
+            used[s] = place[s] == end[s]
+            head[s] = none if used[s] else number[place[s]]
+    record, video = zip(*won) if won else ((), ())
+    return pa.table({"record": pa.array(record, pa.int64()), "video": pa.array(video, pa.int64())})
+
+
+def _numbers(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows and the row of each."""
+    whole = lists.combine_chunks()
+    return whole.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(whole)), whole.value_lengths().to_numpy(zero_copy_only=False))
 
 
 def attach_date_similar(
@@ -164,7 +162,7 @@ def attach_date_similar(
 
 
 def two_tier_matches(records: DataFrame, videos: DataFrame, key: str, date: str, title: str, ord_col: str, video_title: str, video_ord: str) -> DataFrame:
-    """(video, record): candidates share key and date, or only the date when no key fits.
+    """(video, record), kept: candidates share key and date, or only the date when no key fits.
 
     The most shared significant words win, first in order on a tie, even with none shared.
     """
@@ -183,7 +181,7 @@ def two_tier_matches(records: DataFrame, videos: DataFrame, key: str, date: str,
 
     near = choose([key, date], vids)
     rest = vids.join(records.select(key, date).distinct(), [key, date], "left_anti")
-    return near.unionByName(choose([date], rest))
+    return materialize(near.unionByName(choose([date], rest)))
 
 
 def usable_videos(videos: DataFrame, url: str, date: str) -> DataFrame:
@@ -191,6 +189,11 @@ def usable_videos(videos: DataFrame, url: str, date: str) -> DataFrame:
     return videos.filter(F.nullif(F.col(url), F.lit("")).isNotNull() & F.col(date).isNotNull())
 
 
+def unmatched_videos(records: DataFrame, videos: DataFrame, date: str) -> DataFrame:
+    """Usable videos that two tiers leave without a record: any record of the date takes a video, so these have none."""
+    return videos.join(records.select(date).distinct(), date, "left_anti")
+
+
 def attach_two_tier(
     records: DataFrame, videos: DataFrame, key: str, date: str, title: str, ord_col: str, url: str,
     video_title: str, video_ord: str, video_url: str,
@@ -202,7 +205,7 @@ def attach_two_tier(
     first_url = matched.join(urls, "video").groupBy("record").agg(F.min_by("__url", "video").alias("__url"))
     out = records.join(first_url, records[ord_col] == first_url["record"], "left").drop("record")
     out = out.withColumn(url, F.coalesce(F.nullif(F.col(url), F.lit("")), "__url")).drop("__url")
-    return out, videos.join(matched.select(F.col("video").alias(video_ord)), video_ord, "left_anti")
+    return out, unmatched_videos(records, videos, date)
 
 
 def reconcile_ids(

@@ -562,3 +562,35 @@ def test_resolution_writes_no_pairs_across_keys(spark, monkeypatch):
     rows = [("house.a", "River Budget Review", "2026-03-01", 1, {"w": "x"}), ("house.b", "River Budget Review", "2026-03-01", 2, {"w": "y"})]
     dim = spark.createDataFrame([("house.a",), ("house.b",)], "k string")
     assert resolve.resolve_records(frame(spark, rows), dim, "k", "2026-03-02").count() == 1
+
+
+def test_kept_tables_are_packed_and_leave_no_shuffle_files(spark):
+    """A kept table is Parquet, and the shuffle files of the job that made it go at its end."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        return {str(manager.getAllFiles().apply(i)) for i in range(manager.getAllFiles().size()) if "shuffle_" in str(manager.getAllFiles().apply(i))}
+
+    before = shuffle_files()
+    kept = materialize(spark.range(2000).groupBy((F.col("id") % 50).alias("k")).agg(F.max("id").alias("m")))
+    assert "parquet" in kept._jdf.queryExecution().executedPlan().toString()
+    assert shuffle_files() <= before and kept.count() == 50
+
+
+def test_streams_write_no_pairs_of_titles(spark, monkeypatch):
+    """All titles of a day resemble each other: what comes out of their comparison are the choices, not the pairs."""
+    made = []
+    monkeypatch.setattr(attach, "similar_pairs", lambda *a, **k: made.append(similar_pairs(*a, **k)) or made[-1])
+    recs = [(i, "d", f"common word n{i}", "", None) for i in range(60)]
+    streams = [(i, "d", f"common word m{i}", f"u{i}", 2000) for i in range(50)]
+    r = spark.createDataFrame(recs, "rec bigint, d string, t string, url string, dur int")
+    v = spark.createDataFrame(streams, "clip bigint, d string, ct string, u string, ud int")
+    out = attach.attach_date_similar(r, v, "d", "t", "rec", "url", "dur", "ct", "clip", "u", "ud").collect()
+    assert {x["rec"]: x["url"] for x in out} == {i: f"u{i}" if i < 50 else "" for i in range(60)}
+    assert made[0].count() == 50
+
+
+def test_unmatched_videos_read_no_titles(spark):
+    recs = spark.createDataFrame([(1, "d1", "a b"), (2, None, "c")], "rec bigint, d string, t string")
+    vids = spark.createDataFrame([(1, "d1", "zzz", "u1"), (2, "d9", "a b", "u2")], "v bigint, d string, vt string, u string")
+    assert [r["v"] for r in attach.unmatched_videos(recs, vids, "d").collect()] == [2]
