@@ -594,3 +594,41 @@ def test_unmatched_videos_read_no_titles(spark):
     recs = spark.createDataFrame([(1, "d1", "a b"), (2, None, "c")], "rec bigint, d string, t string")
     vids = spark.createDataFrame([(1, "d1", "zzz", "u1"), (2, "d9", "a b", "u2")], "v bigint, d string, vt string, u string")
     assert [r["v"] for r in attach.unmatched_videos(recs, vids, "d").collect()] == [2]
+
+
+@pytest.mark.parametrize("length, halo", [(1, 1), (8, 2)])
+def test_fuzzy_rounds_across_days_write_no_pairs(spark, monkeypatch, length, halo):
+    """Chains over many days, read in short segments, give what the one-by-one rule gives."""
+    monkeypatch.setattr(resolve, "similar_pairs", lambda *a, **k: pytest.fail("pairs were written out"))
+    monkeypatch.setattr(resolve, "SEGMENT", length, raising=False)
+    monkeypatch.setattr(resolve, "HALO", halo, raising=False)
+    dice = random.Random(4)
+    vocab = "otter heron peat moss weir canal lamp".split()
+    rows = [("k", " ".join(dice.sample(vocab, 3)), f"2026-03-{dice.randint(1, 12):02d}", dice.randint(0, 1), {"video_id": "v"}) for _ in range(60)]
+    got = {r["rec"]: r["cluster"] for r in resolve.fuzzy_representatives(frame(spark, rows)).collect()}
+    firsts, reps, want = {}, [], {}
+    for i in sorted(range(60), key=lambda i: (-rows[i][3], i)):
+        title, day = frozenset(rows[i][1].split()), int(rows[i][2][-2:])
+        if (title, day) not in firsts:
+            near = [(k, n) for k, shift in enumerate((0, -1, 1)) for n, (t, d, _) in enumerate(reps) if d == day + shift and jaccard(t, title) >= (0.45 if shift else 0.30)]
+            if not near:
+                reps.append((title, day, i))
+            firsts[title, day] = reps[min(near)[1]][2] if near else i
+        want[i] = firsts[title, day]
+    assert got == want
+
+
+def test_pairs_across_keys_come_out_of_tiles(spark, monkeypatch):
+    """No join of the sets of a day: only linked ones leave the task that compares them."""
+    monkeypatch.setattr(resolve, "similar_pairs", lambda *a, **k: pytest.fail("sets of a day were joined"))
+    rows = [("house.a", "River Budget Review", "2026-03-01", 1, {"w": "x"}), ("house.b", "River Budget", "2026-03-01", 2, {"w": "y"}), ("house.b", "Lamps", "2026-03-01", 2, {"w": "z"})]
+    assert [(r["a"], r["b"], round(r["sim"], 3)) for r in resolve.cross_key_pairs(frame(spark, rows)).collect()] == [(0, 1, 0.667)]
+
+
+def test_day_pairs_keep_short_texts_of_words(spark, monkeypatch):
+    """Title nodes are kept with one text of their words, not with an array."""
+    kept = []
+    monkeypatch.setattr(resolve, "materialize", lambda df: kept.append(materialize(df)) or kept[-1])
+    rows = [("k", "Peat Moss", "2026-03-01", 1, {"video_id": "x"}), ("k", "Moss, Peat!", "2026-03-02", 1, {"w": "y"})]
+    assert [tuple(r) for r in resolve.adjacent_day_pairs(frame(spark, rows)).collect()] == [(0, 1, 1.0)]
+    assert kept[0].schema["tokens"].dataType.simpleString() == "string"
